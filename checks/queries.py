@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks.inputs import bronze, raw_trips, silver, trips
 from farelane.functions import calendar
 from farelane.functions.zorder import zorder_key
 from farelane.model import (
@@ -19,7 +20,8 @@ from farelane.model import (
     Thresholds,
 )
 from farelane.operators import derive, enrich, filters, outliers, quality
-from farelane.plans import gold, insights, monitoring, rollups, silver
+from farelane.plans import gold, insights, monitoring, rollups
+from farelane.plans import silver as layer
 from farelane.sources import trips as source
 from farelane.store import tables
 
@@ -44,52 +46,31 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
-# --- inputs ----------------------------------------------------------------
-
-
-def trips(spark: SparkSession, folder: str) -> DataFrame:
-    return source.order_trips(spark, folder)
-
-
-def bronze(spark: SparkSession, folder: str) -> DataFrame:
-    """Trips with the lineage columns a month load would give them."""
-    month = calendar.month_text(PICKUP)
-    rows = trips(spark, folder)
-    return source.with_lineage(
-        rows, F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet")), month
-    ).drop("ingestion_timestamp")
-
-
-def valid(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.valid_trips(trips(spark, folder))
-
-
-def flagged(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.flagged_trips(trips(spark, folder))
+# --- gold tables, shared by the queries over them ----------------------------
 
 
 def gold_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.daily(flagged(spark, folder))
+    return gold.daily(silver(spark, folder))
 
 
 def gold_vendor(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.vendor(enrich.add_vendor_name(flagged(spark, folder)))
+    return gold.vendor(silver(spark, folder))
 
 
 def gold_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.hourly(valid(spark, folder))
+    return gold.hourly(silver(spark, folder))
 
 
 def gold_financial(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.financial(valid(spark, folder))
+    return gold.financial(silver(spark, folder))
 
 
 def gold_route(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.route(valid(spark, folder))
+    return gold.route(silver(spark, folder))
 
 
 def gold_payment(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.payment(enrich.add_payment_type(valid(spark, folder)))
+    return gold.payment(silver(spark, folder))
 
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,7 +88,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("ok").alias("records_silver"),
         F.count_if(F.col("ok") > 0).alias("records_gold"),
     )
-    start = F.timestamp_add("HOUR", F.lit(30), F.col("day").cast("timestamp_ntz"))
+    start = F.timestamp_add("HOUR", F.lit(30), F.col("day").cast("timestamp"))
     share = F.col("records_silver") / F.col("records_bronze")
     failed = share < 0.3
     return days.select(
@@ -152,7 +133,7 @@ def text_times(df: DataFrame) -> DataFrame:
 
 
 def bronze_ingest(spark, folder):
-    return text_times(bronze(spark, folder))
+    return text_times(raw_trips(spark, folder).drop("ingestion_timestamp"))
 
 
 def derived(columns: str, add: Callable[[DataFrame], DataFrame]) -> Query:
@@ -200,28 +181,28 @@ def schema_evolve_union(spark, folder):
 
 def month_replace(spark, folder):
     """Daily table of all months, then one month loaded again twice: nothing may change."""
-    daily = gold.daily_basic(valid(spark, folder))
+    daily = gold.daily_basic(silver(spark, folder))
     path = tables.write_partitions(daily, tables.new_path(spark, "month-replace"), ("pickup_year", "pickup_month"))
-    month = source.silver_month_slice(valid(spark, folder), 1999, 3)
+    month = source.silver_month_slice(silver(spark, folder), 1999, 3)
     for _ in range(2):
         tables.write_partitions(gold.daily_basic(month), path, ("pickup_year", "pickup_month"))
     return spark.read.parquet(path).select(*daily.columns)
 
 
 def zorder(spark, folder):
-    rows = valid(spark, folder)
+    rows = silver(spark, folder)
     key = zorder_key(rows, (PICKUP, "PULocationID", "DOLocationID", "VendorID"))
     return text_times(rows.select(*KEY, key.alias("zorder_key")))
 
 
 def silver_rows(spark, folder):
-    rows = silver.silver(bronze(spark, folder))
-    return text_times(rows.drop("silver_processing_timestamp"))
+    rows = layer.silver(bronze(spark, folder))
+    return text_times(rows.drop("ingestion_timestamp", "silver_processing_timestamp"))
 
 
 def outlier_flags(multiplier: float) -> Query:
     def query(spark, folder):
-        rows = outliers.flag_outliers(valid(spark, folder), multiplier=multiplier)
+        rows = outliers.flag_outliers(silver(spark, folder), multiplier=multiplier)
         flags = [c for c in rows.columns if c.endswith("_outlier")]
         return text_times(rows.select(*KEY, *flags))
 
@@ -229,7 +210,7 @@ def outlier_flags(multiplier: float) -> Query:
 
 
 def schema_issues(spark, folder):
-    rows = bronze(spark, folder).drop("airport_fee").withColumn("extra", F.col("extra").cast("string"))
+    rows = bronze(spark, folder).drop("airport_fee", "ingestion_timestamp").withColumn("extra", F.col("extra").cast("string"))
     found = quality.schema_issues(rows, TRIP_SCHEMA)
     size = rows.groupBy().agg(F.count("*").alias("n_rows"))
     return found.withColumn("n_rows", size.scalar())
@@ -240,10 +221,10 @@ def gold_validation(spark, folder):
         {
             "daily": gold_daily(spark, folder),
             "hourly": gold_hourly(spark, folder),
-            "location": gold.location(valid(spark, folder)),
+            "location": gold.location(silver(spark, folder)),
             "vendor": gold_vendor(spark, folder),
             "payment": gold_payment(spark, folder),
-            "time_series": gold.time_series(valid(spark, folder)),
+            "time_series": gold.time_series(silver(spark, folder)),
             "route": gold_route(spark, folder),
             "financial": gold_financial(spark, folder),
         }
@@ -328,44 +309,44 @@ def _queries() -> dict[str, Query]:
         "quality_metrics": quality_metrics,
         "duplicate_count": duplicate_count,
         "silver_quality_score": with_rows(quality.silver_quality_score),
-        "silver_quality_by_month": lambda s, f: quality.silver_quality_score(valid(s, f), "pickup_year", "pickup_month"),
+        "silver_quality_by_month": lambda s, f: quality.silver_quality_score(silver(s, f), "pickup_year", "pickup_month"),
         "business_rules": with_rows(quality.business_rules),
-        "threshold_checks": lambda s, f: quality.threshold_checks(bronze(s, f), flagged(s, f), CHECKED_LIMITS),
+        "threshold_checks": lambda s, f: quality.threshold_checks(bronze(s, f), silver(s, f), CHECKED_LIMITS),
         "summary_statistics": lambda s, f: text_times(quality.summary_statistics(trips(s, f))),
         "quality_report_long": quality_report,
-        "quality_indicators": lambda s, f: quality.quality_indicators(trips(s, f), flagged(s, f), silver.kept()),
-        "cleaning_rate": with_rows(silver.cleaning_rate),
+        "quality_indicators": lambda s, f: quality.quality_indicators(trips(s, f), silver(s, f), layer.kept()),
+        "cleaning_rate": with_rows(layer.cleaning_rate),
         # outliers
         "outlier_flags": outlier_flags(1.5),
         "outlier_flags_narrow": outlier_flags(0.5),
-        "outlier_bounds": with_rows(outliers.outlier_bounds, valid),
-        "outlier_summary": with_rows(outliers.outlier_summary, flagged),
-        "outlier_causes": with_rows(insights.outlier_causes, valid),
+        "outlier_bounds": with_rows(outliers.outlier_bounds, silver),
+        "outlier_summary": with_rows(outliers.outlier_summary, silver),
+        "outlier_causes": with_rows(insights.outlier_causes, silver),
         # raw and silver reports
         "bronze_month_counts": with_rows(rollups.bronze_month_counts, bronze),
         "period_stats": lambda s, f: text_times(rollups.period_stats(bronze(s, f))),
         "vendor_counts": with_rows(rollups.vendor_counts),
         "bronze_money_stats": with_rows(rollups.bronze_money_stats),
-        "silver_money_stats": with_rows(rollups.silver_money_stats, valid),
-        "silver_month_counts": with_rows(rollups.silver_month_counts, valid),
-        "silver_by_vendor": lambda s, f: rollups.by_vendor(enrich.add_vendor_name(valid(s, f))),
-        "silver_by_period": with_rows(rollups.by_period, valid),
-        "silver_by_weekend": with_rows(rollups.by_weekend, valid),
-        "top_routes_by_count": with_rows(rollups.top_routes_by_count, valid),
-        "kpi_overall": with_rows(rollups.kpi_overall, valid),
-        "mini_hourly": with_rows(rollups.mini_hourly, valid),
-        "mini_location": with_rows(rollups.mini_location, valid),
-        "mini_summary": with_rows(rollups.mini_summary, valid),
+        "silver_money_stats": with_rows(rollups.silver_money_stats, silver),
+        "silver_month_counts": with_rows(rollups.silver_month_counts, silver),
+        "silver_by_vendor": lambda s, f: rollups.by_vendor(silver(s, f)),
+        "silver_by_period": with_rows(rollups.by_period, silver),
+        "silver_by_weekend": with_rows(rollups.by_weekend, silver),
+        "top_routes_by_count": with_rows(rollups.top_routes_by_count, silver),
+        "kpi_overall": with_rows(rollups.kpi_overall, silver),
+        "mini_hourly": with_rows(rollups.mini_hourly, silver),
+        "mini_location": with_rows(rollups.mini_location, silver),
+        "mini_summary": with_rows(rollups.mini_summary, silver),
         # gold tables
         "gold_daily": gold_daily,
-        "gold_daily_lite": with_rows(gold.daily_basic, valid),
+        "gold_daily_lite": with_rows(gold.daily_basic, silver),
         "gold_hourly": gold_hourly,
-        "gold_hourly_lite": with_rows(gold.hourly_basic, valid),
-        "gold_location": with_rows(gold.location, valid),
-        "gold_location_neutral": lambda s, f: gold.location_neutral(gold.location(valid(s, f))),
+        "gold_hourly_lite": with_rows(gold.hourly_basic, silver),
+        "gold_location": with_rows(gold.location, silver),
+        "gold_location_neutral": lambda s, f: gold.location_neutral(gold.location(silver(s, f))),
         "gold_vendor": gold_vendor,
         "gold_payment": gold_payment,
-        "gold_time_series": with_rows(gold.time_series, valid),
+        "gold_time_series": with_rows(gold.time_series, silver),
         "gold_route": gold_route,
         "gold_financial": gold_financial,
         # over gold tables
@@ -375,7 +356,7 @@ def _queries() -> dict[str, Query]:
         "top_revenue_days": with_rows(rollups.top_revenue_days, gold_daily),
         "top_profitable_routes": with_rows(rollups.top_profitable_routes, gold_route),
         "monthly_growth": with_rows(rollups.monthly_growth, gold_financial),
-        "gold_consistency": lambda s, f: rollups.gold_consistency(gold_daily(s, f), valid(s, f)),
+        "gold_consistency": lambda s, f: rollups.gold_consistency(gold_daily(s, f), silver(s, f)),
         "gold_validation": gold_validation,
         "view_kpi_dashboard": with_rows(rollups.kpi_dashboard, gold_daily),
         "view_hourly_trends": with_rows(rollups.hourly_trends, gold_hourly),
@@ -389,18 +370,18 @@ def _queries() -> dict[str, Query]:
         "backfill_summary": backfill_summary,
         # analyses
         "peak_hours": with_rows(insights.peak_hours, gold_hourly),
-        "vendor_share_total": lambda s, f: insights.vendor_share_total(enrich.add_vendor_name(valid(s, f))),
-        "top_pickups_ranked": with_rows(insights.top_pickups_ranked, valid),
-        "payment_mix": lambda s, f: insights.payment_mix(enrich.add_payment_type(valid(s, f))),
-        "tip_by_daypart": with_rows(insights.tip_by_daypart, valid),
-        "tip_by_distance": with_rows(insights.tip_by_distance, valid),
-        "by_day_of_week": with_rows(insights.by_day_of_week, valid),
+        "vendor_share_total": lambda s, f: insights.vendor_share_total(silver(s, f)),
+        "top_pickups_ranked": with_rows(insights.top_pickups_ranked, silver),
+        "payment_mix": lambda s, f: insights.payment_mix(silver(s, f)),
+        "tip_by_daypart": with_rows(insights.tip_by_daypart, silver),
+        "tip_by_distance": with_rows(insights.tip_by_distance, silver),
+        "by_day_of_week": with_rows(insights.by_day_of_week, silver),
         "anomalous_days": with_rows(insights.anomalous_days, gold_daily),
         "growth_projection": with_rows(insights.growth_projection, gold_financial),
-        "monthly_alerts": with_rows(insights.monthly_alerts, flagged),
-        "weekly_variation": with_rows(insights.weekly_variation, valid),
+        "monthly_alerts": with_rows(insights.monthly_alerts, silver),
+        "weekly_variation": with_rows(insights.weekly_variation, silver),
         "monthly_distance_growth": with_rows(insights.monthly_distance_growth, gold_financial),
-        "efficiency_metrics": with_rows(insights.efficiency_metrics, valid),
+        "efficiency_metrics": with_rows(insights.efficiency_metrics, silver),
     }
 
 

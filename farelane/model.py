@@ -116,9 +116,11 @@ class TableSpec:
 BRONZE = TableSpec(
     "bronze.yellow_tripdata", ("ingestion_month",), (PICKUP, "VendorID")
 )
+# A month file holds some trips of other months. Keeping the load month as a
+# partition lets a reload replace exactly the rows that came from that file.
 SILVER = TableSpec(
     "silver.yellow_tripdata_clean",
-    ("pickup_year", "pickup_month"),
+    ("ingestion_month", "pickup_year", "pickup_month"),
     (PICKUP, "PULocationID", "DOLocationID", "VendorID"),
 )
 # The daily and hourly tables are partitioned by month so that one month can be

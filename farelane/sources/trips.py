@@ -51,11 +51,12 @@ def conform(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """Cast the known columns to their declared types and keep any further ones.
 
     Files of different months store the same column in different widths and
-    spellings, so names are matched without case and types by cast.
+    spellings, so names are matched without case and types by cast. Times
+    stored without zone are read in the session time zone (UTC by default).
     """
     found = {name.lower(): name for name in df.columns}
     known = [
-        F.col(found[field.name.lower()]).cast(_stored_type(df, found[field.name.lower()], field)).alias(field.name)
+        F.col(found[field.name.lower()]).cast(field.dataType).alias(field.name)
         if field.name.lower() in found
         else F.lit(None).cast(field.dataType).alias(field.name)
         for field in schema
@@ -65,14 +66,6 @@ def conform(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     return df.select(*known, *further)
 
 
-def _stored_type(df: DataFrame, name: str, field: T.StructField) -> T.DataType:
-    """Keep timestamps without zone as stored: converting them adds a zone shift."""
-    stored = df.schema[name].dataType
-    if isinstance(field.dataType, T.TimestampType) and isinstance(stored, T.TimestampNTZType):
-        return stored
-    return field.dataType
-
-
 def with_lineage(df: DataFrame, source_file, ingestion_month) -> DataFrame:
     """Raw-layer columns: load time, source file and month of the load."""
     return df.withColumns(
@@ -109,42 +102,44 @@ def silver_month_slice(silver: DataFrame, year: int, month: int) -> DataFrame:
     return silver.where((F.col("pickup_year") == year) & (F.col("pickup_month") == month))
 
 
-# Trip view of lineitem and orders, used where no trip files exist. It contains
-# invalid vendors, unknown codes, reversed and too fast trips on purpose.
-ORDER_TRIPS_SQL = """
-SELECT CAST(l_suppkey % 3 + 1 AS INT) AS VendorID,
-  o_orderdate + INTERVAL '1' SECOND * CAST((l_orderkey*7919 + l_linenumber*3571) % 86400 AS INT) AS tpep_pickup_datetime,
-  o_orderdate + INTERVAL '1' SECOND * CAST((l_orderkey*7919 + l_linenumber*3571) % 86400
-                                          + (l_orderkey*31 + l_partkey*17) % 7200 - 300 AS INT) AS tpep_dropoff_datetime,
-  CASE WHEN l_partkey % 19 = 0 THEN NULL ELSE CAST(l_partkey % 8 AS DOUBLE) END AS passenger_count,
-  l_quantity AS trip_distance,
-  CASE WHEN l_partkey % 8 = 7 THEN CAST(99 AS DOUBLE) ELSE CAST(l_partkey % 8 AS DOUBLE) END AS RatecodeID,
-  l_linestatus AS store_and_fwd_flag,
-  CAST(l_suppkey % 265 AS INT) AS PULocationID,
-  CAST(l_partkey % 265 AS INT) AS DOLocationID,
-  CAST(l_linenumber % 7 AS INT) AS payment_type,
-  l_extendedprice / 100 AS fare_amount,
-  CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS extra,
-  CAST(0.5 AS DOUBLE) AS mta_tax,
-  l_extendedprice / 100 * l_discount AS tip_amount,
-  l_tax * 100 AS tolls_amount,
-  CAST(0.3 AS DOUBLE) AS improvement_surcharge,
-  l_extendedprice / 100 * (1 + l_discount) + l_tax * 100
-    + CASE WHEN l_returnflag = 'R' THEN CAST(1 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END + CAST(3.3 AS DOUBLE) AS total_amount,
-  CAST(2.5 AS DOUBLE) AS congestion_surcharge,
-  CAST(0 AS DOUBLE) AS airport_fee
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-"""
-
-
 def order_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Trip rows derived from ``lineitem`` and ``orders`` under ``folder``.
+    """Trip view of ``lineitem`` and ``orders``, used where no trip files exist.
+
+    It contains invalid vendors, unknown codes, reversed and too fast trips on
+    purpose. Times are built as seconds since 1970: adding intervals to a
+    timestamp goes through calendar objects and costs many times as much.
 
     Both inputs grow with the data, so the join carries no broadcast hint; Spark
     checks the sizes, and adaptive execution splits a skewed order key.
     """
-    return spark.sql(
-        ORDER_TRIPS_SQL,
-        lineitem=spark.read.parquet(f"{folder}/lineitem.parquet"),
-        orders=spark.read.parquet(f"{folder}/orders.parquet"),
-    )
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    line, part, supplier = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
+    midnight = F.unix_date(F.to_date("o_orderdate")) * F.lit(86400).cast("bigint")
+    start = midnight + (F.col("l_orderkey") * 7919 + line * 3571) % 86400
+    end = start + (F.col("l_orderkey") * 31 + part * 17) % 7200 - 300
+    fare = F.col("l_extendedprice") / 100
+    extra = F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.5)
+    values = {
+        "VendorID": supplier % 3 + 1,
+        "tpep_pickup_datetime": F.timestamp_seconds(start),
+        "tpep_dropoff_datetime": F.timestamp_seconds(end),
+        "passenger_count": F.when(part % 19 != 0, part % 8),
+        "trip_distance": F.col("l_quantity"),
+        "RatecodeID": F.when(part % 8 == 7, 99).otherwise(part % 8),
+        "store_and_fwd_flag": F.col("l_linestatus"),
+        "PULocationID": supplier % 265,
+        "DOLocationID": part % 265,
+        "payment_type": line % 7,
+        "fare_amount": fare,
+        "extra": extra,
+        "mta_tax": F.lit(0.5),
+        "tip_amount": fare * F.col("l_discount"),
+        "tolls_amount": F.col("l_tax") * 100,
+        "improvement_surcharge": F.lit(0.3),
+        "total_amount": fare * (1 + F.col("l_discount")) + F.col("l_tax") * 100 + extra + F.lit(3.3),
+        "congestion_surcharge": F.lit(2.5),
+        "airport_fee": F.lit(0.0),
+    }
+    joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in TRIP_SCHEMA])
