@@ -9,6 +9,7 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ class Interval(NamedTuple):
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES, buckets: int = 4096
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES, buckets: int = 16384
 ) -> dict[str, list[float | None]]:
     """Exact, linearly interpolated quantiles of finite numeric columns.
 
@@ -53,7 +54,7 @@ def exact_quantiles(
         histograms = _histograms(df, [s for s in searches if s.low < s.high], buckets)
         for interval, ranks in searches.items():
             for rank in ranks:
-                hit = _narrow(interval, rank, histograms.get(interval, []))
+                hit = _narrow(interval, rank, histograms.get(interval))
                 if hit.low == hit.high:
                     found[interval.column, rank] = hit.low
                 else:
@@ -74,37 +75,41 @@ def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, floa
     return {c: (row[f"{c} count"], row[f"{c} min"], row[f"{c} max"]) for c in columns}
 
 
-def _histograms(df: DataFrame, intervals: list[Interval], buckets: int) -> dict[Interval, list]:
-    """Per interval its non-empty buckets in order: (rows, smallest, largest value)."""
+def _histograms(df: DataFrame, intervals: list[Interval], buckets: int) -> dict[Interval, pd.DataFrame]:
+    """Per interval its non-empty buckets in order: rows, smallest and largest value."""
     if not intervals:
         return {}
     entries = []
     for number, interval in enumerate(intervals):
         value = _number(interval.column)
-        share = (value - interval.low) / F.lit(interval.high - interval.low)
-        bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
-        entry = F.struct(F.lit(number).alias("interval"), bucket.alias("bucket"), value.alias("value"))
+        entry = F.struct(F.lit(number).alias("interval"), value.alias("value"))
         entries.append(F.when(value.between(interval.low, interval.high), entry))
-    rows = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
-        .where("e is not null")
-        .groupBy("e.interval", "e.bucket")
-        .agg(F.count("*").alias("n"), F.min("e.value").alias("low"), F.max("e.value").alias("high"))
-        .collect()
+    inside = df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+    low = _constant([i.low for i in intervals])
+    width = _constant([i.high - i.low for i in intervals])
+    bucket = F.floor((F.col("value") - low) / width * F.lit(float(buckets)))
+    counted = (
+        inside.groupBy("interval", F.least(bucket, F.lit(buckets - 1)).alias("bucket"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .toPandas()
+        .sort_values(["interval", "bucket"])
     )
-    grouped = defaultdict(list)
-    for row in sorted(rows, key=lambda r: (r.interval, r.bucket)):
-        grouped[intervals[row.interval]].append((row.n, row.low, row.high))
-    return grouped
-
-
-def _narrow(interval: Interval, rank: int, histogram: list) -> Interval:
-    below = interval.below
-    for n, low, high in histogram:
-        if rank < below + n:
-            return Interval(interval.column, low, high, below)
-        below += n
-    return interval
+    return {intervals[number]: rows for number, rows in counted.groupby("interval")}
+
+
+def _constant(values: list[float]) -> Column:
+    """The entry of ``values`` that belongs to the row's interval."""
+    return F.element_at(F.array(*map(F.lit, values)), F.col("interval") + 1)
+
+
+def _narrow(interval: Interval, rank: int, histogram: pd.DataFrame | None) -> Interval:
+    """The bucket that holds the value of ``rank``."""
+    if histogram is None:
+        return interval
+    upto = interval.below + histogram["n"].cumsum().to_numpy()
+    hit = int(upto.searchsorted(rank, side="right"))
+    bucket = histogram.iloc[hit]
+    return Interval(interval.column, float(bucket["low"]), float(bucket["high"]), int(upto[hit] - bucket["n"]))
 
 
 def _ranks(p: float, size: int) -> tuple[int, int]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.model import TableSpec
@@ -56,28 +56,65 @@ def save_table(df: DataFrame, spec: TableSpec, processing_id: str | None = None,
     writer.saveAsTable(spec.name)
 
 
-def replace_partitions(df: DataFrame, spec: TableSpec) -> None:
-    """Create the table, or replace those of its partitions that occur in ``df``.
+def replace_slice(df: DataFrame, spec: TableSpec, part: Column, even_files: bool = True) -> None:
+    """Make ``df`` the only content of the slice ``part`` of the table.
 
-    Columns are matched by name. A column the table does not know yet is added
-    to it and reads as null in older rows; one that ``df`` lacks is written null.
-    The other partitions stay as they are, so a repeated load gives the same table.
+    ``part`` is a condition on partition columns that every row of ``df`` meets.
+    The rows are staged and swapped in partition by partition when the write
+    commits, so a failed write leaves the old rows, and a repeated load gives
+    the same table. Partitions of the slice that got no rows are emptied; all
+    others stay untouched. Columns are matched by name: new ones are added to
+    the table, missing ones are written as null.
     """
     spark = df.sparkSession
     ensure_database(spark, spec.name)
+    rows = balanced(df, spec.partitions) if even_files else df
     if not spark.catalog.tableExists(spec.name):
-        balanced(df, spec.partitions).write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
+        rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
         return
     _add_new_columns(df, spec)
-    table = spark.table(spec.name)
-    aligned = df.select(
+    aligned = rows.select(
         *[
-            F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in table.schema
+            F.col(f.name).cast(f.dataType).alias(f.name)
+            if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spark.table(spec.name).schema
         ]
     )
-    writer = balanced(aligned, spec.partitions).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(spec.name)
+    before = partitions_of(spark, spec, part)
+    with_mode(spark, "dynamic", lambda: aligned.write.mode("overwrite").insertInto(spec.name))
+    written = {tuple(row) for row in df.select(*spec.partitions).distinct().collect()} if before else set()
+    for values in before - written:
+        _empty_partition(spark, spec, values)
+
+
+def partitions_of(spark: SparkSession, spec: TableSpec, part: Column) -> set[tuple]:
+    """Partition values present in a slice; reads partition columns only."""
+    rows = spark.table(spec.name).where(part).select(*spec.partitions).distinct().collect()
+    return {tuple(row) for row in rows}
+
+
+def _empty_partition(spark: SparkSession, spec: TableSpec, values: tuple) -> None:
+    table = spark.table(spec.name)
+    columns = ", ".join(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in table.schema if f.name not in spec.partitions
+    )
+    where = ", ".join(f"`{name}` = :p{i}" for i, name in enumerate(spec.partitions))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {spec.name} PARTITION ({where}) SELECT {columns} FROM range(1) WHERE false",
+        args={f"p{i}": value for i, value in enumerate(values)},
+    )
+
+
+def with_mode(spark: SparkSession, mode: str, action: Callable[[], None]) -> None:
+    """Run a write under a partition overwrite mode and restore the session's own."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        action()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def _add_new_columns(df: DataFrame, spec: TableSpec) -> None:
