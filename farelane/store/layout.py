@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions.zorder import zorder_key
 from farelane.model import TableSpec
-from farelane.store.tables import analyze
+from farelane.store.tables import analyze, balanced, with_mode
 
 
 def clustered(df: DataFrame, spec: TableSpec, files: int | None = None) -> DataFrame:
@@ -28,17 +28,19 @@ def clustered(df: DataFrame, spec: TableSpec, files: int | None = None) -> DataF
 def cluster_table(spark: SparkSession, spec: TableSpec, files: int | None = None) -> None:
     """Rewrite a table in clustered order and refresh its statistics.
 
-    The rewrite goes to a second table that then takes the name. The old table
-    is dropped last, so at every moment one complete copy exists.
+    A partitioned table is rewritten in place: dynamic overwrite stages all
+    files and swaps the partitions in when the job commits. Any other table is
+    rewritten under a second name that then takes the place of the first, which
+    is dropped last. At every moment one complete copy exists.
     """
-    rewritten, old = f"{spec.name}__clustered", f"{spec.name}__old"
     rows = spark.table(spec.name)
-    rows = clustered(rows, spec, files) if spec.cluster_by else rows.hint("rebalance")
-    writer = rows.write.mode("overwrite").format("parquet")
+    rows = clustered(rows, spec, files) if spec.cluster_by else balanced(rows, spec.partitions)
     if spec.partitions:
-        writer = writer.partitionBy(*spec.partitions)
-    writer.saveAsTable(rewritten)
-    spark.sql(f"ALTER TABLE {spec.name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {rewritten} RENAME TO {spec.name}")
-    spark.sql(f"DROP TABLE {old}")
+        with_mode(spark, "dynamic", lambda: rows.write.mode("overwrite").insertInto(spec.name))
+    else:
+        rewritten, old = f"{spec.name}__clustered", f"{spec.name}__old"
+        rows.write.mode("overwrite").format("parquet").saveAsTable(rewritten)
+        spark.sql(f"ALTER TABLE {spec.name} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {rewritten} RENAME TO {spec.name}")
+        spark.sql(f"DROP TABLE {old}")
     analyze(spark, spec.name)

@@ -21,7 +21,7 @@ from farelane.store.tables import balanced
 def month_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Trip rows of the month files under ``root`` as a stream, with lineage columns."""
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "yellow_tripdata_*.parquet").parquet(root)
-    named = conform(rows.select("*", F.col("_metadata.file_name").alias("_file")), schema)
+    named = conform(rows.select("*", F.col("_metadata.file_name").alias("_file")))
     label = F.regexp_extract("_file", r"_(\d{4}-\d{2})\.parquet$", 1)
     return with_lineage(named, F.col("_file"), label).drop("_file")
 
