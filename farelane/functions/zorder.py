@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,19 +13,18 @@ from pyspark.sql import types as T
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
     """Key of at most 63 bits that keeps rows near in all ``columns`` together.
 
-    Every column is scaled by its minimum and maximum to ``bits`` bits. Both
-    come from one aggregate, used as scalar subqueries: no join, no collect.
+    Every column is scaled by its minimum and maximum to ``bits`` bits. All of
+    them come from one aggregate, used as a scalar subquery: no join, no collect.
     Text columns are scaled by their first characters.
     """
     bits = min(bits, 63 // len(columns))
     numbers = [_number(df, c) for c in columns]
-    extents = df.agg(
-        *[F.min(n).alias(f"low_{i}") for i, n in enumerate(numbers)],
-        *[F.max(n).alias(f"high_{i}") for i, n in enumerate(numbers)],
-    )
+    lows = [F.min(n).alias(f"low_{i}") for i, n in enumerate(numbers)]
+    highs = [F.max(n).alias(f"high_{i}") for i, n in enumerate(numbers)]
+    extents = df.agg(F.struct(*lows, *highs).alias("extents")).scalar()
     cells = []
     for i, number in enumerate(numbers):
-        low, high = extents.select(f"low_{i}").scalar(), extents.select(f"high_{i}").scalar()
+        low, high = extents[f"low_{i}"], extents[f"high_{i}"]
         share = F.try_divide(number - low, high - low)
         cells.append(F.coalesce(F.floor(share * F.lit(float(2**bits - 1))), F.lit(0)).cast("bigint"))
     return interleave(cells, bits)

@@ -130,13 +130,17 @@ def _number(column: str) -> Column:
 
 
 def approximate_quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 100) -> dict[str, tuple[Column, Column]]:
-    """Quartiles with rank error 1 / ``accuracy`` as scalar subqueries of one aggregate.
+    """Quartiles with rank error 1 / ``accuracy``, from a scalar subquery.
 
-    Lazy: the aggregate runs inside the query that uses the columns.
+    Lazy: the aggregate runs inside the query that uses the columns. All of them
+    are fields of one struct, so that every use refers to the same subquery and
+    the data is read for it once.
     """
-    quartiles = df.agg(*[F.percentile_approx(_number(c), list(QUARTILES), accuracy).alias(c) for c in columns])
-    scalars = {c: quartiles.select(c).scalar() for c in columns}
-    return {c: (scalar[0], scalar[1]) for c, scalar in scalars.items()}
+    if not columns:
+        return {}
+    both = [F.percentile_approx(_number(c), list(QUARTILES), accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
+    found = df.agg(F.struct(*both).alias("found")).scalar()
+    return {c: (found[f"q{i}"][0], found[f"q{i}"][1]) for i, c in enumerate(columns)}
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], method: str = "exact") -> dict[str, tuple[Column, Column]]:

@@ -61,43 +61,58 @@ def bronze_quality(df: DataFrame, by: str = "ingestion_month") -> DataFrame:
     return counts.withColumns({f"{c}_null_pct": percent(f"{c}_nulls", "total_rows") for c in CRITICAL_COLUMNS})
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """One row: rows and how many of them repeat an earlier full row.
-
-    Grouping on all columns collapses copies on the map side, so a row that
-    makes up a large share of the table reaches the shuffle once per task.
+def repeated_rows(df: DataFrame, most_suspects: int = 1_000_000) -> DataFrame:
+    """Every full row that occurs more than once, with its number of ``copies``.
+
+    Exact, but without shuffling whole rows: a first job counts 64-bit
+    fingerprints, and only rows whose fingerprint occurs twice are compared in
+    full. Equal rows have equal fingerprints, so none is missed; rows that merely
+    collide fall apart in the full comparison. The suspect fingerprints are
+    broadcast while they are at most ``most_suspects`` (8 bytes each); beyond that
+    all rows are grouped. Grouping collapses copies on the map side, so one row
+    that makes up a third of the table is no hot spot.
     """
-    return _multiplicities(df).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_records"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_records"),
-    )
+    mark = _fingerprint(df)
+    marks = df.groupBy(mark.alias("mark")).agg(F.count("*").alias("n")).where("n > 1").select("mark")
+    suspects = marks.limit(most_suspects + 1).toArrow()
+    rows = df
+    if suspects.num_rows <= most_suspects:
+        known = F.broadcast(df.sparkSession.createDataFrame(suspects).withColumnRenamed("mark", "_mark"))
+        rows = df.withColumn("_mark", mark).join(known, "_mark", "left_semi").drop("_mark")
+    return rows.groupBy(*df.columns).agg(F.count("*").alias("copies")).where("copies > 1")
+
+
+def _fingerprint(df: DataFrame) -> Column:
+    """Hash of all columns; null flags tell ``(null, 1)`` from ``(1, null)``."""
+    return F.xxhash64(*df.columns, *[F.isnull(c) for c in df.columns])
+
+
+def duplicate_records(df: DataFrame) -> Column:
+    """How many rows repeat an earlier full row, as a scalar subquery."""
+    repeats = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
+    return repeated_rows(df).agg(repeats.alias("duplicate_records")).scalar()
 
 
-def _multiplicities(df: DataFrame) -> DataFrame:
-    return df.groupBy(*df.columns).agg(F.count("*").alias("copies"))
+def duplicate_count(df: DataFrame) -> DataFrame:
+    """One row: rows and how many of them repeat an earlier full row."""
+    return df.agg(F.count("*").alias("total_records")).withColumn("duplicate_records", duplicate_records(df))
 
 
 def quality_metrics(df: DataFrame, as_of: datetime | Column) -> DataFrame:
     """One row: null counts and shares, duplicates, suspicious rows and a score.
 
-    All counts come from the distinct rows weighted by their multiplicity: one
-    scan and one shuffle instead of a job per number. Zero distance does not
-    lower the score.
+    One scan for all counts, besides the search for duplicates. Zero distance
+    does not lower the score.
     """
     columns = [c for c in CRITICAL_COLUMNS_WITH_LOCATIONS if c in df.columns]
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-
-    def weighted(test: Column) -> Column:
-        return F.coalesce(F.sum(F.when(test, F.col("copies"))), F.lit(0))
-
-    counts = _multiplicities(df).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_records"),
-        *[weighted(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns],
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_records"),
-        weighted(F.col("total_amount") < 0).alias("negative_amounts"),
-        weighted(F.col("trip_distance") == 0).alias("zero_distance_trips"),
-        weighted(F.col(PICKUP) > now).alias("future_trips"),
-    )
+    counts = df.agg(
+        F.count("*").alias("total_records"),
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns],
+        F.count_if(F.col("total_amount") < 0).alias("negative_amounts"),
+        F.count_if(F.col("trip_distance") == 0).alias("zero_distance_trips"),
+        F.count_if(F.col(PICKUP) > now).alias("future_trips"),
+    ).withColumn("duplicate_records", duplicate_records(df))
     nulls = sum((F.col(f"{c}_nulls") for c in columns), F.lit(0))
     issues = nulls + F.col("duplicate_records") + F.col("negative_amounts") + F.col("future_trips")
     score = F.greatest(F.lit(0.0), F.lit(1.0) - ratio(issues, "total_records"))

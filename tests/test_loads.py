@@ -198,6 +198,23 @@ def test_run_log_has_its_columns(spark, loaded):
     assert len(runlog.read_run_log(spark).columns) == 15
 
 
+def test_daily_stream_closes_days(spark, tmp_path):
+    """A day is final once trips past the watermark have come; late trips before that count."""
+    root, state = str(tmp_path / "in"), str(tmp_path / "state")
+    write_month(spark, root, 2023, 1, month_rows(2023, 1, 60))
+    daily = streaming.daily_stream(streaming.month_files(spark, root, WALL_CLOCK_SCHEMA))
+    query = (
+        daily.writeStream.format("memory").queryName("days").option("checkpointLocation", state)
+        .outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    days = spark.table("days").orderBy("trip_date").collect()
+    expected = spark.read.parquet(root).groupBy(F.to_date("tpep_pickup_datetime").alias("d")).count()
+    counts = {r.d: r["count"] for r in expected.collect()}
+    assert 10 <= len(days) < len(counts)
+    assert all(counts[r.trip_date] == r.total_trips for r in days)
+
+
 def test_stream_takes_every_file_once(spark, tmp_path):
     root, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
     for month, n in ((1, 20), (2, 15)):

@@ -177,6 +177,23 @@ def test_quality_metrics(edge):
     assert quality.quality_metrics(rows.limit(0), datetime(2023, 1, 1)).first().total_records == 0
 
 
+@pytest.mark.parametrize("most_suspects", [1_000, 2])
+def test_repeated_rows(spark, most_suspects):
+    """Nulls in different columns differ; a hot row is counted in full; both ways agree."""
+    rows = [(None, 1), (1, None), (2, 2), (2, 2), (None, None), (None, None), (3, 4)] + [(7, 7)] * 500
+    df = spark.createDataFrame(rows, "a int, b int")
+    found = {(r.a, r.b): r.copies for r in quality.repeated_rows(df, most_suspects).collect()}
+    assert found == {(2, 2): 2, (None, None): 2, (7, 7): 500}
+
+
+def test_bounds_are_read_once(edge):
+    """All uses of the approximate quartiles share one subquery, so two scans in total."""
+    flagged = outliers.flag_outliers(silver.valid_trips(edge), method="approximate")
+    flagged.collect()
+    plan = flagged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("percentile_approx(") - plan.count("partial_percentile_approx(") <= len(OUTLIER_COLUMNS)
+
+
 def test_business_rules(edge):
     found = {r.rule: r for r in quality.business_rules(edge).collect()}
     assert found["valid_trip_sequence"].valid_count == 14
