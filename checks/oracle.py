@@ -202,8 +202,8 @@ def _needed(body: str) -> list[str]:
 
 
 def _query(body: str, rounded: str = "") -> str:
-    """The query with its steps; the columns named in ``rounded`` are cut to six digits."""
-    replace = ", ".join(f"round({c} + {NUDGE}, 6) AS {c}" for c in rounded.split())
+    """The query with its steps; the columns named in ``rounded`` are cut to six digits, large ones to three."""
+    replace = ", ".join(f"CASE WHEN abs({c}) >= 1e6 THEN round({c} + {NUDGE}, 3) ELSE round({c} + {NUDGE}, 6) END AS {c}" for c in rounded.split())
     steps = ",\n".join(f"{name} AS ({_STEPS[name]})" for name in _needed(body))
     star = f"* REPLACE ({replace})" if replace else "*"
     return f"WITH {steps}\nSELECT {star} FROM (\n{body}\n)"
