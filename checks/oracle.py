@@ -625,7 +625,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM vendor""",
         "total_revenue market_share_trips market_share_revenue avg_tip_percentage outlier_rate",
     ),
-    "view_pipeline_monitoring": _query(
+    "view_run_monitoring": _query(
         f"""SELECT execution_id, pipeline_name, {_text('start_time')}, {_text('end_time')}, status, stage, records_processed,
         execution_time_minutes, quality_score, error_message, CASE WHEN status IN ('SUCCESS', 'FAILED') THEN status ELSE 'PENDING' END AS status_icon FROM log""",
         "execution_time_minutes quality_score",

@@ -364,7 +364,7 @@ def _queries() -> dict[str, Query]:
         "view_hourly_trends": with_rows(rollups.hourly_trends, gold_hourly),
         "view_vendor_dashboard": with_rows(rollups.vendor_dashboard, gold_vendor),
         # run log
-        "view_pipeline_monitoring": lambda s, f: text_times(monitoring.run_overview(run_log(s, f))),
+        "view_run_monitoring": lambda s, f: text_times(monitoring.run_overview(run_log(s, f))),
         "view_quality_metrics": lambda s, f: _day_text(monitoring.runs_per_day(run_log(s, f))),
         "latest_runs": lambda s, f: text_times(monitoring.latest_runs(run_log(s, f))),
         "health_check": health(12),
