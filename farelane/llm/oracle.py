@@ -5,6 +5,7 @@ from __future__ import annotations
 from farelane.llm.common import LOWER, UPPER
 from farelane.llm.line_dedup import MIN_SITES
 from farelane.llm.quality_rules import SYMBOLS, QualityRules
+from farelane.llm.topk_search import EVERY, SCALE, K
 from farelane.llm.url_filter import RULES
 
 _RULES = QualityRules()
@@ -91,8 +92,21 @@ result AS (
 SELECT doc_id, n_lines, CAST(length(text) AS BIGINT) AS n_chars_left, text = '' AS is_empty, md5(text) AS text_md5 FROM result
 """
 
+NEAREST = f"""
+WITH fine AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+  FROM fine q, fine c WHERE q.vec_id % {EVERY} = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= {K}
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY,
     "op7_url_filter": URLS,
+    "op8_exact_topk": NEAREST,
     "op10_line_dedup": BOILERPLATE,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import line_dedup, packing, quality_rules, simhash, url_filter
+from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, surrogates, topk_search, url_filter
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +24,30 @@ def quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents")).drop("text_key", "lost")
 
 
+#: The key of the registered queries; real runs take their own from a secret store.
+SURROGATE_KEY = b"registered queries"
+
+
+def private(spark: SparkSession, folder: str) -> DataFrame:
+    replaced = surrogates.replace_entities(table(spark, folder, "documents"), SURROGATE_KEY, "kinds")
+    return replaced.select("doc_id", "text", F.size("kinds").alias("n_mentions"), F.array_join("kinds", ",").alias("kinds"))
+
+
+def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    tokens = sentencepiece_bpe.decode(sentencepiece_bpe.encode(table(spark, folder, "documents"), model), model)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(F.col("text"), 256).alias("decoded_sha256"),
+    )
+
+
+def nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.search(topk_search.quantised(table(spark, folder, "embeddings")))
+
+
 def urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     judged = url_filter.judge_urls(pages.select("page_id", "url"), url_filter.mirror_urls(pages))
@@ -54,9 +78,12 @@ def boilerplate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": private,
     "op2_quality_rules": quality,
+    "op3_sentencepiece": piece_ids,
     "op5_simhash_near_dedup": near_duplicates,
     "op6_best_fit_packing": packed,
     "op7_url_filter": urls,
+    "op8_exact_topk": nearest,
     "op10_line_dedup": boilerplate,
 }
