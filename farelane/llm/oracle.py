@@ -7,6 +7,7 @@ from farelane.llm.line_dedup import MIN_SITES
 from farelane.llm.quality_rules import SYMBOLS, QualityRules
 from farelane.llm.topk_search import EVERY, SCALE, K
 from farelane.llm.url_filter import RULES
+from farelane.llm.warc_zip import MIN_BYTES
 
 _RULES = QualityRules()
 _WHITE = r"[\x20\x09-\x0D]+"
@@ -104,8 +105,20 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= {K}
 """
 
+ARCHIVED = f"""
+WITH held AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM held WHERE payload_bytes >= {MIN_BYTES} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM held LEFT JOIN firsts USING (payload_digest)
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY,
+    "op4_warc_zip": ARCHIVED,
     "op7_url_filter": URLS,
     "op8_exact_topk": NEAREST,
     "op10_line_dedup": BOILERPLATE,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, surrogates, topk_search, url_filter
+from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, surrogates, topk_search, url_filter, warc_zip
 
 
 def tokenizer_file(name: str) -> str:
@@ -44,6 +44,11 @@ def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def archived(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc_zip.read_records(warc_zip.archive(table(spark, folder, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def nearest(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(topk_search.quantised(table(spark, folder, "embeddings")))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": private,
     "op2_quality_rules": quality,
     "op3_sentencepiece": piece_ids,
+    "op4_warc_zip": archived,
     "op5_simhash_near_dedup": near_duplicates,
     "op6_best_fit_packing": packed,
     "op7_url_filter": urls,
