@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, surrogates, topk_search, url_filter, warc_zip
+from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, suffix_dedup, surrogates, topk_search, url_filter, warc_zip
 
 
 def tokenizer_file(name: str) -> str:
@@ -53,6 +53,11 @@ def nearest(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.search(topk_search.quantised(table(spark, folder, "embeddings")))
 
 
+def repeats(spark: SparkSession, folder: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     judged = url_filter.judge_urls(pages.select("page_id", "url"), url_filter.mirror_urls(pages))
@@ -91,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": packed,
     "op7_url_filter": urls,
     "op8_exact_topk": nearest,
+    "op9_suffix_dedup": repeats,
     "op10_line_dedup": boilerplate,
 }
