@@ -70,3 +70,16 @@ def ascii_lower(text: Column) -> Column:
 def normal_line(line: Column) -> Column:
     """Lower-case (A-Z), white space runs to one space, none at the ends."""
     return F.trim(F.regexp_replace(ascii_lower(line), WHITE, " "))
+
+
+def columns_of(df: DataFrame, **changed: Column) -> list[Column]:
+    """All columns of ``df`` in order, whatever their names, with some changed."""
+    return [changed[c].alias(c) if c in changed else df[f"`{c}`"] for c in df.columns]
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import land, normal_line
+from farelane.llm.common import columns_of, land, normal_line
 
 MIN_SITES = 10
 LG_SKETCH = 12
@@ -81,6 +81,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     """``docs`` without widespread lines; columns and rows stay."""
     lost = land(removals(docs, min_sites), "line-removals")
     joined = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_id"]) & (F.xxhash64(docs["text"]) == lost["_text"]), "left")
-    stays = F.filter(F.split(docs["text"], "\n"), lambda line: ~(_has_word(line) & F.array_contains(F.col("_lost"), line_key(line))))
-    text = F.when(F.col("_lost").isNull(), docs["text"]).otherwise(F.array_join(stays, "\n"))
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    keys = lost["_lost"]
+    stays = F.filter(F.split(docs["text"], "\n"), lambda line: ~(_has_word(line) & F.array_contains(keys, line_key(line))))
+    text = F.when(keys.isNull(), docs["text"]).otherwise(F.array_join(stays, "\n"))
+    return joined.select(*columns_of(docs, text=text))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import WHITE, land, let, normal_line, words_of
+from farelane.llm.common import WHITE, columns_of, land, let, normal_line, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -152,12 +152,14 @@ def clean(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
     )
     verdicts = land(verdicts.dropDuplicates(["_id", "_text"]), "quality-verdicts")
     text = F.coalesce(docs["text"], F.lit(""))
+    verdicts = verdicts.where("_kept")
     joined = docs.join(
-        verdicts.where("_kept"), docs["doc_id"].eqNullSafe(verdicts["_id"]) & (F.xxhash64(text) == verdicts["_text"])
+        verdicts, docs["doc_id"].eqNullSafe(verdicts["_id"]) & (F.xxhash64(text) == verdicts["_text"])
     )
+    lost = verdicts["_lost"]
     stays = F.filter(
         F.split(docs["text"], "\n"),
-        lambda line: ~F.array_contains(F.col("_lost"), F.xxhash64(docs["source"], normal_line(line))) | ~line.rlike(r"[^\x20\x09-\x0D]"),
+        lambda line: ~F.array_contains(lost, F.xxhash64(docs["source"], normal_line(line))) | ~line.rlike(r"[^\x20\x09-\x0D]"),
     )
-    cleaned = F.when(F.col("_lost").isNull(), docs["text"]).otherwise(F.array_join(stays, "\n"))
-    return joined.select(*[cleaned.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    cleaned = F.when(lost.isNull(), docs["text"]).otherwise(F.array_join(stays, "\n"))
+    return joined.select(*columns_of(docs, text=cleaned))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelane.llm.common import land, map_batches, ship
+from farelane.llm.common import columns_of, land, map_batches, ship, unused
 from farelane.llm.entities import mentions, rendered, surrogate
 
 _ENTITY = "kind string, value string"
@@ -142,6 +142,7 @@ def replace_entities(docs: DataFrame, key: bytes, kinds_column: str | None = Non
     )
     by_doc = land(by_doc, "later-attempts")
     on = docs["doc_id"].eqNullSafe(by_doc["_id"]) & (F.xxhash64(docs["text"]) == by_doc["_text"])
-    joined = docs.join(by_doc, on, "left").withColumn("_new", replacing(key)(docs["text"], F.col("_later")))
-    columns = [F.col("_new.text").alias("text") if c == "text" else docs[c] for c in docs.columns]
-    return joined.select(*columns, *([F.col("_new.kinds").alias(kinds_column)] if kinds_column else []))
+    new = unused(docs, "_new")
+    joined = docs.join(by_doc, on, "left").withColumn(new, replacing(key)(docs["text"], by_doc["_later"]))
+    columns = columns_of(docs, text=F.col(f"{new}.text"))
+    return joined.select(*columns, *([F.col(f"{new}.kinds").alias(kinds_column)] if kinds_column else []))

@@ -82,7 +82,8 @@ def stored_members(reader: RangeReader) -> dict[str, Member]:
     tail_start = max(0, reader.size - 22 - 0xFFFF)
     tail = reader.read(tail_start, reader.size - tail_start)
     end = tail.rfind(_END)
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    # The signature may stand in the note too; only at the true end does the note fill the file.
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(_END, 0, end)
     if end < 0:
         raise ValueError("no end of central directory: not a ZIP file, or cut off")
