@@ -34,32 +34,58 @@ CAPACITY = 4096
 END_ID = 1
 #: Rows of one length that one task ranks.
 RANK_ROWS = 200_000
-_MOST_WORDS = 500_000
+#: Words in each of the two halves of a worker's store; some 150 MB each.
+_MOST_WORDS = 750_000
 
 
 class WordIds(dict):
-    """Little-endian ids of each word met, by the tokenizer.
+    """Little-endian ids of each word met lately, by the tokenizer.
 
     Neither the tokenizer's normaliser nor its pattern joins anything across ASCII white
-    space, so a text's ids are those of its words. The store starts anew when full.
+    space, so a text's ids are those of its words. When the store is full, the words used
+    since the last time stay at hand in ``before`` and the rest are forgotten.
     """
 
+    #: A special token of the file, cut out before all else: it keeps words apart in one call.
+    BETWEEN, BETWEEN_ID = "<|endoftext|>", 49407
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.before: dict[bytes, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
+        self.parts = self.tokenizer.token_to_id(self.BETWEEN) == self.BETWEEN_ID
+
+    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        plain = [w for w in words if self.parts and b"<|" not in w]
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([self.BETWEEN.join(w.decode() for w in some)], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.flatnonzero(ids == self.BETWEEN_ID)
+            data, starts, ends = ids.tobytes(), [0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), 4 * len(ids)]
+            yield from zip(some, (data[s:e] for s, e in zip(starts, ends, strict=True)), strict=True)
+        for word in set(words).difference(plain):
+            yield word, np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode().split() for t in texts]
         if len(self) >= _MOST_WORDS:
+            self.before = dict(self)
             self.clear()
-        new = list(set().union(*split).difference(self))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+        new = set().union(*split).difference(self)
+        if self.before:
+            self.update((w, self.before[w]) for w in new.intersection(self.before))
+            new.difference_update(self)
+        self.update(self._encode(list(new)))
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
 def portions(texts: pa.Array, most: int = 1 << 22) -> Iterator[list[str | None]]:
     """The texts in order, in lists of about ``most`` characters; one text is never cut."""
     part, size = [], 0
@@ -72,11 +98,6 @@ def portions(texts: pa.Array, most: int = 1 << 22) -> Iterator[list[str | None]]
     yield part
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) per piece of each row of ``docs``; ids are little-endian bytes."""
 
