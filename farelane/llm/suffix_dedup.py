@@ -34,7 +34,8 @@ from farelane.llm.common import land, map_batches, ship
 from farelane.llm.run_index import RunIndex
 
 WIDTH = 100
-ANCHOR = 20
+#: Long enough that few anchors repeat by chance, short enough that anchors stay sparse.
+ANCHOR = 40
 #: Bytes of a text handled at once, of first occurrences in one index, and of later texts streamed at once.
 TEXT_BLOCK = 1 << 19
 INDEX_BYTES = 1 << 20
@@ -42,6 +43,8 @@ STREAM_BYTES = 1 << 22
 #: First occurrences are dealt by blocks of a document; blocks with more links are dealt to several tasks.
 TARGET_BLOCK = 1 << 16
 TARGET_LINKS = 100_000
+#: Windows that a task holds back to see whether they repeat in it at all.
+OPEN_WINDOWS = 2_000_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _BASES = (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
@@ -104,7 +107,7 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode(), np.uint8)
 
 
-def corpus_anchors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def corpus_anchors(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """(h, doc, pos, before, after): each anchor, and how far before it its first and last windows begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +115,7 @@ def corpus_anchors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             parts, size = [], 0
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
                 for start, block in _blocks(_bytes(text.as_py()), width):
-                    h, at, first, last = anchors(block, width)
+                    h, at, first, last = anchors(block, width, anchor)
                     parts.append(np.stack([h, np.full(len(h), doc), at + start, at - first, at - last]))
                     size += len(h)
                 if size > 100_000:
@@ -217,8 +220,11 @@ class _Firsts:
         return np.where(self.group[part] == group, self.at[part] + place - self.start[part], -1)
 
 
-def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> Iterator[pa.RecordBatch]:
-    """Marks windows of the later texts; rows are (group, doc, start, data, low, high, shift, more)."""
+def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Marks windows of the later texts; rows are (group, doc, start, data, low, high, shift, more, salts).
+
+    Returns the marked ranges, and (doc, place, hash, hash, whether other tasks have the anchor too) of the open windows.
+    """
     firsts.build()
     data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
     sizes = np.array([len(r[3]) for r in rows])
@@ -253,11 +259,23 @@ def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> Iterator[pa.RecordB
     opens = np.flatnonzero(np.r_[True, (found[1:] != found[:-1] + 1) | (doc[found[1:]] != doc[found[:-1]]) | (place[found[1:]] != place[found[:-1]] + 1)]) if len(found) else found
     closes = np.r_[opens[1:], len(found)] - 1 if len(found) else found
     none = pa.nulls(len(opens), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array(doc[found[opens]]), pa.array(place[found[opens]]), pa.array(place[found[closes]]), none, none], _FOUND_NAMES)
+    marked_ranges = pa.RecordBatch.from_arrays([pa.array(doc[found[opens]]), pa.array(place[found[opens]]), pa.array(place[found[closes]]), none, none], _FOUND_NAMES)
     rest = rest[~equal[rest] & rest_more]
-    if len(rest):
-        keys = [pa.array(window_hashes(data, width, which)[rest].view(np.int64)) for which in (0, 1)]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[rest]), pa.array(place[rest]), pa.array(place[rest]), *keys], _FOUND_NAMES)
+    keys = [window_hashes(data, width, which)[rest].view(np.int64) for which in (0, 1)]
+    elsewhere = np.repeat(np.array([r[8] > 1 for r in rows]), sizes)[rest]
+    return marked_ranges, np.stack([doc[rest], place[rest], *keys, elsewhere])
+
+
+def _open(parts: list[np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Open windows that need the comparison over the cluster: where all of an anchor's texts were
+    here (``whole``, and not dealt to several tasks), only those met twice."""
+    doc, place, h1, h2, elsewhere = np.concatenate(parts, axis=1)
+    if whole:
+        _, back, count = np.unique(h1, return_inverse=True, return_counts=True)
+        need = (count[back] > 1) | (elsewhere > 0)
+        doc, place, h1, h2 = doc[need], place[need], h1[need], h2[need]
+    if len(doc):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (doc, place, place, h1, h2)], _FOUND_NAMES)
 
 
 _FOUND = "doc long, low long, high long, h1 long, h2 long"
@@ -269,28 +287,40 @@ def _match(dealt: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts, later, size = _Firsts(), [], 0
-        key, group = None, -1
+        held: list[np.ndarray] = []
+        key, group, whole = None, -1, True
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal later, size, held, whole
+            if later:
+                marked, left = _mark(firsts, later, width)
+                yield marked
+                held.append(left)
+                later, size = [], 0
+            too_many = sum(h.shape[1] for h in held) > OPEN_WINDOWS
+            whole = whole and not too_many
+            if held and (last or too_many):
+                yield from _open(held, whole)
+                held = []
+
         for batch in batches:
-            names = ["doc0", "block", "salt", "role", "doc", "start", "data", "low", "high", "shift", "more"]
+            names = ["doc0", "block", "salt", "role", "doc", "start", "data", "low", "high", "shift", "more", "salts"]
             for k in range(batch.num_rows):
-                doc0, block, salt, role, doc, start, data, low, high, shift, more = (batch.column(c)[k].as_py() for c in names)
+                doc0, block, salt, role, doc, start, data, low, high, shift, more, salts = (batch.column(c)[k].as_py() for c in names)
                 if (doc0, block, salt) != key:
                     key = (doc0, block, salt)
                     if firsts.size > INDEX_BYTES or firsts.index is not None:
-                        if later:
-                            yield from _mark(firsts, later, width)
-                        firsts, later, size = _Firsts(), [], 0
+                        yield from flush(True)
+                        firsts, whole = _Firsts(), True
                     group += 1
                 if role == 0:
                     firsts.add(group, doc, start, data)
                     continue
-                later.append((group, doc, start, data, low, high, shift, more))
+                later.append((group, doc, start, data, low, high, shift, more, salts))
                 size += len(data)
                 if size > STREAM_BYTES:
-                    yield from _mark(firsts, later, width)
-                    later, size = [], 0
-        if later:
-            yield from _mark(firsts, later, width)
+                    yield from flush(False)
+        yield from flush(True)
 
     return map_batches(dealt, run, _FOUND)
 
@@ -325,7 +355,7 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     salted = regions.join(crowded, ["doc0", "block"], "left").withColumn("salts", F.coalesce("salts", one))
     own = F.array(F.pmod(F.xxhash64("doc", "start"), F.col("salts")))
     salted = salted.withColumn("salt", F.explode(F.when(F.col("role") == 0, F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).otherwise(own)))
-    dealt = salted.drop("salts").repartition("doc0", "block", "salt").sortWithinPartitions("doc0", "block", "salt", "role", "start")
+    dealt = salted.repartition("doc0", "block", "salt").sortWithinPartitions("doc0", "block", "salt", "role", "start")
     marked = _landed(_match(dealt, width), "marked")
     open_windows = marked.where("h1 IS NOT NULL")
     least = open_windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "low")).alias("first"), F.count("*").alias("n")).where("n > 1")
