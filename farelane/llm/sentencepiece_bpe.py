@@ -37,7 +37,8 @@ _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # Field numbers and piece types of the public model format.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _FAR = np.iinfo(np.int32).max
-_MOST_WORDS = 1_000_000
+#: Words in each of the two halves of a worker's store; some 60 MB each.
+_MOST_WORDS = 250_000
 
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -109,6 +110,7 @@ class PieceModel:
         self.is_control = types == _CONTROL
         self.opens_with_space = np.array([x.startswith(SPACE) for x in texts])
         self.store: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _symbol(self, text: str) -> int | None:
         """A piece, or a single character outside the vocabulary."""
@@ -225,9 +227,12 @@ class PieceModel:
         for text in texts:
             text = f"{SPACE}{text}".replace(" ", SPACE) if text else ""
             split.append(_WORD.findall(text) if self.cuts_at_space or not text else [text])
-        if len(self.store) > _MOST_WORDS:
-            self.store.clear()
-        new = list(set().union(*split).difference(self.store))
+        if len(self.store) >= _MOST_WORDS:
+            # Words used since the last time stay at hand, the rest are forgotten.
+            self.before, self.store = self.store, {}
+        wanted = set().union(*split).difference(self.store)
+        self.store.update((w, self.before[w]) for w in wanted.intersection(self.before))
+        new = list(wanted.difference(self.store))
         if new:
             self.store.update(zip(new, self._encode_words(new)))
         return [b"".join(map(self.store.__getitem__, words)) for words in split]
