@@ -79,7 +79,8 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` without widespread lines; columns and rows stay."""
-    lost = land(removals(docs, min_sites), "line-removals")
+    # Removals grow with the documents, so they are never broadcast: the plan is one at every size.
+    lost = land(removals(docs, min_sites), "line-removals").hint("merge")
     joined = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_id"]) & (F.xxhash64(docs["text"]) == lost["_text"]), "left")
     keys = lost["_lost"]
     stays = F.filter(F.split(docs["text"], "\n"), lambda line: ~(_has_word(line) & F.array_contains(keys, line_key(line))))
