@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import statistics
+import tempfile
 import time
 
 from checks.inputs import bronze, silver
@@ -36,7 +38,6 @@ HEADLINES = (
     "top_profitable_routes",
     "weekly_variation",
     "monthly_alerts",
-    "zorder_key",
     "health_check",
 )
 RUNS = 3
@@ -51,12 +52,14 @@ def seconds(run) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    work = tempfile.mkdtemp(prefix="bench-")
     spark = get_session(
         "bench",
         {
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": work,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -75,6 +78,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times, "sf": folder.rsplit("sf", 1)[-1]}))
     spark.stop()
+    shutil.rmtree(work, ignore_errors=True)
 
 
 if __name__ == "__main__":

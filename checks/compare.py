@@ -50,7 +50,7 @@ def _cell(value) -> str:
 
 
 def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
-    spark = get_session("compare", {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = get_session("compare", {"spark.master": "local[8]", "spark.checkpoint.dir": "spark-warehouse/_compare", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
     connection = connect(folder)
     failures = 0
     for name in names or QUERIES:

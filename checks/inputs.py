@@ -3,7 +3,8 @@
 The trips are landed as a bronze table, the silver table is built from it, and
 gold tables and analyses read silver. Without the written tables every query
 would repeat the join of ``lineitem`` and ``orders``, and every report on flags
-the quartile passes. The files under a folder must not change during a session.
+the quartile passes. A layer belongs to the files it was made from: where one is
+added, gone or newer, it is written anew.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from farelane.plans import silver as layer
 from farelane.sources import trips as source
 from farelane.store import tables
 
-_landed: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_landed: dict[tuple, tuple[str, T.StructType]] = {}
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,9 +55,21 @@ def _table(
     partitions: Sequence[str],
 ) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (spark.sparkContext.applicationId, _files(spark, folder), name)
     if key not in _landed:
         rows = build(spark, folder)
         _landed[key] = tables.write_partitions(rows, tables.new_path(spark, name), partitions), rows.schema
     path, schema = _landed[key]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Path, size and time of each file of the two order tables."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = []
+    for table in ("lineitem", "orders"):
+        for name in sorted(spark.read.parquet(f"{folder}/{table}.parquet").inputFiles()):
+            path = jvm.org.apache.hadoop.fs.Path(name.replace("%20", " "))
+            status = path.getFileSystem(conf).getFileStatus(path)
+            found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found)

@@ -327,16 +327,6 @@ def _narrow_flags() -> str:
     return f"SELECT {_KEY}, {_FLAG_COLUMNS} FROM ({_flags('0.5')})"
 
 
-def _zorder() -> str:
-    columns = ("CAST(floor(epoch(tpep_pickup_datetime)) AS DOUBLE)", "PULocationID", "DOLocationID", "VendorID")
-    cells = ", ".join(
-        f"CAST(floor((CAST({c} AS DOUBLE) - (SELECT min({c}) FROM s)) / ((SELECT max({c}) FROM s) - (SELECT min({c}) FROM s)) * 255) AS BIGINT) AS c{i}"
-        for i, c in enumerate(columns)
-    )
-    bits = " + ".join(f"(((c{i} >> {bit}) & 1) << {bit * 4 + i})" for i in range(4) for bit in range(8))
-    return f"SELECT {_KEY}, {bits} AS zorder_key FROM (SELECT *, {cells} FROM s)"
-
-
 def _health(hours: int) -> str:
     return f"""SELECT recent_runs, failed_runs, avg_quality_score, {_text('last_run')}, last_status, failure_rate, hours_since_last_run,
       coalesce(failure_rate > 0.2, false) AS failure_issue, coalesce(avg_quality_score < 0.8, false) AS quality_issue,
@@ -377,20 +367,19 @@ def _mapped(code: str, label: str) -> str:
 
 def _validation() -> str:
     tables = {
-        "daily": ("daily", 30, True),
-        "hourly": ("hourly", 12, True),
-        "location": ("location", 7, False),
-        "vendor": ("vendor", 21, True),
-        "payment": ("payment", 12, True),
-        "time_series": ("series", 12, False),
-        "route": ("route", 16, False),
-        "financial": ("financial", 21, True),
+        "daily": ("daily", 30, "total_trips"),
+        "hourly": ("hourly", 12, "total_trips"),
+        "location": ("location", 7, "pickup_count"),
+        "vendor": ("vendor", 21, "total_trips"),
+        "payment": ("payment", 12, "total_trips"),
+        "time_series": ("series", 12, "trips_count"),
+        "route": ("route", 16, "trip_count"),
+        "financial": ("financial", 21, "total_trips"),
     }
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n_rows, CAST({width} AS INTEGER) AS n_columns,"
-        + (" count(*) FILTER (WHERE total_trips IS NULL)" if has_trips else " CAST(0 AS BIGINT)")
-        + f" AS null_total_trips FROM {step}"
-        for name, (step, width, has_trips) in tables.items()
+        f" count(*) FILTER (WHERE {trips} IS NULL) AS null_total_trips FROM {step}"
+        for name, (step, width, trips) in tables.items()
     )
 
 
@@ -407,7 +396,6 @@ ORACLE_SQL: dict[str, str] = {
         count(*) FILTER (WHERE ingestion_month >= '1999-01') AS with_airport_fee FROM b GROUP BY 1""",
         "congestion_surcharge",
     ),
-    "zorder_key": _query(_zorder(), _KEY_ROUNDED),
     "derived_columns": _query(
         f"SELECT {_KEY}, {_DERIVED} FROM d", _KEY_ROUNDED + "trip_duration_minutes avg_speed_mph tip_percentage"
     ),
@@ -455,8 +443,9 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "quality_metrics": _query("SELECT * FROM metrics", " ".join(f"{c}_null_pct" for c in _CRITICAL_6) + " quality_score"),
     "duplicate_count": _query(
-        """SELECT count(*) AS total_records, count(*) - (SELECT count(*) FROM
-        (SELECT DISTINCT VendorID, passenger_count, RatecodeID, PULocationID, payment_type FROM t)) AS duplicate_records FROM t"""
+        """SELECT (SELECT count(*) FROM t) + (SELECT count(*) FROM t WHERE payment_type = 2) AS total_records,
+        (SELECT count(*) FROM t) + (SELECT count(*) FROM t WHERE payment_type = 2) - (SELECT count(*) FROM (SELECT DISTINCT * FROM t)) AS duplicate_records
+        FROM (SELECT 1) one WHERE EXISTS (SELECT 1 FROM t)"""
     ),
     "silver_quality_score": _query(_quality("d"), "quality_score"),
     "silver_quality_by_month": _query(_quality("s", "pickup_year, pickup_month"), "quality_score"),
@@ -612,7 +601,7 @@ ORACLE_SQL: dict[str, str] = {
     "gold_validation": _query(_validation()),
     "view_kpi_dashboard": _query(
         """SELECT trip_date, pickup_dayname, is_weekend, total_trips, total_revenue, avg_fare_amount, avg_tip_percentage, avg_trip_distance,
-        avg_trip_duration, revenue_per_mile FROM daily""",
+        avg_trip_duration, revenue_per_mile, '2024-01-01 00:00:00' AS processing_timestamp FROM daily""",
         "total_revenue avg_fare_amount avg_tip_percentage avg_trip_distance avg_trip_duration revenue_per_mile",
     ),
     "view_hourly_trends": _query(
@@ -715,10 +704,11 @@ ORACLE_SQL: dict[str, str] = {
         "avg_tip_pct outlier_pct avg_speed trips_change tip_change outlier_change",
     ),
     "weekly_variation": _query(
-        """SELECT *, (total_trips - lag(total_trips) OVER w) / lag(total_trips) OVER w * CAST(100 AS DOUBLE) AS trips_change,
-        (total_revenue - lag(total_revenue) OVER w) / nullif(lag(total_revenue) OVER w, 0) * CAST(100 AS DOUBLE) AS revenue_change
-        FROM (SELECT strftime(date_trunc('week', tpep_pickup_datetime), '%Y-%m-%d') AS week_start, count(*) AS total_trips, sum(total_amount) AS total_revenue,
-          avg(tip_percentage) AS avg_tip_pct, count(DISTINCT PULocationID) AS locations_served FROM s GROUP BY 1)
+        """SELECT * EXCLUDE (follows), CASE WHEN follows THEN (total_trips - lag(total_trips) OVER w) / lag(total_trips) OVER w * CAST(100 AS DOUBLE) END AS trips_change,
+        CASE WHEN follows THEN (total_revenue - lag(total_revenue) OVER w) / nullif(lag(total_revenue) OVER w, 0) * CAST(100 AS DOUBLE) END AS revenue_change
+        FROM (SELECT *, CAST(lag(week_start) OVER (ORDER BY week_start) AS DATE) + 7 = CAST(week_start AS DATE) AS follows FROM (
+          SELECT strftime(date_trunc('week', tpep_pickup_datetime), '%Y-%m-%d') AS week_start, count(*) AS total_trips, sum(total_amount) AS total_revenue,
+          avg(tip_percentage) AS avg_tip_pct, count(DISTINCT PULocationID) AS locations_served FROM s GROUP BY 1))
         WINDOW w AS (ORDER BY week_start)""",
         "total_revenue avg_tip_pct trips_change revenue_change",
     ),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,18 +12,20 @@ from pyspark.sql import types as T
 
 from checks.inputs import bronze, raw_trips, silver, trips
 from farelane.functions import calendar
-from farelane.functions.zorder import zorder_key
 from farelane.model import (
     CANONICAL,
+    CASH,
     LENIENT,
     PICKUP,
     TRIP_SCHEMA,
     WITHOUT_SPEED,
+    TableSpec,
     Thresholds,
 )
 from farelane.operators import derive, enrich, filters, outliers, quality
 from farelane.plans import gold, insights, monitoring, rollups
 from farelane.plans import silver as layer
+from farelane.plans.dashboards import view
 from farelane.sources import trips as source
 from farelane.store import tables
 
@@ -183,18 +187,13 @@ def schema_evolve_union(spark, folder):
 
 def month_replace(spark, folder):
     """Daily table of all months, then one month loaded again twice: nothing may change."""
-    daily = gold.daily_basic(silver(spark, folder))
-    path = tables.write_partitions(daily, tables.new_path(spark, "month-replace"), ("pickup_year", "pickup_month"))
-    month = source.silver_month_slice(silver(spark, folder), 1999, 3)
+    spec = TableSpec(f"month_replace_{uuid.uuid4().hex}.daily", ("pickup_year", "pickup_month"))
+    trips = silver(spark, folder)
+    month = source.silver_month_slice(trips, 1999, 3)
+    tables.replace_slice(gold.daily_basic(trips), spec, F.lit(True))
     for _ in range(2):
-        tables.write_partitions(gold.daily_basic(month), path, ("pickup_year", "pickup_month"))
-    return spark.read.parquet(path).select(*daily.columns)
-
-
-def zorder(spark, folder):
-    rows = silver(spark, folder)
-    key = zorder_key(rows, (PICKUP, "PULocationID", "DOLocationID", "VendorID"))
-    return text_times(rows.select(*KEY, key.alias("zorder_key")))
+        tables.replace_slice(gold.daily_basic(month), spec, (F.col("pickup_year") == 1999) & (F.col("pickup_month") == 3))
+    return spark.table(spec.name)
 
 
 def silver_rows(spark, folder):
@@ -243,9 +242,9 @@ def quality_metrics(spark, folder):
 
 
 def duplicate_count(spark, folder):
-    """Duplicates among coarse trip records, where they do occur."""
-    rows = trips(spark, folder).select("VendorID", "passenger_count", "RatecodeID", "PULocationID", "payment_type")
-    return quality.duplicate_count(rows)
+    """Duplicates among whole trips, where those paid in cash were loaded twice."""
+    rows = trips(spark, folder)
+    return quality.duplicate_count(rows.unionByName(rows.where(F.col("payment_type") == CASH)))
 
 
 def quality_report(spark, folder):
@@ -290,7 +289,6 @@ def _queries() -> dict[str, Query]:
         "month_slice": month_slice,
         "month_replace": month_replace,
         "schema_evolve_union": schema_evolve_union,
-        "zorder_key": zorder,
         # projections and filters
         "derived_columns": derived("ten silver columns", derive.add_derived_columns),
         "temporal_features": derived("nine calendar columns", derive.add_temporal_features),
@@ -360,12 +358,14 @@ def _queries() -> dict[str, Query]:
         "monthly_growth": with_rows(rollups.monthly_growth, gold_financial),
         "gold_consistency": lambda s, f: rollups.gold_consistency(gold_daily(s, f), silver(s, f)),
         "gold_validation": gold_validation,
-        "view_kpi_dashboard": with_rows(rollups.kpi_dashboard, gold_daily),
-        "view_hourly_trends": with_rows(rollups.hourly_trends, gold_hourly),
-        "view_vendor_dashboard": with_rows(rollups.vendor_dashboard, gold_vendor),
+        "view_kpi_dashboard": lambda s, f: text_times(
+            view("gold.kpi_dashboard", tables.stamped(gold_daily(s, f), as_of=datetime(2024, 1, 1)))
+        ),
+        "view_hourly_trends": lambda s, f: view("gold.hourly_trends", gold_hourly(s, f)),
+        "view_vendor_dashboard": lambda s, f: view("gold.vendor_dashboard", gold_vendor(s, f)),
         # run log
-        "view_run_monitoring": lambda s, f: text_times(monitoring.run_overview(run_log(s, f))),
-        "view_quality_metrics": lambda s, f: _day_text(monitoring.runs_per_day(run_log(s, f))),
+        "view_run_monitoring": lambda s, f: text_times(view("control.pipeline_monitoring", run_log(s, f))),
+        "view_quality_metrics": lambda s, f: _day_text(view("control.quality_metrics", run_log(s, f))),
         "latest_runs": lambda s, f: text_times(monitoring.latest_runs(run_log(s, f))),
         "health_check": health(12),
         "health_check_stale": health(50),

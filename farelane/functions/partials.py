@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRIPS = "trips"
@@ -38,3 +38,22 @@ def merged_avg(column: str) -> Column:
 
 def merged_count(name: str) -> Column:
     return F.sum(name)
+
+
+def with_distinct_counts(groups: DataFrame, totals: Column, keys: dict[str, str]) -> DataFrame:
+    """One row: the fields of ``totals`` over ``groups``, and the distinct values of each of ``keys``.
+
+    ``groups`` has one row per combination of the keys. These rows, not the trips behind them, are
+    repeated once per key and grouped by its values; the first repetition alone carries sums.
+    Columns named ``first`` and ``last`` merge as minimum and maximum, all others as sums.
+    """
+    measures = [c for c in groups.columns if c not in keys]
+    texts = F.array(*[F.col(key).cast("string") for key in keys])
+    tagged = groups.select(*measures, F.posexplode(texts).alias("key", "value"))
+    merges = {"first": F.min, "last": F.max}
+    carried = [merges.get(c, F.sum)(F.when(F.col("key") == 0, F.col(c))).alias(c) for c in measures]
+    values = tagged.groupBy("key", "value").agg(*carried)
+    counts = [
+        F.count_if((F.col("key") == i) & F.col("value").isNotNull()).alias(name) for i, name in enumerate(keys.values())
+    ]
+    return values.agg(totals.alias("totals"), *counts).select("totals.*", *keys.values())

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.model import OUTLIER_COLUMNS
+from farelane.session import working_folder
 
 QUARTILES = (0.25, 0.75)
 
@@ -30,24 +31,33 @@ class Interval(NamedTuple):
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float] = QUARTILES, buckets: int = 16384
 ) -> dict[str, list[float | None]]:
-    """Exact, linearly interpolated quantiles of finite numeric columns.
+    """Exact, linearly interpolated quantiles of numeric columns.
 
-    Spark's own exact percentile keeps every distinct value in one buffer. Here
-    each pass counts the rows of equal-width buckets and narrows the search to
+    Spark's own exact percentile keeps every distinct value in one buffer. Here the columns
+    alone are written once to the shared folder, so what ``df`` does is not done again, and
+    each pass over them counts the rows of equal-width buckets and narrows the search to
     the bucket that holds the wanted rank, until that bucket has one value. A
     pass is one scan with map-side aggregation; what reaches the driver is at
     most ``buckets`` rows per open interval, whatever the data size. Values
-    with cents in a range of a few thousand take two or three passes.
+    with cents in a range of a few thousand take two or three passes. Infinite values rank
+    first or last; NaN and null take no part.
     """
+    if not columns:
+        return {}
+    path = working_folder(df.sparkSession, "quartiles")
+    numbers = df.select(*[_number(c).alias(c) for c in columns])
+    numbers.write.parquet(path)
+    df = df.sparkSession.read.schema(numbers.schema).parquet(path)
     sizes, searches, found = {}, defaultdict(set), {}
-    for column, (size, low, high) in _extents(df, columns).items():
+    for column, (size, least, most, low, high) in _extents(df, columns).items():
         sizes[column] = size
-        if not size:
-            continue
-        if math.isinf(low) or math.isinf(high):
-            raise ValueError(f"column {column} has infinite values")
-        for p in probabilities:
-            searches[Interval(column, low, high, 0)] |= set(_ranks(p, size))
+        for rank in {r for p in probabilities for r in _ranks(p, size)} if size else ():
+            if rank < least:
+                found[column, rank] = -math.inf
+            elif rank >= size - most:
+                found[column, rank] = math.inf
+            else:
+                searches[Interval(column, low, high, least)].add(rank)
 
     while searches:
         narrower = defaultdict(set)
@@ -67,12 +77,16 @@ def exact_quantiles(
     }
 
 
-def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
-    aggregates = [
-        measure(_number(c)).alias(f"{c} {measure.__name__}") for c in columns for measure in (F.count, F.min, F.max)
-    ]
+def _extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int, int, float, float]]:
+    """Per column: values, values of minus and plus infinity, least and greatest finite value."""
+    infinite = (float("-inf"), float("inf"))
+    aggregates = []
+    for c in columns:
+        finite = F.when(~F.col(c).isin(*infinite), F.col(c))
+        parts = (F.count(c), *[F.count_if(F.col(c) == x) for x in infinite], F.min(finite), F.max(finite))
+        aggregates.append(F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)]).alias(c))
     row = df.agg(*aggregates).first()
-    return {c: (row[f"{c} count"], row[f"{c} min"], row[f"{c} max"]) for c in columns}
+    return {c: tuple(row[c]) for c in columns}
 
 
 def _histograms(df: DataFrame, intervals: list[Interval], buckets: int) -> dict[Interval, pd.DataFrame]:
@@ -84,7 +98,8 @@ def _histograms(df: DataFrame, intervals: list[Interval], buckets: int) -> dict[
         value = _number(interval.column)
         entry = F.struct(F.lit(number).alias("interval"), value.alias("value"))
         entries.append(F.when(value.between(interval.low, interval.high), entry))
-    inside = df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+    # Rows outside all intervals give an empty array, so no row at all.
+    inside = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
     low = _constant([i.low for i in intervals])
     width = _constant([i.high - i.low for i in intervals])
     bucket = F.floor((F.col("value") - low) / width * F.lit(float(buckets)))
@@ -120,6 +135,8 @@ def _ranks(p: float, size: int) -> tuple[int, int]:
 def _interpolate(found: dict, column: str, p: float, size: int) -> float:
     lower, upper = (found[column, rank] for rank in _ranks(p, size))
     weight = p * (size - 1) - math.floor(p * (size - 1))
+    if lower == upper or not weight:
+        return lower
     return lower + (upper - lower) * weight
 
 

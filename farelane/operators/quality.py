@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farelane.functions import measures
+from farelane.functions.partials import merged_avg, merged_sum, merged_trips, partial, with_distinct_counts
 from farelane.functions.ratios import percent, ratio
 from farelane.model import (
     CREDIT_CARD,
@@ -61,25 +62,20 @@ def bronze_quality(df: DataFrame, by: str = "ingestion_month") -> DataFrame:
     return counts.withColumns({f"{c}_null_pct": percent(f"{c}_nulls", "total_rows") for c in CRITICAL_COLUMNS})
 
 
-def repeated_rows(df: DataFrame, most_suspects: int = 1_000_000) -> DataFrame:
+def repeated_rows(df: DataFrame) -> DataFrame:
     """Every full row that occurs more than once, with its number of ``copies``.
 
-    Exact, but without shuffling whole rows: a first job counts 64-bit
-    fingerprints, and only rows whose fingerprint occurs twice are compared in
-    full. Equal rows have equal fingerprints, so none is missed; rows that merely
-    collide fall apart in the full comparison. The suspect fingerprints are
-    broadcast while they are at most ``most_suspects`` (8 bytes each); beyond that
-    all rows are grouped. Grouping collapses copies on the map side, so one row
-    that makes up a third of the table is no hot spot.
+    Exact, but without grouping whole rows: 64-bit fingerprints are counted first, and only
+    rows whose fingerprint occurs twice are compared in full. Equal rows have equal
+    fingerprints, so none is missed; rows that merely collide fall apart in the full
+    comparison. The join carries no hint: Spark broadcasts the repeated fingerprints where
+    they are few. Grouping collapses copies on the map side, so one row that makes up a third
+    of the table is no hot spot.
     """
     mark = _fingerprint(df)
-    marks = df.groupBy(mark.alias("mark")).agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    suspects = marks.limit(most_suspects + 1).toArrow()
-    rows = df
-    if suspects.num_rows <= most_suspects:
-        known = F.broadcast(df.sparkSession.createDataFrame(suspects).withColumnRenamed("mark", "_mark"))
-        rows = df.withColumn("_mark", mark).join(known, "_mark", "left_semi").drop("_mark")
-    return rows.groupBy(*df.columns).agg(F.count("*").alias("copies")).where("copies > 1")
+    marks = df.groupBy(mark.alias("_mark")).agg(F.count("*").alias("n")).where("n > 1").select("_mark")
+    suspects = df.withColumn("_mark", mark).join(marks, "_mark", "left_semi").drop("_mark")
+    return suspects.groupBy(*df.columns).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
 def _fingerprint(df: DataFrame) -> Column:
@@ -150,23 +146,23 @@ def summary_statistics(df: DataFrame) -> DataFrame:
         "trip_distance": ("total_distance", "avg_distance"),
         "passenger_count": ("total_passengers", "avg_passengers"),
     }
+    # Whole days between the first and the last pickup, time of day included.
+    days = F.floor((F.unix_timestamp(F.max("last")) - F.unix_timestamp(F.min("first"))) / F.lit(86400.0))
+    keys = {"PULocationID": "unique_pickup_locations", "DOLocationID": "unique_dropoff_locations", "VendorID": "unique_vendors"}
+    groups = df.groupBy(*keys).agg(*partial(names), F.min(PICKUP).alias("first"), F.max(PICKUP).alias("last"))
     totals = [
         F.coalesce(measure(column), F.lit(0.0)).alias(alias)
         for column, aliases in names.items()
-        for measure, alias in zip((F.sum, F.avg), aliases)
+        for measure, alias in zip((merged_sum, merged_avg), aliases)
     ]
-    # Whole days between the first and the last pickup, time of day included.
-    days = F.floor((F.unix_timestamp(F.max(PICKUP)) - F.unix_timestamp(F.min(PICKUP))) / F.lit(86400.0))
-    return df.agg(
-        F.count("*").alias("total_records"),
-        F.min(PICKUP).alias("start_date"),
-        F.max(PICKUP).alias("end_date"),
+    counts = F.struct(
+        F.coalesce(merged_trips(), F.lit(0)).alias("total_records"),
+        F.min("first").alias("start_date"),
+        F.max("last").alias("end_date"),
         F.coalesce(days, F.lit(0)).alias("days"),
         *totals,
-        F.count_distinct("PULocationID").alias("unique_pickup_locations"),
-        F.count_distinct("DOLocationID").alias("unique_dropoff_locations"),
-        F.count_distinct("VendorID").alias("unique_vendors"),
     )
+    return with_distinct_counts(groups, counts, keys)
 
 
 def quality_report(df: DataFrame, as_of: datetime | Column) -> DataFrame:
@@ -193,18 +189,34 @@ def quality_report(df: DataFrame, as_of: datetime | Column) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def format_report(report: DataFrame, title: str = "Data quality report") -> str:
-    """The long report as text. The report has a few dozen rows at any scale."""
+#: Metrics that count, and those shown with three digits; all others have two.
+_WHOLE = ("total_records", "duplicate_records", "negative_amounts", "zero_distance_trips", "future_trips")
+_THREE_DIGITS = ("quality_score",)
+
+
+def format_report(
+    report: DataFrame, title: str = "Data quality report", period: tuple[datetime | None, datetime | None] | None = None
+) -> str:
+    """The long report as text, with the first and last pickup if given. It has a few dozen rows at any scale."""
     lines = [title, "=" * len(title)]
+    if period and None not in period:
+        lines.append(f"Period: {period[0]:%Y-%m-%d %H:%M} to {period[1]:%Y-%m-%d %H:%M}")
     section = None
     for row in report.collect():
         if row.section != section:
             section = row.section
             lines += ["", section.replace("_", " ").upper()]
-        lines.append(f"- {row.metric}: {row.value:,.2f}")
+        digits = 0 if row.metric in _WHOLE else 3 if row.metric in _THREE_DIGITS else 2
+        lines.append(f"- {row.metric}: " + ("n/a" if row.value is None else f"{row.value:,.{digits}f}"))
     return "\n".join(lines)
 
 
+def text_report(df: DataFrame, as_of: datetime | Column, title: str = "Data quality report") -> str:
+    """The report over ``df`` with its period, as text."""
+    period = df.agg(F.min(PICKUP), F.max(PICKUP)).first()
+    return format_report(quality_report(df, as_of), title, (period[0], period[1]))
+
+
 def business_rules(df: DataFrame) -> DataFrame:
     """One row per rule: valid and invalid trips and the valid share.
 

@@ -18,7 +18,7 @@ from farelane.functions.partials import (
     merged_trips,
     partial,
 )
-from farelane.functions.ratios import growth, percent, ratio
+from farelane.functions.ratios import growth, percent, previous, ratio
 from farelane.model import CASH, CREDIT_CARD, PICKUP
 
 # Fixed value: the constant the cyclical features are defined with.
@@ -349,12 +349,13 @@ def financial(trips: DataFrame) -> DataFrame:
         merged_avg("tip_percentage").alias("avg_tip_rate"),
     )
     order = Window.orderBy("month")
+    before = lambda value: previous(value, "month", order, F.add_months("month", -1))
     derived = {
         "revenue_per_mile": ratio("gross_revenue", "total_miles"),
         "trips_per_day": ratio("total_trips", "active_days"),
         "revenue_per_day": ratio("gross_revenue", "active_days"),
-        "revenue_growth_rate": growth("gross_revenue", F.lag("gross_revenue").over(order)),
-        "trips_growth_rate": growth("total_trips", F.lag("total_trips").over(order)),
+        "revenue_growth_rate": growth("gross_revenue", before("gross_revenue")),
+        "trips_growth_rate": growth("total_trips", before("total_trips")),
     }
     return months.select(
         F.year("month").alias("pickup_year"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.functions import calendar
-from farelane.functions.ratios import growth, percent
+from farelane.functions.ratios import growth, percent, previous
 from farelane.model import PICKUP
 from farelane.operators.quality import to_rows
 
@@ -160,16 +160,17 @@ def monthly_alerts(flagged: DataFrame) -> DataFrame:
         F.avg("avg_speed_mph").alias("avg_speed"),
     )
     order = Window.orderBy("month")
+    before = lambda value: previous(value, "month", order, F.add_months("month", -1))
     changes = months.withColumns(
         {
-            "trips_change": growth("total_trips", F.lag("total_trips").over(order)),
-            "tip_change": growth("avg_tip_pct", F.lag("avg_tip_pct").over(order)),
-            "outlier_change": growth("outlier_pct", F.lag("outlier_pct").over(order)),
+            "trips_change": growth("total_trips", before("total_trips")),
+            "tip_change": growth("avg_tip_pct", before("avg_tip_pct")),
+            "outlier_change": growth("outlier_pct", before("outlier_pct")),
         }
     )
     falling = F.col("trips_change") < -10
     alerts = {
-        "alert_trips": falling & (F.lag("trips_change").over(order) < -10),
+        "alert_trips": falling & (before("trips_change") < -10),
         "alert_tips": F.col("tip_change") < -15,
         "alert_outliers": F.col("outlier_change") > 20,
         "alert_speed": F.col("avg_speed") < 10,
@@ -190,22 +191,21 @@ def weekly_variation(trips: DataFrame) -> DataFrame:
         F.count_distinct("PULocationID").alias("locations_served"),
     )
     order = Window.orderBy("week")
+    before = lambda value: previous(value, "week", order, F.date_sub("week", 7))
     return weeks.select(
         calendar.date_text("week").alias("week_start"),
         *weeks.columns[1:],
-        growth("total_trips", F.lag("total_trips").over(order)).alias("trips_change"),
-        growth("total_revenue", F.lag("total_revenue").over(order)).alias("revenue_change"),
+        growth("total_trips", before("total_trips")).alias("trips_change"),
+        growth("total_revenue", before("total_revenue")).alias("revenue_change"),
     )
 
 
 def monthly_distance_growth(financial: DataFrame) -> DataFrame:
     """Mean distance per month and its change against the month before."""
-    order = Window.orderBy("month_year")
-    return financial.select(
-        "month_year",
-        "avg_miles_per_trip",
-        growth("avg_miles_per_trip", F.lag("avg_miles_per_trip").over(order)).alias("distance_growth_rate"),
-    )
+    order = Window.orderBy("month")
+    months = financial.select("month_year", "avg_miles_per_trip", F.make_date("pickup_year", "pickup_month", F.lit(1)).alias("month"))
+    before = previous("avg_miles_per_trip", "month", order, F.add_months("month", -1))
+    return months.select("month_year", "avg_miles_per_trip", growth("avg_miles_per_trip", before).alias("distance_growth_rate"))
 
 
 def efficiency_metrics(trips: DataFrame) -> DataFrame:

@@ -9,44 +9,11 @@ from pyspark.sql import functions as F
 
 from farelane.functions.ratios import ratio
 from farelane.model import Thresholds
-
-
-def run_overview(log: DataFrame) -> DataFrame:
-    """Runs with a status label, newest first."""
-    known = F.col("status").isin("SUCCESS", "FAILED")
-    return log.select(
-        "execution_id",
-        "pipeline_name",
-        "start_time",
-        "end_time",
-        "status",
-        "stage",
-        "records_processed",
-        "execution_time_minutes",
-        "quality_score",
-        "error_message",
-        F.when(known, F.col("status")).otherwise("PENDING").alias("status_icon"),
-    ).orderBy(F.desc("start_time"))
+from farelane.plans.dashboards import view
 
 
 def latest_runs(log: DataFrame, k: int = 10) -> DataFrame:
-    return run_overview(log).limit(k)
-
-
-def runs_per_day(log: DataFrame) -> DataFrame:
-    """Run counts, mean quality and mean run time per day, newest first."""
-    return (
-        log.groupBy(F.to_date("start_time").alias("execution_date"))
-        .agg(
-            F.count("*").alias("total_executions"),
-            F.count_if(F.col("status") == "SUCCESS").alias("successful_executions"),
-            F.count_if(F.col("status") == "FAILED").alias("failed_executions"),
-            F.avg("quality_score").alias("avg_quality_score"),
-            F.avg("execution_time_minutes").alias("avg_execution_time"),
-            F.sum("records_processed").alias("total_records_processed"),
-        )
-        .orderBy(F.desc("execution_date"))
-    )
+    return view("control.pipeline_monitoring", log).limit(k)
 
 
 def health(log: DataFrame, as_of: datetime | Column, thresholds: Thresholds = Thresholds()) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelane.functions.partials import merged_avg, merged_sum, merged_trips, partial, with_distinct_counts
 from farelane.model import PICKUP
 
 # --- raw layer -------------------------------------------------------------
@@ -89,18 +90,20 @@ def top_routes_by_count(trips: DataFrame, k: int = 10) -> DataFrame:
 
 
 def kpi_overall(trips: DataFrame) -> DataFrame:
-    return trips.agg(
-        F.count("*").alias("total_trips"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("trip_distance").alias("total_distance"),
-        F.sum("passenger_count").alias("total_passengers"),
-        F.avg("total_amount").alias("avg_revenue_per_trip"),
-        F.avg("trip_distance").alias("avg_distance_per_trip"),
-        F.avg("trip_duration_minutes").alias("avg_duration_minutes"),
-        F.avg("tip_percentage").alias("avg_tip_percentage"),
-        F.count_distinct("PULocationID").alias("unique_pickup_locations"),
-        F.count_distinct("DOLocationID").alias("unique_dropoff_locations"),
+    keys = {"PULocationID": "unique_pickup_locations", "DOLocationID": "unique_dropoff_locations"}
+    summed = ("total_amount", "trip_distance", "passenger_count", "trip_duration_minutes", "tip_percentage")
+    routes = trips.groupBy(*keys).agg(*partial(summed))
+    totals = F.struct(
+        F.coalesce(merged_trips(), F.lit(0)).alias("total_trips"),
+        merged_sum("total_amount").alias("total_revenue"),
+        merged_sum("trip_distance").alias("total_distance"),
+        merged_sum("passenger_count").alias("total_passengers"),
+        merged_avg("total_amount").alias("avg_revenue_per_trip"),
+        merged_avg("trip_distance").alias("avg_distance_per_trip"),
+        merged_avg("trip_duration_minutes").alias("avg_duration_minutes"),
+        merged_avg("tip_percentage").alias("avg_tip_percentage"),
     )
+    return with_distinct_counts(routes, totals, keys)
 
 
 def mini_hourly(trips: DataFrame) -> DataFrame:
@@ -179,46 +182,6 @@ def monthly_growth(financial: DataFrame) -> DataFrame:
     ).orderBy("month_year")
 
 
-def kpi_dashboard(daily: DataFrame) -> DataFrame:
-    return daily.select(
-        "trip_date",
-        "pickup_dayname",
-        "is_weekend",
-        "total_trips",
-        "total_revenue",
-        "avg_fare_amount",
-        "avg_tip_percentage",
-        "avg_trip_distance",
-        "avg_trip_duration",
-        "revenue_per_mile",
-    ).orderBy("trip_date")
-
-
-def hourly_trends(hourly: DataFrame) -> DataFrame:
-    return (
-        hourly.groupBy("pickup_hour", "pickup_dayname", "is_weekend")
-        .agg(
-            F.avg("total_trips").alias("avg_trips"),
-            F.avg("avg_revenue_per_trip").alias("avg_revenue"),
-            F.avg("avg_tip_percentage").alias("avg_tip_pct"),
-        )
-        .orderBy("pickup_hour", "pickup_dayname")
-    )
-
-
-def vendor_dashboard(vendor: DataFrame) -> DataFrame:
-    return vendor.select(
-        "vendor_name",
-        "month_year",
-        "total_trips",
-        "total_revenue",
-        "market_share_trips",
-        "market_share_revenue",
-        "avg_tip_percentage",
-        "outlier_rate",
-    ).orderBy("month_year", F.desc("total_revenue"))
-
-
 def gold_consistency(daily: DataFrame, trips: DataFrame, tolerance: int = 100) -> DataFrame:
     """One row: trips in silver against the sum of the daily table."""
     total = daily.agg(F.coalesce(F.sum("total_trips"), F.lit(0)).alias("n"))
@@ -227,14 +190,19 @@ def gold_consistency(daily: DataFrame, trips: DataFrame, tolerance: int = 100) -
     return counts.withColumns({"difference": difference, "consistent": difference < tolerance})
 
 
+#: Names under which the gold tables count their trips.
+TRIP_COUNTS = ("total_trips", "trip_count", "trips_count", "pickup_count")
+
+
 def gold_validation(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: rows, columns, and rows whose trip count is null.
 
-    Tables without a ``total_trips`` column report 0.
+    The count column is the table's own; a table without one reports NULL, as nothing was checked.
     """
     rows = None
     for name, table in tables.items():
-        nulls = F.count_if(F.col("total_trips").isNull()) if "total_trips" in table.columns else F.lit(0)
+        own = next((c for c in TRIP_COUNTS if c in table.columns), None)
+        nulls = F.count_if(F.col(own).isNull()) if own else F.lit(None)
         row = table.agg(
             F.lit(name).alias("table_name"),
             F.count("*").alias("n_rows"),

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,19 +51,41 @@ def conform(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     """Cast the known columns to their declared types and keep any further ones.
 
     Files of different months store the same column in different widths and
-    spellings, so names are matched without case and types by cast. Times
-    stored without zone are read in the session time zone (UTC by default).
+    spellings, so names are matched without case and types by cast. Where a file has
+    two spellings of a column, the first that is not null counts. Texts that are no value
+    of the type become null (see ``unreadable``). Times stored without zone are read in the
+    session time zone (UTC by default).
     """
-    found = {name.lower(): name for name in df.columns}
-    known = [
-        F.col(found[field.name.lower()]).cast(field.dataType).alias(field.name)
-        if field.name.lower() in found
-        else F.lit(None).cast(field.dataType).alias(field.name)
-        for field in schema
-    ]
+    rows, names = _by_place(df)
+    known = [F.coalesce(*_values(rows, names, f), F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]
     expected = {field.name.lower() for field in schema}
-    further = [F.col(name) for low, name in found.items() if low not in expected]
-    return df.select(*known, *further)
+    further = [rows[place].alias(name) for place, name in zip(rows.columns, names) if name.lower() not in expected]
+    return rows.select(*known, *further)
+
+
+def _by_place(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns named by place, as names that differ in case only cannot be told apart, and its names."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), df.columns
+
+
+def _values(rows: DataFrame, names: Sequence[str], field: T.StructField) -> list[Column]:
+    """The column in each of its spellings, in the declared type."""
+    own = [f for f, name in zip(rows.schema, names) if name.lower() == field.name.lower()]
+    return [
+        rows[f.name].try_cast(field.dataType) if isinstance(f.dataType, T.StringType) else rows[f.name].cast(field.dataType)
+        for f in own
+    ]
+
+
+def unreadable(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
+    """One row: per column of ``schema`` the texts of ``df`` that are no value of its type."""
+    rows, names = _by_place(df)
+    counts = []
+    for field in schema:
+        own = [f.name for f, name in zip(rows.schema, names) if name.lower() == field.name.lower() and isinstance(f.dataType, T.StringType)]
+        bad = [F.count_if(rows[c].isNotNull() & rows[c].try_cast(field.dataType).isNull()) for c in own]
+        counts.append(reduce(lambda a, b: a + b, bad, F.lit(0).cast("bigint")).alias(field.name))
+    return rows.agg(*counts)
 
 
 def with_lineage(df: DataFrame, source_file, ingestion_month) -> DataFrame:

@@ -5,24 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.functions.zorder import zorder_key
 from farelane.model import TableSpec
-from farelane.store.tables import analyze, balanced, with_mode
+from farelane.store.tables import analyze, balanced, overwrite_partitions, swap_in
 
+#: Size a file should have after clustering.
+FILE_BYTES = 256 << 20
 
-def clustered(df: DataFrame, spec: TableSpec, files: int | None = None) -> DataFrame:
-    """Rows ordered along the Z-curve of the clustering columns.
 
-    Range partitioning on table partition and key gives files whose minimum and
-    maximum values are narrow in every clustering column, so a filter on any of
-    them skips most row groups. A frequent key is no problem: a random last
-    sort column lets the range split fall inside it.
+def clustered(df: DataFrame, spec: TableSpec, files: int) -> DataFrame:
+    """Rows dealt to ``files`` ranges of the table partitions and clustering columns, sorted in each.
+
+    Files then hold narrow ranges of the first clustering column, so a filter on it skips
+    most of them. A frequent value is no problem: a random last sort column lets the range
+    split fall inside it.
     """
-    key = zorder_key(df, spec.cluster_by)
-    keyed = df.withColumns({"_key": key, "_spread": F.rand(seed=7)})
-    by = (*spec.partitions, "_key")
-    ranges = keyed.repartitionByRange(files, *by, "_spread") if files else keyed.repartitionByRange(*by, "_spread")
-    return ranges.sortWithinPartitions(*by).drop("_key", "_spread")
+    by = (*spec.partitions, *spec.cluster_by)
+    spread = df.withColumn("_spread", F.rand(seed=7)).repartitionByRange(files, *by, "_spread")
+    return spread.drop("_spread").sortWithinPartitions(*by)
+
+
+def range_count(size_in_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    """Ranges for a table of this size, so that each file has about ``file_bytes``."""
+    return max(1, -(-size_in_bytes // file_bytes))
+
+
+def table_bytes(spark: SparkSession, table: str) -> int:
+    """Bytes of the table's files, from the file index of its scan; no data is read."""
+    plan = spark.table(table)._jdf.queryExecution().optimizedPlan()
+    return int(plan.stats().sizeInBytes().toString())
 
 
 def cluster_table(spark: SparkSession, spec: TableSpec, files: int | None = None) -> None:
@@ -30,17 +40,16 @@ def cluster_table(spark: SparkSession, spec: TableSpec, files: int | None = None
 
     A partitioned table is rewritten in place: dynamic overwrite stages all
     files and swaps the partitions in when the job commits. Any other table is
-    rewritten under a second name that then takes the place of the first, which
-    is dropped last. At every moment one complete copy exists.
+    rewritten under a second name that then takes the place of the first.
     """
-    rows = spark.table(spec.name)
-    rows = clustered(rows, spec, files) if spec.cluster_by else balanced(rows, spec.partitions)
+    files = files or range_count(table_bytes(spark, spec.name))
+
+    def rows(session: SparkSession) -> DataFrame:
+        table = session.table(spec.name)
+        return clustered(table, spec, files) if spec.cluster_by else balanced(table, spec.partitions)
+
     if spec.partitions:
-        with_mode(spark, "dynamic", lambda: rows.write.mode("overwrite").insertInto(spec.name))
+        overwrite_partitions(spark, spec.name, rows)
     else:
-        rewritten, old = f"{spec.name}__clustered", f"{spec.name}__old"
-        rows.write.mode("overwrite").format("parquet").saveAsTable(rewritten)
-        spark.sql(f"ALTER TABLE {spec.name} RENAME TO {old}")
-        spark.sql(f"ALTER TABLE {rewritten} RENAME TO {spec.name}")
-        spark.sql(f"DROP TABLE {old}")
+        swap_in(rows(spark), spec)
     analyze(spark, spec.name)

@@ -63,6 +63,8 @@ class MonthLoad:
         part = F.col("ingestion_month") == self.label
         tables.replace_slice(rows, BRONZE, part, even_files=False)
         count = self.facts["records_bronze"] = self.spark.table(BRONZE.name).where(part).count()
+        if not count:
+            raise ValueError(f"the file of {self.label} gave no rows")
         if count < self.config.thresholds.min_records_per_file:
             self.event("WARNING", "few records in the file", count=count)
 
@@ -130,7 +132,7 @@ def run_month(spark: SparkSession, root: str, year: int, month: int, config: Loa
         try:
             run()
         except Exception as error:
-            outcome = {"status": "FAILED", "stage": stage, "error_message": str(error)[:2000]}
+            outcome = {"status": "FAILED", "stage": stage, "error_message": str(error)}
             load.event("ERROR", "load failed", stage=stage)
             break
     load.facts.pop("months", None)
@@ -144,6 +146,7 @@ def run_month(spark: SparkSession, root: str, year: int, month: int, config: Loa
     }
     runlog.append_run(spark, run_row)
     runlog.append_events(spark, load.execution_id, load.events)
+    views.create_views(spark)
     return run_row | {"year": year, "month": month}
 
 
@@ -161,9 +164,7 @@ def backfill(
 def build_silver(spark: SparkSession, config: LoadConfig = LoadConfig()) -> None:
     """The whole silver table from the whole bronze table."""
     rows = silver(spark.table(BRONZE.name), config.rules, config.quartiles)
-    tables.ensure_database(spark, SILVER.name)
-    writer = tables.balanced(rows, SILVER.partitions).write.mode("overwrite").format("parquet")
-    writer.partitionBy(*SILVER.partitions).saveAsTable(SILVER.name)
+    tables.replace_table(rows, SILVER)
 
 
 def build_gold(spark: SparkSession) -> None:
@@ -181,4 +182,4 @@ def build_gold(spark: SparkSession) -> None:
     }
     for name, build in builders.items():
         tables.save_table(build(trips), GOLD[name])
-    views.create_views(spark, views.DASHBOARDS)
+    views.create_views(spark)

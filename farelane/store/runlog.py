@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +28,11 @@ def read_run_log(spark: SparkSession) -> DataFrame:
     return spark.table(RUN_LOG.name)
 
 
+def _utc_day(at: datetime) -> date:
+    """Day of a run in UTC; times without zone are the host's."""
+    return at.astimezone(timezone.utc).date()
+
+
 def append_run(spark: SparkSession, run: dict) -> None:
     """Append one finished run. Counts are those of the loaded month."""
     counts = [run.get(f"records_{layer}") for layer in ("bronze", "silver", "gold")]
@@ -36,7 +41,7 @@ def append_run(spark: SparkSession, run: dict) -> None:
         "records_processed": sum(n or 0 for n in counts),
         "execution_time_minutes": minutes,
         "created_at": datetime.now(),
-        "run_date": run["start_time"].date(),
+        "run_date": _utc_day(run["start_time"]),
     }
     schema = read_run_log(spark).schema
     append_rows(spark.createDataFrame([tuple(row.get(n) for n in schema.names)], schema), RUN_LOG)
@@ -45,5 +50,5 @@ def append_run(spark: SparkSession, run: dict) -> None:
 def append_events(spark: SparkSession, execution_id: str, events: list[tuple]) -> None:
     """Append the collected ``(time, level, message, details)`` events of a run."""
     if events:
-        rows = [(execution_id, at, level, text, details, at.date()) for at, level, text, details in events]
+        rows = [(execution_id, at, level, text, details, _utc_day(at)) for at, level, text, details in events]
         append_rows(spark.createDataFrame(rows, EVENT_COLUMNS), EVENT_LOG)

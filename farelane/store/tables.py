@@ -26,9 +26,10 @@ def balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partitions) if partitions else df.hint("rebalance")
 
 
-def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> str:
+def write_partitions(df: DataFrame, path: str, partitions: Sequence[str], even_files: bool = True) -> str:
     """Replace exactly the partitions that occur in ``df`` and keep all others."""
-    writer = balanced(df, partitions).write.mode("overwrite").partitionBy(*partitions)
+    rows = balanced(df, partitions) if even_files else df
+    writer = rows.write.mode("overwrite").partitionBy(*partitions)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
     return path
 
@@ -47,43 +48,86 @@ def stamped(df: DataFrame, processing_id: str | None = None, as_of: datetime | N
 
 
 def save_table(df: DataFrame, spec: TableSpec, processing_id: str | None = None, mode: str = "overwrite") -> None:
-    """Write the whole table with stamps."""
-    spark = df.sparkSession
-    ensure_database(spark, spec.name)
-    writer = balanced(stamped(df, processing_id), spec.partitions).write.mode(mode).format("parquet")
+    """Write the whole table with stamps; overwriting keeps the old table until the new one is complete."""
+    rows = stamped(df, processing_id)
+    if mode == "overwrite":
+        replace_table(rows, spec)
+        return
+    ensure_database(df.sparkSession, spec.name)
+    writer = balanced(rows, spec.partitions).write.mode(mode).format("parquet")
     if spec.partitions:
         writer = writer.partitionBy(*spec.partitions)
     writer.saveAsTable(spec.name)
 
 
+def replace_table(rows: DataFrame, spec: TableSpec) -> None:
+    """Make ``rows`` the table's content; the old one stays until they are complete."""
+    if spec.partitions:
+        replace_slice(rows, spec, F.lit(True))
+    else:
+        swap_in(balanced(rows, ()), spec)
+
+
+def swap_in(rows: DataFrame, spec: TableSpec) -> None:
+    """Write ``rows`` beside a table without partitions and let them take its name.
+
+    ``rows`` may read the table itself. A failed write leaves the old table; at every moment
+    one complete copy exists, at worst, after a stop between the renames, under the name
+    ``<table>__old``.
+    """
+    spark = rows.sparkSession
+    ensure_database(spark, spec.name)
+    fresh, old = f"{spec.name}__new", f"{spec.name}__old"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    rows.write.format("parquet").saveAsTable(fresh)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(spec.name):
+        spark.sql(f"ALTER TABLE {spec.name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {spec.name}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def overwrite_partitions(spark: SparkSession, table: str, rows: Callable[[SparkSession], DataFrame]) -> None:
+    """Replace exactly the partitions of ``table`` that occur in ``rows``; columns by position.
+
+    Inserts know the mode as a session setting only, so ``rows`` are read and written in a session of
+    their own, and loads that run side by side do not disturb each other.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    rows(own).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+
+
 def replace_slice(df: DataFrame, spec: TableSpec, part: Column, even_files: bool = True) -> None:
     """Make ``df`` the only content of the slice ``part`` of the table.
 
     ``part`` is a condition on partition columns that every row of ``df`` meets.
-    The rows are staged and swapped in partition by partition when the write
-    commits, so a failed write leaves the old rows, and a repeated load gives
-    the same table. Partitions of the slice that got no rows are emptied; all
-    others stay untouched. Columns are matched by name: new ones are added to
-    the table, missing ones are written as null.
+    ``df`` is computed once, into a staged copy in the shared folder. From there its partitions
+    are swapped in, and partitions of the slice that got no rows are emptied. A failure before
+    the swap leaves the old rows. The swap and the emptying are commits of their own: a stop
+    between them leaves old rows in partitions the new slice no longer fills, and repeating the
+    load removes them. Columns are matched by name: new ones are added to the table, missing
+    ones are written as null.
     """
     spark = df.sparkSession
     ensure_database(spark, spec.name)
-    rows = balanced(df, spec.partitions) if even_files else df
+    path = write_partitions(df, new_path(spark, "slice"), spec.partitions, even_files)
+    staged = spark.read.schema(df.schema).parquet(path)
     if not spark.catalog.tableExists(spec.name):
-        rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
+        staged.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
         return
     _add_new_columns(df, spec)
-    aligned = rows.select(
-        *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
-            if f.name in df.columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in spark.table(spec.name).schema
-        ]
-    )
+    aligned = [
+        F.col(f.name).cast(f.dataType).alias(f.name)
+        if f.name in df.columns
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in spark.table(spec.name).schema
+    ]
     before = partitions_of(spark, spec, part)
-    with_mode(spark, "dynamic", lambda: aligned.write.mode("overwrite").insertInto(spec.name))
-    written = {tuple(row) for row in df.select(*spec.partitions).distinct().collect()} if before else set()
+    overwrite_partitions(spark, spec.name, lambda own: own.read.schema(df.schema).parquet(path).select(*aligned))
+    written = {tuple(row) for row in staged.select(*spec.partitions).distinct().collect()} if before else set()
     for values in before - written:
         _empty_partition(spark, spec, values)
 
@@ -106,17 +150,6 @@ def _empty_partition(spark: SparkSession, spec: TableSpec, values: tuple) -> Non
     )
 
 
-def with_mode(spark: SparkSession, mode: str, action: Callable[[], None]) -> None:
-    """Run a write under a partition overwrite mode and restore the session's own."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, mode)
-    try:
-        action()
-    finally:
-        spark.conf.set(key, previous)
-
-
 def _add_new_columns(df: DataFrame, spec: TableSpec) -> None:
     spark = df.sparkSession
     known = {name.lower() for name in spark.table(spec.name).columns}

@@ -4,37 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from farelane.model import GOLD, RUN_LOG
+from farelane.plans.dashboards import VIEWS
 
-DASHBOARDS = {
-    "gold.kpi_dashboard": f"""
-        SELECT trip_date, pickup_dayname, is_weekend, total_trips, total_revenue, avg_fare_amount,
-               avg_tip_percentage, avg_trip_distance, avg_trip_duration, revenue_per_mile, processing_timestamp
-        FROM {GOLD["daily"].name} ORDER BY trip_date""",
-    "gold.hourly_trends": f"""
-        SELECT pickup_hour, pickup_dayname, is_weekend, avg(total_trips) AS avg_trips,
-               avg(avg_revenue_per_trip) AS avg_revenue, avg(avg_tip_percentage) AS avg_tip_pct
-        FROM {GOLD["hourly"].name} GROUP BY ALL ORDER BY pickup_hour, pickup_dayname""",
-    "gold.vendor_dashboard": f"""
-        SELECT vendor_name, month_year, total_trips, total_revenue, market_share_trips, market_share_revenue,
-               avg_tip_percentage, outlier_rate
-        FROM {GOLD["vendor"].name} ORDER BY month_year, total_revenue DESC""",
-}
-MONITORING = {
-    "control.pipeline_monitoring": f"""
-        SELECT execution_id, pipeline_name, start_time, end_time, status, stage, records_processed,
-               execution_time_minutes, quality_score, error_message,
-               if(status IN ('SUCCESS', 'FAILED'), status, 'PENDING') AS status_icon
-        FROM {RUN_LOG.name} ORDER BY start_time DESC""",
-    "control.quality_metrics": f"""
-        SELECT run_date AS execution_date, count(*) AS total_executions,
-               count_if(status = 'SUCCESS') AS successful_executions, count_if(status = 'FAILED') AS failed_executions,
-               avg(quality_score) AS avg_quality_score, avg(execution_time_minutes) AS avg_execution_time,
-               sum(records_processed) AS total_records_processed
-        FROM {RUN_LOG.name} GROUP BY run_date ORDER BY execution_date DESC""",
-}
 
-
-def create_views(spark: SparkSession, views: dict[str, str]) -> None:
-    for name, query in views.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+def create_views(spark: SparkSession) -> list[str]:
+    """Create or renew every view whose table exists; returns their names."""
+    made = []
+    for name, (spec, query) in VIEWS.items():
+        if spark.catalog.tableExists(spec.name):
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query.format(source=spec.name)}")
+            made.append(name)
+    return made

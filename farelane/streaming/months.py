@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from farelane.model import CANONICAL, PICKUP, RuleSet
+from farelane.model import CANONICAL, RuleSet
+from farelane.plans.gold import daily_basic
 from farelane.plans.silver import valid_trips
 from farelane.sources.trips import conform, with_lineage
-from farelane.store.tables import balanced
+from farelane.store.tables import write_partitions
 
 
 def month_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -27,20 +28,25 @@ def month_files(spark: SparkSession, root: str, schema: T.StructType) -> DataFra
 
 
 def load_new_files(
-    stream: DataFrame, silver_path: str, checkpoint: str, rules: RuleSet = CANONICAL
+    stream: DataFrame, silver_path: str, checkpoint: str, rules: RuleSet = CANONICAL, daily_path: str | None = None
 ) -> StreamingQuery:
     """Append the valid trips of all files not seen yet, then stop.
 
     Every batch writes the partition of its own number, so a batch repeated
     after a failure overwrites itself. Outlier bounds need the whole month and
-    stay with the batch load.
+    stay with the batch load. ``daily_path`` keeps daily totals: a batch computes the pickup
+    months it touches anew from all trips written so far, so months may come in any order
+    and the totals are those of a batch build.
     """
+    months = ("pickup_year", "pickup_month")
 
     def write(batch: DataFrame, number: int) -> None:
         rows = valid_trips(batch, rules).withColumn("batch", F.lit(number))
-        parts = ("batch", "pickup_year", "pickup_month")
-        writer = balanced(rows, parts).write.mode("overwrite").partitionBy(*parts)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(silver_path)
+        write_partitions(rows, silver_path, ("batch", *months))
+        if daily_path:
+            trips = batch.sparkSession.read.parquet(silver_path)
+            touched = trips.where(F.col("batch") == number).select(*months).distinct()
+            write_partitions(daily_basic(trips.join(touched, list(months), "left_semi")), daily_path, months)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -48,13 +54,3 @@ def load_new_files(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def daily_stream(trips: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Running daily totals of a trip stream; a day closes ``lateness`` after its last hour."""
-    return (
-        trips.withWatermark(PICKUP, lateness)
-        .groupBy(F.window(PICKUP, "1 day").alias("day"))
-        .agg(F.count("*").alias("total_trips"), F.sum("total_amount").alias("total_revenue"))
-        .select(F.to_date("day.start").alias("trip_date"), "total_trips", "total_revenue")
-    )

@@ -9,6 +9,7 @@ from conftest import trip
 from pyspark.sql import functions as F
 
 from farelane.model import TRIP_SCHEMA
+from farelane.plans.dashboards import view
 from farelane.plans import gold, insights, monitoring, rollups, silver
 from farelane.operators import enrich, outliers
 
@@ -166,8 +167,8 @@ def test_health_of_good_and_empty_logs(spark):
 
 def test_run_reports(spark):
     log = spark.createDataFrame(RUNS + [run(1, "RUNNING", None)], LOG)
-    assert monitoring.run_overview(log).first().status_icon == "PENDING"
-    days = {str(r.execution_date): r for r in monitoring.runs_per_day(log).collect()}
+    assert view("control.pipeline_monitoring", log).first().status_icon == "PENDING"
+    days = {str(r.execution_date): r for r in view("control.quality_metrics", log).collect()}
     assert days["2024-01-27"].total_executions == 2
     assert days["2024-01-27"].failed_executions == 1
     assert monitoring.latest_runs(log, 2).count() == 2

@@ -11,7 +11,6 @@ from conftest import trip
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelane.functions.zorder import interleave
 from farelane.model import BRONZE, GOLD, RUN_LOG, SILVER, TRIP_SCHEMA, Thresholds
 from farelane.plans import gold
 from farelane.sources import trips as source
@@ -147,7 +146,7 @@ def test_batch_gold_views_and_layout(spark, loaded):
     assert spark.table("gold.kpi_dashboard").columns[:2] == ["trip_date", "pickup_dayname"]
     assert spark.table("gold.hourly_trends").count() > 0
     assert spark.table("gold.vendor_dashboard").count() > 0
-    views.create_views(spark, views.MONITORING)
+    assert len(views.create_views(spark)) == 5 and len(spark.table("gold.kpi_dashboard").columns) == 11
     assert spark.table("control.pipeline_monitoring").count() == spark.table(RUN_LOG.name).count()
     assert spark.table("control.quality_metrics").count() >= 1
     for spec in (SILVER, GOLD["route"], GOLD["payment"]):
@@ -165,9 +164,12 @@ def test_month_slice_prunes_partitions(spark, loaded):
     assert "pickup_year" in filters and "pickup_month" in filters
 
 
-def test_interleaved_bits(spark):
-    cells = [F.lit(0b101).cast("bigint"), F.lit(0b011).cast("bigint")]
-    assert spark.range(1).select(interleave(cells, 3)).first()[0] == 0b011011
+def test_clustered_files_hold_narrow_ranges(spark):
+    days = spark.range(365 * 20).select(F.date_add(F.lit("2023-01-01").cast("date"), (F.col("id") % 365).cast("int")).cast("string").alias("trip_date"))
+    files = layout.clustered(days, tables.TableSpec("x", (), ("trip_date",)), files=8).groupBy(F.spark_partition_id().alias("p"))
+    ends = sorted(tuple(r)[1:] for r in files.agg(F.min("trip_date"), F.max("trip_date")).collect())
+    assert len(ends) == 8 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert [layout.range_count(n, 100) for n in (0, 100, 101, 10_000)] == [1, 1, 2, 100]
 
 
 def test_clustering_splits_a_hot_key(spark):
@@ -198,21 +200,62 @@ def test_run_log_has_its_columns(spark, loaded):
     assert len(runlog.read_run_log(spark).columns) == 15
 
 
-def test_daily_stream_closes_days(spark, tmp_path):
-    """A day is final once trips past the watermark have come; late trips before that count."""
-    root, state = str(tmp_path / "in"), str(tmp_path / "state")
-    write_month(spark, root, 2023, 1, month_rows(2023, 1, 60))
-    daily = streaming.daily_stream(streaming.month_files(spark, root, WALL_CLOCK_SCHEMA))
-    query = (
-        daily.writeStream.format("memory").queryName("days").option("checkpointLocation", state)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    days = spark.table("days").orderBy("trip_date").collect()
-    expected = spark.read.parquet(root).groupBy(F.to_date("tpep_pickup_datetime").alias("d")).count()
-    counts = {r.d: r["count"] for r in expected.collect()}
-    assert 10 <= len(days) < len(counts)
-    assert all(counts[r.trip_date] == r.total_trips for r in days)
+def test_streamed_days_equal_the_batch_in_any_order(spark, tmp_path):
+    root, out, days, state = (str(tmp_path / name) for name in ("in", "out", "days", "state"))
+    stray = month_rows(2023, 1, 2, vendor=2)
+    for month, rows in ((2, month_rows(2023, 2, 15) + stray), (1, month_rows(2023, 1, 20)), (3, month_rows(2023, 3, 5))):
+        write_month(spark, root, 2023, month, rows)
+        stream = streaming.month_files(spark, root, WALL_CLOCK_SCHEMA)
+        streaming.load_new_files(stream, out, state, daily_path=days).awaitTermination()
+    batch = gold.daily_basic(spark.read.parquet(out))
+    stored = spark.read.parquet(days).select(*batch.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, batch.collect())) and batch.agg(F.sum("total_trips")).first()[0] == 42
+
+
+def test_replacing_a_slice_computes_it_once(spark):
+    spec = tables.TableSpec("scratch.once", ("part",))
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(n):
+        counted = spark.sparkContext.range(n).map(lambda i: (seen.add(1), (i, i % 2))[1])
+        return spark.createDataFrame(counted, "id long, part long")
+
+    for n in (10, 6):
+        before = seen.value
+        tables.replace_slice(rows(n), spec, F.lit(True))
+        assert seen.value - before == n and spark.table(spec.name).count() == n
+    tables.replace_slice(rows(1), spec, F.lit(True))
+    assert [tuple(r) for r in spark.table(spec.name).select("id", "part").collect()] == [(0, 0)]
+
+
+def test_a_stop_before_the_emptying_is_repaired_by_the_next_load(spark, monkeypatch):
+    spec = tables.TableSpec("scratch.stopped", ("part",))
+    tables.replace_slice(spark.range(4).withColumn("part", F.col("id")), spec, F.lit(True))
+    fewer = spark.range(2).withColumn("part", F.col("id"))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_empty_partition", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError):
+            tables.replace_slice(fewer, spec, F.lit(True))
+    assert spark.table(spec.name).count() == 4
+    tables.replace_slice(fewer, spec, F.lit(True))
+    assert spark.table(spec.name).count() == 2
+
+
+def test_a_failed_overwrite_keeps_the_table(spark):
+    spec = tables.TableSpec("scratch.kept")
+    tables.save_table(spark.range(3), spec)
+    with pytest.raises(Exception):
+        tables.save_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), spec)
+    assert spark.table(spec.name).count() == 3
+    tables.save_table(spark.table(spec.name).where("id > 0").select("id"), spec)
+    assert spark.table(spec.name).count() == 2
+
+
+def test_two_spellings_and_unreadable_texts(spark):
+    rows = spark.createDataFrame([("2023-01-01 10:00:00", None, 7.0), ("not a time", 5.0, 8.0)], "tpep_pickup_datetime string, Airport_fee double, airport_fee double")
+    got = source.conform(rows).select("tpep_pickup_datetime", "airport_fee").collect()
+    assert [(r[0] is None, r[1]) for r in got] == [(False, 7.0), (True, 5.0)]
+    assert source.unreadable(rows).first().tpep_pickup_datetime == 1
 
 
 def test_stream_takes_every_file_once(spark, tmp_path):

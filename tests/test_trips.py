@@ -177,12 +177,11 @@ def test_quality_metrics(edge):
     assert quality.quality_metrics(rows.limit(0), datetime(2023, 1, 1)).first().total_records == 0
 
 
-@pytest.mark.parametrize("most_suspects", [1_000, 2])
-def test_repeated_rows(spark, most_suspects):
+def test_repeated_rows(spark):
     """Nulls in different columns differ; a hot row is counted in full; both ways agree."""
     rows = [(None, 1), (1, None), (2, 2), (2, 2), (None, None), (None, None), (3, 4)] + [(7, 7)] * 500
     df = spark.createDataFrame(rows, "a int, b int")
-    found = {(r.a, r.b): r.copies for r in quality.repeated_rows(df, most_suspects).collect()}
+    found = {(r.a, r.b): r.copies for r in quality.repeated_rows(df).collect()}
     assert found == {(2, 2): 2, (None, None): 2, (7, 7): 500}
 
 
@@ -194,6 +193,36 @@ def test_bounds_are_read_once(edge):
     assert plan.count("percentile_approx(") - plan.count("partial_percentile_approx(") <= len(OUTLIER_COLUMNS)
 
 
+def test_infinite_values_rank_last(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(x,) for x in [-inf, 1.0, 2.0, 3.0, 4.0, inf, inf, None, float("nan")]], "x double")
+    found = outliers.exact_quantiles(df, ["x"], (0.0, 0.25, 0.5, 0.75, 1.0))
+    assert found == {"x": [-inf, 1.5, 3.0, inf, inf]}
+
+
+def test_distinct_counts_without_row_expansion(spark, edge):
+    from farelane.plans import rollups
+
+    valid = silver.valid_trips(edge)
+    for df in (rollups.kpi_overall(valid), quality.summary_statistics(edge), rollups.kpi_overall(valid.where("false"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Expand " in line], plan
+        assert plan.count("InMemoryTableScan") <= 1
+        df.collect()
+    row = rollups.kpi_overall(valid).first()
+    assert (row.total_trips, row.unique_pickup_locations, row.unique_dropoff_locations) == (8, 2, 2)
+
+
+def test_growth_needs_the_period_before(spark):
+    from pyspark.sql import Window
+
+    from farelane.functions.ratios import previous
+
+    rows = spark.createDataFrame([("2023-01-01", 1), ("2023-02-01", 2), ("2023-04-01", 3)], "m string, n int").select(F.to_date("m").alias("m"), "n")
+    got = rows.select("n", previous("n", "m", Window.orderBy("m"), F.add_months("m", -1)).alias("b")).orderBy("m").collect()
+    assert [r.b for r in got] == [None, 1, None]
+
+
 def test_business_rules(edge):
     found = {r.rule: r for r in quality.business_rules(edge).collect()}
     assert found["valid_trip_sequence"].valid_count == 14
@@ -226,5 +255,8 @@ def test_silver_quality_score(edge):
 def test_text_report(edge):
     text = quality.format_report(quality.quality_report(edge.drop("row"), datetime(2023, 1, 3)), "Trips")
     assert text.startswith("Trips\n=====")
-    assert "- total_records: 16.00" in text
+    assert "- total_records: 16\n" in text and "- quality_score: 0.938" in text
+    whole = quality.text_report(edge.drop("row"), datetime(2023, 1, 3))
+    assert "Period: 2023-01-01 23:50 to 2023-01-02" in whole
+    assert "n/a" in quality.text_report(edge.drop("row").where("false"), datetime(2023, 1, 3))
     assert "NULL PERCENTAGE" in text
