@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from farelane.functions import calendar
 from farelane.model import BRONZE, PICKUP, SILVER, TRIP_SCHEMA
+from farelane.plans import gold
 from farelane.plans import silver as layer
 from farelane.sources import trips as source
 from farelane.store import tables
@@ -47,6 +48,24 @@ def silver(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "silver", build, SILVER.partitions)
 
 
+GOLD_BUILDERS = {
+    "daily": gold.daily,
+    "hourly": gold.hourly,
+    "location": gold.location,
+    "vendor": gold.vendor,
+    "payment": gold.payment,
+    "time_series": gold.time_series,
+    "route": gold.route,
+    "financial": gold.financial,
+}
+
+
+def gold_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A gold table, built from silver once and read by the reports over it."""
+    build = GOLD_BUILDERS[name]
+    return lambda spark, folder: _table(spark, folder, f"gold_{name}", lambda s, f: build(silver(s, f)), ())
+
+
 def _table(
     spark: SparkSession,
     folder: str,

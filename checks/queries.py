@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.inputs import bronze, raw_trips, silver, trips
+from checks.inputs import GOLD_BUILDERS, bronze, gold_table, raw_trips, silver, trips
 from farelane.functions import calendar
 from farelane.model import (
     CANONICAL,
@@ -193,7 +193,11 @@ def month_replace(spark, folder):
     tables.replace_slice(gold.daily_basic(trips), spec, F.lit(True))
     for _ in range(2):
         tables.replace_slice(gold.daily_basic(month), spec, (F.col("pickup_year") == 1999) & (F.col("pickup_month") == 3))
-    return spark.table(spec.name)
+    # The result alone stays; the table goes with its database.
+    path = tables.new_path(spark, "month-replace")
+    spark.table(spec.name).write.parquet(path)
+    spark.sql(f"DROP DATABASE {spec.name.split('.')[0]} CASCADE")
+    return spark.read.parquet(path)
 
 
 def silver_rows(spark, folder):
@@ -218,18 +222,7 @@ def schema_issues(spark, folder):
 
 
 def gold_validation(spark, folder):
-    return rollups.gold_validation(
-        {
-            "daily": gold_daily(spark, folder),
-            "hourly": gold_hourly(spark, folder),
-            "location": gold.location(silver(spark, folder)),
-            "vendor": gold_vendor(spark, folder),
-            "payment": gold_payment(spark, folder),
-            "time_series": gold.time_series(silver(spark, folder)),
-            "route": gold_route(spark, folder),
-            "financial": gold_financial(spark, folder),
-        }
-    )
+    return rollups.gold_validation({name: gold_table(name)(spark, folder) for name in GOLD_BUILDERS})
 
 
 def with_rows(report, rows=trips) -> Query:
@@ -350,19 +343,19 @@ def _queries() -> dict[str, Query]:
         "gold_route": gold_route,
         "gold_financial": gold_financial,
         # over gold tables
-        "vendor_rollup": with_rows(rollups.vendor_rollup, gold_vendor),
-        "hour_profile": with_rows(rollups.hour_profile, gold_hourly),
-        "weekend_daily": with_rows(rollups.weekend_daily, gold_daily),
-        "top_revenue_days": with_rows(rollups.top_revenue_days, gold_daily),
-        "top_profitable_routes": with_rows(rollups.top_profitable_routes, gold_route),
-        "monthly_growth": with_rows(rollups.monthly_growth, gold_financial),
-        "gold_consistency": lambda s, f: rollups.gold_consistency(gold_daily(s, f), silver(s, f)),
+        "vendor_rollup": with_rows(rollups.vendor_rollup, gold_table("vendor")),
+        "hour_profile": with_rows(rollups.hour_profile, gold_table("hourly")),
+        "weekend_daily": with_rows(rollups.weekend_daily, gold_table("daily")),
+        "top_revenue_days": with_rows(rollups.top_revenue_days, gold_table("daily")),
+        "top_profitable_routes": with_rows(rollups.top_profitable_routes, gold_table("route")),
+        "monthly_growth": with_rows(rollups.monthly_growth, gold_table("financial")),
+        "gold_consistency": lambda s, f: rollups.gold_consistency(gold_table("daily")(s, f), silver(s, f)),
         "gold_validation": gold_validation,
         "view_kpi_dashboard": lambda s, f: text_times(
-            view("gold.kpi_dashboard", tables.stamped(gold_daily(s, f), as_of=datetime(2024, 1, 1)))
+            view("gold.kpi_dashboard", tables.stamped(gold_table("daily")(s, f), as_of=datetime(2024, 1, 1)))
         ),
-        "view_hourly_trends": lambda s, f: view("gold.hourly_trends", gold_hourly(s, f)),
-        "view_vendor_dashboard": lambda s, f: view("gold.vendor_dashboard", gold_vendor(s, f)),
+        "view_hourly_trends": lambda s, f: view("gold.hourly_trends", gold_table("hourly")(s, f)),
+        "view_vendor_dashboard": lambda s, f: view("gold.vendor_dashboard", gold_table("vendor")(s, f)),
         # run log
         "view_run_monitoring": lambda s, f: text_times(view("control.pipeline_monitoring", run_log(s, f))),
         "view_quality_metrics": lambda s, f: _day_text(view("control.quality_metrics", run_log(s, f))),
@@ -371,18 +364,18 @@ def _queries() -> dict[str, Query]:
         "health_check_stale": health(50),
         "backfill_summary": backfill_summary,
         # analyses
-        "peak_hours": with_rows(insights.peak_hours, gold_hourly),
+        "peak_hours": with_rows(insights.peak_hours, gold_table("hourly")),
         "vendor_share_total": lambda s, f: insights.vendor_share_total(silver(s, f)),
         "top_pickups_ranked": with_rows(insights.top_pickups_ranked, silver),
         "payment_mix": lambda s, f: insights.payment_mix(silver(s, f)),
         "tip_by_daypart": with_rows(insights.tip_by_daypart, silver),
         "tip_by_distance": with_rows(insights.tip_by_distance, silver),
         "by_day_of_week": with_rows(insights.by_day_of_week, silver),
-        "anomalous_days": with_rows(insights.anomalous_days, gold_daily),
-        "growth_projection": with_rows(insights.growth_projection, gold_financial),
+        "anomalous_days": with_rows(insights.anomalous_days, gold_table("daily")),
+        "growth_projection": with_rows(insights.growth_projection, gold_table("financial")),
         "monthly_alerts": with_rows(insights.monthly_alerts, silver),
         "weekly_variation": with_rows(insights.weekly_variation, silver),
-        "monthly_distance_growth": with_rows(insights.monthly_distance_growth, gold_financial),
+        "monthly_distance_growth": with_rows(insights.monthly_distance_growth, gold_table("financial")),
         "efficiency_metrics": with_rows(insights.efficiency_metrics, silver),
     }
 

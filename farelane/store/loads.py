@@ -162,9 +162,19 @@ def backfill(
 
 
 def build_silver(spark: SparkSession, config: LoadConfig = LoadConfig()) -> None:
-    """The whole silver table from the whole bronze table."""
-    rows = silver(spark.table(BRONZE.name), config.rules, config.quartiles)
-    tables.replace_table(rows, SILVER)
+    """The whole silver table from the whole bronze table, load month by load month.
+
+    Outlier bounds are those of a load month here as in a month load, so a trip has the same
+    flags whichever way it came into the table.
+    """
+    labels = {values[0] for values in tables.partitions_of(spark, BRONZE, F.lit(True))}
+    for label in sorted(labels):
+        part = F.col("ingestion_month") == label
+        rows = silver(spark.table(BRONZE.name).where(part), config.rules, config.quartiles)
+        tables.replace_slice(rows, SILVER, part)
+    gone = ~F.col("ingestion_month").isin(sorted(labels))
+    if tables.partitions_of(spark, SILVER, gone):
+        tables.replace_slice(spark.table(SILVER.name).where(gone).limit(0), SILVER, gone)
 
 
 def build_gold(spark: SparkSession) -> None:

@@ -138,8 +138,12 @@ def test_failed_stage_is_logged(spark, root, loaded, monkeypatch):
     assert spark.table(SILVER.name).where("ingestion_month = '2023-01'").count() == 60
 
 
-def test_batch_gold_views_and_layout(spark, loaded):
+def test_batch_gold_views_and_layout(spark, root, loaded):
+    for month in (1, 2):
+        assert loads.run_month(spark, root, 2023, month, CONFIG)["status"] == "SUCCESS"
+    by_month = snapshot(spark, SILVER.name)
     loads.build_silver(spark, CONFIG)
+    assert snapshot(spark, SILVER.name) == by_month
     loads.build_gold(spark)
     for spec in GOLD.values():
         assert not spark.table(spec.name).isEmpty()
