@@ -18,6 +18,7 @@ Cases, by definition:
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,8 +35,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Rows of one length that one task ranks.
 RANK_ROWS = 200_000
-#: Words in each of the two halves of a worker's store; some 150 MB each.
-_MOST_WORDS = 750_000
+#: Words in each of the two halves of a worker's store; some 80 MB each.
+_MOST_WORDS = 400_000
 
 
 class WordIds(dict):
@@ -50,6 +51,8 @@ class WordIds(dict):
     BETWEEN, BETWEEN_ID = "<|endoftext|>", 49407
 
     def __init__(self, path: str):
+        # The tasks are the threads here; a pool of its own in each worker would only wait and spin.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -69,16 +72,20 @@ class WordIds(dict):
             yield word, np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def of(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode().split() for t in texts]
         if len(self) >= _MOST_WORDS:
             self.before = dict(self)
             self.clear()
-        new = set().union(*split).difference(self)
+        split = [(t or "").encode().split() for t in texts]
+        found = [list(map(self.get, words)) for words in split]
+        open_texts = [k for k, ids in enumerate(found) if None in ids]
+        new = {w for k in open_texts for w, ids in zip(split[k], found[k]) if ids is None}
         if self.before:
             self.update((w, self.before[w]) for w in new.intersection(self.before))
             new.difference_update(self)
         self.update(self._encode(list(new)))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        for k in open_texts:
+            found[k] = map(self.__getitem__, split[k])
+        return [b"".join(ids) for ids in found]
 
 
 @lru_cache(maxsize=2)
