@@ -22,6 +22,7 @@ Cases, by definition:
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ ANCHOR = 40
 TEXT_BLOCK = 1 << 19
 INDEX_BYTES = 1 << 20
 STREAM_BYTES = 1 << 22
+STREAM_PIECE = 1 << 10
 #: First occurrences are dealt by blocks of a document; blocks with more links are dealt to several tasks.
 TARGET_BLOCK = 1 << 16
 TARGET_LINKS = 100_000
@@ -148,16 +150,16 @@ _TASK_NAMES = [f.split()[0] for f in _TASK_ROW.split(", ")]
 def _regions(joined: DataFrame, width: int) -> DataFrame:
     """Rows for the tasks: text around first occurrences (role 0) and later texts with their windows (role 1)."""
 
-    def of(doc: int, data: np.ndarray, firsts: list[int], links: list[dict]) -> Iterator[tuple]:
-        if firsts:
-            at = np.unique(np.array(firsts, np.int64))
+    def of(doc: int, data: np.ndarray, firsts: pa.Array | None, links: pa.StructArray | None) -> Iterator[tuple]:
+        if firsts is not None:
+            at = np.unique(firsts.to_numpy())
             block = at // TARGET_BLOCK
             for b in np.unique(block).tolist():
                 own = at[block == b]
                 for s, e in zip(*_intervals(np.maximum(own - width, 0), np.minimum(own + width, len(data)))):
                     yield doc, b, 0, doc, int(s), data[s:e].tobytes(), [], [], [], []
-        if links:
-            pos, before, after, doc0, pos0, more = (np.array([x[k] for x in links]) for k in ("pos", "before", "after", "doc0", "pos0", "more"))
+        if links is not None:
+            pos, before, after, doc0, pos0, more = (links.field(k).to_numpy(zero_copy_only=False) for k in ("pos", "before", "after", "doc0", "pos0", "more"))
             block = pos0 // TARGET_BLOCK
             order = np.lexsort((pos - before, block, doc0))
             pos, before, after, doc0, pos0, more, block = (x[order] for x in (pos, before, after, doc0, pos0, more, block))
@@ -174,8 +176,8 @@ def _regions(joined: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             rows, size = [], 0
             for k in range(batch.num_rows):
-                doc, text, firsts, links = (batch.column(c)[k].as_py() for c in ("doc", "text", "firsts", "links"))
-                for row in of(doc, _bytes(text), firsts or [], links or []):
+                doc, text = (batch.column(c)[k].as_py() for c in ("doc", "text"))
+                for row in of(doc, _bytes(text), batch.column("firsts")[k].values, batch.column("links")[k].values):
                     rows.append(row)
                     size += len(row[5]) + 32 * len(row[6])
                     if size > STREAM_BYTES:
@@ -241,7 +243,7 @@ def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> tuple[pa.RecordBatc
     windows = np.repeat(low, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     shift, more = np.repeat(shift, lengths), np.repeat(more, lengths)
     marked = np.zeros(len(data), bool)
-    for at in firsts.index.stream(data, base, sizes):
+    for at in firsts.index.stream(data, *_pieces(base, sizes, width)):
         hit = firsts.index.long_matches(data, limit, at, width)
         at_doc, at_place = firsts.where(at)
         marked |= hit & ((at_doc < doc) | ((at_doc == doc) & (at_place < place)))
@@ -266,6 +268,18 @@ def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> tuple[pa.RecordBatc
     return marked_ranges, np.stack([doc[rest], place[rest], *keys, elsewhere])
 
 
+def _pieces(base: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of overlapping pieces of the texts, so that many short ones are streamed side by side.
+
+    A piece ends ``width`` bytes inside the next, which so decides on all windows that begin there.
+    """
+    counts = -(-sizes // STREAM_PIECE)
+    first = np.repeat(np.cumsum(counts) - counts, counts)
+    shift = STREAM_PIECE * (np.arange(counts.sum()) - first)
+    starts, left = np.repeat(base, counts) + shift, np.repeat(sizes, counts) - shift
+    return starts, np.minimum(left, STREAM_PIECE + width)
+
+
 def _open(parts: list[np.ndarray], whole: bool) -> Iterator[pa.RecordBatch]:
     """Open windows that need the comparison over the cluster: where all of an anchor's texts were
     here (``whole``, and not dealt to several tasks), only those met twice."""
@@ -326,10 +340,17 @@ def _match(dealt: DataFrame, width: int) -> DataFrame:
 
 
 def _landed(df: DataFrame, purpose: str) -> DataFrame:
-    """``land``, then a collection, so that the shuffle files of what led there go at once."""
+    """``land``, then collections until the shuffle files of what led there are gone.
+
+    Spark removes them once the driver has collected the plans that made them, which may
+    be half an hour later; the steps here would pile up several copies of the corpus by then.
+    """
     found = land(df, purpose)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(3):
+        # The events of the write hold its plan until all listeners have seen them.
+        time.sleep(0.3)
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return found
 
 
@@ -338,7 +359,8 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
     shared = _landed(ids, "shared-ids")
     named = docs.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").select(F.col("doc_id").cast("long").alias("doc"), "text")
-    found = _landed(corpus_anchors(named, width), "anchors")
+    # Made anew for both uses: cheaper than to keep the anchors of the whole corpus on disk.
+    found = corpus_anchors(named, width)
     first = found.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
     links = found.join(first, "h").where((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos")))
     links = _landed(
