@@ -24,6 +24,11 @@ def partial(columns: Iterable[str], counted: dict[str, Column] | None = None) ->
     return [F.count("*").alias(TRIPS), *sums, *counts, *tests]
 
 
+def remerged(parts: DataFrame, *keys: str) -> list[Column]:
+    """Every partial column of ``parts`` summed under its own name, for a coarser grouping."""
+    return [F.sum(c).alias(c) for c in parts.columns if c not in keys]
+
+
 def merged_trips() -> Column:
     return F.sum(TRIPS)
 

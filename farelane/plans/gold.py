@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from farelane.functions import calendar
 from farelane.functions.partials import (
+    TRIPS,
     merged_avg,
     merged_count,
     merged_sum,
     merged_trips,
     partial,
+    remerged,
 )
 from farelane.functions.ratios import growth, percent, previous, ratio
 from farelane.model import CASH, CREDIT_CARD, PICKUP
@@ -42,28 +44,39 @@ def _calendar(day: str = "day") -> dict[str, Column]:
     }
 
 
+#: What the day, hour and vendor parts sum up for the tables made from them.
+SUMMED = (
+    "total_amount",
+    "fare_amount",
+    "tip_amount",
+    "tolls_amount",
+    "extra",
+    "tip_percentage",
+    "trip_distance",
+    "trip_duration_minutes",
+    "avg_speed_mph",
+    "passenger_count",
+)
+
+
+def day_parts(flagged: DataFrame) -> DataFrame:
+    """Sums per day, hour and vendor: what the daily, time series and financial tables share."""
+    return flagged.groupBy(_day().alias("day"), "pickup_hour", "VendorID").agg(
+        *partial(SUMMED, {"trips_with_outliers": F.col("has_outlier")})
+    )
+
+
 def daily(flagged: DataFrame) -> DataFrame:
-    """Daily key figures. Needs the outlier flag.
+    """Daily key figures. Needs the outlier flag."""
+    return daily_from(day_parts(flagged))
 
-    Vendors are few, so grouping by day and vendor first costs next to nothing
-    and turns the distinct vendor count into a row count.
-    """
+
+def daily_from(parts: DataFrame) -> DataFrame:
+    """The daily table from ``day_parts``. Grouping by vendor first turns the distinct vendor count into a row count."""
     hour = F.col("pickup_hour")
     periods = {f"{p.lower()}_trips": calendar.in_period(hour, p) for p in (*calendar.PERIODS, calendar.NIGHT)}
-    summed = (
-        "total_amount",
-        "fare_amount",
-        "tip_amount",
-        "tolls_amount",
-        "tip_percentage",
-        "trip_distance",
-        "trip_duration_minutes",
-        "avg_speed_mph",
-        "passenger_count",
-    )
-    by_vendor = flagged.groupBy(_day().alias("day"), "VendorID").agg(
-        *partial(summed, {"trips_with_outliers": F.col("has_outlier"), **periods})
-    )
+    in_period = [F.sum(F.when(test, F.col(TRIPS)).otherwise(0)).alias(name) for name, test in periods.items()]
+    by_vendor = parts.groupBy("day", "VendorID").agg(*remerged(parts, "day", "pickup_hour", "VendorID"), *in_period)
     days = by_vendor.groupBy("day").agg(
         merged_trips().alias("total_trips"),
         F.count("VendorID").alias("active_vendors"),
@@ -146,9 +159,13 @@ def location(trips: DataFrame) -> DataFrame:
     Both sides and their distinct counterpart counts come from one grouping by
     route; the trips are read and shuffled once.
     """
-    routes = trips.groupBy("PULocationID", "DOLocationID").agg(
-        *partial(("trip_distance", "total_amount", "tip_percentage"))
+    return location_from(
+        trips.groupBy("PULocationID", "DOLocationID").agg(*partial(("trip_distance", "total_amount", "tip_percentage")))
     )
+
+
+def location_from(routes: DataFrame) -> DataFrame:
+    """The location table from ``route_parts``."""
     ends = routes.select(
         "*",
         F.inline(
@@ -261,10 +278,18 @@ def payment(trips: DataFrame) -> DataFrame:
 def time_series(trips: DataFrame) -> DataFrame:
     """Hourly series with cyclical features; hours without trips are absent."""
     hours = trips.groupBy(_day().alias("day"), "pickup_hour").agg(
-        F.count("*").alias("trips_count"),
-        F.sum("total_amount").alias("revenue"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("trip_duration_minutes").alias("avg_duration"),
+        *partial(("total_amount", "trip_distance", "trip_duration_minutes"))
+    )
+    return time_series_from(hours)
+
+
+def time_series_from(parts: DataFrame) -> DataFrame:
+    """The time series from ``day_parts`` or any finer parts with its sums."""
+    hours = parts.groupBy("day", "pickup_hour").agg(
+        merged_trips().alias("trips_count"),
+        merged_sum("total_amount").alias("revenue"),
+        merged_avg("trip_distance").alias("avg_distance"),
+        merged_avg("trip_duration_minutes").alias("avg_duration"),
     )
     day_of_week = F.dayofweek("day")
     keys = {
@@ -286,25 +311,49 @@ def time_series(trips: DataFrame) -> DataFrame:
     return hours.select(*_labelled(keys), *hours.columns[2:], *_labelled(features))
 
 
+def route_parts(trips: DataFrame) -> DataFrame:
+    """Sums per origin and destination: what the route and location tables share."""
+    hour = F.col("pickup_hour")
+    counted = {
+        "weekend_trips": F.col("is_weekend"),
+        "morning_trips": calendar.in_period(hour, "Morning"),
+        "evening_trips": calendar.in_period(hour, "Evening"),
+    }
+    summed = ("total_amount", "trip_distance", "trip_duration_minutes", "avg_speed_mph", "tip_percentage")
+    return trips.groupBy("PULocationID", "DOLocationID").agg(
+        *partial(summed, counted), F.stddev("total_amount").alias("revenue_std")
+    )
+
+
 def route(trips: DataFrame) -> DataFrame:
-    """Figures per origin and destination.
+    """Figures per origin and destination."""
+    return route_from(route_parts(trips))
+
+
+def route_from(parts: DataFrame) -> DataFrame:
+    """The route table from ``route_parts``, which has one row per route.
 
     ``revenue_per_mile`` divides the route's total revenue by its mean distance;
     this is the published definition.
     """
-    hour = F.col("pickup_hour")
-    routes = trips.groupBy("PULocationID", "DOLocationID").agg(
-        F.count("*").alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.avg("total_amount").alias("avg_revenue_per_trip"),
-        F.avg("trip_distance").alias("avg_distance"),
-        F.avg("trip_duration_minutes").alias("avg_duration"),
-        F.avg("avg_speed_mph").alias("avg_speed"),
-        F.avg("tip_percentage").alias("avg_tip_percentage"),
-        F.stddev("total_amount").alias("revenue_std"),
-        F.count_if("is_weekend").alias("weekend_trips"),
-        F.count_if(calendar.in_period(hour, "Morning")).alias("morning_trips"),
-        F.count_if(calendar.in_period(hour, "Evening")).alias("evening_trips"),
+
+    def mean(column: str) -> Column:
+        return ratio(F.col(f"{column} sum"), F.col(f"{column} count"))
+
+    routes = parts.select(
+        "PULocationID",
+        "DOLocationID",
+        F.col(TRIPS).alias("trip_count"),
+        F.col("total_amount sum").alias("total_revenue"),
+        mean("total_amount").alias("avg_revenue_per_trip"),
+        mean("trip_distance").alias("avg_distance"),
+        mean("trip_duration_minutes").alias("avg_duration"),
+        mean("avg_speed_mph").alias("avg_speed"),
+        mean("tip_percentage").alias("avg_tip_percentage"),
+        "revenue_std",
+        "weekend_trips",
+        "morning_trips",
+        "evening_trips",
     )
     return routes.withColumns(
         {
@@ -321,18 +370,14 @@ def financial(trips: DataFrame) -> DataFrame:
     Days are grouped first, which makes the active-day count a row count. The
     growth window has no partition key; its input is one row per month.
     """
-    summed = (
-        "total_amount",
-        "fare_amount",
-        "tip_amount",
-        "tolls_amount",
-        "extra",
-        "trip_distance",
-        "trip_duration_minutes",
-        "passenger_count",
-        "tip_percentage",
-    )
-    days = trips.groupBy(_day().alias("day")).agg(*partial(summed))
+    summed = tuple(c for c in SUMMED if c != "avg_speed_mph")
+    return financial_from(trips.groupBy(_day().alias("day")).agg(*partial(summed)))
+
+
+def financial_from(parts: DataFrame) -> DataFrame:
+    """The financial table from ``day_parts`` or any parts by day with its sums."""
+    keys = [c for c in ("day", "pickup_hour", "VendorID") if c in parts.columns]
+    days = parts.groupBy("day").agg(*remerged(parts, *keys))
     months = days.groupBy(F.trunc("day", "month").alias("month")).agg(
         merged_trips().alias("total_trips"),
         F.count("day").alias("active_days"),

@@ -178,18 +178,24 @@ def build_silver(spark: SparkSession, config: LoadConfig = LoadConfig()) -> None
 
 
 def build_gold(spark: SparkSession) -> None:
-    """All eight gold tables from the silver table, and the views over them."""
+    """All eight gold tables from the silver table, and the views over them.
+
+    Silver is read five times: daily, time series and financial table share one grouping, route
+    and location table another; both are written to the shared folder and read from there.
+    """
     trips = spark.table(SILVER.name)
-    builders = {
-        "daily": gold.daily,
-        "hourly": lambda df: by_month(gold.hourly(df)),
-        "location": gold.location,
-        "vendor": gold.vendor,
-        "payment": gold.payment,
-        "time_series": gold.time_series,
-        "route": gold.route,
-        "financial": gold.financial,
+    days = tables.written(gold.day_parts(trips), "day-parts")
+    routes = tables.written(gold.route_parts(trips), "route-parts")
+    built = {
+        "daily": gold.daily_from(days),
+        "hourly": by_month(gold.hourly(trips)),
+        "location": gold.location_from(routes),
+        "vendor": gold.vendor(trips),
+        "payment": gold.payment(trips),
+        "time_series": gold.time_series_from(days),
+        "route": gold.route_from(routes),
+        "financial": gold.financial_from(days),
     }
-    for name, build in builders.items():
-        tables.save_table(build(trips), GOLD[name])
+    for name, rows in built.items():
+        tables.save_table(rows, GOLD[name])
     views.create_views(spark)

@@ -34,6 +34,13 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str], even_f
     return path
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there, for several uses."""
+    path = new_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_database(spark: SparkSession, table: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
 
