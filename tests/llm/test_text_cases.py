@@ -187,6 +187,9 @@ def test_words_tokenise_as_texts():
     path = tokenizer_file("word_bpe_49k.json")
     store = packing.WordIds(path)
     texts = ["á e\u0301x ΣΑΣ İI don't 's <|endoftext|>x\x1c\x85q\xa0r 12½３ ﬁ Å", "\u0301 a\n\u0327b", "", None, "'s't're x'll"]
+    rng = random.Random(9)
+    texts += ["".join(rng.choice(["a", "B", ".", ",", " ", "\n", "'s", "é", "K", "!", "1", "_", "<|", "ß.", "\u0301"]) for _ in range(30)) for _ in range(2000)]
+    texts += ["<|EndOfText|> Ab. <|endoftext|>, c", "Ab, <| c.", "end."]
     whole = [np.array(store.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert store.of(texts) == whole
 
