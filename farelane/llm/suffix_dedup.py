@@ -37,9 +37,10 @@ from farelane.llm.run_index import RunIndex
 WIDTH = 100
 #: Long enough that few anchors repeat by chance, short enough that anchors stay sparse.
 ANCHOR = 40
-#: Bytes of a text handled at once, of first occurrences in one index, and of later texts streamed at once.
+#: Bytes of a text handled at once, of first occurrences in one index (small enough for a processor cache), and of later
+#: texts streamed at once.
 TEXT_BLOCK = 1 << 19
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 18
 STREAM_BYTES = 1 << 22
 STREAM_PIECE = 1 << 10
 #: First occurrences are dealt by blocks of a document; blocks with more links are dealt to several tasks.
@@ -413,4 +414,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     joined = docs.join(repeated_ranges(docs, width), F.col("doc_id").cast("long") == F.col("doc"), "left")
-    return joined.select("doc_id", _cutter(width)("text", "ranges").alias("x")).select("doc_id", "x.*")
+    # Only texts that lose something cross to Python.
+    touched = F.col("ranges").isNotNull()
+    whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    rows = joined.select("doc_id", touched.alias("touched"), whole.alias("whole"), _cutter(width)(F.when(touched, F.col("text")), "ranges").alias("x"))
+    none = F.lit(0).cast("long")
+    return rows.select(
+        "doc_id",
+        F.when(F.col("touched"), F.col("x.kept")).otherwise(F.col("whole")).alias("kept"),
+        F.length("whole").cast("long").alias("n_bytes"),
+        F.when(F.col("touched"), F.col("x.n_removed")).otherwise(none).alias("n_removed"),
+        F.when(F.col("touched"), F.col("x.n_spans")).otherwise(none).alias("n_spans"),
+    )
