@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelane.llm import shingle_sets
 from farelane.llm.common import land, map_batches
 from farelane.llm.components import components
 
@@ -206,29 +207,47 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     return map_batches(dealt, lambda batches: _join_cells(batches, max_bits), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) per row of ``docs`` (columns doc_id, text)."""
-    prints = land(fingerprints(docs, shingle), "fingerprints")
-    distinct = land(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct-prints")
-    found = components(links(distinct, max_bits))
-    linked = distinct.join(found.withColumnRenamed("node", "fp"), "fp")
+def _grouped(prints: DataFrame, distinct: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``prints`` with component_id, the least id of what the edges between values of ``key`` join."""
+    found = components(edges)
+    linked = distinct.join(found.withColumnRenamed("node", key), key)
     lowest = linked.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    linked = linked.join(lowest, "label").select("fp", "component_id")
-    alone = distinct.where("n > 1").join(linked.select("fp"), "fp", "left_anti").select("fp", F.col("least_id").alias("component_id"))
+    linked = linked.join(lowest, "label").select(key, "component_id")
+    alone = distinct.where("n > 1").join(linked.select(key), key, "left_anti").select(key, F.col("least_id").alias("component_id"))
     groups = land(linked.unionByName(alone), "print-groups")
     return (
-        prints.join(groups.withColumn("grouped", F.lit(True)), "fp", "left")
-        .select("doc_id", "text_key", "fp", F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        prints.join(groups.withColumn("grouped", F.lit(True)), key, "left")
+        .select(*prints.columns, F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )
 
 
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) per row of ``docs`` (columns doc_id, text)."""
+    prints = land(fingerprints(docs, shingle), "fingerprints")
+    distinct = land(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct-prints")
+    return _grouped(prints, distinct, links(distinct, max_bits), "fp")
+
+
+def similar_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, component_id) per row of ``docs``: components of Jaccard similarity 0.8 of five-word shingles."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    prints = land(keyed.select("doc_id", "text_key"), "text-keys")
+    distinct = land(prints.groupBy("text_key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct-texts")
+    again = land(distinct.where("n > 1").select("text_key"), "repeated-texts")
+    texts = keyed.select("text_key", "text")
+    once = texts.join(again, "text_key", "left_anti")
+    texts = once.unionByName(texts.join(again, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text")))
+    return _grouped(prints, distinct, shingle_sets.links(texts, distinct.count()), "text_key")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, that with the smallest id; same columns.
+    """One row of each group of similar texts, that with the smallest id; same columns.
 
-    Rows that repeat both id and text leave one. Rows without an id stay only where
-    no row of their group has one.
+    Similar are texts with a Jaccard similarity of 0.8 of their five-word shingles, not those of
+    ``near_duplicates``. Rows that repeat both id and text leave one. Rows without an id stay
+    only where no row of their group has one.
     """
-    groups = land(near_duplicates(docs), "near-groups")
+    groups = land(similar_texts(docs), "near-groups")
     named = [F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")]
     drop = land(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*named).distinct(), "near-drops")
     again = groups.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(*named)

@@ -447,3 +447,44 @@ def test_surrogates_of_odd_rows(odd, nothing, spark):
     rows = surrogates.replace_entities(frame(spark, [(None, "call +1 (017) 555-7713", "a"), (1, "call 1.2.3.4", "a"), (1, "call 1.2.3.4", "a")]), b"k", "kinds").collect()
     assert sorted(str(r.kinds) for r in rows) == ["['ip']", "['ip']", "['phone']"] and len({r.text for r in rows}) == 2
     assert isinstance(mentions("x 1.2.3.4 y")[0], Mention)
+
+
+# Similar texts
+
+
+def _shingles_by_hand(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_similar_texts_are_all_found_and_no_others(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([60, 150, 400]))]
+        texts.append(" ".join(base))
+        for _ in range(7):  # edits around the bound, some on top of other edits
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), max(1, int(len(copy) * rng.choice([0.005, 0.01, 0.02, 0.025, 0.03])))):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+            base = copy if rng.random() < 0.3 else base
+    texts = list(dict.fromkeys(texts))
+    sets = [_shingles_by_hand(t) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        low, high = sorted((find(i), find(j)))
+        root[high] = low
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(frame(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    far = [simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[j]) for i, j in pairs]
+    assert pairs and len(set(got.values())) > 12 and any(bits.bit_count() > 3 for bits in far)
+    kept = simhash.keep_one(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]))
+    assert by_id(kept, "doc_id") == sorted(((i,) for i in set(got.values())), key=str)
