@@ -42,8 +42,8 @@ TITLES = {
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 _UPPER = "A-ZÀ-ÖØ-ÞŠŽŁŚŻΑ-ΩЀ-Я"
 _NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-][{_UPPER}]?[^\W\d_]+)*"
-# Cheap to search for: a capital that begins a title, and a capital after it.
-_MAYBE_TITLED = re.compile(rf"[{''.join(sorted({t[0] for t in _GENDER}))}][^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0][{_UPPER}]")
+# Cheap to search for: a capital that begins a title, and a capital after it, which may begin a title itself.
+_MAYBE_TITLED = re.compile(rf"[{''.join(sorted({t[0] for t in _GENDER}))}](?=[^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0][{_UPPER}])")
 # Titles that are letters or words otherwise need their point.
 _TITLED = re.compile(
     rf"(?:({'|'.join(sorted((t for t in _GENDER if t not in ('M', 'Sr')), key=len, reverse=True))})\.?|(M|Sr)\.)[  ]({_NAME}(?:[  ]{_NAME})?)"

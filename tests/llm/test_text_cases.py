@@ -488,3 +488,16 @@ def test_similar_texts_are_all_found_and_no_others(spark):
     assert pairs and len(set(got.values())) > 12 and any(bits.bit_count() > 3 for bits in far)
     kept = simhash.keep_one(frame(spark, [(i, t, "a") for i, t in enumerate(texts)]))
     assert by_id(kept, "doc_id") == sorted(((i,) for i in set(got.values())), key=str)
+
+
+# Names, by hand
+
+
+def named(text):
+    return [(text[m.start : m.end], m.kind.split("-")[0], m.value) for m in mentions(text)]
+
+
+def test_titles_after_capitalised_words():
+    for text, name in [("Dear Mr. Smith", "Smith"), ("Dear Mrs Jones,", "Jones"), ("Hello Mr. Smith", "Smith"), ("Für Frau Müller", "Müller"), ("Для Г-н Иванов", "Иванов")]:
+        assert named(text) == [(name, "family", name.casefold())]
+    assert named("From Dr. Ann Lee") == [("Ann", "given", "ann"), ("Lee", "family", "lee")]
