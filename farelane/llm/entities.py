@@ -44,10 +44,12 @@ _UPPER = "A-ZÀ-ÖØ-ÞŠŽŁŚŻΑ-ΩЀ-Я"
 _NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-][{_UPPER}]?[^\W\d_]+)*"
 # Cheap to search for: a capital that begins a title, and a capital after it, which may begin a title itself.
 _MAYBE_TITLED = re.compile(rf"[{''.join(sorted({t[0] for t in _GENDER}))}](?=[^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0][{_UPPER}])")
+_LONG = "|".join(sorted((t for t in _GENDER if t not in ("M", "Sr")), key=len, reverse=True))
 # Titles that are letters or words otherwise need their point.
-_TITLED = re.compile(
-    rf"(?:({'|'.join(sorted((t for t in _GENDER if t not in ('M', 'Sr')), key=len, reverse=True))})\.?|(M|Sr)\.)[  ]({_NAME}(?:[  ]{_NAME})?)"
-)
+_TITLE = rf"(?:(?:{_LONG})\.?|(?:M|Sr)\.)"
+_WORD = rf"(?!(?:{_LONG}|Sr|Jr)(?!\w)){_NAME}"
+_INITIALS = rf"[{_UPPER}](?:\.[{_UPPER}])*\.?(?!\w)"
+_TITLED = re.compile(rf"({_TITLE}(?:[ \u00a0]{_TITLE})*)[ \u00a0]((?:(?:{_WORD}|{_INITIALS})[ \u00a0])*{_WORD})")
 
 
 def _script(word: str) -> str:
@@ -70,20 +72,24 @@ def _family(word: str, gender: str) -> str:
 
 
 def _names(text: str) -> list[Mention]:
-    found, known = [], {}
+    found, known, done = [], {}, 0
     for m in filter(None, (_TITLED.match(text, at.start()) for at in _MAYBE_TITLED.finditer(text))):
-        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
+        if m.start() < done or m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
             continue
-        gender = _GENDER[m[1] or m[2]]
-        words = list(re.finditer(r"[^  ]+", m[3]))
+        done = m.end()
+        genders = [_GENDER[t.rstrip(".")] for t in re.split("[ \u00a0]", m[1])]
+        gender = next((g for g in genders if g != "n"), "n")
+        words = list(re.finditer("[^ \u00a0]+", m[2]))
+        parts = []
         for k, w in enumerate(words):
             last = k == len(words) - 1
-            script = _script(w[0])
-            value = _family(w[0], gender) if last else w[0].casefold()
-            kind = f"family-{script}-{gender}" if last else f"given-{script}-{gender}"
-            found.append(Mention(m.start(3) + w.start(), m.start(3) + w.end(), kind, value))
+            initials = re.fullmatch(_INITIALS, w[0]) is not None
+            value = _family(w[0], gender) if last else w[0].casefold().replace(".", "") if initials else w[0].casefold()
+            part = "family" if last else "initial" if initials else "given"
+            parts.append(Mention(m.start(2) + w.start(), m.start(2) + w.end(), f"{part}-{_script(w[0])}-{gender}", value))
+        found += parts
         if len(words) > 1:
-            known[m[3]] = found[-2:]
+            known[m[2]] = parts
     for name, parts in known.items():
         at = text.find(name)
         while at >= 0:
@@ -151,6 +157,7 @@ class _Stream:
 
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_ALPHABETS = {"latin": _LETTERS, "cyrillic": "абвгдезиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 _SYLLABLES = {
     "latin": ("bdfgklmnprstv", "aeiou", ("n", "r", "s", "l"), ("a", "ia", "ina")),
     "cyrillic": ("бвгдзклмнпрст", "аеиоу", ("н", "р", "л", "м"), ("а", "ина", "ия")),
@@ -199,6 +206,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         keep = value[: max(0, len(value) - 10)] if kind == "phone" else ""
         return keep + _number(s, len(value) - len(keep))
     part, script, gender = kind.split("-")
+    if part == "initial":
+        return "".join(s.pick(_ALPHABETS[script].replace(c, "")) for c in value)
     heads, vowels, male, female = _SYLLABLES[script]
     stem = "".join(s.pick(heads) + s.pick(vowels) for _ in range(2 + s.below(2) + more)) + s.pick(heads)
     if part == "family":
@@ -213,6 +222,9 @@ def rendered(m: Mention, surface: str, new: str) -> str:
     if m.kind in ("phone", "ssn", "card", "iban"):
         fresh = iter(new)
         return "".join(next(fresh) if c.isalnum() else c for c in surface)
+    if m.kind.startswith("initial"):
+        fresh = iter(new.upper())
+        return "".join(next(fresh) if c.isalpha() else c for c in surface)
     if m.kind == "email":
         return new.upper() if surface.isupper() else new
     if m.kind == "ip":

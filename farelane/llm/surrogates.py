@@ -7,7 +7,8 @@ documents: of those that clash the least keeps its replacement and the others tr
 the few entities with a later attempt are stored, and joined to the documents that mention them.
 
 Emails, telephone numbers, IPv4 and IPv6 addresses, card and social security numbers, IBANs with
-right check digits, and names behind a title are found. Names keep gender and script, cards
+right check digits, and names behind titles are found: initials and all name words, the last as
+family name. Names keep gender and script, initials become other initials and need not be distinct, cards
 their check digit (or lack of one), telephone numbers the country code, private addresses
 their network.
 
@@ -47,7 +48,7 @@ def found_entities(docs: DataFrame) -> DataFrame:
             rows = [
                 (row, kind, value)
                 for row, text in enumerate(batch.column("text"))
-                for kind, value in dict.fromkeys((_base(m.kind), m.value) for m in mentions(text.as_py()))
+                for kind, value in dict.fromkeys((_base(m.kind), m.value) for m in mentions(text.as_py()) if not m.kind.startswith("initial"))
             ]
             at = pa.array([r[0] for r in rows], pa.int64())
             columns = [batch.column("doc_id").take(at), batch.column("text_key").take(at)]

@@ -501,3 +501,14 @@ def test_titles_after_capitalised_words():
     for text, name in [("Dear Mr. Smith", "Smith"), ("Dear Mrs Jones,", "Jones"), ("Hello Mr. Smith", "Smith"), ("Für Frau Müller", "Müller"), ("Для Г-н Иванов", "Иванов")]:
         assert named(text) == [(name, "family", name.casefold())]
     assert named("From Dr. Ann Lee") == [("Ann", "given", "ann"), ("Lee", "family", "lee")]
+
+
+def test_names_are_whole():
+    assert named("Mr. John Fitzgerald Kennedy spoke.") == [("John", "given", "john"), ("Fitzgerald", "given", "fitzgerald"), ("Kennedy", "family", "kennedy")]
+    assert named("Dr. John F. Kennedy") == [("John", "given", "john"), ("F.", "initial", "f"), ("Kennedy", "family", "kennedy")]
+    assert named("Mrs J.K. Rowling") == [("J.K.", "initial", "jk"), ("Rowling", "family", "rowling")]
+    assert named("Herr Dr. Schmidt") == [("Schmidt", "family", "schmidt")] and mentions("Herr Dr. Schmidt")[0].kind == "family-latin-m"
+    assert named("Prof. Dr. Anna Schmidt kam.") == [("Anna", "given", "anna"), ("Schmidt", "family", "schmidt")]
+    assert named("Mr. John Smith Sr. left") == [("John", "given", "john"), ("Smith", "family", "smith")]
+    new = surrogates._replaced(b"k", "Dr. John F. Kennedy", {})[0]
+    assert new.startswith("Dr. ") and new.split()[2] != "F." and new.split()[2][1:] == "." and "Kennedy" not in new
