@@ -41,7 +41,8 @@ TITLES = {
 }
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
 _UPPER = "A-ZÀ-ÖØ-ÞŠŽŁŚŻΑ-ΩЀ-Я"
-_NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-][{_UPPER}]?[^\W\d_]+)*"
+# Without the s of a possessive.
+_NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-](?!s(?!\w))[{_UPPER}]?[^\W\d_]+)*"
 # Cheap to search for: a capital that begins a title, and a capital after it, which may begin a title itself.
 _MAYBE_TITLED = re.compile(rf"[{''.join(sorted({t[0] for t in _GENDER}))}](?=[^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0][{_UPPER}])")
 _LONG = "|".join(sorted((t for t in _GENDER if t not in ("M", "Sr")), key=len, reverse=True))
@@ -88,15 +89,20 @@ def _names(text: str) -> list[Mention]:
             part = "family" if last else "initial" if initials else "given"
             parts.append(Mention(m.start(2) + w.start(), m.start(2) + w.end(), f"{part}-{_script(w[0])}-{gender}", value))
         found += parts
-        if len(words) > 1:
-            known[m[2]] = parts
-    for name, parts in known.items():
-        at = text.find(name)
-        while at >= 0:
-            for p in parts:
-                shift = at - parts[0].start
-                found.append(Mention(p.start + shift, p.end + shift, p.kind, p.value))
-            at = text.find(name, at + len(name))
+        known.setdefault(m[2], parts)
+    # A known word that stands alone is a family name rather than a given name.
+    for part in sorted(found, key=lambda p: not p.kind.startswith("family")):
+        if not part.kind.startswith("initial"):
+            known.setdefault(text[part.start : part.end], [part])
+    if not known:
+        return found
+    forms = {form: parts for name, parts in known.items() for form in (name.upper(), name.title()) if len(form) == len(name)} | known
+    again = "|".join(map(re.escape, sorted(forms, key=len, reverse=True)))
+    taken = {p.start for p in found}
+    for m in re.finditer(rf"(?<!\w)(?<![^\W\d_]['’-])(?:{again})(?!\w|['’-][{_UPPER}])", text):
+        parts = forms[m[0]]
+        if m.start() not in taken:
+            found += [p._replace(start=p.start + m.start() - parts[0].start, end=p.end + m.start() - parts[0].start) for p in parts]
     return found
 
 

@@ -17,6 +17,8 @@ Cases, by definition:
 * null and empty texts stay as they are; an empty table stays empty;
 * repeated rows and equal entities in other formats get the same replacement;
 * all columns are kept, whatever their names; only ``text`` changes;
+* a name that a title announces is found in the rest of that text too, whole or by one of its words,
+  also in capitals; other texts are not searched for it;
 * other words, and documents without entities, stay byte for byte the same.
 """
 

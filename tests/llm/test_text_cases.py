@@ -512,3 +512,16 @@ def test_names_are_whole():
     assert named("Mr. John Smith Sr. left") == [("John", "given", "john"), ("Smith", "family", "smith")]
     new = surrogates._replaced(b"k", "Dr. John F. Kennedy", {})[0]
     assert new.startswith("Dr. ") and new.split()[2] != "F." and new.split()[2][1:] == "." and "Kennedy" not in new
+
+
+def test_names_are_followed_through_their_text():
+    assert named("Mr. Smith came. Later Smith left, and SMITH's dog too.") == [("Smith", "family", "smith"), ("Smith", "family", "smith"), ("SMITH", "family", "smith")]
+    text = "Dr. Ann Lee met Ann Leeds. Ann Lee, Lee and Ann stayed; Lee-Jones, O'Lee and Annex are others."
+    ann, lee = ("Ann", "given", "ann"), ("Lee", "family", "lee")
+    assert named(text) == [ann, lee, ann, ann, lee, lee, ann]
+    assert surrogates._replaced(b"k", text, {})[0].endswith("stayed; Lee-Jones, O'Lee and Annex are others.")
+    assert "Leeds" in surrogates._replaced(b"k", text, {})[0]
+    assert named("Mrs. Smith's house, Smith says") == [("Smith", "family", "smith")] * 2
+    assert named("Г-жа Иванова и Г-н Иванов. Иванова, Иванов") == [(n, "family", "иванов") for n in ("Иванова", "Иванов") * 2]
+    assert named("Mr. John Thomas met Mr. Thomas Hill. Thomas left")[-1] == ("Thomas", "family", "thomas")
+    assert named("Smith, without a title") == []
