@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from typing import NamedTuple
 
@@ -32,7 +33,7 @@ _NUMBERS = re.compile(
 _LOCAL = re.compile(r"[\w.%+'-]*\w$")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,24}(?![A-Za-z0-9])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
-_IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_IP6_RUN = re.compile(r"[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*")
 #: Titles that announce a name, by gender.
 TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "M", "Sr", "Señor", "Г-н", "Κος"),
@@ -106,6 +107,38 @@ def _names(text: str) -> list[Mention]:
     return found
 
 
+def _ip6(text: str) -> list[Mention]:
+    """IPv6 addresses in full or compressed form; one that maps an IPv4 address is that address."""
+    found = []
+    if text.count(":") < 2:
+        return found
+    for m in _IP6_RUN.finditer(text):
+        run, start = m[0].rstrip("."), m.start()
+        if run.endswith(":") and not run.endswith("::"):
+            run = run[:-1]
+        before = text[start - 1 : start]
+        label = before.isalnum() or before == "_"
+        if label or run.startswith(":") and not run.startswith("::"):
+            # What stands before the first colon is a word, as in ip:2001:db8::1.
+            cut = run.find(":") + 1
+            run, start = run[cut:], start + cut
+            if not cut or label and run.startswith(":"):
+                continue
+        after = text[start + len(run) : start + len(run) + 1]
+        if run == "::" or len(run) > 45 or after.isalnum() or after == "_":
+            continue
+        try:
+            address = ipaddress.IPv6Address(run)
+        except ValueError:
+            continue
+        if address.ipv4_mapped:
+            found.append(Mention(start, start + len(run), "ip", str(address.ipv4_mapped)))
+        else:
+            value = ":".join(f"{int(p, 16):x}" for p in address.exploded.split(":"))
+            found.append(Mention(start, start + len(run), "ip6", value))
+    return found
+
+
 def mentions(text: str | None) -> list[Mention]:
     """Mentions in the order of the text, none inside another."""
     if not text:
@@ -133,8 +166,7 @@ def mentions(text: str | None) -> list[Mention]:
         plain = m[0].replace(" ", "")
         if not text[m.start() - 1 : m.start()].isalnum() and 15 <= len(plain) <= 34 and _iban_rest(plain) == 1:
             found.append(Mention(m.start(), m.end(), "iban", plain))
-    if text.count(":") >= 7:
-        found += [Mention(m.start(), m.end(), "ip6", ":".join(f"{int(p, 16):x}" for p in m[0].split(":"))) for m in _IP6.finditer(text)]
+    found += _ip6(text)
     found += _names(text)
     kept: list[Mention] = []
     for m in sorted(set(found), key=lambda m: (m.start, -m.end)):
@@ -200,7 +232,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         fresh = [str(free[s.below(len(free))])] + [str(s.below(256)) for _ in parts[1:]]
         return ".".join(parts[:keep] + fresh[keep:])
     if kind == "ip6":
-        return ":".join([f"{0x2000 + s.below(0x2000):x}"] + [f"{s.below(1 << 16):x}" for _ in range(7)])
+        first = value.split(":")[0]
+        local = first if int(first, 16) >= 0xFC00 else f"{0x2000 + s.below(0x2000):x}"
+        return ":".join([local] + [f"{s.below(1 << 16):x}" for _ in range(7)])
     if kind == "card":
         body = _number(s, len(value) - 1)
         check = next(str(c) for c in range(10) if luhn(body + str(c)))
@@ -234,7 +268,7 @@ def rendered(m: Mention, surface: str, new: str) -> str:
     if m.kind == "email":
         return new.upper() if surface.isupper() else new
     if m.kind == "ip":
-        return new
+        return f"::ffff:{new}" if ":" in surface else new
     if m.kind == "ip6":
         return new.upper() if surface.upper() == surface else new
     if m.kind.startswith("family-cyrillic-f"):

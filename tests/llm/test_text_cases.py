@@ -525,3 +525,16 @@ def test_names_are_followed_through_their_text():
     assert named("Г-жа Иванова и Г-н Иванов. Иванова, Иванов") == [(n, "family", "иванов") for n in ("Иванова", "Иванов") * 2]
     assert named("Mr. John Thomas met Mr. Thomas Hill. Thomas left")[-1] == ("Thomas", "family", "thomas")
     assert named("Smith, without a title") == []
+
+
+def test_ip6_in_all_forms():
+    found = lambda text: [(text[m.start : m.end], m.kind, m.value) for m in mentions(text)]
+    doc = "2001:db8:0:0:0:0:0:1"
+    for form in ("2001:db8::1", "2001:DB8::1", "2001:0db8:0000:0000:0000:0000:0000:0001", "2001:db8:0:0::1"):
+        for text in ("From {} today", "{}", "at [{}]:443", "{}.", "see {}: down", "ip:{}", "Source:{}, {}/64"):
+            assert found(text.replace("{}", form)) == [(form, "ip6", doc)] * text.count("{}"), text
+    assert found("fe80::1%eth0 ::1") == [("fe80::1", "ip6", "fe80:0:0:0:0:0:0:1"), ("::1", "ip6", "0:0:0:0:0:0:0:1")]
+    assert found("::ffff:192.168.4.5 192.168.4.5 ::FFFF:c0a8:405") == [(f, "ip", "192.168.4.5") for f in ("::ffff:192.168.4.5", "192.168.4.5", "::FFFF:c0a8:405")]
+    assert found("12:30:45 std::vector a :: b 00:1a:2b:3c:4d:5e Foo::add 1:2:3 x::1 2001:db8::1::2 2001:db8::12345") == []
+    new = surrogates._replaced(b"k", "2001:db8::1 2001:db8:0:0:0:0:0:1 fe80::1 ::ffff:192.168.4.5 192.168.4.5", {})[0].split()
+    assert new[0] == new[1] != "2001:db8::1" and new[2].startswith("fe80:") and new[3] == "::ffff:" + new[4] and new[4].startswith("192.168.")
