@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from farelane.llm.common import LOWER, UPPER
+from farelane.llm.curriculum import Mix
 from farelane.llm.line_dedup import MIN_SITES
 from farelane.llm.quality_rules import SYMBOLS, QualityRules
 from farelane.llm.topk_search import EVERY, SCALE, K
@@ -116,10 +117,62 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM held LEFT JOIN firsts USING (payload_digest)
 """
 
+_MIX = Mix()
+
+
+def _time_sql(schedule) -> str:
+    """The time at which the share ``done`` of a schedule is reached, as a CASE over its parts."""
+    sums = [0.0]
+    for (t, v), (u, w) in zip(schedule, schedule[1:]):
+        sums.append(sums[-1] + (v + w) / 2 * (u - t))
+    number = lambda x: f"CAST({x!r} AS DOUBLE)"
+    parts = []
+    for (t, v), (u, w), before, after in zip(schedule, schedule[1:], sums, sums[1:]):
+        rest = f"(done * {number(sums[-1])} - {number(before)})"
+        root = f"sqrt(greatest({number(v * v)} + {number(2 * ((w - v) / (u - t)))} * {rest}, 0))"
+        parts.append(f"WHEN done * {number(sums[-1])} < {number(after)} THEN {number(t)} + 2 * {rest} / ({number(v)} + {root})")
+    return f"(CASE {' '.join(parts)} ELSE 1 END)"
+
+
+MIXED = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, CAST(len({_WORDS % "coalesce(text, '')"}) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('{_MIX.seed}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS place
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM docs GROUP BY source),
+weighted AS (SELECT *, [{", ".join(map(str, _MIX.weights))}][CAST(i % {len(_MIX.weights)} AS INT) + 1] AS w FROM sources),
+shared AS (
+  SELECT *, sum(s) OVER () AS total, coalesce(sum(s) OVER (ORDER BY s / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone,
+    sum(w) OVER (ORDER BY s / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w
+  FROM weighted),
+fills AS (SELECT *, {100 * _MIX.most} * s * left_w <= w * ({_MIX.share} * total - {100 * _MIX.most} * gone) AS is_full FROM shared),
+aims AS (
+  SELECT source, s, i, CASE WHEN is_full THEN CAST({_MIX.most} * s AS DOUBLE)
+    ELSE CAST(w * ({_MIX.share} * total - {100 * _MIX.most} * coalesce(sum(s) FILTER (is_full) OVER (), 0)) AS DOUBLE)
+      / CAST(100 * sum(w) FILTER (NOT is_full) OVER () AS DOUBLE) END AS target
+  FROM fills),
+starts AS (
+  SELECT docs.*, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS c
+  FROM docs),
+copies AS (
+  SELECT row_id, e, least(size, CAST(floor(target) AS BIGINT) - c - e * s) AS taken, i, CAST(c + e * s AS DOUBLE) / target AS done
+  FROM starts JOIN aims ON starts.source IS NOT DISTINCT FROM aims.source, range({_MIX.most}) AS t(e)),
+timed AS (
+  SELECT *, CASE i % {len(_MIX.weights)} {" ".join(f"WHEN {k} THEN {_time_sql(x)}" for k, x in enumerate(_MIX.schedules))} END AS time
+  FROM copies WHERE taken > 0),
+sums AS (SELECT row_id, CAST(sum(taken) AS BIGINT) AS taken, count(*) AS n, min(time) AS time FROM timed GROUP BY row_id)
+SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0) AS taken, coalesce(n, 0) AS n_copies,
+  CAST(floor(time * 1000000) AS BIGINT) AS first_millionth
+FROM docs JOIN aims ON docs.source IS NOT DISTINCT FROM aims.source LEFT JOIN sums USING (row_id)
+"""
+
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY,
     "op4_warc_zip": ARCHIVED,
     "op7_url_filter": URLS,
     "op8_exact_topk": NEAREST,
     "op10_line_dedup": BOILERPLATE,
+    "op13_source_curriculum": MIXED,
 }

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import line_dedup, packing, quality_rules, sentencepiece_bpe, simhash, suffix_dedup, surrogates, topk_search, url_filter, warc_zip
+from farelane.llm import (
+    curriculum,
+    line_dedup,
+    packing,
+    periodic_runs,
+    quality_rules,
+    sentencepiece_bpe,
+    simhash,
+    suffix_dedup,
+    surrogates,
+    token_alignment,
+    topk_search,
+    url_filter,
+    warc_zip,
+)
+from farelane.llm.common import land, let, words_of
 
 
 def tokenizer_file(name: str) -> str:
@@ -87,6 +102,59 @@ def boilerplate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def aligned(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = token_alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    written = land(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return token_alignment.with_counts(written).drop("block")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document or so repeats a period from some word on."""
+    hashed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = g % n
+        period = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        word = lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % period).cast("int")))
+        return F.when(n > 0, F.array_join(F.transform(words, word), " "))
+
+    chosen = F.when(hashed % 10 == 0, let(words_of(F.col("text")), repeated))
+    return docs.select("doc_id", F.coalesce(chosen, "text").alias("text"))
+
+
+def periodic(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(F.col("best.length") * 1000 / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def mixed(spark: SparkSession, folder: str) -> DataFrame:
+    found = curriculum.curriculum(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        curriculum.taken_words(F.col("copies")).alias("taken"),
+        F.size("copies").cast("long").alias("n_copies"),
+        F.floor(F.get("copies", F.lit(0))["position"] * 1_000_000).alias("first_millionth"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogates": private,
     "op2_quality_rules": quality,
@@ -98,4 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": nearest,
     "op9_suffix_dedup": repeats,
     "op10_line_dedup": boilerplate,
+    "op11_token_alignment": aligned,
+    "op12_periodic_runs": periodic,
+    "op13_source_curriculum": mixed,
 }

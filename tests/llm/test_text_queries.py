@@ -38,7 +38,7 @@ def test_twin(spark, name):
 
 
 def test_every_number_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pieces_are_the_librarys(spark, docs):
