@@ -49,7 +49,7 @@ class Mix:
     schedules: tuple[Schedule, ...] = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 0.5), (0.5, 1.5), (1.0, 0.5)), ((0.0, 0.25), (0.75, 0.5), (1.0, 4.0)))
     seed: str = "mix"
     #: Rows of a source in one slice, on average.
-    slice_rows: int = 20_000
+    slice_rows: int = 4096
 
 
 def integral(schedule: Schedule) -> list[float]:
