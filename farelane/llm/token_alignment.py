@@ -22,7 +22,9 @@ Cases, by definition:
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,6 +41,8 @@ from farelane.llm.packing import portions
 BLOCK_CHARS = 1 << 24
 _LINKS = 1 << 20
 _PART = 1 << 18
+#: Words in each of the two halves of a worker's store; some 100 MB each.
+_MOST_WORDS = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -62,6 +66,22 @@ class ByteLevelTokens:
         size = self.tokenizer.get_vocab_size()
         named = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.spelled = [bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode() for name in named]
+        self.quick = self._quick(named)
+
+    def _quick(self, named: list[str]):
+        """The same vocabulary in a faster library, where the file's merges stand in the order of their ids; it is given plain words only."""
+        import tiktoken
+
+        model = json.loads(self.tokenizer.to_str())["model"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        if model.get("ignore_merges") or [model["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+            return None
+        ranks = {s: i for i, s in enumerate(self.spelled[: 256 + len(merged)])}
+        return tiktoken.Encoding("words", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(merged) else None
+
+    def encode_plain(self, text: str) -> list[int]:
+        """Ids of words of ``_PLAIN``, one space before each."""
+        return self.quick.encode_ordinary(f" {text}") if self.quick else self.encode([text])[0]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
@@ -83,36 +103,116 @@ class PieceTokens:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def encode_plain(self, text: str) -> list[int]:
+        return self.model.encode(text)
 
-@lru_cache(maxsize=4)
-def side(kind: type, path: str):
-    """A vocabulary with the lengths of its tokens and their ids as text."""
-    tokens = kind(path)
-    tokens.lengths = np.array([len(s) for s in tokens.spelled], np.int64)
-    tokens.names = [str(i) for i in range(len(tokens.spelled))]
-    return tokens
+
+#: A space at which both vocabularies always end a token: between characters that are no white space in any reading.
+_CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+#: Words of letters, digits and signs that all libraries class alike.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ſΆ-ώЁА-яё]+")
+# Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
+
+
+class TokenPair:
+    """Ids of texts by both vocabularies, through a store of the words met lately.
+
+    Neither vocabulary joins anything across a single space inside text: the first one's pattern starts a new part there, and
+    no piece of the second has a space behind another character (where one has, texts are not cut). So ids are those
+    of words with the space before them.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = ByteLevelTokens(path_a), PieceTokens(path_b)
+        for tokens in (self.a, self.b):
+            tokens.lengths = np.array([len(s) for s in tokens.spelled], np.int64)
+            tokens.names = [str(i) for i in range(len(tokens.spelled))]
+        self.cuts = not any(b" " in s.lstrip(b" ") for s in self.b.spelled)
+        # Little-endian ids of words by each vocabulary, and of the words used before the store was full; words that one does not spell.
+        self.store: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.before = self.store
+        self.unspelled: set[str] = set()
+
+    def _spell(self, word: str, a: list[int], b: list[int]) -> bool:
+        data = f" {word}".encode()
+        return all(b"".join(map(s.spelled.__getitem__, ids)) == data for s, ids in ((self.a, a), (self.b, b)))
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words in one text and cut the ids at the words' ends; where they do not spell the text, nothing is learnt."""
+        text = " ".join(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        parts = []
+        for side in (self.a, self.b):
+            ids = side.encode_plain(text)
+            if b"".join(map(side.spelled.__getitem__, ids)) != f" {text}".encode():
+                return
+            ids = np.array(ids, "<i4")
+            cut = 4 * np.searchsorted(np.cumsum(side.lengths[ids]), ends, "left") + 4
+            data = ids.tobytes()
+            parts.append([data[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist())])
+        for store, own in zip(self.store, parts):
+            store.update(zip(words, own))
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+        """The ids of each text; None where they do not spell it, or it is empty."""
+        split = [_CUT.split(t) if self.cuts else [t] for t in texts]
+        if len(self.store[0]) >= _MOST_WORDS:
+            self.before, self.store, self.unspelled = self.store, ({}, {}), set()
+        wanted = set().union(*split).difference(self.store[0])
+        known = [w for w in wanted if w in self.before[0]]
+        for store, before in zip(self.store, self.before):
+            store.update(zip(known, map(before.__getitem__, known)))
+        new = list(wanted.difference(known))
+        plain = [w for w in new if _PLAIN.fullmatch(w)]
+        for at in range(0, len(plain), 1000):
+            self._learn(plain[at : at + 1000])
+        rest = [w for w in new if w not in self.store[0]]
+        for word, *ids in zip(rest, self.a.encode(rest), self.b.encode(rest)):
+            for store, own in zip(self.store, ids):
+                store[word] = np.array(own, "<i4").tobytes()
+        # Words that come back from the older half are looked at again, if not plain.
+        self.unspelled.update(w for w in (*rest, *(w for w in known if not _PLAIN.fullmatch(w))) if not self._spell(w, *(np.frombuffer(s[w], "<i4").tolist() for s in self.store)))
+        for text, words in zip(texts, split):
+            a, b = (np.frombuffer(b"".join(map(store.__getitem__, words)), "<i4").astype(np.int64) for store in self.store)
+            if text and (self.unspelled.isdisjoint(words) or self._spell(text, a.tolist(), b.tolist())):
+                yield a, b
+            else:
+                yield None
+
+
+@lru_cache(maxsize=2)
+def token_pair(path_a: str, path_b: str) -> TokenPair:
+    return TokenPair(path_a, path_b)
 
 
 def group_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """Tokens of each side up to the end of each group; both lists rise to the same last end."""
     n, cuts_a, cuts_b, i, j = len(ends_a), [], [], 0, 0
+    # Behind the ends nothing is equal.
+    ends_a, ends_b = [*ends_a, -1], [*ends_b, -2]
     while i < n:
-        if ends_a[i] == ends_b[j]:
-            # A one-to-one stretch at shift j - i: probes double until one fails, then halve.
-            reach, step, grows = 1, 1, True
-            while step:
-                if ends_a[i + reach : i + reach + step] == ends_b[j + reach : j + reach + step] and i + reach < n:
-                    reach += step
-                    step = 2 * step if grows else step // 2
-                else:
-                    grows = False
-                    step //= 2
-            reach = min(reach, n - i)
-            i, j, start_a, start_b = i + reach, j + reach, i, j
+        a, b = ends_a[i], ends_b[j]
+        if a == b:
+            start_a, start_b = i, j
+            i += 1
+            j += 1
+            if ends_a[i] == ends_b[j]:
+                # A one-to-one stretch at shift j - i: probes double until one fails, then halve.
+                i += 1
+                j += 1
+                step, grows = 2, True
+                while step:
+                    if i + step <= n and ends_a[i : i + step] == ends_b[j : j + step]:
+                        i += step
+                        j += step
+                        step = 2 * step if grows else step // 2
+                    else:
+                        grows = False
+                        step //= 2
             cuts_a += range(start_a + 1, i + 1)
             cuts_b += range(start_b + 1, j + 1)
         else:
-            a, b = ends_a[i], ends_b[j]
             while a != b:
                 if a < b:
                     i += 1
@@ -129,14 +229,17 @@ def group_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[in
 
 def rendered(names_a: list[str], names_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
-    parts, i, j = [], 0, 0
+    shown, i, j = [], 0, 0
     for a, b in zip(cuts_a, cuts_b):
         if a - i == 1 and b - j == 1:
-            parts.append(f"{names_a[i]}|{names_b[j]}")
+            shown.append(f"{names_a[i]}|{names_b[j]}")
         else:
-            parts.append(f"{','.join(names_a[i:a])}|{','.join(names_b[j:b])}")
+            shown.append(f"{','.join(names_a[i:a])}|{','.join(names_b[j:b])}")
         i, j = a, b
-    return ";".join(parts)
+    return ";".join(shown)
+
+
+_NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
 def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,50 +247,53 @@ def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_
     starts_a, starts_b = np.r_[0, cuts_a[:-1]], np.r_[0, cuts_b[:-1]]
     sizes_b = cuts_b - starts_b
     links = (cuts_a - starts_a) * sizes_b
-    codes, times = [], []
-
-    def add(some: np.ndarray, often: np.ndarray | None = None) -> None:
-        found, where, n = np.unique(some, return_inverse=True, return_counts=True)
-        codes.append(found)
-        times.append(n if often is None else np.bincount(where, often, len(found)).astype(np.int64))
-
-    large = links > _LINKS
-    for g in np.flatnonzero(large).tolist():
+    found, waiting, size = [], [], 0
+
+    def count() -> None:
+        nonlocal waiting, size
+        found.append(np.unique(np.concatenate(waiting), return_counts=True))
+        waiting, size = [], 0
+
+    # Most groups have one link.
+    single = np.flatnonzero(links == 1)
+    for at in range(0, len(single), _LINKS):
+        some = single[at : at + _LINKS]
+        waiting.append((ids_a[starts_a[some]] << 32) | ids_b[starts_b[some]])
+        if (size := size + len(some)) >= _LINKS:
+            count()
+    several = np.flatnonzero((links > 1) & (links <= _LINKS))
+    part = np.cumsum(links[several]) // _LINKS
+    for groups in np.split(several, np.flatnonzero(np.diff(part)) + 1):
+        ends = np.cumsum(links[groups])
+        inside = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - links[groups], links[groups])
+        wide = np.repeat(sizes_b[groups], links[groups])
+        a = ids_a[np.repeat(starts_a[groups], links[groups]) + inside // wide]
+        waiting.append((a << 32) | ids_b[np.repeat(starts_b[groups], links[groups]) + inside % wide])
+        if (size := size + len(inside)) >= _LINKS:
+            count()
+    if size:
+        count()
+    for g in np.flatnonzero(links > _LINKS).tolist():
         a, n_a = np.unique(ids_a[starts_a[g] : cuts_a[g]], return_counts=True)
         b, n_b = np.unique(ids_b[starts_b[g] : cuts_b[g]], return_counts=True)
-        codes.append(((a[:, None] << 32) | b).ravel())
-        times.append((n_a[:, None] * n_b).ravel())
-    small = np.flatnonzero(~large)
-    part = np.cumsum(links[small]) // _LINKS
-    for groups in np.split(small, np.flatnonzero(np.diff(part)) + 1):
-        size = links[groups]
-        ends = np.cumsum(size)
-        if not len(ends) or not ends[-1]:
-            continue
-        inside = np.arange(ends[-1]) - np.repeat(ends - size, size)
-        wide = np.repeat(sizes_b[groups], size)
-        a = ids_a[np.repeat(starts_a[groups], size) + inside // wide]
-        add((a << 32) | ids_b[np.repeat(starts_b[groups], size) + inside % wide])
-    if len(codes) > 1:
-        codes, times, often = [], [], (np.concatenate(codes), np.concatenate(times))
-        add(*often)
-    return (codes[0], times[0]) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-_NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-
-def align_text(text: str | None, ids_a: list[int], ids_b: list[int], a: ByteLevelTokens, b: PieceTokens) -> tuple:
-    """(n_a, n_b, n_groups, n_links, groups, pairs, times) of one text."""
-    data = f" {text}".encode()
-    spelled = text and all(b"".join(map(s.spelled.__getitem__, ids)) == data for s, ids in ((a, ids_a), (b, ids_b)))
-    if not spelled:
+        found.append((((a[:, None] << 32) | b).ravel(), (n_a[:, None] * n_b).ravel()))
+    if len(found) < 2:
+        return found[0] if found else _NO_PAIRS
+    codes, where = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+    times = np.zeros(len(codes), np.int64)
+    np.add.at(times, where, np.concatenate([n for _, n in found]))
+    return codes, times
+
+
+def aligned_text(ids: tuple[np.ndarray, np.ndarray] | None, tokens: TokenPair) -> tuple:
+    """(n_a, n_b, n_groups, n_links, groups, pairs, times) of the ids of one text."""
+    if ids is None:
         return 0, 0, 0, 0, "", *_NO_PAIRS
-    both = [np.array(ids, np.int64) for ids in (ids_a, ids_b)]
-    cuts = group_ends(*(np.cumsum(s.lengths[ids]).tolist() for s, ids in zip((a, b), both)))
-    groups = rendered(*(list(map(s.names.__getitem__, ids)) for s, ids in ((a, ids_a), (b, ids_b))), *cuts)
-    pairs, times = linked_pairs(*both, *(np.array(c, np.int64) for c in cuts))
-    return len(ids_a), len(ids_b), len(cuts[0]), int(times.sum()), groups, pairs, times
+    sides = list(zip((tokens.a, tokens.b), ids))
+    cuts = group_ends(*(np.cumsum(s.lengths[x]).tolist() for s, x in sides))
+    groups = rendered(*(list(map(s.names.__getitem__, x.tolist())) for s, x in sides), *cuts)
+    pairs, times = linked_pairs(*ids, *(np.array(c, np.int64) for c in cuts))
+    return len(ids[0]), len(ids[1]), len(cuts[0]), int(times.sum()), groups, pairs, times
 
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -232,14 +338,14 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_chars: int = BLOCK_CH
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        a, b = side(ByteLevelTokens, path_a), side(PieceTokens, path_b)
+        tokens = token_pair(path_a, path_b)
         rows, size, place = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, at = batch.column("doc_id").to_pylist(), 0
             for part in portions(batch.column("text"), _PART):
                 texts = [t or "" for t in part]
-                for text, ids_a, ids_b in zip(texts, a.encode(texts), b.encode(texts)):
-                    rows.append((ids[at], *align_text(text, ids_a, ids_b, a, b)))
+                for found in tokens.encode(texts):
+                    rows.append((ids[at], *aligned_text(found, tokens)))
                     at += 1
                 size += sum(map(len, texts))
                 if size >= block_chars:
