@@ -1,17 +1,24 @@
 """Texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, all of them.
 
-Fingerprints cannot lead to these pairs: at similarity 0.8 SimHashes of 64 bits differ in ten bits
-on average and in 17 now and then, and grids of half the axes at 17 bits are more than there are
-texts. So the candidates are exact. Sets a, b with |a & b| / |a | b| >= 0.8 share 0.8 of the larger one, so in any
-common order of all shingles their first n - ceil(0.8 n) + 1 meet. Rare shingles come first; how rare
-is estimated on a sample of texts, which changes the number of candidates but no result.
-
-Texts that share a shingle form a cell. Its least and greatest text are compared with its others
-first; then all pairs that no link has joined, so that a large group of copies costs no pair of its
-own. Sizes and the number of shared cells rule pairs out before the sets of the rest are compared.
+Three steps, each exact in what it joins; the last one misses nothing.
+
+1. SimHash fingerprints of the sets, searched by segment counts in grids (``simhash.links``): near-identical
+   texts. At similarity 0.8 fingerprints of 64 bits differ in ten bits on average and in 17 now and then, and grids for
+   17 bits would have more cells than there are texts, so the rest is looked for on the sets themselves.
+2. Sets a, b with |a & b| / |a | b| >= 0.8 share 0.8 of the larger one, so in any common order of all
+   shingles their first n - ceil(0.8 n) + 1 meet. Rare shingles come first; how rare is estimated on a sample of
+   texts, which changes the number of candidates but no result. Texts that share a shingle form a cell; its
+   least and greatest text are compared with its others.
+3. Cells of one group are done with, however large. In the others, texts of different groups are compared through the
+   same embedding as fingerprints: a set is a long bit string, cut into segments by hash, and the Manhattan distance of
+   the segments' bit counts never exceeds the number of bits in which two sets differ, a ninth of
+   both sizes at similarity 0.8. Few pairs pass that are not similar. A crowded cell is dealt as pairs of blocks.
+
+Pairs that share enough shingles of both prefixes are then verified on the whole sets.
 
 Sets hold 64-bit hashes. Texts of fewer than five words are one shingle, and so are texts without
-words, which equal each other.
+words, which equal each other. Of a very long text, a task holds the set of shingles, eight bytes each, once per
+side of a candidate pair; segment counts stop at 255, which only weakens the bound.
 """
 
 from __future__ import annotations
@@ -31,6 +38,10 @@ WORDS = 5
 #: Texts on which shingle counts are estimated, and most counts that are kept.
 SAMPLE = 20_000
 COUNTS = 200_000
+#: Segments of a set's bit string.
+SEGMENTS = 128
+#: Most texts of one cell that one block holds.
+BLOCK = 4096
 _SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 1 << 19
@@ -119,7 +130,7 @@ def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [c.to_numpy() for c in batch.columns]
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         before = np.flatnonzero(columns[0] != columns[0][-1])
         cut = int(before[-1]) + 1 if len(before) else 0
         if not cut and kept and kept[0][0][-1] != columns[0][0]:
@@ -149,31 +160,63 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(columns | {"low": key[low], "low_size": size[low], "high": key[high], "high_size": size[high]})
 
 
+def sketches(texts: DataFrame) -> DataFrame:
+    """(key, fp, counts) per text: fingerprint of its set, and the set's bits per segment, at most 255 each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, counts = [], []
+            for text in batch.column("text"):
+                shingles = shingle_set(text.as_py())
+                ones = np.zeros(64, np.int64)
+                for at in range(0, len(shingles), 1 << 16):
+                    part = shingles[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+                    ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+                prints.append(int(np.packbits(2 * ones > len(shingles), bitorder="little").view("<i8")[0]))
+                inside = np.bincount((shingles % np.uint64(SEGMENTS)).astype(np.int64), minlength=SEGMENTS)
+                counts.append(np.minimum(inside, 255).astype(np.uint8).tobytes())
+            columns = [batch.column("text_key"), pa.array(prints, pa.int64()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "fp", "counts"])
+
+    return map_batches(texts.select("text_key", "text"), run, "key long, fp long, counts binary")
+
+
+def _may_be_alike(i: np.ndarray, j: np.ndarray, size: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which pairs pass the bound: Manhattan distance of the segment counts at most a ninth of both sizes."""
+    passed = []
+    for at in range(0, max(1, len(i)), 1 << 16):
+        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        distance = np.abs(counts[a] - counts[b]).sum(axis=1, dtype=np.int64)
+        passed.append(9 * distance <= size[a] + size[b])
+    return np.concatenate(passed)
+
+
 def _unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, label, key, size) sorted by the first two; pairs of different labels, with the sum and the larger of their sizes."""
-    for h, label, key, size in _by_cell(batches):
-        for start, end in zip(*_ranges(h)):
-            if label[start] == label[end - 1]:
+    """Rows (cell, home, label, key, size, counts) sorted by cell; pairs of different labels that may be alike, with the sum and the larger of their sizes.
+
+    A cell is a shingle and two blocks of its texts; of two different blocks only pairs across are looked at.
+    """
+    for cell, home, label, key, size, counts in _by_cell(batches):
+        for start, end in zip(*_ranges(cell)):
+            own, blocks, keys, n = (c[start:end] for c in (label, home, key, size.astype(np.int64)))
+            if (own == own[0]).all():
                 continue
-            groups, sizes = np.unique(label[start:end], return_counts=True)
-            # Every pair of labels has a side outside the largest one.
-            largest = groups[np.argmax(sizes)]
-            own, keys, n = (c[start:end] for c in (label, key, size))
-            found: list[tuple[np.ndarray, ...]] = []
-            rows = 0
-            for i in np.flatnonzero(own != largest):
-                # Each pair once: with the largest label, or with the lesser of two others.
-                other = (own == largest) | (own > own[i])
-                may = other & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i]))
-                j = keys[may]
-                if len(j):
-                    found.append((np.minimum(j, keys[i]), np.maximum(j, keys[i]), n[may] + n[i], np.maximum(n[may], n[i])))
-                    rows += len(j)
-                if rows >= _ROWS:
-                    yield _batch(dict(zip(("a", "b", "both", "larger"), map(np.concatenate, zip(*found)))))
-                    found, rows = [], 0
-            if found:
-                yield _batch(dict(zip(("a", "b", "both", "larger"), map(np.concatenate, zip(*found)))))
+            bits = np.frombuffer(b"".join(counts[start:end]), np.uint8).reshape(-1, SEGMENTS).astype(np.int16)
+            two = blocks.min() != blocks.max()
+            rows = np.flatnonzero(blocks == blocks[0]) if two else np.arange(len(own))
+            step = max(1, (1 << 22) // len(own))
+            for at in range(0, len(rows), step):
+                some = rows[at : at + step]
+                open_ = own[some, None] != own[None, :]
+                open_ &= 5 * np.minimum(n[some, None], n) >= 4 * np.maximum(n[some, None], n)
+                open_ &= (blocks[some, None] != blocks) if two else (some[:, None] < np.arange(len(own)))
+                i, j = np.nonzero(open_)
+                i = some[i]
+                passed = _may_be_alike(i, j, n, bits)
+                i, j = i[passed], j[passed]
+                if len(i):
+                    a, b = keys[i], keys[j]
+                    yield _batch({"a": np.minimum(a, b), "b": np.maximum(a, b), "both": n[i] + n[j], "larger": np.maximum(n[i], n[j])})
 
 
 def _enough(pairs: DataFrame) -> DataFrame:
@@ -206,23 +249,40 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return land(map_batches(both.select("a", "b", "left", "right"), compare, "a long, b long"), "similar-pairs")
 
 
-def links(texts: DataFrame, n_texts: int) -> DataFrame:
-    """(a, b): keys of similar texts, joining all that are similar; ``texts`` has each text_key once."""
+def _across(shared: DataFrame, labels: DataFrame, drawn: DataFrame, block: int) -> DataFrame:
+    """(a, b, both, larger): pairs of texts of different groups that share a shingle and may be alike, once per shingle."""
+    labelled = shared.join(labels, "key", "left").select("h", F.coalesce("label", "key").alias("label"), "key", "size")
+    labelled = land(labelled, "labelled-shingles")
+    mixed = labelled.groupBy("h").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    mixed = land(mixed.select("h", F.ceil(F.col("n") / block).alias("blocks")), "mixed-cells")
+    placed = labelled.join(mixed, "h").withColumn("home", F.pmod(F.xxhash64("key"), F.col("blocks")))
+    placed = placed.join(drawn.select("key", "counts"), "key")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    spread = placed.select("h", "home", other, "label", "key", "size", "counts")
+    cell = F.xxhash64("h", F.least("home", "other"), F.greatest("home", "other")).alias("cell")
+    dealt = spread.select(cell, "home", "label", "key", "size", "counts").repartition("cell").sortWithinPartitions("cell")
+    return map_batches(dealt, _unjoined, "a long, b long, both long, larger long")
+
+
+def links(texts: DataFrame, n_texts: int, near: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b): keys of similar texts, joining all that are similar; ``texts`` has each text_key once.
+
+    ``near`` has pairs that fingerprints led to, not yet verified; ``drawn`` is the written result of ``sketches``.
+    """
     cells = _prefixes(texts.select("text_key", "text"), *_frequent(texts, n_texts)).repartition("h").sortWithinPartitions("h", "key")
     shared = land(map_batches(cells, _shared, "h long, key long, size int, low long, low_size int, high long, high_size int"), "shared-shingles")
 
     def ends(side: str) -> DataFrame:
         other = F.col(f"{side}_size")
-        near = 5 * F.least("size", other) >= 4 * F.greatest("size", other)
-        pairs = shared.where((F.col("key") != F.col(side)) & near)
+        alike_in_size = 5 * F.least("size", other) >= 4 * F.greatest("size", other)
+        pairs = shared.where((F.col("key") != F.col(side)) & alike_in_size)
         sizes = (F.col("size") + other).alias("both"), F.greatest("size", other).alias("larger")
         return pairs.select(F.least("key", side).alias("a"), F.greatest("key", side).alias("b"), *sizes)
 
     # A pair that is passed over here is met again among those no link has joined.
-    first = land(_enough(ends("low").unionByName(ends("high"))), "first-pairs")
+    first = _enough(ends("low").unionByName(ends("high")))
+    first = land(first.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "first-pairs")
     found = _verified(first, texts)
     labels = land(components(found).select(F.col("node").alias("key"), "label"), "first-labels")
-    labelled = shared.join(labels, "key", "left").select("h", F.coalesce("label", "key").alias("label"), "key", "size")
-    rest = map_batches(labelled.repartition("h").sortWithinPartitions("h", "label"), _unjoined, "a long, b long, both int, larger int")
-    rest = land(_enough(rest).join(first, ["a", "b"], "left_anti"), "other-pairs")
+    rest = land(_enough(_across(shared, labels, drawn, block)).join(first, ["a", "b"], "left_anti"), "other-pairs")
     return found.unionByName(_verified(rest, texts))

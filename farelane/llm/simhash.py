@@ -228,8 +228,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return _grouped(prints, distinct, links(distinct, max_bits), "fp")
 
 
-def similar_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, component_id) per row of ``docs``: components of Jaccard similarity 0.8 of five-word shingles."""
+def similar_texts(docs: DataFrame, block: int = shingle_sets.BLOCK) -> DataFrame:
+    """(doc_id, text_key, component_id) per row of ``docs``: components of Jaccard similarity 0.8 of five-word shingles.
+
+    Fingerprints of the shingle sets lead to near-identical texts by segment counts and grids; ``shingle_sets`` verifies
+    them and finds the others. Cells of more than ``block`` texts are dealt as block pairs.
+    """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     prints = land(keyed.select("doc_id", "text_key"), "text-keys")
     distinct = land(prints.groupBy("text_key").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "distinct-texts")
@@ -237,7 +241,12 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     texts = keyed.select("text_key", "text")
     once = texts.join(again, "text_key", "left_anti")
     texts = once.unionByName(texts.join(again, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text")))
-    return _grouped(prints, distinct, shingle_sets.links(texts, distinct.count()), "text_key")
+    drawn = land(shingle_sets.sketches(texts), "sketches")
+    first = land(drawn.groupBy("fp").agg(F.min("key").alias("key")), "set-prints")
+    same = drawn.join(first.withColumnRenamed("key", "a"), "fp").where("key <> a").select("a", F.col("key").alias("b"))
+    ends = [first.select(F.col("fp").alias(side), F.col("key").alias(f"{side}_key")) for side in ("a", "b")]
+    near = links(first).where("a <> b").join(ends[0], "a").join(ends[1], "b").select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
+    return _grouped(prints, distinct, shingle_sets.links(texts, distinct.count(), same.unionByName(near), drawn, block), "text_key")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

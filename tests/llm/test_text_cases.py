@@ -490,6 +490,30 @@ def test_similar_texts_are_all_found_and_no_others(spark):
     assert by_id(kept, "doc_id") == sorted(((i,) for i in set(got.values())), key=str)
 
 
+def test_crowded_cells_lose_no_pair(spark):
+    """One passage in every text, near copies of it at a similarity around the bound, in blocks of three."""
+    rng = random.Random(12)
+    shared = [f"s{i}" for i in range(60)]
+    texts = []
+    for _ in range(40):
+        words = list(shared)
+        for at in rng.sample(range(60), rng.choice([0, 1, 1, 2])):
+            words[at] = f"x{rng.randrange(50)}"
+        texts.append(" ".join(words + [f"y{rng.randrange(9)}" for _ in range(rng.choice([0, 3, 30]))]))
+    texts = list(dict.fromkeys(texts))
+    sets = [_shingles_by_hand(t) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    docs = frame(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    for block in (3, 4096):
+        got = {r.doc_id: r.component_id for r in simhash.similar_texts(docs, block).collect()}
+        assert got == dict(enumerate(group)) and 1 < len(set(group)) < len(group)
+
+
 # Names, by hand
 
 
