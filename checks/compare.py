@@ -30,6 +30,8 @@ def difference(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
     if len(actual) != len(expected):
         return f"rows {len(actual)} / {len(expected)}"
     columns = sorted(actual.columns)
+    # Whole numbers with nulls are doubles on one side.
+    expected = expected.astype({c: "float64" for c in columns if str(expected[c].dtype) == "Int64" and actual[c].dtype == "float64"})
     types = [(c, str(actual[c].dtype), str(expected[c].dtype)) for c in columns if actual[c].dtype != expected[c].dtype]
     left, right = _sorted_rows(actual[columns]), _sorted_rows(expected[columns])
     bad = [(a, b) for a, b in zip(left, right) if a != b]

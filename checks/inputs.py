@@ -1,7 +1,7 @@
-"""Layers the registered queries read: written once per session, as in a real run.
+"""Layers the registered queries read: written once per session, as a real run writes them.
 
-The trips are landed as a bronze table, the silver table is built from it, and
-gold tables and analyses read silver. Without the written tables every query
+The trips of the order tables are the bronze table of a namespace of their own in the catalog; ``build_silver`` makes
+the silver table and the outlier bounds from it, and gold tables and analyses read silver. Without the written tables every query
 would repeat the join of ``lineitem`` and ``orders``, and every report on flags
 the quartile passes. A layer belongs to the files it was made from: where one is
 added, gone or newer, it is written anew.
@@ -9,20 +9,20 @@ added, gone or newer, it is written anew.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from farelane.functions import calendar
-from farelane.model import BRONZE, PICKUP, SILVER, TRIP_SCHEMA
+from farelane.model import BOUNDS, BRONZE, PICKUP, SILVER, TRIP_SCHEMA
 from farelane.plans import gold
-from farelane.plans import silver as layer
+from farelane.session import working_folder
 from farelane.sources import trips as source
-from farelane.store import tables
+from farelane.store import loads, tables
 
-_landed: dict[tuple, tuple[str, T.StructType]] = {}
+_landed: dict[tuple, str | DataFrame] = {}
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,8 +34,35 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     return source.with_lineage(source.order_trips(spark, folder), file_name, month)
 
 
+def once(spark: SparkSession, folder: str, name: str, make: Callable[[], str | DataFrame]):
+    """What ``make`` gives, made once for these files in this application."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    key = (spark.sparkContext.applicationId, _files(spark, folder), name)
+    if key not in _landed:
+        _landed[key] = make()
+    return _landed[key]
+
+
+def new_namespace(spark: SparkSession) -> str:
+    """Databases for one set of layers, in the shared folder."""
+    namespace = f"w{uuid.uuid4().hex[:12]}_"
+    for database in ("bronze", "silver", "gold", "control"):
+        spark.sql(f"CREATE DATABASE {namespace}{database} LOCATION '{working_folder(spark, database)}'")
+    return namespace
+
+
+def _namespace(spark: SparkSession, folder: str) -> str:
+    return once(spark, folder, "namespace", lambda: new_namespace(spark))
+
+
 def bronze(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "bronze", raw_trips, BRONZE.partitions)
+    spec = BRONZE.within(_namespace(spark, folder))
+
+    def make() -> str:
+        tables.replace_slice(raw_trips(spark, folder), spec, F.lit(True))
+        return spec.name
+
+    return spark.table(once(spark, folder, "bronze", make))
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,9 +70,24 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     return bronze(spark, folder).select(*TRIP_SCHEMA.names)
 
 
+def _silver(spark: SparkSession, folder: str) -> str:
+    """The namespace, once its silver table and bounds are built."""
+    bronze(spark, folder)
+    namespace = _namespace(spark, folder)
+
+    def make() -> str:
+        loads.build_silver(spark, loads.LoadConfig(namespace=namespace))
+        return namespace
+
+    return once(spark, folder, "silver", make)
+
+
 def silver(spark: SparkSession, folder: str) -> DataFrame:
-    build = lambda spark, folder: layer.silver(bronze(spark, folder))
-    return _table(spark, folder, "silver", build, SILVER.partitions)
+    return spark.table(SILVER.within(_silver(spark, folder)).name)
+
+
+def bounds(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.table(BOUNDS.within(_silver(spark, folder)).name)
 
 
 GOLD_BUILDERS = {
@@ -63,32 +105,13 @@ GOLD_BUILDERS = {
 def gold_table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A gold table, built from silver once and read by the reports over it."""
     build = GOLD_BUILDERS[name]
-    return lambda spark, folder: _table(spark, folder, f"gold_{name}", lambda s, f: build(silver(s, f)), ())
-
-
-def _table(
-    spark: SparkSession,
-    folder: str,
-    name: str,
-    build: Callable[[SparkSession, str], DataFrame],
-    partitions: Sequence[str],
-) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, _files(spark, folder), name)
-    if key not in _landed:
-        rows = build(spark, folder)
-        _landed[key] = tables.write_partitions(rows, tables.new_path(spark, name), partitions), rows.schema
-    path, schema = _landed[key]
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return lambda spark, folder: once(spark, folder, f"gold_{name}", lambda: tables.written(build(silver(spark, folder)), f"gold-{name}"))
 
 
 def _files(spark: SparkSession, folder: str) -> tuple:
-    """Path, size and time of each file of the two order tables."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    """Path, size and time of each file of the two order tables; contents are not read."""
     found = []
     for table in ("lineitem", "orders"):
-        for name in sorted(spark.read.parquet(f"{folder}/{table}.parquet").inputFiles()):
-            path = jvm.org.apache.hadoop.fs.Path(name.replace("%20", " "))
-            status = path.getFileSystem(conf).getFileStatus(path)
-            found.append((name, status.getLen(), status.getModificationTime()))
-    return tuple(found)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{folder}/{table}.parquet")
+        found += [tuple(r) for r in files.select("path", "length", "modificationTime").collect()]
+    return tuple(sorted(found))

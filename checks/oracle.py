@@ -70,13 +70,23 @@ _HELPER = _FILTER + (
 _CANONICAL = _HELPER + " AND avg_speed_mph <= 200"
 
 
-def _flags(multiplier: str) -> str:
+def _flags(multiplier: str, rows: str = "s", bounds: str = "q") -> str:
     tests = ", ".join(
-        f"coalesce({c} < q.{c}_1 - {multiplier} * (q.{c}_3 - q.{c}_1) OR {c} > q.{c}_3 + {multiplier} * (q.{c}_3 - q.{c}_1), false) AS {c}_outlier"
+        f"coalesce({c} < q.{c}_1 - {multiplier} * (q.{c}_3 - q.{c}_1) OR {c} > q.{c}_3 + {multiplier} * (q.{c}_3 - q.{c}_1), false) AS {c}_outlier".replace("q.", f"{bounds}.")
         for c in _OUTLIER_COLUMNS
     )
     any_flag = " OR ".join(f"{c}_outlier" for c in _OUTLIER_COLUMNS)
-    return f"SELECT *, ({any_flag}) AS has_outlier FROM (SELECT s.*, {tests} FROM s CROSS JOIN q)"
+    return f"SELECT *, ({any_flag}) AS has_outlier FROM (SELECT {rows}.*, {tests} FROM {rows} JOIN {bounds} USING (ingestion_month))"
+
+
+def _quality(source: str, group: str = "") -> str:
+    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _CRITICAL)
+    bad = "count(*) FILTER (WHERE total_amount < 0 OR total_amount > 1000 OR trip_distance > 200 OR avg_speed_mph > 150)"
+    keys, by = (f"{group}, ", f"GROUP BY {group}") if group else ("", "")
+    return (
+        f"SELECT {keys}count(*) AS total_records, {nulls} AS null_values, {bad} AS outlier_records,"
+        f" greatest(0, 1 - ({nulls}) / (count(*) * 4) - {bad} / count(*)) AS quality_score FROM {source} {by}"
+    )
 
 
 # Named steps; each query states the last one it needs and gets all before it.
@@ -94,11 +104,11 @@ _STEPS = {
       {_VENDOR} AS vendor_name, {_RATE} AS rate_code_desc, {_PAYMENT} AS payment_type_desc
       FROM b""",
     "s": f"SELECT * FROM d WHERE {_CANONICAL}",
-    "q": "SELECT "
+    "q": "SELECT ingestion_month, "
     + ", ".join(
         f"quantile_cont({c}, 0.25) AS {c}_1, quantile_cont({c}, 0.75) AS {c}_3" for c in _OUTLIER_COLUMNS
     )
-    + " FROM s",
+    + " FROM s GROUP BY 1",
     "f": _flags("1.5"),
     "daily": """SELECT day AS trip_date, pickup_year, pickup_month, CAST(day(tpep_pickup_datetime) AS INTEGER) AS pickup_day,
       pickup_dayname, is_weekend, count(*) AS total_trips, count(DISTINCT VendorID) AS active_vendors,
@@ -168,23 +178,35 @@ _DROPOFF_SIDE = """SELECT DOLocationID, count(*), avg(trip_distance), avg(total_
 _LOCATION = f"{_PICKUP_SIDE} UNION ALL {_DROPOFF_SIDE}"
 
 _STEPS["location"] = _LOCATION
-_STEPS["hours_of_day"] = (
-    "SELECT CAST(tpep_pickup_datetime AS DATE) AS d, hour(tpep_pickup_datetime) AS h, count(*) AS n,"
-    f" count(*) FILTER (WHERE {_CANONICAL}) AS ok FROM d GROUP BY 1, 2"
-)
-_STEPS["log_days"] = (
-    "SELECT d, CAST(sum(n) AS BIGINT) AS records_bronze, CAST(sum(ok) AS BIGINT) AS records_silver,"
-    " count(*) FILTER (WHERE ok > 0) AS records_gold FROM hours_of_day GROUP BY 1"
-)
-_STEPS["log"] = """SELECT 'exec_' || strftime(d, '%Y%m%d') AS execution_id, 'trips' AS pipeline_name,
-  CAST(d AS TIMESTAMP) + INTERVAL 30 HOUR AS start_time,
-  CAST(d AS TIMESTAMP) + INTERVAL 30 HOUR + INTERVAL 1 SECOND * records_bronze AS end_time,
-  CASE WHEN records_silver / records_bronze < 0.3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  CASE WHEN records_silver / records_bronze < 0.3 THEN 'SILVER' ELSE 'COMPLETED' END AS stage,
-  records_bronze + records_silver + records_gold AS records_processed, records_bronze, records_silver, records_gold,
-  records_bronze / CAST(60 AS DOUBLE) AS execution_time_minutes,
-  CASE WHEN records_silver / records_bronze < 0.3 THEN 'too few valid trips' END AS error_message,
-  CASE WHEN records_silver / records_bronze >= 0.3 THEN records_silver / records_bronze END AS quality_score FROM log_days"""
+
+# The month loads: a trip is in the file of its dropoff month; files from 1998 on have texts for payment type 3 that are no passenger count.
+_LABEL = "strftime(tpep_dropoff_datetime, '%Y-%m')"
+_ABSENT, _AGAIN, _SECOND = "'1999-05'", "'2000-03'", "'1998-01'"
+_STEPS["files"] = f"""SELECT * REPLACE ({_LABEL} AS ingestion_month,
+  CASE WHEN {_LABEL} < {_SECOND} OR payment_type <> 3 THEN passenger_count END AS passenger_count) FROM d WHERE {_LABEL} <> {_ABSENT}"""
+_STEPS["fs"] = f"SELECT * FROM files WHERE {_CANONICAL}"
+_STEPS["fq"] = _STEPS["q"].replace("FROM s ", "FROM fs ")
+_STEPS["ff"] = _flags("1.5", "fs", "fq")
+_STEPS["fdaily"] = _STEPS["daily"].replace("FROM f ", "FROM ff ")
+_STEPS["fhourly"] = _STEPS["hourly"].replace("FROM s ", "FROM fs ")
+_STEPS["tried"] = f"""SELECT strftime(m, '%Y-%m') AS label, CASE WHEN strftime(m, '%Y-%m') < {_SECOND} THEN 1 ELSE 2 END AS k
+  FROM (SELECT unnest(generate_series(min(date_trunc('month', tpep_dropoff_datetime)), max(date_trunc('month', tpep_dropoff_datetime)), INTERVAL 1 MONTH)) AS m FROM d)
+  UNION ALL SELECT {_AGAIN}, 3"""
+_STEPS["log_bronze"] = f"""SELECT ingestion_month AS label, count(*) AS n, count(*) FILTER (WHERE payment_type = 3 AND ingestion_month >= {_SECOND}) AS bad
+  FROM files GROUP BY 1"""
+_STEPS["log_silver"] = _quality("fs", "ingestion_month")
+_STEPS["log_days"] = f"""SELECT k, pickup_year, pickup_month, count(DISTINCT day) AS days FROM fs, (VALUES (1), (2), (3)) AS loads(k)
+  WHERE CASE WHEN ingestion_month < {_SECOND} THEN 1 ELSE 2 END <= k GROUP BY 1, 2, 3"""
+_STEPS["touched"] = "SELECT DISTINCT ingestion_month, pickup_year, pickup_month FROM fs"
+_STEPS["log_gold"] = """SELECT ingestion_month AS label, k, CAST(sum(days) AS BIGINT) AS n FROM touched JOIN log_days USING (pickup_year, pickup_month) GROUP BY 1, 2"""
+_STEPS["log"] = """SELECT 'load' || k || '_' || label AS execution_id, 'trips' AS pipeline_name, label, bad,
+  [TIMESTAMP '2024-01-20 06:00:00', TIMESTAMP '2024-01-30 06:00:00', TIMESTAMP '2024-01-31 06:00:00'][k] AS start_time, start_time AS end_time,
+  CASE WHEN b.n IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN b.n IS NULL THEN 'DATA_CHECK' ELSE 'COMPLETED' END AS stage,
+  b.n AS records_bronze, CASE WHEN b.n IS NOT NULL THEN coalesce(total_records, 0) END AS records_silver,
+  CASE WHEN b.n IS NOT NULL THEN coalesce(g.n, 0) END AS records_gold, coalesce(b.n, 0) + coalesce(total_records, 0) + coalesce(g.n, 0) AS records_processed,
+  CAST(0 AS DOUBLE) AS execution_time_minutes, CASE WHEN b.n IS NULL THEN 'no trips for ' || label END AS error_message,
+  CASE WHEN b.n IS NOT NULL THEN coalesce(quality_score, 0) END AS quality_score
+  FROM tried LEFT JOIN log_bronze AS b USING (label) LEFT JOIN log_silver ON label = ingestion_month LEFT JOIN log_gold AS g USING (label, k)"""
 _ORDER = list(_STEPS)
 
 
@@ -258,16 +280,6 @@ _STEPS["summary"] = _SUMMARY
 _ORDER += ["metrics", "summary"]
 
 
-def _quality(source: str, group: str = "") -> str:
-    nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in _CRITICAL)
-    bad = "count(*) FILTER (WHERE total_amount < 0 OR total_amount > 1000 OR trip_distance > 200 OR avg_speed_mph > 150)"
-    keys, by = (f"{group}, ", f"GROUP BY {group}") if group else ("", "")
-    return (
-        f"SELECT {keys}count(*) AS total_records, {nulls} AS null_values, {bad} AS outlier_records,"
-        f" greatest(0, 1 - ({nulls}) / (count(*) * 4) - {bad} / count(*)) AS quality_score FROM {source} {by}"
-    )
-
-
 def _rules() -> str:
     tests = {
         "valid_trip_sequence": "tpep_pickup_datetime < tpep_dropoff_datetime",
@@ -317,12 +329,33 @@ def _report() -> str:
 
 def _bounds() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {c}_1 AS q1, {c}_3 AS q3, {c}_1 - 1.5 * ({c}_3 - {c}_1) AS lower_bound,"
+        f"SELECT ingestion_month, '{c}' AS column_name, {c}_1 AS q1, {c}_3 AS q3, {c}_1 - 1.5 * ({c}_3 - {c}_1) AS lower_bound,"
         f" {c}_3 + 1.5 * ({c}_3 - {c}_1) AS upper_bound FROM q"
         for c in _OUTLIER_COLUMNS
     )
 
 
+def _statistics() -> str:
+    """Nothing is null in these columns; the catalog keeps no range of texts, and nothing of a table written since."""
+    daily = "trip_date pickup_year pickup_month pickup_day is_weekend total_trips active_vendors morning_trips".split()
+    fresh = [("daily", c, "CAST(0 AS BIGINT)", True, False) for c in daily]
+    stale = [("hourly", c, "CAST(NULL AS BIGINT)", c == "pickup_dayname", True) for c in ("pickup_hour", "pickup_dayname", "total_trips")]
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, {known} AS known_nulls, (SELECT count(*) - count({c}) FROM f{table}) AS nulls,"
+        f" {same} AS same_range, {is_stale} AS is_stale"
+        for table, c, known, same, is_stale in fresh + stale
+    )
+
+
+_EVENTS = """SELECT * FROM (
+  SELECT 'WARNING' AS level, 'few records in the file' AS message, 'count' AS detail, CAST(NULL AS VARCHAR) AS value, count(*) AS n_events,
+    CAST(sum(records_bronze) AS DOUBLE) AS total FROM log WHERE records_bronze < 700
+  UNION ALL SELECT 'WARNING', 'quality below the limit', 'quality_score', NULL, count(*), sum(quality_score) FROM log WHERE quality_score < 0.45
+  UNION ALL SELECT 'WARNING', 'unreadable values', 'column', 'passenger_count', count(*), NULL FROM log WHERE bad > 0
+  UNION ALL SELECT 'WARNING', 'unreadable values', 'count', NULL, count(*), CAST(sum(bad) AS DOUBLE) FROM log WHERE bad > 0
+  UNION ALL SELECT 'ERROR', 'load failed', 'stage', 'DATA_CHECK', count(*), NULL FROM log WHERE status = 'FAILED') WHERE n_events > 0"""
+
+
 def _narrow_flags() -> str:
     return f"SELECT {_KEY}, {_FLAG_COLUMNS} FROM ({_flags('0.5')})"
 
@@ -621,7 +654,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "latest_runs": _query(
         f"""SELECT execution_id, pipeline_name, {_text('start_time')}, {_text('end_time')}, status, stage, records_processed,
-        execution_time_minutes, quality_score, error_message, status AS status_icon FROM (SELECT * FROM log ORDER BY start_time DESC LIMIT 10)""",
+        execution_time_minutes, quality_score, error_message, status AS status_icon FROM (SELECT * FROM log ORDER BY start_time DESC, execution_id DESC LIMIT 10)""",
         "execution_time_minutes quality_score",
     ),
     "view_quality_metrics": _query(
@@ -634,10 +667,34 @@ ORACLE_SQL: dict[str, str] = {
     "health_check": _query(_health(12), "avg_quality_score failure_rate hours_since_last_run"),
     "health_check_stale": _query(_health(50), "avg_quality_score failure_rate hours_since_last_run"),
     "backfill_summary": _query(
-        """SELECT count(*) AS total_months, count(*) FILTER (WHERE failed <= runs * 0.1) AS successful_months,
-        count(*) FILTER (WHERE failed > runs * 0.1) AS failed_months FROM
-        (SELECT strftime(start_time, '%Y-%m') AS m, count(*) AS runs, count(*) FILTER (WHERE status = 'FAILED') AS failed FROM log GROUP BY 1)"""
-    ),
+        """SELECT count(*) AS total_months, count(*) FILTER (WHERE status = 'SUCCESS') AS successful_months,
+        count(*) FILTER (WHERE status = 'FAILED') AS failed_months FROM log"""
+    ),
+    "month_load_log": _query(
+        """SELECT pipeline_name, status, stage, records_processed, records_bronze, records_silver, records_gold, error_message, quality_score FROM log""",
+        "quality_score",
+    ),
+    "month_load_daily": _query("SELECT * FROM fdaily", _DAILY_DOUBLES),
+    "month_load_hourly": _query("SELECT * FROM fhourly", "avg_revenue_per_trip avg_distance avg_duration avg_tip_percentage avg_speed"),
+    "unreadable_values": _query(
+        f"""SELECT ingestion_month, 'month=' || ingestion_month AS source_file, 'passenger_count' AS column_name, 'n/a' AS raw_value, 'no double' AS reason,
+        count(*) AS n_values FROM files WHERE ingestion_month >= {_SECOND} AND payment_type = 3 GROUP BY 1"""
+    ),
+    "widened_column": _query(
+        f"""SELECT ingestion_month, CAST(ingestion_month[:4] AS INTEGER) AS ingestion_year,
+        'load' || CASE WHEN ingestion_month < {_SECOND} THEN 1 WHEN ingestion_month = {_AGAIN} THEN 3 ELSE 2 END || '_' || ingestion_month AS processing_execution_id,
+        'bigint' AS type, count(*) AS n_rows, min(meter) AS least, max(meter) AS greatest
+        FROM (SELECT *, CAST(PULocationID AS BIGINT) + CASE WHEN ingestion_month < {_SECOND} THEN 0 ELSE 3000000000 END AS meter FROM files) GROUP BY 1"""
+    ),
+    "table_statistics": _query(_statistics()),
+    "compacted_partitions": _query(
+        f"""SELECT ingestion_month AS month, CASE WHEN late THEN parts ELSE 1 END AS files_before, CAST(NOT late OR parts = 1 AS BIGINT) AS files_kept,
+        CAST(1 AS BIGINT) AS files_after, n_rows, fares FROM (
+          SELECT ingestion_month, ingestion_month >= {_SECOND} AS late, count(DISTINCT payment_type % 3) AS parts, count(*) AS n_rows, sum(fare_amount) AS fares
+          FROM b GROUP BY 1)""",
+        "fares",
+    ),
+    "event_report": _query(_EVENTS, "total"),
     "peak_hours": _query(
         """SELECT * FROM (SELECT 'morning_peak' AS kind, pickup_hour, avg(total_trips) AS avg_trips FROM hourly WHERE pickup_hour < 12 GROUP BY 2 ORDER BY avg_trips DESC, pickup_hour LIMIT 1)
         UNION ALL SELECT * FROM (SELECT 'evening_peak', pickup_hour, avg(total_trips) AS a FROM hourly WHERE pickup_hour >= 12 GROUP BY 2 ORDER BY a DESC, pickup_hour LIMIT 1)

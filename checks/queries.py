@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.inputs import GOLD_BUILDERS, bronze, gold_table, raw_trips, silver, trips
+from checks import month_loads
+from checks.inputs import GOLD_BUILDERS, bounds, bronze, gold_table, raw_trips, silver, trips
+from checks.month_loads import run_log
 from farelane.functions import calendar
 from farelane.model import (
     CANONICAL,
@@ -79,41 +81,6 @@ def gold_payment(spark: SparkSession, folder: str) -> DataFrame:
     return gold.payment(silver(spark, folder))
 
 
-def run_log(spark: SparkSession, folder: str) -> DataFrame:
-    """A run log derived from the trips: one load per pickup day, on the next morning.
-
-    A load failed where fewer than 30 % of the day's trips are valid.
-    """
-    hours = (
-        trips(spark, folder)
-        .groupBy(F.to_date(PICKUP).alias("day"), F.hour(PICKUP).alias("hour"))
-        .agg(F.count("*").alias("n"), F.count_if(filters.meets(CANONICAL)).alias("ok"))
-    )
-    days = hours.groupBy("day").agg(
-        F.sum("n").alias("records_bronze"),
-        F.sum("ok").alias("records_silver"),
-        F.count_if(F.col("ok") > 0).alias("records_gold"),
-    )
-    start = F.timestamp_add("HOUR", F.lit(30), F.col("day").cast("timestamp"))
-    share = F.col("records_silver") / F.col("records_bronze")
-    failed = share < 0.3
-    return days.select(
-        F.concat(F.lit("exec_"), F.date_format("day", "yyyyMMdd")).alias("execution_id"),
-        F.lit("trips").alias("pipeline_name"),
-        start.alias("start_time"),
-        F.timestamp_add("SECOND", F.col("records_bronze"), start).alias("end_time"),
-        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-        F.when(failed, "SILVER").otherwise("COMPLETED").alias("stage"),
-        (F.col("records_bronze") + F.col("records_silver") + F.col("records_gold")).alias("records_processed"),
-        "records_bronze",
-        "records_silver",
-        "records_gold",
-        (F.col("records_bronze") / F.lit(60.0)).alias("execution_time_minutes"),
-        F.when(failed, "too few valid trips").alias("error_message"),
-        F.when(~failed, share).alias("quality_score"),
-    )
-
-
 def latest_run(log: DataFrame, hours: int):
     """A report time ``hours`` after the last run, read from the log itself."""
     return log.agg(F.timestamp_add("HOUR", F.lit(hours), F.max("start_time")).alias("t")).scalar()
@@ -201,17 +168,22 @@ def month_replace(spark, folder):
 
 
 def silver_rows(spark, folder):
-    rows = layer.silver(bronze(spark, folder))
+    rows = silver(spark, folder)
     return text_times(rows.drop("ingestion_timestamp", "silver_processing_timestamp"))
 
 
-def outlier_flags(multiplier: float) -> Query:
-    def query(spark, folder):
-        rows = outliers.flag_outliers(silver(spark, folder), multiplier=multiplier)
-        flags = [c for c in rows.columns if c.endswith("_outlier")]
-        return text_times(rows.select(*KEY, *flags))
+def outlier_flags(spark, folder):
+    """The flags as the silver build wrote them."""
+    rows = silver(spark, folder)
+    flags = [c for c in rows.columns if c.endswith("_outlier")]
+    return text_times(rows.select(*KEY, *flags))
 
-    return query
+
+def outlier_flags_narrow(spark, folder):
+    """Flags by closer bounds, searched anew over the silver table."""
+    rows = outliers.flag_outliers(silver(spark, folder), multiplier=0.5, by=layer.SCOPE)
+    flags = [c for c in rows.columns if c.endswith("_outlier")]
+    return text_times(rows.select(*KEY, *flags))
 
 
 def schema_issues(spark, folder):
@@ -246,12 +218,15 @@ def quality_report(spark, folder):
 
 
 def backfill_summary(spark, folder):
-    """Outcome per load month of the run log, as a backfill over it reports."""
-    log = run_log(spark, folder)
-    months = log.groupBy(F.date_format("start_time", "yyyy-MM").alias("month")).agg(
-        F.when(F.count_if(F.col("status") == "FAILED") > F.count("*") * 0.1, "FAILED").otherwise("SUCCESS").alias("status")
+    """Outcome of all months ever tried."""
+    return monitoring.outcomes(run_log(spark, folder))
+
+
+def month_load_log(spark, folder):
+    """The written run log without ids and times."""
+    return run_log(spark, folder).select(
+        "pipeline_name", "status", "stage", "records_processed", "records_bronze", "records_silver", "records_gold", "error_message", "quality_score"
     )
-    return monitoring.outcomes(months)
 
 
 def health(hours: int) -> Query:
@@ -310,9 +285,9 @@ def _queries() -> dict[str, Query]:
         "quality_indicators": lambda s, f: quality.quality_indicators(trips(s, f), silver(s, f), layer.kept()),
         "cleaning_rate": with_rows(layer.cleaning_rate),
         # outliers
-        "outlier_flags": outlier_flags(1.5),
-        "outlier_flags_narrow": outlier_flags(0.5),
-        "outlier_bounds": with_rows(outliers.outlier_bounds, silver),
+        "outlier_flags": outlier_flags,
+        "outlier_flags_narrow": outlier_flags_narrow,
+        "outlier_bounds": bounds,
         "outlier_summary": with_rows(outliers.outlier_summary, silver),
         "outlier_causes": with_rows(insights.outlier_causes, silver),
         # raw and silver reports
@@ -356,7 +331,15 @@ def _queries() -> dict[str, Query]:
         ),
         "view_hourly_trends": lambda s, f: view("gold.hourly_trends", gold_table("hourly")(s, f)),
         "view_vendor_dashboard": lambda s, f: view("gold.vendor_dashboard", gold_table("vendor")(s, f)),
-        # run log
+        # month loads, and the logs they wrote
+        "month_load_log": month_load_log,
+        "month_load_daily": month_loads.gold_rows("daily"),
+        "month_load_hourly": month_loads.gold_rows("hourly"),
+        "unreadable_values": month_loads.unreadable,
+        "widened_column": month_loads.widened,
+        "table_statistics": month_loads.statistics,
+        "compacted_partitions": month_loads.compacted,
+        "event_report": lambda s, f: monitoring.event_report(month_loads.events(s, f)),
         "view_run_monitoring": lambda s, f: text_times(view("control.pipeline_monitoring", run_log(s, f))),
         "view_quality_metrics": lambda s, f: _day_text(view("control.quality_metrics", run_log(s, f))),
         "latest_runs": lambda s, f: text_times(monitoring.latest_runs(run_log(s, f))),

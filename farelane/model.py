@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -112,6 +112,10 @@ class TableSpec:
     partitions: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
 
+    def within(self, namespace: str) -> TableSpec:
+        """The same table in a database whose name starts with ``namespace``."""
+        return replace(self, name=f"{namespace}{self.name}")
+
 
 BRONZE = TableSpec(
     "bronze.yellow_tripdata", ("ingestion_month",), (PICKUP, "VendorID")
@@ -123,6 +127,9 @@ SILVER = TableSpec(
     ("ingestion_month", "pickup_year", "pickup_month"),
     (PICKUP, "PULocationID", "DOLocationID", "VendorID"),
 )
+# What a load could not read, and the bounds its outlier flags were made with: replaced with the slice of the month.
+UNREADABLE = TableSpec("bronze.unreadable_values", ("ingestion_month",))
+BOUNDS = TableSpec("silver.outlier_bounds", ("ingestion_month",))
 # The daily and hourly tables are partitioned by month so that one month can be
 # replaced by a dynamic partition overwrite.
 GOLD = {

@@ -13,7 +13,19 @@ from farelane.plans.dashboards import view
 
 
 def latest_runs(log: DataFrame, k: int = 10) -> DataFrame:
-    return view("control.pipeline_monitoring", log).limit(k)
+    """The last runs; the months of one load start together and rank by id."""
+    return view("control.pipeline_monitoring", log).orderBy(F.desc("start_time"), F.desc("execution_id")).limit(k)
+
+
+def event_report(events: DataFrame) -> DataFrame:
+    """(level, message, detail, value, n_events, total) per kind of event and detail.
+
+    Details that are numbers are added up in ``total``; of others, each ``value`` is a row. Events without details have one row.
+    """
+    rows = events.select("level", "message", F.explode_outer("details").alias("detail", "text"))
+    number = F.col("text").try_cast("double")
+    value = F.when(number.isNull(), F.col("text")).alias("value")
+    return rows.groupBy("level", "message", "detail", value).agg(F.count("*").alias("n_events"), F.sum(number).alias("total"))
 
 
 def health(log: DataFrame, as_of: datetime | Column, thresholds: Thresholds = Thresholds()) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.functions.ratios import percent
-from farelane.model import CANONICAL, RuleSet
+from farelane.model import CANONICAL, OUTLIER_COLUMNS, RuleSet
 from farelane.operators.derive import add_derived_columns
 from farelane.operators.enrich import add_business_mappings
 from farelane.operators.filters import keep_valid, meets
-from farelane.operators.outliers import flag_outliers
+from farelane.operators.outliers import flag_by_bounds, flag_outliers, outlier_bounds
 
 
 def valid_trips(bronze: DataFrame, rules: RuleSet = CANONICAL) -> DataFrame:
@@ -18,18 +20,23 @@ def valid_trips(bronze: DataFrame, rules: RuleSet = CANONICAL) -> DataFrame:
     return add_derived_columns(keep_valid(bronze, rules))
 
 
-def flagged_trips(bronze: DataFrame, rules: RuleSet = CANONICAL, method: str = "exact") -> DataFrame:
-    return flag_outliers(valid_trips(bronze, rules), method=method)
+#: Outlier bounds are those of a load month, in a month load and in the batch build alike.
+SCOPE = ("ingestion_month",)
+
+
+def flagged_trips(bronze: DataFrame, rules: RuleSet = CANONICAL, method: str = "exact", by: Sequence[str] = ()) -> DataFrame:
+    return flag_outliers(valid_trips(bronze, rules), method=method, by=by)
+
 
+def month_bounds(bronze: DataFrame, rules: RuleSet = CANONICAL, method: str = "exact") -> DataFrame:
+    """Quartiles and outlier bounds of the valid trips, per load month and column."""
+    return outlier_bounds(valid_trips(bronze, rules), method=method, by=SCOPE)
 
-def silver(bronze: DataFrame, rules: RuleSet = CANONICAL, method: str = "exact", version: str = "1.0") -> DataFrame:
-    """All silver columns: raw, derived, descriptions, flags and two stamps.
 
-    Flags are computed before the descriptions are joined, so that the quartile
-    passes read five columns and no code list.
-    """
+def silver(bronze: DataFrame, bounds: DataFrame, rules: RuleSet = CANONICAL, version: str = "1.0") -> DataFrame:
+    """All silver columns: raw, derived, descriptions, flags by the ``bounds`` of the load month, and two stamps."""
     valid = valid_trips(bronze, rules)
-    described = add_business_mappings(flag_outliers(valid, method=method))
+    described = add_business_mappings(flag_by_bounds(valid, bounds, OUTLIER_COLUMNS, SCOPE))
     flags = [c for c in described.columns if c.endswith("_outlier")]
     descriptions = described.columns[-3:]
     return described.select(*valid.columns, *descriptions, *flags).withColumns(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from string import Formatter
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,12 +21,12 @@ FILE_NAME = "yellow_tripdata_{year}-{month:02d}.parquet"
 Month = tuple[int, int]
 
 
-def file_name(year: int, month: int) -> str:
-    return FILE_NAME.format(year=year, month=month)
+def file_name(year: int, month: int, template: str = FILE_NAME) -> str:
+    return template.format(year=year, month=month)
 
 
-def month_path(root: str, year: int, month: int) -> str:
-    return f"{root.rstrip('/')}/{file_name(year, month)}"
+def month_path(root: str, year: int, month: int, template: str = FILE_NAME) -> str:
+    return f"{root.rstrip('/')}/{file_name(year, month, template)}"
 
 
 def month_label(year: int, month: int) -> str:
@@ -36,9 +39,9 @@ def months_between(first: Month, last: Month) -> list[Month]:
     return [(number // 12, number % 12 + 1) for number in numbers]
 
 
-def month_is_available(spark: SparkSession, root: str, year: int, month: int) -> tuple[bool, str]:
+def month_is_available(spark: SparkSession, root: str, year: int, month: int, template: str = FILE_NAME) -> tuple[bool, str]:
     """Whether the month file exists and has a row, and its path."""
-    path = month_path(root, year, month)
+    path = month_path(root, year, month, template)
     try:
         return not spark.read.parquet(path).limit(1).isEmpty(), path
     except AnalysisException as error:
@@ -82,12 +85,43 @@ def unreadable(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame:
     rows, names = _by_place(df)
     counts = []
     for field in schema:
-        own = [f.name for f, name in zip(rows.schema, names) if name.lower() == field.name.lower() and isinstance(f.dataType, T.StringType)]
-        bad = [F.count_if(rows[c].isNotNull() & rows[c].try_cast(field.dataType).isNull()) for c in own]
+        bad = [F.count_if(_is_unreadable(rows[c], field)) for c in _text_places(rows, names, field)]
         counts.append(reduce(lambda a, b: a + b, bad, F.lit(0).cast("bigint")).alias(field.name))
     return rows.agg(*counts)
 
 
+def unreadable_values(df: DataFrame, schema: T.StructType = TRIP_SCHEMA) -> DataFrame | None:
+    """(column_name, raw_value, reason, source_file, ingestion_month) per text of ``df`` that is no value of its column's type.
+
+    ``df`` has the lineage columns of ``raw_months``. None where its files store no such column as text, so that
+    nothing has to be read.
+    """
+    rows, names = _by_place(df)
+    found = [
+        F.when(
+            _is_unreadable(rows[c], field),
+            F.struct(F.lit(field.name).alias("column_name"), rows[c].alias("raw_value"), F.lit(f"no {field.dataType.simpleString()}").alias("reason")),
+        )
+        for field in schema
+        for c in _text_places(rows, names, field)
+    ]
+    if not found:
+        return None
+    lineage = [rows[c].alias(n) for c, n in zip(rows.columns, names) if n in ("source_file", "ingestion_month")]
+    return rows.select(F.inline(F.array_compact(F.array(*found))), *lineage)
+
+
+def _text_places(rows: DataFrame, names: Sequence[str], field: T.StructField) -> list[str]:
+    """The spellings of a column that is not text, where they are stored as text."""
+    if isinstance(field.dataType, T.StringType):
+        return []
+    return [f.name for f, name in zip(rows.schema, names) if name.lower() == field.name.lower() and isinstance(f.dataType, T.StringType)]
+
+
+def _is_unreadable(value: Column, field: T.StructField) -> Column:
+    return value.isNotNull() & value.try_cast(field.dataType).isNull()
+
+
 def with_lineage(df: DataFrame, source_file, ingestion_month) -> DataFrame:
     """Raw-layer columns: load time, source file and month of the load."""
     return df.withColumns(
@@ -99,15 +133,34 @@ def with_lineage(df: DataFrame, source_file, ingestion_month) -> DataFrame:
     )
 
 
-def read_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """One month file, conformed, with lineage columns."""
-    trips = conform(spark.read.parquet(month_path(root, year, month)))
-    return with_lineage(trips, F.lit(file_name(year, month)), F.lit(month_label(year, month)))
-
+def raw_months(spark: SparkSession, root: str, months: Iterable[Month], template: str = FILE_NAME) -> list[DataFrame]:
+    """The month files as they are, with source_file and ingestion_month; one frame per schema they come in.
 
-def read_months(spark: SparkSession, root: str, months: Iterable[Month]) -> DataFrame:
+    Files of one schema are one scan, however many they are; a row's file and month are read off its path.
+    """
+    paths = [month_path(root, *month, template) for month in months]
+    by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
+    # Reading a footer is a wait for storage; the driver waits for several at a time.
+    with ThreadPoolExecutor(8) as pool:
+        for path, schema in zip(paths, pool.map(lambda p: spark.read.parquet(p).schema, paths)):
+            by_schema.setdefault(schema.json(), (schema, []))[1].append(path)
+    parts = [(text, field) for text, field, *_ in Formatter().parse(template)]
+    pattern = "".join(re.escape(text) + (r"(\d+)" if field else "") for text, field in parts)
+    fields = [field for _, field in parts if field]
+    year, month = (F.regexp_extract("_metadata.file_path", pattern, fields.index(f) + 1) for f in ("year", "month"))
+    lineage = F.regexp_extract("_metadata.file_path", pattern, 0).alias("source_file"), F.concat_ws("-", year, month).alias("ingestion_month")
+    return [spark.read.schema(schema).parquet(*some).select("*", *lineage) for schema, some in by_schema.values()]
+
+
+def conformed(raw: DataFrame) -> DataFrame:
+    """A frame of ``raw_months`` in the declared types, with all lineage columns."""
+    trips = conform(raw)
+    return with_lineage(trips, F.col("source_file"), F.col("ingestion_month"))
+
+
+def read_months(spark: SparkSession, root: str, months: Iterable[Month], template: str = FILE_NAME) -> DataFrame:
     """Several month files as one frame; a column absent from a file is null there."""
-    return union_evolving([read_month(spark, root, year, month) for year, month in months])
+    return union_evolving([conformed(raw) for raw in raw_months(spark, root, months, template)])
 
 
 def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:

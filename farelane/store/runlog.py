@@ -18,14 +18,18 @@ EVENT_COLUMNS = """
     execution_id string, event_time timestamp, level string, message string, details map<string,string>, run_date date"""
 
 
-def create_run_log(spark: SparkSession) -> None:
-    ensure_database(spark, RUN_LOG.name)
+def create_run_log(spark: SparkSession, namespace: str = "") -> None:
+    ensure_database(spark, f"{namespace}{RUN_LOG.name}")
     for spec, columns in ((RUN_LOG, RUN_COLUMNS), (EVENT_LOG, EVENT_COLUMNS)):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {spec.name} ({columns}) USING parquet PARTITIONED BY (run_date)")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {namespace}{spec.name} ({columns}) USING parquet PARTITIONED BY (run_date)")
 
 
-def read_run_log(spark: SparkSession) -> DataFrame:
-    return spark.table(RUN_LOG.name)
+def read_run_log(spark: SparkSession, namespace: str = "") -> DataFrame:
+    return spark.table(f"{namespace}{RUN_LOG.name}")
+
+
+def read_events(spark: SparkSession, namespace: str = "") -> DataFrame:
+    return spark.table(f"{namespace}{EVENT_LOG.name}")
 
 
 def _utc_day(at: datetime) -> date:
@@ -33,22 +37,24 @@ def _utc_day(at: datetime) -> date:
     return at.astimezone(timezone.utc).date()
 
 
-def append_run(spark: SparkSession, run: dict) -> None:
-    """Append one finished run. Counts are those of the loaded month."""
-    counts = [run.get(f"records_{layer}") for layer in ("bronze", "silver", "gold")]
-    minutes = (run["end_time"] - run["start_time"]).total_seconds() / 60
-    row = run | {
-        "records_processed": sum(n or 0 for n in counts),
-        "execution_time_minutes": minutes,
-        "created_at": datetime.now(),
-        "run_date": _utc_day(run["start_time"]),
-    }
-    schema = read_run_log(spark).schema
-    append_rows(spark.createDataFrame([tuple(row.get(n) for n in schema.names)], schema), RUN_LOG)
-
-
-def append_events(spark: SparkSession, execution_id: str, events: list[tuple]) -> None:
-    """Append the collected ``(time, level, message, details)`` events of a run."""
+def append_runs(spark: SparkSession, runs: list[dict], namespace: str = "") -> None:
+    """Append finished runs, one row each. Counts are those of the loaded month."""
+    schema = read_run_log(spark, namespace).schema
+    rows = []
+    for run in runs:
+        counts = [run.get(f"records_{layer}") for layer in ("bronze", "silver", "gold")]
+        row = run | {
+            "records_processed": sum(n or 0 for n in counts),
+            "execution_time_minutes": (run["end_time"] - run["start_time"]).total_seconds() / 60,
+            "created_at": run["end_time"],
+            "run_date": _utc_day(run["start_time"]),
+        }
+        rows.append(tuple(row.get(n) for n in schema.names))
+    append_rows(spark.createDataFrame(rows, schema), RUN_LOG.within(namespace))
+
+
+def append_events(spark: SparkSession, events: list[tuple], namespace: str = "") -> None:
+    """Append ``(execution id, time, level, message, details)`` events."""
     if events:
-        rows = [(execution_id, at, level, text, details, _utc_day(at)) for at, level, text, details in events]
-        append_rows(spark.createDataFrame(rows, EVENT_COLUMNS), EVENT_LOG)
+        rows = [(run, at, level, text, details, _utc_day(at)) for run, at, level, text, details in events]
+        append_rows(spark.createDataFrame(rows, EVENT_COLUMNS), EVENT_LOG.within(namespace))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,7 +77,7 @@ def replace_table(rows: DataFrame, spec: TableSpec) -> None:
 
 
 def swap_in(rows: DataFrame, spec: TableSpec) -> None:
-    """Write ``rows`` beside a table without partitions and let them take its name.
+    """Write ``rows`` beside a table and let them take its name.
 
     ``rows`` may read the table itself. A failed write leaves the old table; at every moment
     one complete copy exists, at worst, after a stop between the renames, under the name
@@ -86,15 +87,34 @@ def swap_in(rows: DataFrame, spec: TableSpec) -> None:
     ensure_database(spark, spec.name)
     fresh, old = f"{spec.name}__new", f"{spec.name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    rows.write.format("parquet").saveAsTable(fresh)
+    rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(spec.name):
-        spark.sql(f"ALTER TABLE {spec.name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {spec.name}")
+        _rename(spark, spec, spec.name, old)
+    _rename(spark, spec, fresh, spec.name)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
-def overwrite_partitions(spark: SparkSession, table: str, rows: Callable[[SparkSession], DataFrame]) -> None:
+def _rename(spark: SparkSession, spec: TableSpec, name: str, new: str) -> None:
+    """Rename a table and point its partitions to its new folder: not every catalog does so itself.
+
+    A partition left pointing to the old folder would show, and on a drop delete, what another table has there.
+    """
+    spark.sql(f"ALTER TABLE {name} RENAME TO {new}")
+    if not spec.partitions:
+        return
+    folder = next(r.data_type for r in describe(spark, new).collect() if r.col_name == "Location")
+    where = ", ".join(f"`{column}` = :p{i}" for i, column in enumerate(spec.partitions))
+    for (path,) in spark.sql(f"SHOW PARTITIONS {new}").collect():
+        values = [unquote(part.split("=", 1)[1]) for part in path.split("/")]
+        args = {f"p{i}": None if value == "__HIVE_DEFAULT_PARTITION__" else value for i, value in enumerate(values)}
+        spark.sql(f"ALTER TABLE {new} PARTITION ({where}) SET LOCATION '{folder}/{path}'", args=args)
+    spark.catalog.refreshTable(new)
+
+
+def overwrite_partitions(
+    spark: SparkSession, table: str, rows: Callable[[SparkSession], DataFrame], settings: dict[str, str] | None = None
+) -> None:
     """Replace exactly the partitions of ``table`` that occur in ``rows``; columns by position.
 
     Inserts know the mode as a session setting only, so ``rows`` are read and written in a session of
@@ -103,6 +123,8 @@ def overwrite_partitions(spark: SparkSession, table: str, rows: Callable[[SparkS
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    for key, value in (settings or {}).items():
+        own.conf.set(key, value)
     rows(own).write.mode("overwrite").insertInto(table)
     spark.catalog.refreshTable(table)
 
@@ -116,15 +138,17 @@ def replace_slice(df: DataFrame, spec: TableSpec, part: Column, even_files: bool
     the swap leaves the old rows. The swap and the emptying are commits of their own: a stop
     between them leaves old rows in partitions the new slice no longer fills, and repeating the
     load removes them. Columns are matched by name: new ones are added to the table, missing
-    ones are written as null.
+    ones are written as null, and where the new rows have a wider type the table is rewritten with it first.
     """
     spark = df.sparkSession
     ensure_database(spark, spec.name)
-    path = write_partitions(df, new_path(spark, "slice"), spec.partitions, even_files)
-    staged = spark.read.schema(df.schema).parquet(path)
     if not spark.catalog.tableExists(spec.name):
-        staged.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
+        rows = balanced(df, spec.partitions) if even_files else df
+        rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
         return
+    path = write_partitions(df, new_path(spark, "slice"), spec.partitions, even_files)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _widen_columns(df, spec)
     _add_new_columns(df, spec)
     aligned = [
         F.col(f.name).cast(f.dataType).alias(f.name)
@@ -166,6 +190,45 @@ def _add_new_columns(df: DataFrame, spec: TableSpec) -> None:
         spark.sql(f"ALTER TABLE {spec.name} ADD COLUMNS ({columns})")
 
 
+# Numeric types in the order in which the next one holds all values of the one before; an integer also fits a double up to 2^53.
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+_REALS = ("float", "double")
+
+
+def wider_type(old: str, new: str) -> str:
+    """The type that holds the values of both, or an error where none of the two types and no real type does."""
+    if old == new:
+        return old
+    for order in (_INTEGERS, _REALS):
+        if old in order and new in order:
+            return max(old, new, key=order.index)
+    if {old, new} <= {*_INTEGERS, *_REALS}:
+        return "double"
+    if {old, new} in ({"date", "timestamp"}, {"date", "timestamp_ntz"}):
+        return next(t for t in (old, new) if t != "date")
+    if "string" in (old, new):
+        return "string"
+    raise ValueError(f"no common type for {old} and {new}")
+
+
+def _widen_columns(df: DataFrame, spec: TableSpec) -> None:
+    """Give the table the wider types that ``df`` brings, by a rewrite beside it that then takes its name.
+
+    Partition columns keep their types; narrower columns of ``df`` are cast on writing. The table stays whole if the rewrite fails.
+    """
+    spark = df.sparkSession
+    coming = {f.name.lower(): f.dataType.simpleString() for f in df.schema}
+    table = spark.table(spec.name)
+    wider = {
+        f.name: wider_type(f.dataType.simpleString(), coming[f.name.lower()])
+        for f in table.schema
+        if f.name not in spec.partitions and f.dataType.simpleString() != coming.get(f.name.lower(), f.dataType.simpleString())
+    }
+    wider = {name: kind for name, kind in wider.items() if kind != table.schema[name].dataType.simpleString()}
+    if wider:
+        swap_in(balanced(table.withColumns({n: F.col(n).cast(kind) for n, kind in wider.items()}), spec.partitions), spec)
+
+
 def append_rows(df: DataFrame, spec: TableSpec) -> None:
     spark = df.sparkSession
     ensure_database(spark, spec.name)
@@ -182,3 +245,39 @@ def analyze(spark: SparkSession, table: str) -> None:
 
 def describe(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {table}")
+
+
+# Names the catalog gives its column statistics.
+_STATISTICS = {"num_nulls": "bigint", "min": "string", "max": "string"}
+
+
+def catalog_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """(column_name, num_nulls, min, max) as the catalog holds them, values as text; null where it holds none."""
+    rows = []
+    for column in spark.table(table).columns:
+        facts = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {table} `{column}`").collect()}
+        known = [None if facts.get(name) in (None, "NULL") else facts[name] for name in _STATISTICS]
+        rows.append((column, *known))
+    read = spark.createDataFrame(rows, "column_name string, " + ", ".join(f"{n} string" for n in _STATISTICS))
+    return read.select("column_name", *[F.col(n).cast(kind).alias(n) for n, kind in _STATISTICS.items()])
+
+
+def check_statistics(spark: SparkSession, table: str) -> DataFrame:
+    """(column_name, known_nulls, nulls, same_range, is_stale) per column: the catalog's statistics against a census of the table.
+
+    Least and greatest value are compared as numbers, dates and booleans; the catalog keeps none of texts. A column without
+    statistics is stale. One scan of the table.
+    """
+    rows = spark.table(table)
+    parts = []
+    for f in rows.schema:
+        value = F.col(f"`{f.name}`")
+        ends = [(F.lit(None) if f.dataType.simpleString() in ("string", "binary") else end(value)).cast("string") for end in (F.min, F.max)]
+        facts = [F.lit(f.name), F.count("*") - F.count(value), *ends]
+        parts.append(F.struct(*[x.alias(n) for x, n in zip(facts, ("column_name", "nulls", "low", "high"))]))
+    census = rows.agg(F.array(*parts).alias("c")).select(F.inline("c"))
+    known = catalog_statistics(spark, table).withColumnsRenamed({"num_nulls": "known_nulls"})
+    both = census.join(known, "column_name", "left")
+    same = F.col("low").eqNullSafe(F.col("min")) & F.col("high").eqNullSafe(F.col("max"))
+    stale = ~(F.col("nulls").eqNullSafe(F.col("known_nulls")) & F.col("same_range"))
+    return both.withColumn("same_range", same).select("column_name", "known_nulls", "nulls", "same_range", stale.alias("is_stale"))

@@ -7,11 +7,12 @@ from pyspark.sql import SparkSession
 from farelane.plans.dashboards import VIEWS
 
 
-def create_views(spark: SparkSession) -> list[str]:
+def create_views(spark: SparkSession, namespace: str = "") -> list[str]:
     """Create or renew every view whose table exists; returns their names."""
     made = []
-    for name, (spec, query) in VIEWS.items():
-        if spark.catalog.tableExists(spec.name):
-            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query.format(source=spec.name)}")
+    for view, (spec, query) in VIEWS.items():
+        name, table = f"{namespace}{view}", spec.within(namespace).name
+        if spark.catalog.tableExists(table):
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query.format(source=table)}")
             made.append(name)
     return made
