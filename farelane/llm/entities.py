@@ -40,18 +40,27 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Sra", "Srta", "Señora", "Г-жа", "Κα"),
     "n": ("Dr", "Prof"),
 }
+#: Titles that are also written small inside a sentence.
+SMALL_TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Monsieur", "Madame", "Sr", "Sra", "Srta", "Señor", "Señora", "Herr", "Frau", "Г-н", "Г-жа", "Κος", "Κα")
+#: Small words inside family names.
+PARTICLES = "van von der den de del della di da dos du la le ten ter zu zur af av bin ibn al el y".split()
 _GENDER = {title: gender for gender, titles in TITLES.items() for title in titles}
+_GENDER |= {title.lower(): _GENDER[title] for title in SMALL_TITLES}
 _UPPER = "A-ZÀ-ÖØ-ÞŠŽŁŚŻΑ-ΩЀ-Я"
-# Without the s of a possessive.
-_NAME = rf"[{_UPPER}][^\W\d_]+(?:['’-](?!s(?!\w))[{_UPPER}]?[^\W\d_]+)*"
-# Cheap to search for: a capital that begins a title, and a capital after it, which may begin a title itself.
-_MAYBE_TITLED = re.compile(rf"[{''.join(sorted({t[0] for t in _GENDER}))}](?=[^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0][{_UPPER}])")
-_LONG = "|".join(sorted((t for t in _GENDER if t not in ("M", "Sr")), key=len, reverse=True))
+# Without the s of a possessive; a letter and an apostrophe may stand in front.
+_NAME = rf"(?:[{_UPPER}]['’](?=[{_UPPER}]))?[{_UPPER}][^\W\d_]+(?:['’-](?!s(?!\w))[{_UPPER}]?[^\W\d_]+)*"
+_PARTICLE = rf"(?:{'|'.join(sorted(PARTICLES, key=len, reverse=True))})(?!\w)"
+# Cheap to search for: a letter that begins a title and no word before it, and a capital or a particle after the word, which may begin a title itself.
+_MAYBE_TITLED = re.compile(
+    rf"(?<![^\W_])[{''.join(sorted({t[0] for t in _GENDER}))}](?=[^\W\d_-]{{0,7}}(?:-[нж]а?)?\.?[ \u00a0](?:[{_UPPER}]|{_PARTICLE}|(?:{'|'.join(sorted(map(str.lower, SMALL_TITLES)))})\.?[ \u00a0]))"
+)
+_POINTED = ("M", "Sr", "sr")
+_LONG = "|".join(sorted((t for t in _GENDER if t not in _POINTED), key=len, reverse=True))
 # Titles that are letters or words otherwise need their point.
-_TITLE = rf"(?:(?:{_LONG})\.?|(?:M|Sr)\.)"
+_TITLE = rf"(?:(?:{_LONG})\.?|(?:{'|'.join(_POINTED)})\.)"
 _WORD = rf"(?!(?:{_LONG}|Sr|Jr)(?!\w)){_NAME}"
-_INITIALS = rf"[{_UPPER}](?:\.[{_UPPER}])*\.?(?!\w)"
-_TITLED = re.compile(rf"({_TITLE}(?:[ \u00a0]{_TITLE})*)[ \u00a0]((?:(?:{_WORD}|{_INITIALS})[ \u00a0])*{_WORD})")
+_INITIALS = rf"[{_UPPER}](?:\.[{_UPPER}])*\.?(?!\w|['’][{_UPPER}])"
+_TITLED = re.compile(rf"({_TITLE}(?:[ \u00a0]{_TITLE})*)[ \u00a0]((?:(?:{_WORD}|{_INITIALS}|{_PARTICLE})[ \u00a0])*{_WORD})")
 
 
 def _script(word: str) -> str:
@@ -74,14 +83,14 @@ def _family(word: str, gender: str) -> str:
 
 
 def _names(text: str) -> list[Mention]:
-    found, known, done = [], {}, 0
+    found, known, begins, done = [], {}, {}, 0
     for m in filter(None, (_TITLED.match(text, at.start()) for at in _MAYBE_TITLED.finditer(text))):
         if m.start() < done or m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] == "_"):
             continue
         done = m.end()
         genders = [_GENDER[t.rstrip(".")] for t in re.split("[ \u00a0]", m[1])]
         gender = next((g for g in genders if g != "n"), "n")
-        words = list(re.finditer("[^ \u00a0]+", m[2]))
+        words = [w for w in re.finditer("[^ \u00a0]+", m[2]) if w[0] not in PARTICLES]
         parts = []
         for k, w in enumerate(words):
             last = k == len(words) - 1
@@ -90,7 +99,8 @@ def _names(text: str) -> list[Mention]:
             part = "family" if last else "initial" if initials else "given"
             parts.append(Mention(m.start(2) + w.start(), m.start(2) + w.end(), f"{part}-{_script(w[0])}-{gender}", value))
         found += parts
-        known.setdefault(m[2], parts)
+        if m[2] not in known:
+            known[m[2]], begins[m[2]] = parts, m.start(2)
     # A known word that stands alone is a family name rather than a given name.
     for part in sorted(found, key=lambda p: not p.kind.startswith("family")):
         if not part.kind.startswith("initial"):
@@ -99,11 +109,14 @@ def _names(text: str) -> list[Mention]:
         return found
     forms = {form: parts for name, parts in known.items() for form in (name.upper(), name.title()) if len(form) == len(name)} | known
     again = "|".join(map(re.escape, sorted(forms, key=len, reverse=True)))
+    starts = {form: begin for name, begin in begins.items() for form in (name, name.upper(), name.title())}
     taken = {p.start for p in found}
     for m in re.finditer(rf"(?<!\w)(?<![^\W\d_]['’-])(?:{again})(?!\w|['’-][{_UPPER}])", text):
         parts = forms[m[0]]
-        if m.start() not in taken:
-            found += [p._replace(start=p.start + m.start() - parts[0].start, end=p.end + m.start() - parts[0].start) for p in parts]
+        if m.start() not in taken and m.start() + parts[0].start - starts.get(m[0], parts[0].start) not in taken:
+            # A whole name begins where its title ended, be it with a particle.
+            base = starts.get(m[0], parts[0].start)
+            found += [p._replace(start=p.start + m.start() - base, end=p.end + m.start() - base) for p in parts]
     return found
 
 
@@ -160,7 +173,7 @@ def mentions(text: str | None) -> list[Mention]:
                 continue
             kind = next(k for k in ("ip", "ssn", "phone", "card") if m[k])
             if kind != "phone" or 7 <= len(digits) <= 15:
-                value = ".".join(str(int(p)) for p in m[0].split(".")) if kind == "ip" else digits
+                value = ".".join(str(int(p)) for p in m[0].split(".")) if kind == "ip" else "+" * m[0].startswith("+") + digits
                 found.append(Mention(m.start(), m.end(), kind, value))
     for m in _IBAN.finditer(text):
         plain = m[0].replace(" ", "")
@@ -211,11 +224,66 @@ def _number(s: _Stream, n: int) -> str:
     return s.pick("123456789") + "".join(s.pick("0123456789") for _ in range(n - 1))
 
 
+# Country codes of two digits. +1 and +7 have one, all others three.
+COUNTRY_CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _kept(kind: str, value: str) -> str:
+    """What a replacement shares with the entity: the country code, with its plus sign, or the network of a private address."""
+    if kind == "ip":
+        parts = value.split(".")
+        private = parts[:2] == ["192", "168"] or parts[0] == "172" and 16 <= int(parts[1]) < 32
+        return ".".join(parts[: 1 if parts[0] in ("10", "127") else 2 if private else 0])
+    if kind == "phone" and value.startswith("+"):
+        return value[: 2 if value[1] in "17" else 3 if value[1:3] in COUNTRY_CODES else 4]
+    return value[: max(0, len(value) - 10)] if kind == "phone" else ""
+
+
+#: First octets of public addresses.
+_PUBLIC = [p for p in range(1, 224) if p not in (10, 127, 172, 192)]
+#: Attempts from here on are ranks in the list of all replacements of a form.
+RANKED = 1 << 20
+
+
+def form(kind: str, value: str) -> str | None:
+    """Entities of one form draw on the same list of replacements; None where later attempts widen the form without end."""
+    if kind not in ("ip", "phone", "ssn"):
+        return None
+    return f"{_kept(kind, value)}/{0 if kind == 'ip' else len(value)}"
+
+
+def ranked(key: bytes, kind: str, value: str, rank: int) -> str:
+    """The replacement with this rank in the list of an entity's form, in an order the key fixes.
+
+    Lists go on beyond the form: addresses of a private network are followed by those of 10.0.0.0/8 and by public ones, and
+    numbers by numbers of one digit more.
+    """
+    kept = _kept(kind, value)
+    if kind == "ip":
+        fixed = [int(p) for p in kept.split(".") if p]
+        lists = [(fixed, 256 ** (4 - len(fixed)))] if fixed else []
+        lists += [([10], 1 << 24)] if fixed and fixed != [10] else []
+        lists += [([first], 1 << 24) for first in _PUBLIC]
+        for octets, size in lists:
+            if rank < size:
+                at = (rank * 40503 + _Stream(key, "ranked", *octets).below(size)) % size
+                return ".".join(map(str, octets + [at >> 8 * k & 255 for k in range(3 - len(octets), -1, -1)]))
+            rank -= size
+        raise ValueError("more addresses than IPv4 has")
+    n = len(value) - len(kept)
+    while rank >= 9 * 10 ** (n - 1):
+        rank, n = rank - 9 * 10 ** (n - 1), n + 1
+    size = 9 * 10 ** (n - 1)
+    return kept + str(size // 9 + (rank * 7919 + _Stream(key, "ranked", kind, kept, n).below(size)) % size)
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """The replacement of an entity in the form of ``value``; other attempts give other replacements.
 
-    Where the form alone leaves too few replacements, later attempts add letters or syllables.
+    Where the form alone leaves too few replacements, later attempts add letters or syllables, or are ranks in a list.
     """
+    if attempt >= RANKED:
+        return ranked(key, kind, value, attempt - RANKED)
     entity = kind.rsplit("-", 1)[0] if kind.startswith("family") else kind
     s = _Stream(key, entity, value, attempt)
     more = max(0, attempt - 3)
@@ -226,10 +294,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         host = ".".join([_shaped(d, label) for label in labels[:-1]] + labels[-1:])
         return _shaped(s, local) + "".join(s.pick(_LETTERS) for _ in range(more)) + "@" + host
     if kind == "ip":
-        parts = value.split(".")
-        keep = 1 if parts[0] in ("10", "127") else 2 if parts[:2] == ["192", "168"] or parts[0] == "172" and 16 <= int(parts[1]) < 32 else 0
-        free = [p for p in range(1, 224) if p not in (10, 127, 172, 192)]
-        fresh = [str(free[s.below(len(free))])] + [str(s.below(256)) for _ in parts[1:]]
+        parts, kept = value.split("."), _kept(kind, value)
+        keep = kept.count(".") + 1 if kept else 0
+        fresh = [str(_PUBLIC[s.below(len(_PUBLIC))])] + [str(s.below(256)) for _ in parts[1:]]
         return ".".join(parts[:keep] + fresh[keep:])
     if kind == "ip6":
         first = value.split(":")[0]
@@ -243,7 +310,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         body = "".join(s.pick("0123456789") if c.isdigit() else s.pick(_LETTERS).upper() for c in value[4:])
         return value[:2] + f"{98 - _iban_rest(value[:2] + '00' + body):02d}" + body
     if kind in ("phone", "ssn"):
-        keep = value[: max(0, len(value) - 10)] if kind == "phone" else ""
+        keep = _kept(kind, value)
         return keep + _number(s, len(value) - len(keep))
     part, script, gender = kind.split("-")
     if part == "initial":
@@ -260,8 +327,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
 def rendered(m: Mention, surface: str, new: str) -> str:
     """``new`` in the format of the mention: its separators and its letter case."""
     if m.kind in ("phone", "ssn", "card", "iban"):
-        fresh = iter(new)
-        return "".join(next(fresh) if c.isalnum() else c for c in surface)
+        fresh = iter(new.lstrip("+"))
+        # A number of a wider form ends in the digits that the format has no place for.
+        return "".join(next(fresh) if c.isalnum() else c for c in surface) + "".join(fresh)
     if m.kind.startswith("initial"):
         fresh = iter(new.upper())
         return "".join(next(fresh) if c.isalpha() else c for c in surface)

@@ -7,7 +7,7 @@ from farelane.llm.curriculum import Mix
 from farelane.llm.line_dedup import MIN_SITES
 from farelane.llm.quality_rules import SYMBOLS, QualityRules
 from farelane.llm.topk_search import EVERY, SCALE, K
-from farelane.llm.url_filter import RULES
+from farelane.llm.url_filter import LISTED_NAMES, RULES
 from farelane.llm.warc_zip import MIN_BYTES
 
 _RULES = QualityRules()
@@ -28,8 +28,10 @@ lines AS (
   SELECT row_id, doc_id, source, text, line, {_NORMAL} AS k, len({_WORDS % "line"}) AS n
   FROM (SELECT row_id, doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '{_WORD}')),
+hosts AS (SELECT source AS host, count(DISTINCT text) AS host_docs FROM docs GROUP BY source),
 frequent AS (
-  SELECT source, k, min(doc_id) AS home FROM lines GROUP BY source, k HAVING count(DISTINCT text) > {_RULES.max_line_docs}),
+  SELECT source, k, min(doc_id) AS home FROM lines JOIN hosts ON hosts.host IS NOT DISTINCT FROM lines.source GROUP BY source, k HAVING count(DISTINCT text) > {_RULES.max_line_docs}
+    OR (count(DISTINCT text) > {_RULES.min_line_docs} AND 100 * count(DISTINCT text) > {_RULES.max_line_percent} * any_value(host_docs))),
 lost AS (
   SELECT row_id, sum(n) AS words, count(*) AS n
   FROM lines JOIN frequent ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.k = frequent.k
@@ -69,7 +71,8 @@ judged AS (
 firsts AS (SELECT html, canonical, min(page_id) AS page_id FROM judged WHERE html IS NOT NULL GROUP BY html, canonical),
 listed AS (
   SELECT DISTINCT canonical FROM firsts JOIN (SELECT html, min(page_id) AS least FROM firsts GROUP BY html) USING (html)
-  WHERE page_id > least AND canonical IS NOT NULL)
+  WHERE page_id > least AND canonical IS NOT NULL
+  UNION SELECT canonical FROM judged WHERE regexp_matches(host, '(^|\.)({"|".join(LISTED_NAMES)})(\.|$)'))
 SELECT page_id, host, path, rule,
   CASE rule {_VERDICTS} ELSE CASE WHEN canonical IN (FROM listed) THEN 'block' ELSE 'allow' END END AS verdict, canonical
 FROM judged

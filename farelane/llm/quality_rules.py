@@ -3,6 +3,8 @@
 Cases, by definition:
 
 * null text counts as empty, with no words and no lines, so it fails the length rule;
+* a line is frequent in a host if more than 50 distinct documents share it, or more than a tenth of
+  its documents and more than 5;
 * lines without a word never count and are never removed; repeated lines of one
   document count once for their frequency, and each of them when removed;
 * documents are told apart by their text: exact copies count once, so copying
@@ -30,8 +32,10 @@ SYMBOLS = "#*$%&|<>"
 class QualityRules:
     min_words: int = 50
     max_repeat_percent: int = 50
-    #: Distinct documents of one host that may share a line.
+    #: Distinct documents of one host that may share a line; of a small host fewer: so many percent of its documents, but no less than the least.
     max_line_docs: int = 50
+    max_line_percent: int = 10
+    min_line_docs: int = 5
     #: Share of a document's words that must stay once frequent lines are gone.
     min_kept_percent: int = 30
 
@@ -87,23 +91,26 @@ def _facts(docs: DataFrame) -> DataFrame:
     )
     return plain.select(
         "doc_id",
+        F.xxhash64(F.col("host").isNull(), F.col("host")).alias("host_key"),
         F.xxhash64("text").alias("text_key"),
         from_words.alias("w"),
         F.length(F.regexp_replace("text", WHITE, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         from_lines.alias("l"),
-    ).select("doc_id", "text_key", "w.*", "word_chars", "n_symbols", "l.*")
+    ).select("doc_id", "host_key", "text_key", "w.*", "word_chars", "n_symbols", "l.*")
 
 
 def frequent_lines(facts: DataFrame, rules: QualityRules) -> DataFrame:
-    """Lines (host and text in one key) of more than ``max_line_docs`` documents, with the id that keeps each."""
-    held = facts.select("doc_id", "text_key", F.explode(F.array_distinct(F.transform("lines", lambda x: x["key"]))).alias("key"))
-    return (
+    """Lines (host and text in one key) that too many documents of their host share, with the id that keeps each."""
+    held = facts.select("doc_id", "host_key", "text_key", F.explode(F.array_distinct(F.transform("lines", lambda x: x["key"]))).alias("key"))
+    shared = (
         held.groupBy("key")
-        .agg(F.count_distinct("text_key").alias("n_docs"), F.min("doc_id").alias("home"))
-        .where(F.col("n_docs") > rules.max_line_docs)
-        .select("key", "home")
+        .agg(F.count_distinct("text_key").alias("n_docs"), F.min("doc_id").alias("home"), F.min("host_key").alias("host_key"))
+        .where(F.col("n_docs") > min(rules.min_line_docs, rules.max_line_docs))
     )
+    hosts = land(facts.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_docs")), "host-sizes")
+    of_small_host = (F.col("n_docs") > rules.min_line_docs) & (100 * F.col("n_docs") > rules.max_line_percent * F.col("host_docs"))
+    return shared.join(hosts, "host_key").where((F.col("n_docs") > rules.max_line_docs) | of_small_host).select("key", "home")
 
 
 def _removals(facts: DataFrame, rules: QualityRules) -> DataFrame:

@@ -75,7 +75,8 @@ def repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 def urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    judged = url_filter.judge_urls(pages.select("page_id", "url"), url_filter.mirror_urls(pages))
+    listed = url_filter.named_urls(pages).unionByName(url_filter.mirror_urls(pages))
+    judged = url_filter.judge_urls(pages.select("page_id", "url"), listed)
     return judged.select("page_id", "host", "path", "rule", "verdict", "canonical")
 
 

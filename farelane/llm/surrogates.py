@@ -11,6 +11,7 @@ right check digits, and names behind titles are found: initials and all name wor
 family name. Names keep gender and script, initials become other initials and need not be distinct, cards
 their check digit (or lack of one), telephone numbers the country code, private addresses
 their network.
+Forms with few replacements, such as the addresses of a private network, end in lists that are dealt out by rank and go on in a wider form.
 
 Cases, by definition:
 
@@ -25,14 +26,16 @@ Cases, by definition:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from farelane.llm.common import columns_of, land, map_batches, ship, unused
-from farelane.llm.entities import mentions, rendered, surrogate
+from farelane.llm.entities import RANKED, form, mentions, rendered, surrogate
 
 _ENTITY = "kind string, value string"
 
@@ -62,45 +65,79 @@ def found_entities(docs: DataFrame) -> DataFrame:
     return map_batches(narrow, run, f"doc_id {id_type}, text_key long, {_ENTITY}")
 
 
-def _with_surrogates(entities: DataFrame, key: bytes, attempt: int) -> DataFrame:
+def _with_surrogates(entities: DataFrame, key: bytes, attempt: int | None) -> DataFrame:
+    """``entities`` with the replacement ``new`` of an attempt, or of the attempt in their own column."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kinds, values = batch.column("kind").to_pylist(), batch.column("value").to_pylist()
-            made = [surrogate(key, k if not k.startswith("family") else f"{k}-n", v, attempt) for k, v in zip(kinds, values)]
-            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("value"), pa.array(made, pa.string())], ["kind", "value", "new"])
+            attempts = [attempt] * len(kinds) if attempt is not None else batch.column("attempt").to_pylist()
+            made = [surrogate(key, k if not k.startswith("family") else f"{k}-n", v, a) for k, v, a in zip(kinds, values, attempts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], [*batch.schema.names, "new"])
+
+    rows = entities.select("kind", "value", *([] if attempt is not None else ["form", F.col("attempt").cast("int")]))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return map_batches(rows, run, f"{fields}, new string")
 
-    return map_batches(entities.select("kind", "value"), run, f"{_ENTITY}, new string")
 
+def later_attempts(entities: DataFrame, key: bytes, rounds: int = 8) -> DataFrame:
+    """(kind, value, attempt) of the entities whose first replacement clashes; ``entities`` is a written table.
 
-def later_attempts(entities: DataFrame, key: bytes, most: int = 64) -> DataFrame:
-    """(kind, value, attempt) of the entities whose first replacement clashes; ``entities`` is a written table."""
+    After some rounds, entities of forms with few replacements get free ones by rank, from the list of their form;
+    all other forms grow with each attempt, so that chance settles them.
+    """
     # Replacements are told apart over all kinds: a text shows no kinds.
     taken = entities.select(F.col("value").alias("new"))
-    pending, settled, later = entities, None, []
-    for attempt in range(most):
+    pending, settled, later, attempt = entities, None, [], 0
+    while attempt == 0 or not pending.isEmpty():
+        if attempt == rounds:
+            listed, pending = _by_rank(pending, taken.unionByName(settled), key)
+            later.append(listed.select("kind", "value", "attempt"))
+            settled = settled.unionByName(listed.select("new"))
         tried = land(_with_surrogates(pending, key, attempt), "surrogates")
         free = tried.join(taken, "new", "left_anti")
         if settled is not None:
             free = free.join(settled, "new", "left_anti")
-        won = free.groupBy("new").agg(F.min(F.struct("kind", "value")).alias("e")).select("new", "e.*")
+        won = land(free.groupBy("new").agg(F.min(F.struct("kind", "value")).alias("e")).select("new", "e.*"), "surrogates")
         if attempt:
-            won = land(won, "surrogates")
             later.append(won.select("kind", "value", F.lit(attempt).alias("attempt")))
-            settled = settled.unionByName(won.select("new"))
-        else:
-            won = land(won, "surrogates")
-            settled = won.select("new")
+        settled = won.select("new") if settled is None else settled.unionByName(won.select("new"))
         pending = land(tried.join(won, ["kind", "value"], "left_anti").select("kind", "value"), "entities")
-        if pending.isEmpty():
-            break
-    else:
-        raise ValueError(f"{most} attempts left entities without a replacement of their own")
-    if not later:
-        return entities.select("kind", "value", F.lit(1).alias("attempt")).limit(0)
-    result = later[0]
-    for part in later[1:]:
-        result = result.unionByName(part)
-    return result
+        attempt += 1
+    none = entities.select("kind", "value", F.lit(1).alias("attempt")).limit(0)
+    return reduce(DataFrame.unionByName, later, none)
+
+
+def _by_rank(pending: DataFrame, taken: DataFrame, key: bytes) -> tuple[DataFrame, DataFrame]:
+    """(kind, value, new, attempt) of all pending entities that have a list of replacements, and the other pending ones.
+
+    Of each form as many ranks are tried as it has entities left; those whose replacement is free go to the entities in
+    order. What is left goes on with the next ranks.
+    """
+
+    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [form(k, v) for k, v in zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["kind", "value", "form"])
+
+    formed = land(map_batches(pending.select("kind", "value"), forms, f"{_ENTITY}, form string"), "entity-forms")
+    left, given, first = formed.where("form is not null"), [], 0
+    given.append(left.select("kind", "value", F.lit("").alias("new"), F.lit(0).alias("attempt")).limit(0))
+    while (most := left.groupBy("kind", "form").count().agg(F.max("count")).first()[0]) is not None:
+        sizes = left.groupBy("kind", "form").agg(F.min("value").alias("value"), F.count("*").alias("n"))
+        ranks = F.explode(F.sequence(F.lit(first).cast("long"), F.lit(first - 1) + 2 * F.col("n"))).alias("rank")
+        offered = sizes.select("kind", "form", "value", ranks)
+        made = land(_with_surrogates(offered.withColumn("attempt", F.col("rank") + RANKED), key, None), "ranked-surrogates")
+        free = made.join(taken, "new", "left_anti").join(reduce(DataFrame.unionByName, given).select("new"), "new", "left_anti")
+        free = free.groupBy("new").agg(F.min(F.struct("kind", "form", "attempt")).alias("f")).select("new", "f.*")
+        place = F.row_number().over(Window.partitionBy("kind", "form").orderBy("attempt")).alias("place")
+        offers = free.select("kind", "form", "new", "attempt", place)
+        wants = left.select("kind", "form", "value", F.row_number().over(Window.partitionBy("kind", "form").orderBy("value")).alias("place"))
+        won = land(wants.join(offers, ["kind", "form", "place"]).select("kind", "value", "new", "attempt"), "ranked-surrogates")
+        given.append(won)
+        left = land(left.join(won.select("kind", "value"), ["kind", "value"], "left_anti"), "entity-forms")
+        first += 2 * most
+    return reduce(DataFrame.unionByName, given), formed.where("form is null").select("kind", "value")
 
 
 def _replaced(key: bytes, text: str, later: dict[tuple[str, str], int]) -> tuple[str, list[str]]:

@@ -32,6 +32,8 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
+#: Names of hosts whose pages are listed, whatever their subdomain.
+LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 BITS_PER_URL = 16
 BLOCK_BITS = 256
 
@@ -76,10 +78,19 @@ def bloom_blocks(listed: DataFrame, n_blocks: int) -> DataFrame:
     return keyed.groupBy("block").agg(*[F.bit_or(f"m{i}").alias(f"b{i}") for i in range(4)])
 
 
-def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def possible_hits(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``rows`` (columns block and canonical) with ``maybe``: whether all bits of the URL are set in its block."""
+    probe = rows.select("*", *[m.alias(f"m{i}") for i, m in enumerate(_masks())]).join(blocks, "block", "left")
+    hit = F.lit(True)
+    for i in range(4):
+        hit = hit & (F.col(f"m{i}").bitwiseAND(F.col(f"b{i}")) == F.col(f"m{i}"))
+    return probe.select(*[c for c in rows.columns if c != "block"], F.coalesce(hit, F.lit(False)).alias("maybe"))
+
+
+def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]] = RULES, bits_per_url: int = BITS_PER_URL) -> DataFrame:
     """``pages`` (column ``url``) with host, path, canonical, rule and verdict; ``listed`` has canonical URLs."""
     listed = land(listed.select("canonical").where(F.col("canonical").isNotNull()).distinct(), "listed-urls")
-    n_blocks = max(1, -(-listed.count() * BITS_PER_URL // BLOCK_BITS))
+    n_blocks = max(1, -(-listed.count() * bits_per_url // BLOCK_BITS))
     blocks = land(bloom_blocks(listed, n_blocks), "url-blocks")
     host, path = host_and_path(F.col("url"))
     own = ("host", "path", "canonical", "rule", "verdict")
@@ -88,11 +99,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     rows = rows.select("*", matching_rule(F.col("host"), F.col("path"), rules).alias("fit"))
     ruled = rows.where(F.col("fit").isNotNull() | F.col("canonical").isNull())
     open_rows = rows.where(F.col("fit").isNull() & F.col("canonical").isNotNull()).select("*", _block(n_blocks).alias("block"))
-    probe = open_rows.select("*", *[m.alias(f"m{i}") for i, m in enumerate(_masks())]).join(blocks, "block", "left")
-    hit = F.lit(True)
-    for i in range(4):
-        hit = hit & (F.col(f"m{i}").bitwiseAND(F.col(f"b{i}")) == F.col(f"m{i}"))
-    probe = land(probe.select("row", "host", "path", "canonical", "fit", F.coalesce(hit, F.lit(False)).alias("maybe")), "url-probe")
+    probe = land(possible_hits(open_rows, blocks), "url-probe")
     exact = probe.where("maybe").join(listed.select("canonical", F.lit(True).alias("listed")), "canonical", "left")
     no = F.lit(None).cast("boolean").alias("listed")
     columns = ["row", "host", "path", "canonical", "fit", "listed"]
@@ -110,6 +117,13 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, s
     )
 
 
+def named_urls(pages: DataFrame, names: Sequence[str] = LISTED_NAMES) -> DataFrame:
+    """A list of canonical URLs: those of pages on hosts of which a part is one of ``names``."""
+    host, _ = host_and_path(F.col("url"))
+    on_list = F.arrays_overlap(F.split(host, r"\."), F.array(*map(F.lit, names)))
+    return pages.where(on_list).select(canonical_url(F.col("url")).alias("canonical")).distinct()
+
+
 def mirror_urls(pages: DataFrame) -> DataFrame:
     """A list of canonical URLs: those that repeat the html of a page with a smaller id under another URL."""
     held = pages.where(F.col("html").isNotNull()).select("page_id", F.sha2("html", 256).alias("digest"), canonical_url(F.col("url")).alias("canonical"))

@@ -10,10 +10,12 @@ import zipfile
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from farelane.llm import line_dedup, packing, quality_rules, run_index, sentencepiece_bpe, simhash, suffix_dedup, surrogates, topk_search, url_filter, warc_zip
+from farelane.llm.common import land
 from farelane.llm.components import components
-from farelane.llm.entities import Mention, luhn, mentions, rendered, surrogate
+from farelane.llm.entities import RANKED, Mention, luhn, mentions, ranked, rendered, surrogate
 from farelane.llm.queries import tokenizer_file
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -562,3 +564,100 @@ def test_ip6_in_all_forms():
     assert found("12:30:45 std::vector a :: b 00:1a:2b:3c:4d:5e Foo::add 1:2:3 x::1 2001:db8::1::2 2001:db8::12345") == []
     new = surrogates._replaced(b"k", "2001:db8::1 2001:db8:0:0:0:0:0:1 fe80::1 ::ffff:192.168.4.5 192.168.4.5", {})[0].split()
     assert new[0] == new[1] != "2001:db8::1" and new[2].startswith("fe80:") and new[3] == "::ffff:" + new[4] and new[4].startswith("192.168.")
+
+
+#: Text and what must be found in it, in order: written down by hand.
+WRITTEN = [
+    ("Mr. O'Brien's dog saw O’Brien.", ["O'Brien"]),
+    ("Mr. van der Berg met Berg.", ["Berg", "Berg"]),
+    ("Yesterday M. de Gaulle spoke; de Gaulle left.", ["Gaulle", "Gaulle"]),
+    ("Видел г-н Иванов и г-жа Иванова.", ["Иванов", "Иванова"]),
+    ("the señor García and madame Bovary", ["García", "Bovary"]),
+    ("seen by dr. Ann Lee, not by Ann Leeds", ["Ann", "Lee", "Ann"]),
+    ("Mr. J. R. O'Neil", ["J.", "R.", "O'Neil"]),
+    ("herr Müller, hm. Dr", ["Müller"]),
+    ("a drama Smith wrote, 5 m. Dupont", []),
+    ("ring +49 30 123456 or 030 123456", ["+49 30 123456", "030 123456"]),
+    ("mail a.b@c.example.org from 10.1.2.3, fe80::1", ["a.b@c.example.org", "10.1.2.3", "fe80::1"]),
+]
+
+
+def test_written_entities_are_found():
+    for text, expected in WRITTEN:
+        assert [text[m.start : m.end] for m in mentions(text)] == expected, text
+
+
+def test_replaced_texts_keep_their_frame(spark):
+    docs = frame(spark, [(i, text, "a") for i, (text, _) in enumerate(WRITTEN)])
+    got = {r.doc_id: r.text for r in surrogates.replace_entities(docs, b"k").collect()}
+    for i, (text, expected) in enumerate(WRITTEN):
+        # What stands between the entities is there, in order, and the entities are not.
+        rest, at = [], 0
+        for entity in expected:
+            found = text.index(entity, at)
+            rest.append(text[at:found])
+            at = found + len(entity)
+        rest.append(text[at:])
+        place = 0
+        for part in rest:
+            place = got[i].index(part, place) + len(part)
+        assert (got[i] == text) == (not expected)
+        whole = [e for e in expected if len(e) > 2]
+        assert not any(f" {e} " in f" {got[i]} " for e in whole)
+    assert got[9].startswith("ring +49 ") and len(got[9]) == len(WRITTEN[9][0])
+
+
+@pytest.mark.parametrize("value, code", [("+4930123456", "+49"), ("+15550109999", "+1"), ("+35312345678", "+353"), ("+79161234567", "+7")])
+def test_country_codes_stay(value, code):
+    for attempt in (0, 1, 5, RANKED, RANKED + 77):
+        new = surrogate(b"k", "phone", value, attempt)
+        assert new.startswith(code) and len(new) == len(value) and new != value
+
+
+def test_a_full_network_gets_distinct_replacements(spark):
+    """All addresses of a /16 and most numbers of a short form: nothing of the form is left, so lists of wider forms follow."""
+    nets = [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]
+    rows = [(i, "hosts " + " and ".join(nets[i : i + 512]), "a") for i in range(0, len(nets), 512)]
+    docs = frame(spark, rows + [(i + 1, t, "b") for i, t, _ in rows[:2]])
+    texts = {r.doc_id: r.text for r in surrogates.replace_entities(docs, b"k").collect()}
+    new = {i: t.removeprefix("hosts ").split(" and ") for i, t in texts.items()}
+    first = [a for i in range(0, len(nets), 512) for a in new[i]]
+    assert len(first) == len(set(first)) == len(nets) and not set(first) & set(nets)
+    assert all(a.startswith("10.") for a in first) and new[1] == new[0] and new[513] == new[512]
+
+
+def test_lists_of_replacements_have_no_repeats():
+    for kind, value in (("ip", "192.168.3.4"), ("ip", "10.0.0.1"), ("ip", "8.8.8.8"), ("ssn", "123456789"), ("phone", "+4912")):
+        made = [ranked(b"k", kind, value, rank) for rank in range(70_000)]
+        assert len(set(made)) == len(made)
+    assert ranked(b"k", "ip", "192.168.3.4", 65_536).startswith("10.") and len(ranked(b"k", "phone", "+4912", 90)) == 6
+
+
+# Host-relative limits, and the list of the URL filter
+
+
+def test_lines_of_small_and_large_hosts(spark):
+    shared = " ".join(f"c{i}" for i in range(9))
+    rows = [(i, f"{shared}\n{LONG} x{i}", "small") for i in range(7)] + [(100 + i, LONG + f" y{i}" + (f"\n{shared}" if i < 7 else ""), "large") for i in range(80)]
+    lost = {r.doc_id for r in quality_rules.judge(frame(spark, rows)).where("n_lost_lines > 0").collect()}
+    assert lost == set(range(1, 7))
+    every = quality_rules.QualityRules(max_line_percent=5)
+    assert {r.doc_id for r in quality_rules.judge(frame(spark, rows), every).where("n_lost_lines > 0").collect()} == {*range(1, 7), *range(101, 107)}
+
+
+def test_rules_and_list_have_work_on_the_given_tables(spark):
+    folder = "/root/testdata/sf0.01"
+    judged = quality_rules.judge(spark.read.parquet(f"{folder}/documents.parquet"))
+    assert judged.where("n_lost_lines > 0").count() > 0
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    listed = url_filter.named_urls(pages)
+    verdicts = url_filter.judge_urls(pages.select("page_id", "url"), listed)
+    blocked = verdicts.where("rule IS NULL AND verdict = 'block'")
+    assert 0 < blocked.count() < verdicts.count() and blocked.select("canonical").distinct().count() <= listed.count()
+    # A filter that is too full lets unlisted URLs pass; the exact join takes them out again.
+    half = pages.where("page_id % 3 = 0").select(url_filter.canonical_url(F.col("url")).alias("canonical"))
+    roomy, tight = (by_id(url_filter.judge_urls(pages.select("page_id", "url"), half, bits_per_url=n), "page_id", "verdict") for n in (16, 2))
+    assert roomy == tight
+    one_block = [df.withColumn("block", F.lit(0).cast("long")) for df in (half, pages.select(url_filter.canonical_url(F.col("url")).alias("canonical")))]
+    probed = url_filter.possible_hits(one_block[1], url_filter.bloom_blocks(one_block[0], 1)).where("maybe")
+    assert probed.join(half, "canonical", "left_anti").count() > 0 and probed.join(half, "canonical", "left_semi").count() == half.count()
