@@ -355,6 +355,27 @@ def _landed(df: DataFrame, purpose: str) -> DataFrame:
     return found
 
 
+#: Bits of a place in a document (texts have fewer bytes), where document and place fit one number.
+_PLACE_BITS = 31
+
+
+def _first_places(found: DataFrame, named: DataFrame) -> DataFrame:
+    """(h, first, n): the first document and place of each anchor, and how often it is there.
+
+    Ids that leave room for the place are compared as one number with it, which Spark aggregates by hashing; others as a pair,
+    by sorting. The result is the same.
+    """
+    least, most = named.agg(F.min("doc"), F.max("doc")).first()
+    count = F.count("*").alias("n")
+    limit = 1 << (62 - _PLACE_BITS)
+    if least is None or least < -limit or most >= limit:
+        return found.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first"), count)
+    place = F.col("doc") * (1 << _PLACE_BITS) + F.col("pos")
+    packed = found.groupBy("h").agg(F.min(place).alias("packed"), count)
+    parts = F.shiftright("packed", _PLACE_BITS).alias("doc"), F.col("packed").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("pos")
+    return packed.select("h", F.struct(*parts).alias("first"), "n")
+
+
 def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc, ranges): per document the first and last begin of each run of windows that occur earlier."""
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
@@ -362,7 +383,7 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     named = docs.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").select(F.col("doc_id").cast("long").alias("doc"), "text")
     # Made anew for both uses: cheaper than to keep the anchors of the whole corpus on disk.
     found = corpus_anchors(named, width)
-    first = found.groupBy("h").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = _first_places(found, named).where("n > 1")
     links = found.join(first, "h").where((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos")))
     links = _landed(
         links.select("doc", "pos", "before", "after", F.col("first.doc").alias("doc0"), F.col("first.pos").alias("pos0"), (F.col("n") > 2).alias("more")),
@@ -392,19 +413,23 @@ def _cutter(width: int):
 
     @F.arrow_udf(kind)
     def cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:
-        rows = []
-        for text, own in zip(texts, ranges):
-            data = (text.as_py() or "").encode()
-            own = own.as_py()
-            if not own:
-                rows.append((data, len(data), 0, 0))
+        kept, numbers = [], []
+        # All ranges of the batch at once, as numbers; a null list has none.
+        sizes = ranges.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        low, high = (ranges.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        for text, size, end in zip(texts, sizes.tolist(), ends.tolist()):
+            if not size:
+                kept.append(None)
+                numbers.append((0, 0, 0))
                 continue
-            starts, ends = _intervals(np.array([r["low"] for r in own]), np.array([r["high"] for r in own]) + width)
-            bounds = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(data)]
-            kept = b"".join(data[a:b] for a, b in zip(bounds[::2], bounds[1::2]))
-            rows.append((kept, len(data), len(data) - len(kept), len(starts)))
-        kept, *numbers = zip(*rows) if rows else ([], [], [], [])
-        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *(pa.array(n, pa.int64()) for n in numbers)], ["kept", "n_bytes", "n_removed", "n_spans"])
+            data = text.as_py().encode()
+            starts, stops = _intervals(low[end - size : end], high[end - size : end] + width)
+            bounds = [0, *np.stack([starts, stops], axis=1).ravel().tolist(), len(data)]
+            kept.append(b"".join(data[a:b] for a, b in zip(bounds[::2], bounds[1::2])))
+            numbers.append((len(data), len(data) - len(kept[-1]), len(starts)))
+        columns = [pa.array([n[k] for n in numbers], pa.int64()) for k in range(3)]
+        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), *columns], ["kept", "n_bytes", "n_removed", "n_spans"])
 
     return cut
 
