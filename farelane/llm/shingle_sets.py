@@ -9,7 +9,8 @@ Three steps, each exact in what it joins; the last one misses nothing.
    shingles their first n - ceil(0.8 n) + 1 meet. Rare shingles come first; how rare is estimated on a sample of
    texts, which changes the number of candidates but no result. Texts that share a shingle form a cell; its
    least and greatest text are compared with its others.
-3. Cells of one group are done with, however large. In the others, texts of different groups are compared through the
+3. Cells of one group are done with, however large. In the others, first the nearest and then all open
+   pairs are looked at: texts of different groups are compared through the
    same embedding as fingerprints: a set is a long bit string, cut into segments by hash, and the Manhattan distance of
    the segments' bit counts never exceeds the number of bits in which two sets differ, a ninth of
    both sizes at similarity 0.8. Few pairs pass that are not similar. A crowded cell is dealt as pairs of blocks.
@@ -45,6 +46,8 @@ BLOCK = 4096
 _SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 1 << 19
+#: Pairs whose segment counts are compared at a time.
+_PAIRS = 1 << 15
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -181,21 +184,30 @@ def sketches(texts: DataFrame) -> DataFrame:
     return map_batches(texts.select("text_key", "text"), run, "key long, fp long, counts binary")
 
 
-def _may_be_alike(i: np.ndarray, j: np.ndarray, size: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Which pairs pass the bound: Manhattan distance of the segment counts at most a ninth of both sizes."""
-    passed = []
-    for at in range(0, max(1, len(i)), 1 << 16):
-        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-        distance = np.abs(counts[a] - counts[b]).sum(axis=1, dtype=np.int64)
-        passed.append(9 * distance <= size[a] + size[b])
-    return np.concatenate(passed)
+def _distances(i: np.ndarray, j: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Manhattan distances of the segment counts of pairs."""
+    parts = [np.abs(counts[i[at : at + _PAIRS]] - counts[j[at : at + _PAIRS]]).sum(axis=1, dtype=np.int32) for at in range(0, len(i), _PAIRS)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
 
-def _unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], nearest: int | None) -> Iterator[pa.RecordBatch]:
     """Rows (cell, home, label, key, size, counts) sorted by cell; pairs of different labels that may be alike, with the sum and the larger of their sizes.
 
-    A cell is a shingle and two blocks of its texts; of two different blocks only pairs across are looked at.
+    A cell is a shingle and two blocks of its texts; of two different blocks only pairs across are looked at. May be alike: the
+    Manhattan distance is at most a ninth of both sizes. With ``nearest``, each text passes on so many pairs of a cell at most, those of least distance.
+    A pair that several cells of the task have is one row, with their number.
     """
+    waiting: list[np.ndarray] = []
+    held = 0
+
+    def out() -> pa.RecordBatch:
+        a, b, both, larger = np.concatenate(waiting, axis=1)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+        n = np.diff(np.r_[first, len(a)])
+        return _batch({"a": a[first], "b": b[first], "n": n, "both": both[order][first], "larger": larger[order][first]})
+
     for cell, home, label, key, size, counts in _by_cell(batches):
         for start, end in zip(*_ranges(cell)):
             own, blocks, keys, n = (c[start:end] for c in (label, home, key, size.astype(np.int64)))
@@ -204,7 +216,7 @@ def _unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.frombuffer(b"".join(counts[start:end]), np.uint8).reshape(-1, SEGMENTS).astype(np.int16)
             two = blocks.min() != blocks.max()
             rows = np.flatnonzero(blocks == blocks[0]) if two else np.arange(len(own))
-            step = max(1, (1 << 22) // len(own))
+            step = max(1, (1 << 19) // len(own))
             for at in range(0, len(rows), step):
                 some = rows[at : at + step]
                 open_ = own[some, None] != own[None, :]
@@ -212,20 +224,33 @@ def _unjoined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 open_ &= (blocks[some, None] != blocks) if two else (some[:, None] < np.arange(len(own)))
                 i, j = np.nonzero(open_)
                 i = some[i]
-                passed = _may_be_alike(i, j, n, bits)
-                i, j = i[passed], j[passed]
+                distance = _distances(i, j, bits)
+                passed = 9 * distance <= n[i] + n[j]
+                i, j, distance = i[passed], j[passed], distance[passed]
+                if nearest is not None and len(i):
+                    order = np.lexsort((distance, i))
+                    i, j = i[order], j[order]
+                    first = np.maximum.accumulate(np.where(np.r_[True, i[1:] != i[:-1]], np.arange(len(i)), 0))
+                    kept = np.arange(len(i)) - first < nearest
+                    i, j = i[kept], j[kept]
                 if len(i):
                     a, b = keys[i], keys[j]
-                    yield _batch({"a": np.minimum(a, b), "b": np.maximum(a, b), "both": n[i] + n[j], "larger": np.maximum(n[i], n[j])})
+                    waiting.append(np.stack([np.minimum(a, b), np.maximum(a, b), n[i] + n[j], np.maximum(n[i], n[j])]))
+                    held += len(i)
+                if held >= _ROWS:
+                    yield out()
+                    waiting, held = [], 0
+    if held:
+        yield out()
 
 
 def _enough(pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) with enough rows, one per shared shingle of their prefixes.
+    """The pairs (a, b) with enough shared shingles of their prefixes, the sum of n.
 
     What two sets share outside both prefixes lies behind the prefix that ends first, so it is
     less than 0.8 of the larger set; four ninths of both sizes must be shared.
     """
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("both").alias("both"), F.max("larger").alias("larger"))
+    counted = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("both").alias("both"), F.max("larger").alias("larger"))
     return counted.where(9 * (F.col("n") + F.ceil(F.col("larger") * 4 / 5) - 1) >= 4 * F.col("both")).select("a", "b")
 
 
@@ -249,8 +274,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return land(map_batches(both.select("a", "b", "left", "right"), compare, "a long, b long"), "similar-pairs")
 
 
-def _across(shared: DataFrame, labels: DataFrame, drawn: DataFrame, block: int) -> DataFrame:
-    """(a, b, both, larger): pairs of texts of different groups that share a shingle and may be alike, once per shingle."""
+def _open_pairs(shared: DataFrame, found: DataFrame, drawn: DataFrame, block: int, nearest: int | None = None) -> DataFrame:
+    """(a, b, n, both, larger): pairs of texts in different groups of the links ``found`` that share n shingles and may be alike, in parts."""
+    labels = land(components(found).select(F.col("node").alias("key"), "label"), "set-labels")
     labelled = shared.join(labels, "key", "left").select("h", F.coalesce("label", "key").alias("label"), "key", "size")
     labelled = land(labelled, "labelled-shingles")
     mixed = labelled.groupBy("h").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
@@ -261,7 +287,7 @@ def _across(shared: DataFrame, labels: DataFrame, drawn: DataFrame, block: int)
     spread = placed.select("h", "home", other, "label", "key", "size", "counts")
     cell = F.xxhash64("h", F.least("home", "other"), F.greatest("home", "other")).alias("cell")
     dealt = spread.select(cell, "home", "label", "key", "size", "counts").repartition("cell").sortWithinPartitions("cell")
-    return map_batches(dealt, _unjoined, "a long, b long, both long, larger long")
+    return map_batches(dealt, lambda batches: _across(batches, nearest), "a long, b long, n long, both long, larger long")
 
 
 def links(texts: DataFrame, n_texts: int, near: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -276,13 +302,15 @@ def links(texts: DataFrame, n_texts: int, near: DataFrame, drawn: DataFrame, blo
         other = F.col(f"{side}_size")
         alike_in_size = 5 * F.least("size", other) >= 4 * F.greatest("size", other)
         pairs = shared.where((F.col("key") != F.col(side)) & alike_in_size)
-        sizes = (F.col("size") + other).alias("both"), F.greatest("size", other).alias("larger")
+        sizes = F.lit(1).alias("n"), (F.col("size") + other).alias("both"), F.greatest("size", other).alias("larger")
         return pairs.select(F.least("key", side).alias("a"), F.greatest("key", side).alias("b"), *sizes)
 
-    # A pair that is passed over here is met again among those no link has joined.
+    # A pair that is passed over here, or in the step after, is met again among those no link has joined.
     first = _enough(ends("low").unionByName(ends("high")))
-    first = land(first.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "first-pairs")
-    found = _verified(first, texts)
-    labels = land(components(found).select(F.col("node").alias("key"), "label"), "first-labels")
-    rest = land(_enough(_across(shared, labels, drawn, block)).join(first, ["a", "b"], "left_anti"), "other-pairs")
+    tried = land(first.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "first-pairs")
+    found = _verified(tried, texts)
+    nearest = _open_pairs(shared, found, drawn, block, nearest=1).select("a", "b").distinct()
+    nearest = land(nearest.join(tried, ["a", "b"], "left_anti"), "nearest-pairs")
+    found, tried = found.unionByName(_verified(nearest, texts)), tried.unionByName(nearest)
+    rest = land(_enough(_open_pairs(shared, found, drawn, block)).join(tried, ["a", "b"], "left_anti"), "other-pairs")
     return found.unionByName(_verified(rest, texts))
