@@ -38,7 +38,7 @@ from farelane.llm.common import land, map_batches
 from farelane.llm.packing import portions
 
 #: Text of one block, in characters, and links counted at a time.
-BLOCK_CHARS = 1 << 24
+BLOCK_CHARS = 1 << 23
 _LINKS = 1 << 20
 _PART = 1 << 18
 #: Words in each of the two halves of a worker's store; some 100 MB each.
@@ -127,7 +127,7 @@ class TokenPair:
         self.a, self.b = ByteLevelTokens(path_a), PieceTokens(path_b)
         for tokens in (self.a, self.b):
             tokens.lengths = np.array([len(s) for s in tokens.spelled], np.int64)
-            tokens.names = [str(i) for i in range(len(tokens.spelled))]
+        self.digits = Digits(max(len(self.a.spelled), len(self.b.spelled)))
         self.cuts = not any(b" " in s.lstrip(b" ") for s in self.b.spelled)
         # Little-endian ids of words by each vocabulary, and of the words used before the store was full; words that one does not spell.
         self.store: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
@@ -227,16 +227,33 @@ def group_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[in
     return cuts_a, cuts_b
 
 
-def rendered(names_a: list[str], names_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
-    shown, i, j = [], 0, 0
-    for a, b in zip(cuts_a, cuts_b):
-        if a - i == 1 and b - j == 1:
-            shown.append(f"{names_a[i]}|{names_b[j]}")
-        else:
-            shown.append(f"{','.join(names_a[i:a])}|{','.join(names_b[j:b])}")
-        i, j = a, b
-    return ";".join(shown)
+class Digits:
+    """Decimal digits of the ids below a size, for writing many at once."""
+
+    def __init__(self, size: int):
+        width = len(str(size)) + 1
+        names = [str(i).encode() for i in range(size)]
+        self.length = np.array([len(n) for n in names], np.int64)
+        self.rows = np.frombuffer(b"".join(n.ljust(width) for n in names), np.uint8).reshape(size, width)
+        self.column = np.arange(width)
+
+    def rendered(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
+        """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
+        sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        ids = np.empty(len(ids_a) + len(ids_b), np.int64)
+        end = np.full(len(ids), ord(","), np.uint8)
+        # In front of a token of a group stand the tokens of the groups before, and those of a before those of b.
+        ids[np.arange(len(ids_a)) + np.repeat(cuts_b - sizes_b, sizes_a)] = ids_a
+        ids[np.arange(len(ids_b)) + np.repeat(cuts_a, sizes_b)] = ids_b
+        end[cuts_a + cuts_b - sizes_b - 1] = ord("|")
+        end[cuts_a + cuts_b - 1] = ord(";")
+        parts = []
+        for at in range(0, len(ids), _LINKS):
+            some = ids[at : at + _LINKS]
+            length, shown = self.length[some], self.rows[some]
+            shown[np.arange(len(some)), length] = end[at : at + _LINKS]
+            parts.append(shown[self.column <= length[:, None]].tobytes())
+        return b"".join(parts)[:-1].decode()
 
 
 _NO_PAIRS = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -289,11 +306,10 @@ def aligned_text(ids: tuple[np.ndarray, np.ndarray] | None, tokens: TokenPair) -
     """(n_a, n_b, n_groups, n_links, groups, pairs, times) of the ids of one text."""
     if ids is None:
         return 0, 0, 0, 0, "", *_NO_PAIRS
-    sides = list(zip((tokens.a, tokens.b), ids))
-    cuts = group_ends(*(np.cumsum(s.lengths[x]).tolist() for s, x in sides))
-    groups = rendered(*(list(map(s.names.__getitem__, x.tolist())) for s, x in sides), *cuts)
-    pairs, times = linked_pairs(*ids, *(np.array(c, np.int64) for c in cuts))
-    return len(ids[0]), len(ids[1]), len(cuts[0]), int(times.sum()), groups, pairs, times
+    cuts = group_ends(*(np.cumsum(s.lengths[x]).tolist() for s, x in zip((tokens.a, tokens.b), ids)))
+    cuts = [np.array(c, np.int64) for c in cuts]
+    pairs, times = linked_pairs(*ids, *cuts)
+    return len(ids[0]), len(ids[1]), len(cuts[0]), int(times.sum()), tokens.digits.rendered(*ids, *cuts), pairs, times
 
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
