@@ -11,7 +11,7 @@ Cases, by definition:
 * null and empty texts are documents of the end token alone;
 * tokens of a text follow the library on the whole text; only documents of more tokens
   than a sequence are cut, at multiples of the capacity;
-* equal lengths rank by id, then piece; which of equal rows takes which slot is open;
+* equal lengths rank by a hash of id, piece and ids, then by these; which of equal rows takes which slot is open;
 * rows that repeat an id are documents of their own; an empty table gives no pieces;
 * other columns are ignored.
 """
@@ -34,8 +34,8 @@ from farelane.llm.common import land, map_batches
 
 CAPACITY = 4096
 END_ID = 1
-#: Rows of one length that one task ranks.
-RANK_ROWS = 200_000
+#: Rows of one length that one task ranks, on average.
+RANK_ROWS = 50_000
 #: Words in each of the two halves of a worker's store; some 80 MB each.
 _MOST_WORDS = 400_000
 
@@ -195,20 +195,22 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 
 def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
-    """``items`` (column ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``; ``order`` breaks ties of rank.
+    """``items`` (column ``length``, 1 to ``capacity``) with ``sequence_id`` and ``offset``; a hash of ``order`` ranks equal lengths.
 
     ``items`` is read several times, so it should be a written table.
     """
     spark = items.sparkSession
     counts = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots, _ = plan(counts, capacity)
-    # A length of many rows is ranked in parts, each after those before it.
+    # The order is that of a hash, so a length of many rows is ranked in ranges of it, each after those before it, and the ranks are
+    # the same however many ranges there are.
     parts = max(1, -(-max(counts.values(), default=1) // RANK_ROWS))
-    parted = items.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
+    hashed = items.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(*order), 32))
+    parted = hashed.withColumn("_part", F.shiftright(F.col("_hash") * F.lit(parts), 32).cast("int"))
     sizes = parted.groupBy("length", "_part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("length", "_part", F.coalesce(before, F.lit(0).cast("long")).alias("_before"))
-    in_part = F.row_number().over(Window.partitionBy("length", "_part").orderBy(*order)) - 1
+    in_part = F.row_number().over(Window.partitionBy("length", "_part").orderBy("_hash", *order)) - 1
     ranked = parted.withColumn("_in_part", in_part).join(starts, ["length", "_part"])
     ranked = ranked.select(*items.columns, (F.col("_before") + F.col("_in_part")).alias("_rank"))
     shared = spark.sparkContext.broadcast(slots[np.lexsort((slots[:, 1], slots[:, 0]))])

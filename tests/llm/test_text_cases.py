@@ -175,10 +175,12 @@ def test_packing_of_odd_rows(odd, nothing):
 
 
 def test_ranks_in_parts_fill_each_slot_once(spark, monkeypatch):
-    monkeypatch.setattr(packing, "RANK_ROWS", 7)
     rng = random.Random(2)
     items = spark.createDataFrame([(i, rng.choice([3, 3, 3, 10, 7])) for i in range(200)], "item long, length long")
+    whole = by_id(packing.pack(items, ["item"], 10), "item", "sequence_id", "offset")
+    monkeypatch.setattr(packing, "RANK_ROWS", 7)
     rows = packing.pack(items, ["item"], 10).collect()
+    assert sorted(((r.item, r.sequence_id, r.offset) for r in rows), key=str) == whole
     used = {}
     for r in rows:
         used.setdefault(r.sequence_id, []).append((r.offset, r.length))
