@@ -12,8 +12,8 @@ Cases, by definition:
 
 * null and empty texts have no bytes; texts shorter than ``width`` lose nothing;
 * order is by id, then place; matches never cross documents;
-* rows without an id, and rows that share an id, have no order: they stay whole and
-  serve no other row as an earlier copy;
+* rows that share an id are ordered by a hash of their text, and rows without an id come last, in that order too; rows with
+  equal id and text are one document, so none of them is earlier than the other;
 * exact copies after the first lose all bytes; an empty table stays empty;
 * very long texts are cut into overlapping blocks, so memory is bounded;
 * ``kept`` is bytes, as a cut may fall inside a character; other columns are ignored.
@@ -21,8 +21,6 @@ Cases, by definition:
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from farelane.llm.common import land, map_batches, ship
 from farelane.llm.run_index import RunIndex
@@ -340,19 +339,53 @@ def _match(dealt: DataFrame, width: int) -> DataFrame:
     return map_batches(dealt, run, _FOUND)
 
 
+#: Spark's setting that frees the shuffle files of an execution at its end.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _landed(df: DataFrame, purpose: str) -> DataFrame:
-    """``land``, then collections until the shuffle files of what led there are gone.
+    """``land``, after which the shuffle files that led to the frame are freed: the steps here would pile up several copies of the corpus."""
+    conf = df.sparkSession.conf
+    before = conf.get(_FREE_SHUFFLES, "false")
+    conf.set(_FREE_SHUFFLES, "true")
+    try:
+        return land(df, purpose)
+    finally:
+        conf.set(_FREE_SHUFFLES, before)
+
 
-    Spark removes them once the driver has collected the plans that made them, which may
-    be half an hour later; the steps here would pile up several copies of the corpus by then.
+def _numbers(docs: DataFrame) -> DataFrame | None:
+    """(doc, doc_id, text_key): numbers in the order of id, then text hash, null ids last; None where ids can serve themselves.
+
+    A range sort numbers the rows of each part; the parts' sizes give where each begins.
     """
-    found = land(df, purpose)
-    for _ in range(3):
-        # The events of the write hold its plan until all listeners have seen them.
-        time.sleep(0.3)
-        gc.collect()
-        df.sparkSession.sparkContext._jvm.System.gc()
-    return found
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"))
+    if rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        return None
+    distinct = rows.distinct()
+    order = (F.col("doc_id").asc_nulls_last(), F.col("text_key"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            columns = [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), *batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "place", "doc_id", "text_key"])
+            at += n
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    sorted_ = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = _landed(map_batches(sorted_, number, f"part int, place long, doc_id {id_type}, text_key long"), "document-places")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(before, F.lit(0).cast("long")).alias("start"))
+    return _landed(placed.join(starts, "part").select((F.col("start") + F.col("place")).alias("doc"), "doc_id", "text_key"), "document-numbers")
+
+
+def _same_text(docs: DataFrame, numbers: DataFrame):
+    return docs["doc_id"].eqNullSafe(numbers["_id"]) & (F.xxhash64(docs["text"]) == numbers["_text"])
 
 
 #: Bits of a place in a document (texts have fewer bytes), where document and place fit one number.
@@ -376,11 +409,8 @@ def _first_places(found: DataFrame, named: DataFrame) -> DataFrame:
     return packed.select("h", F.struct(*parts).alias("first"), "n")
 
 
-def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc, ranges): per document the first and last begin of each run of windows that occur earlier."""
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
-    shared = _landed(ids, "shared-ids")
-    named = docs.where("doc_id IS NOT NULL").join(shared, "doc_id", "left_anti").select(F.col("doc_id").cast("long").alias("doc"), "text")
+def repeated_ranges(named: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc, ranges): per document of ``named`` (doc, text; distinct numbers) the first and last begin of each run of windows that occur earlier."""
     # Made anew for both uses: cheaper than to keep the anchors of the whole corpus on disk.
     found = corpus_anchors(named, width)
     first = _first_places(found, named).where("n > 1")
@@ -391,7 +421,7 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     block = F.expr(f"pos0 div {TARGET_BLOCK}")
     crowded = links.groupBy("doc0", block.alias("block")).agg(F.count("*").alias("n")).where(F.col("n") > TARGET_LINKS)
-    crowded = land(crowded.select("doc0", "block", F.ceil(F.col("n") / TARGET_LINKS).alias("salts")), "crowded-blocks")
+    crowded = _landed(crowded.select("doc0", "block", F.ceil(F.col("n") / TARGET_LINKS).alias("salts")), "crowded-blocks")
     later = links.groupBy("doc").agg(F.collect_list(F.struct("pos", "before", "after", "doc0", "pos0", "more")).alias("links"))
     firsts = links.select(F.col("doc0").alias("doc"), "pos0").distinct().groupBy("doc").agg(F.collect_list("pos0").alias("firsts"))
     regions = _landed(_regions(named.join(later.join(firsts, "doc", "full"), "doc"), width), "regions")
@@ -438,7 +468,16 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, kept, n_bytes, n_removed, n_spans) per row of ``docs`` (columns doc_id, text); ``kept`` is the bytes left."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    joined = docs.join(repeated_ranges(docs, width), F.col("doc_id").cast("long") == F.col("doc"), "left")
+    numbers = _numbers(docs)
+    if numbers is None:
+        ranges = repeated_ranges(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), width)
+        joined = docs.join(ranges, F.col("doc_id").cast("long") == F.col("doc"), "left")
+    else:
+        numbers = numbers.withColumnsRenamed({"doc_id": "_id", "text_key": "_text"})
+        # Rows with equal id and text are one document.
+        named = _landed(docs.join(numbers, _same_text(docs, numbers)).select("doc", "text").dropDuplicates(["doc"]), "numbered-texts")
+        ranges = repeated_ranges(named, width).join(numbers, "doc")
+        joined = docs.join(ranges, _same_text(docs, ranges), "left")
     # Only texts that lose something cross to Python.
     touched = F.col("ranges").isNotNull()
     whole = F.encode(F.coalesce("text", F.lit("")), "UTF-8")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import os
 import random
 import zipfile
 
@@ -400,12 +401,41 @@ def test_long_texts_are_cut_into_blocks(spark, monkeypatch):
 def test_repeats_of_odd_rows(odd, nothing, spark):
     got = by_id(suffix_dedup.remove_repeats(odd), "doc_id", "n_bytes", "n_removed")
     n = len(LONG)
-    assert got == sorted([(1, 0, 0), (2, 0, 0), (3, 3, 0), (4, n, 0), (4, n, 0), (None, n, 0), (5, 7, 0)], key=str)
+    assert got == sorted([(1, 0, 0), (2, 0, 0), (3, 3, 0), (4, n, 0), (4, n, 0), (None, n, n), (5, 7, 0)], key=str)
     assert suffix_dedup.remove_repeats(nothing).count() == 0
     copies = suffix_dedup.remove_repeats(frame(spark, [(2, LONG, "a"), (1, LONG, "a"), (3, LONG, "b")]))
     assert by_id(copies, "doc_id", "n_removed", "n_spans") == [(1, 0, 0), (2, n, 1), (3, n, 1)]
 
 
+def test_repeats_among_shared_ids(spark):
+    rng = random.Random(5)
+    made = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    passage, a, b, c = made(150, "abcdef "), made(120, "ghijkl"), made(130, "mnopqr"), made(140, "stuvwx")
+    rows = [(1, passage), (7, a + passage), (7, passage + b + passage), (8, c + passage), (8, c + passage), (None, a), (None, c + "tail")]
+    got = by_id(suffix_dedup.remove_repeats(frame(spark, [(i, t, "s") for i, t in rows])), "doc_id", "kept", "n_removed")
+    kept = [(1, passage, 0), (7, a, 150), (7, b, 300), (8, c, 150), (8, c, 150), (None, "", 120), (None, "tail", 140)]
+    assert [(i, bytes(k).decode(), n) for i, k, n in got] == sorted(kept, key=lambda r: str((r[0], r[1].encode(), r[2])))
+
+
+def test_ids_of_any_size(spark):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    rows = [(-(1 << 62), passage), ((1 << 62) + 1, "x" + passage), (5, passage + "y")]
+    got = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup.remove_repeats(frame(spark, [(i, t, "s") for i, t in rows])).collect()}
+    assert got == {rows[0][0]: passage, rows[1][0]: "x", 5: "y"}
+
+
+def test_steps_free_their_shuffle_files(spark, tmp_path):
+    files = lambda: sum(len([n for n in names if n.startswith("shuffle_")]) for _, _, names in os.walk(blocks))
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
+    before = files()
+    suffix_dedup._landed(rows, "freed")
+    assert files() == before and spark.conf.get(suffix_dedup._FREE_SHUFFLES) == "false"
+    land(rows, "kept")
+    assert files() > before
+
+
 # Surrogates
 
 
