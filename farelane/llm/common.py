@@ -18,15 +18,26 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
-def land(df: DataFrame, purpose: str) -> DataFrame:
+#: Spark's setting that frees the shuffle files of an execution at its end.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def land(df: DataFrame, purpose: str, free_shuffles: bool = False) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Cuts the lineage at a place all executors reach, so a lost executor never
     repeats the work before it, and gives the planner true sizes: a landed
-    frame is only broadcast below Spark's own size limit.
+    frame is only broadcast below Spark's own size limit. With ``free_shuffles`` the shuffle files that led to
+    it go at once, not when the driver has collected the plan: for chains of large steps, which would pile them up.
     """
     path = working_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES, "false")
+    conf.set(FREE_SHUFFLES, "true" if free_shuffles else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

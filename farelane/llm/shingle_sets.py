@@ -9,8 +9,8 @@ Three steps, each exact in what it joins; the last one misses nothing.
    shingles their first n - ceil(0.8 n) + 1 meet. Rare shingles come first; how rare is estimated on a sample of
    texts, which changes the number of candidates but no result. Texts that share a shingle form a cell; its
    least and greatest text are compared with its others.
-3. Cells of one group are done with, however large. In the others, first the nearest and then all open
-   pairs are looked at: texts of different groups are compared through the
+3. Cells of one group are done with, however large. In the others (of crowded ones first the nearest pairs, which join most
+   of a group of near copies) texts of different groups are compared through the
    same embedding as fingerprints: a set is a long bit string, cut into segments by hash, and the Manhattan distance of
    the segments' bit counts never exceeds the number of bits in which two sets differ, a ninth of
    both sizes at similarity 0.8. Few pairs pass that are not similar. A crowded cell is dealt as pairs of blocks.
@@ -41,8 +41,9 @@ SAMPLE = 20_000
 COUNTS = 200_000
 #: Segments of a set's bit string.
 SEGMENTS = 128
-#: Most texts of one cell that one block holds.
+#: Most texts of one cell that one block holds, and from how many on the nearest pairs of a cell go first.
 BLOCK = 4096
+CROWD = 16
 _SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ROWS = 1 << 19
@@ -269,18 +270,20 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     keys = land(pairs.select(F.col("a").alias("text_key")).unionByName(pairs.select(F.col("b").alias("text_key"))).distinct(), "candidates")
-    held = land(map_batches(texts.join(keys, "text_key", "left_semi").select("text_key", "text"), sets, "key long, held binary"), "candidate-sets")
+    held = land(map_batches(texts.join(keys, "text_key", "left_semi").select("text_key", "text"), sets, "key long, held binary"), "candidate-sets", free_shuffles=True)
     both = pairs.join(held.withColumnsRenamed({"key": "a", "held": "left"}), "a").join(held.withColumnsRenamed({"key": "b", "held": "right"}), "b")
-    return land(map_batches(both.select("a", "b", "left", "right"), compare, "a long, b long"), "similar-pairs")
+    return land(map_batches(both.select("a", "b", "left", "right"), compare, "a long, b long"), "similar-pairs", free_shuffles=True)
 
 
 def _open_pairs(shared: DataFrame, found: DataFrame, drawn: DataFrame, block: int, nearest: int | None = None) -> DataFrame:
     """(a, b, n, both, larger): pairs of texts in different groups of the links ``found`` that share n shingles and may be alike, in parts."""
     labels = land(components(found).select(F.col("node").alias("key"), "label"), "set-labels")
     labelled = shared.join(labels, "key", "left").select("h", F.coalesce("label", "key").alias("label"), "key", "size")
-    labelled = land(labelled, "labelled-shingles")
+    labelled = land(labelled, "labelled-shingles", free_shuffles=True)
     mixed = labelled.groupBy("h").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    mixed = land(mixed.select("h", F.ceil(F.col("n") / block).alias("blocks")), "mixed-cells")
+    if nearest is not None:
+        mixed = mixed.where(F.col("n") >= CROWD)
+    mixed = land(mixed.select("h", F.ceil(F.col("n") / block).alias("blocks")), "mixed-cells", free_shuffles=True)
     placed = labelled.join(mixed, "h").withColumn("home", F.pmod(F.xxhash64("key"), F.col("blocks")))
     placed = placed.join(drawn.select("key", "counts"), "key")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
@@ -296,7 +299,7 @@ def links(texts: DataFrame, n_texts: int, near: DataFrame, drawn: DataFrame, blo
     ``near`` has pairs that fingerprints led to, not yet verified; ``drawn`` is the written result of ``sketches``.
     """
     cells = _prefixes(texts.select("text_key", "text"), *_frequent(texts, n_texts)).repartition("h").sortWithinPartitions("h", "key")
-    shared = land(map_batches(cells, _shared, "h long, key long, size int, low long, low_size int, high long, high_size int"), "shared-shingles")
+    shared = land(map_batches(cells, _shared, "h long, key long, size int, low long, low_size int, high long, high_size int"), "shared-shingles", free_shuffles=True)
 
     def ends(side: str) -> DataFrame:
         other = F.col(f"{side}_size")
@@ -307,10 +310,10 @@ def links(texts: DataFrame, n_texts: int, near: DataFrame, drawn: DataFrame, blo
 
     # A pair that is passed over here, or in the step after, is met again among those no link has joined.
     first = _enough(ends("low").unionByName(ends("high")))
-    tried = land(first.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "first-pairs")
+    tried = land(first.unionByName(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "first-pairs", free_shuffles=True)
     found = _verified(tried, texts)
     nearest = _open_pairs(shared, found, drawn, block, nearest=1).select("a", "b").distinct()
-    nearest = land(nearest.join(tried, ["a", "b"], "left_anti"), "nearest-pairs")
+    nearest = land(nearest.join(tried, ["a", "b"], "left_anti"), "nearest-pairs", free_shuffles=True)
     found, tried = found.unionByName(_verified(nearest, texts)), tried.unionByName(nearest)
-    rest = land(_enough(_open_pairs(shared, found, drawn, block)).join(tried, ["a", "b"], "left_anti"), "other-pairs")
+    rest = land(_enough(_open_pairs(shared, found, drawn, block)).join(tried, ["a", "b"], "left_anti"), "other-pairs", free_shuffles=True)
     return found.unionByName(_verified(rest, texts))

@@ -241,7 +241,7 @@ def similar_texts(docs: DataFrame, block: int = shingle_sets.BLOCK) -> DataFrame
     texts = keyed.select("text_key", "text")
     once = texts.join(again, "text_key", "left_anti")
     texts = once.unionByName(texts.join(again, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text")))
-    drawn = land(shingle_sets.sketches(texts), "sketches")
+    drawn = land(shingle_sets.sketches(texts), "sketches", free_shuffles=True)
     first = land(drawn.groupBy("fp").agg(F.min("key").alias("key")), "set-prints")
     same = drawn.join(first.withColumnRenamed("key", "a"), "fp").where("key <> a").select("a", F.col("key").alias("b"))
     ends = [first.select(F.col("fp").alias(side), F.col("key").alias(f"{side}_key")) for side in ("a", "b")]

@@ -339,21 +339,6 @@ def _match(dealt: DataFrame, width: int) -> DataFrame:
     return map_batches(dealt, run, _FOUND)
 
 
-#: Spark's setting that frees the shuffle files of an execution at its end.
-_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def _landed(df: DataFrame, purpose: str) -> DataFrame:
-    """``land``, after which the shuffle files that led to the frame are freed: the steps here would pile up several copies of the corpus."""
-    conf = df.sparkSession.conf
-    before = conf.get(_FREE_SHUFFLES, "false")
-    conf.set(_FREE_SHUFFLES, "true")
-    try:
-        return land(df, purpose)
-    finally:
-        conf.set(_FREE_SHUFFLES, before)
-
-
 def _numbers(docs: DataFrame) -> DataFrame | None:
     """(doc, doc_id, text_key): numbers in the order of id, then text hash, null ids last; None where ids can serve themselves.
 
@@ -377,11 +362,11 @@ def _numbers(docs: DataFrame) -> DataFrame | None:
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     sorted_ = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = _landed(map_batches(sorted_, number, f"part int, place long, doc_id {id_type}, text_key long"), "document-places")
+    placed = land(map_batches(sorted_, number, f"part int, place long, doc_id {id_type}, text_key long"), "document-places", free_shuffles=True)
     sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("part", F.coalesce(before, F.lit(0).cast("long")).alias("start"))
-    return _landed(placed.join(starts, "part").select((F.col("start") + F.col("place")).alias("doc"), "doc_id", "text_key"), "document-numbers")
+    return land(placed.join(starts, "part").select((F.col("start") + F.col("place")).alias("doc"), "doc_id", "text_key"), "document-numbers", free_shuffles=True)
 
 
 def _same_text(docs: DataFrame, numbers: DataFrame):
@@ -415,27 +400,26 @@ def repeated_ranges(named: DataFrame, width: int = WIDTH) -> DataFrame:
     found = corpus_anchors(named, width)
     first = _first_places(found, named).where("n > 1")
     links = found.join(first, "h").where((F.col("doc") != F.col("first.doc")) | (F.col("pos") != F.col("first.pos")))
-    links = _landed(
+    links = land(
         links.select("doc", "pos", "before", "after", F.col("first.doc").alias("doc0"), F.col("first.pos").alias("pos0"), (F.col("n") > 2).alias("more")),
-        "anchor-links",
-    )
+        "anchor-links", free_shuffles=True)
     block = F.expr(f"pos0 div {TARGET_BLOCK}")
     crowded = links.groupBy("doc0", block.alias("block")).agg(F.count("*").alias("n")).where(F.col("n") > TARGET_LINKS)
-    crowded = _landed(crowded.select("doc0", "block", F.ceil(F.col("n") / TARGET_LINKS).alias("salts")), "crowded-blocks")
+    crowded = land(crowded.select("doc0", "block", F.ceil(F.col("n") / TARGET_LINKS).alias("salts")), "crowded-blocks", free_shuffles=True)
     later = links.groupBy("doc").agg(F.collect_list(F.struct("pos", "before", "after", "doc0", "pos0", "more")).alias("links"))
     firsts = links.select(F.col("doc0").alias("doc"), "pos0").distinct().groupBy("doc").agg(F.collect_list("pos0").alias("firsts"))
-    regions = _landed(_regions(named.join(later.join(firsts, "doc", "full"), "doc"), width), "regions")
+    regions = land(_regions(named.join(later.join(firsts, "doc", "full"), "doc"), width), "regions", free_shuffles=True)
     one = F.lit(1).cast("long")
     salted = regions.join(crowded, ["doc0", "block"], "left").withColumn("salts", F.coalesce("salts", one))
     own = F.array(F.pmod(F.xxhash64("doc", "start"), F.col("salts")))
     salted = salted.withColumn("salt", F.explode(F.when(F.col("role") == 0, F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).otherwise(own)))
     dealt = salted.repartition("doc0", "block", "salt").sortWithinPartitions("doc0", "block", "salt", "role", "start")
-    marked = _landed(_match(dealt, width), "marked")
+    marked = land(_match(dealt, width), "marked", free_shuffles=True)
     open_windows = marked.where("h1 IS NOT NULL")
     least = open_windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "low")).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = open_windows.join(least, ["h1", "h2"]).where((F.col("doc") != F.col("first.doc")) | (F.col("low") != F.col("first.low")))
     ranges = marked.where("h1 IS NULL").select("doc", "low", "high").unionByName(again.select("doc", "low", "high"))
-    return _landed(ranges.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "ranges")
+    return land(ranges.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "ranges", free_shuffles=True)
 
 
 def _cutter(width: int):
@@ -475,7 +459,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     else:
         numbers = numbers.withColumnsRenamed({"doc_id": "_id", "text_key": "_text"})
         # Rows with equal id and text are one document.
-        named = _landed(docs.join(numbers, _same_text(docs, numbers)).select("doc", "text").dropDuplicates(["doc"]), "numbered-texts")
+        named = land(docs.join(numbers, _same_text(docs, numbers)).select("doc", "text").dropDuplicates(["doc"]), "numbered-texts", free_shuffles=True)
         ranges = repeated_ranges(named, width).join(numbers, "doc")
         joined = docs.join(ranges, _same_text(docs, ranges), "left")
     # Only texts that lose something cross to Python.

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from farelane.llm import line_dedup, packing, quality_rules, run_index, sentencepiece_bpe, simhash, suffix_dedup, surrogates, topk_search, url_filter, warc_zip
-from farelane.llm.common import land
+from farelane.llm.common import FREE_SHUFFLES, land
 from farelane.llm.components import components
 from farelane.llm.entities import RANKED, Mention, luhn, mentions, ranked, rendered, surrogate
 from farelane.llm.queries import tokenizer_file
@@ -430,8 +430,8 @@ def test_steps_free_their_shuffle_files(spark, tmp_path):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
     rows = spark.range(1000).select((F.col("id") % 7).alias("k")).groupBy("k").count()
     before = files()
-    suffix_dedup._landed(rows, "freed")
-    assert files() == before and spark.conf.get(suffix_dedup._FREE_SHUFFLES) == "false"
+    land(rows, "freed", free_shuffles=True)
+    assert files() == before and spark.conf.get(FREE_SHUFFLES) == "false"
     land(rows, "kept")
     assert files() > before
 
