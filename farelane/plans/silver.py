@@ -33,9 +33,11 @@ def month_bounds(bronze: DataFrame, rules: RuleSet = CANONICAL, method: str = "e
     return outlier_bounds(valid_trips(bronze, rules), method=method, by=SCOPE)
 
 
-def silver(bronze: DataFrame, bounds: DataFrame, rules: RuleSet = CANONICAL, version: str = "1.0") -> DataFrame:
-    """All silver columns: raw, derived, descriptions, flags by the ``bounds`` of the load month, and two stamps."""
+def silver(bronze: DataFrame, bounds: DataFrame | None = None, rules: RuleSet = CANONICAL, version: str = "1.0") -> DataFrame:
+    """All silver columns: raw, derived, descriptions, flags by the ``bounds`` of the load month (searched if not given), and two stamps."""
     valid = valid_trips(bronze, rules)
+    if bounds is None:
+        bounds = month_bounds(bronze, rules)
     described = add_business_mappings(flag_by_bounds(valid, bounds, OUTLIER_COLUMNS, SCOPE))
     flags = [c for c in described.columns if c.endswith("_outlier")]
     descriptions = described.columns[-3:]
