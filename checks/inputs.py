@@ -25,13 +25,13 @@ from farelane.store import loads, tables
 _landed: dict[tuple, str | DataFrame] = {}
 
 
-def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
+def raw_trips(spark: SparkSession, folder: str, by_month: bool = False) -> DataFrame:
     """Trips straight from the order tables, with the lineage columns of a month load."""
     # The twins know no time zones.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     month = calendar.month_text(PICKUP)
     file_name = F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet"))
-    return source.with_lineage(source.order_trips(spark, folder), file_name, month)
+    return source.with_lineage(source.order_trips(spark, folder, by_month), file_name, month)
 
 
 def once(spark: SparkSession, folder: str, name: str, make: Callable[[], str | DataFrame]):
@@ -59,7 +59,7 @@ def bronze(spark: SparkSession, folder: str) -> DataFrame:
     spec = BRONZE.within(_namespace(spark, folder))
 
     def make() -> str:
-        tables.replace_slice(raw_trips(spark, folder), spec, F.lit(True))
+        tables.replace_slice(raw_trips(spark, folder, by_month=True), spec, F.lit(True), even_files=False)
         return spec.name
 
     return spark.table(once(spark, folder, "bronze", make))

@@ -177,7 +177,7 @@ def silver_month_slice(silver: DataFrame, year: int, month: int) -> DataFrame:
     return silver.where((F.col("pickup_year") == year) & (F.col("pickup_month") == month))
 
 
-def order_trips(spark: SparkSession, folder: str) -> DataFrame:
+def order_trips(spark: SparkSession, folder: str, by_month: bool = False) -> DataFrame:
     """Trip view of ``lineitem`` and ``orders``, used where no trip files exist.
 
     It contains invalid vendors, unknown codes, reversed and too fast trips on
@@ -185,7 +185,9 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
     timestamp goes through calendar objects and costs many times as much.
 
     Both inputs grow with the data, so the join carries no broadcast hint; Spark
-    checks the sizes, and adaptive execution splits a skewed order key.
+    checks the sizes, and adaptive execution splits a skewed order key. With ``by_month``
+    the rows come by month of the order, for a write that is partitioned by it: they are
+    shuffled as the few columns of the tables, before the trip columns are made.
     """
     items = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
@@ -217,4 +219,6 @@ def order_trips(spark: SparkSession, folder: str) -> DataFrame:
         "airport_fee": F.lit(0.0),
     }
     joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if by_month:
+        joined = joined.withColumn("_month", F.trunc("o_orderdate", "month")).hint("rebalance", "_month")
     return joined.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in TRIP_SCHEMA])
