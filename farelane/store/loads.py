@@ -257,7 +257,8 @@ def write_silver(spark: SparkSession, part: Column, config: LoadConfig = LoadCon
     """
     bronze = spark.table(config.table(BRONZE).name).where(part)
     bounds = tables.written(month_bounds(bronze, config.rules, config.quartiles), "month-bounds")
-    tables.replace_slice(silver(bronze, bounds, config.rules), config.table(SILVER), part)
+    # Bronze files come by load month, which bounds the partitions of a task: nothing is shuffled.
+    tables.replace_slice(silver(bronze, bounds, config.rules), config.table(SILVER), part, even_files=False)
     tables.replace_slice(bounds, config.table(BOUNDS), part)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -29,9 +31,16 @@ def balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 
 def write_partitions(df: DataFrame, path: str, partitions: Sequence[str], even_files: bool = True) -> str:
     """Replace exactly the partitions that occur in ``df`` and keep all others."""
-    rows = balanced(df, partitions) if even_files else df
-    writer = rows.write.mode("overwrite").partitionBy(*partitions)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite").partitionBy(*partitions)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    if even_files:
+        write(balanced(df, partitions))
+    else:
+        with _shown_in(_write_session(df.sparkSession), df) as shown:
+            write(shown)
     return path
 
 
@@ -87,7 +96,8 @@ def swap_in(rows: DataFrame, spec: TableSpec) -> None:
     ensure_database(spark, spec.name)
     fresh, old = f"{spec.name}__new", f"{spec.name}__old"
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(fresh)
+    with _shown_in(_write_session(spark), rows) as shown:
+        shown.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     if spark.catalog.tableExists(spec.name):
         _rename(spark, spec, spec.name, old)
@@ -112,20 +122,44 @@ def _rename(spark: SparkSession, spec: TableSpec, name: str, new: str) -> None:
     spark.catalog.refreshTable(new)
 
 
-def overwrite_partitions(
-    spark: SparkSession, table: str, rows: Callable[[SparkSession], DataFrame], settings: dict[str, str] | None = None
-) -> None:
-    """Replace exactly the partitions of ``table`` that occur in ``rows``; columns by position.
+#: Partitions a task writes side by side before it sorts the rest of its rows by partition.
+OPEN_FILES = 16
+
 
-    Inserts know the mode as a session setting only, so ``rows`` are read and written in a session of
-    their own, and loads that run side by side do not disturb each other.
+def _write_session(spark: SparkSession, settings: dict[str, str] | None = None) -> SparkSession:
+    """A session for one write, with the settings of ``spark``.
+
+    Inserts know the overwrite mode as a session setting only, so they run in a session of
+    their own, and loads that run side by side do not disturb each other. Few partitions of a task are written side by
+    side, without a sort of whole rows that spills where a task's rows do not fit in memory.
     """
     own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
     for key, value in (settings or {}).items():
         own.conf.set(key, value)
-    rows(own).write.mode("overwrite").insertInto(table)
+    return own
+
+
+@contextmanager
+def _shown_in(own: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a frame of another session of the application."""
+    name = f"rows_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        yield own.table(f"global_temp.{name}")
+    finally:
+        df.sparkSession.catalog.dropGlobalTempView(name)
+
+
+def overwrite_partitions(
+    spark: SparkSession, table: str, rows: Callable[[SparkSession], DataFrame], settings: dict[str, str] | None = None
+) -> None:
+    """Replace exactly the partitions of ``table`` that occur in ``rows``, which are read in the session of the write; columns by position."""
+    rows(_write_session(spark, settings)).write.mode("overwrite").insertInto(table)
     spark.catalog.refreshTable(table)
 
 
@@ -133,21 +167,22 @@ def replace_slice(df: DataFrame, spec: TableSpec, part: Column, even_files: bool
     """Make ``df`` the only content of the slice ``part`` of the table.
 
     ``part`` is a condition on partition columns that every row of ``df`` meets.
-    ``df`` is computed once, into a staged copy in the shared folder. From there its partitions
-    are swapped in, and partitions of the slice that got no rows are emptied. A failure before
+    ``df`` is computed once and written once: the insert keeps its files apart until all are complete, then swaps its
+    partitions in, and partitions of the slice that got no rows are emptied. A failure before
     the swap leaves the old rows. The swap and the emptying are commits of their own: a stop
     between them leaves old rows in partitions the new slice no longer fills, and repeating the
     load removes them. Columns are matched by name: new ones are added to the table, missing
     ones are written as null, and where the new rows have a wider type the table is rewritten with it first.
+    Without ``even_files`` nothing is shuffled, for rows that come by partition already.
     """
     spark = df.sparkSession
     ensure_database(spark, spec.name)
+    rows = balanced(df, spec.partitions) if even_files else df
+    own = _write_session(spark)
     if not spark.catalog.tableExists(spec.name):
-        rows = balanced(df, spec.partitions) if even_files else df
-        rows.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
+        with _shown_in(own, rows) as shown:
+            shown.write.format("parquet").partitionBy(*spec.partitions).saveAsTable(spec.name)
         return
-    path = write_partitions(df, new_path(spark, "slice"), spec.partitions, even_files)
-    staged = spark.read.schema(df.schema).parquet(path)
     _widen_columns(df, spec)
     _add_new_columns(df, spec)
     aligned = [
@@ -156,13 +191,22 @@ def replace_slice(df: DataFrame, spec: TableSpec, part: Column, even_files: bool
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in spark.table(spec.name).schema
     ]
-    before = partitions_of(spark, spec, part)
-    overwrite_partitions(spark, spec.name, lambda own: own.read.schema(df.schema).parquet(path).select(*aligned))
-    written = {tuple(row) for row in staged.select(*spec.partitions).distinct().collect()} if before else set()
-    for values in before - written:
+    before = _files_of(spark, spec, part)
+    with _shown_in(own, rows) as shown:
+        shown.select(*aligned).write.mode("overwrite").insertInto(spec.name)
+    spark.catalog.refreshTable(spec.name)
+    # Partitions that got rows have new files only.
+    stale = before & _files_of(spark, spec, part) if before else before
+    for values in {file[:-1] for file in stale}:
         _empty_partition(spark, spec, values)
 
 
+def _files_of(spark: SparkSession, spec: TableSpec, part: Column) -> set[tuple]:
+    """Partition values and path of each file with rows in a slice; reads no other column."""
+    rows = spark.table(spec.name).where(part).select(*spec.partitions, "_metadata.file_path").distinct().collect()
+    return {tuple(row) for row in rows}
+
+
 def partitions_of(spark: SparkSession, spec: TableSpec, part: Column) -> set[tuple]:
     """Partition values present in a slice; reads partition columns only."""
     rows = spark.table(spec.name).where(part).select(*spec.partitions).distinct().collect()
@@ -226,7 +270,8 @@ def _widen_columns(df: DataFrame, spec: TableSpec) -> None:
     }
     wider = {name: kind for name, kind in wider.items() if kind != table.schema[name].dataType.simpleString()}
     if wider:
-        swap_in(balanced(table.withColumns({n: F.col(n).cast(kind) for n, kind in wider.items()}), spec.partitions), spec)
+        # Its files come by partition already, so nothing is shuffled.
+        swap_in(table.withColumns({n: F.col(n).cast(kind) for n, kind in wider.items()}), spec)
 
 
 def append_rows(df: DataFrame, spec: TableSpec) -> None:
