@@ -36,10 +36,10 @@ def write_files(spark: SparkSession, folder: str) -> str:
     rows = trips(spark, folder).withColumn("month", calendar.month_text(DROPOFF)).where(F.col("month") != ABSENT)
     early = F.col("month") < SECOND_GENERATION
     meter = F.col("PULocationID")
-    rows.where(early).withColumn("meter_id", meter).write.mode("append").partitionBy("month").parquet(root)
+    tables.write_partitions(rows.where(early).withColumn("meter_id", meter), root, ("month",), even_files=False)
     count = F.when(F.col("payment_type") == 3, "n/a").otherwise(F.col("passenger_count").cast("string"))
     later = rows.where(~early).withColumns({"passenger_count": count, "meter_id": meter.cast("bigint") + 3_000_000_000})
-    later.write.mode("append").partitionBy("month").parquet(root)
+    tables.write_partitions(later, root, ("month",), even_files=False)
     return root
 
 
