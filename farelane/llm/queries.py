@@ -49,8 +49,7 @@ def private(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def piece_ids(spark: SparkSession, folder: str) -> DataFrame:
-    model = tokenizer_file("piece_bpe_32k.model")
-    tokens = sentencepiece_bpe.decode(sentencepiece_bpe.encode(table(spark, folder, "documents"), model), model)
+    tokens = sentencepiece_bpe.encode_and_decode(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

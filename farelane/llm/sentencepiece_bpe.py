@@ -39,6 +39,10 @@ _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
 _FAR = np.iinfo(np.int32).max
 #: Words in each of the two halves of a worker's store; some 60 MB each.
 _MOST_WORDS = 250_000
+#: Characters of texts and of new words, and tokens, handled at once; the work space of each is up to a hundred times as many bytes.
+TEXT_CHARS = 1 << 20
+WORD_CHARS = 1 << 18
+TOKENS = 1 << 18
 
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -67,6 +71,12 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+def _cuts(sizes: np.ndarray, most: int) -> list[int]:
+    """Bounds of groups of about ``most`` in size; one item is never cut."""
+    part = np.cumsum(sizes) // most
+    return [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
+
+
 class PieceModel:
     """Vocabulary of a BPE model file with identity normalisation and byte fallback."""
 
@@ -233,8 +243,9 @@ class PieceModel:
         wanted = set().union(*split).difference(self.store)
         self.store.update((w, self.before[w]) for w in wanted.intersection(self.before))
         new = list(wanted.difference(self.store))
-        if new:
-            self.store.update(zip(new, self._encode_words(new)))
+        cuts = _cuts(np.fromiter(map(len, new), np.int64, len(new)), WORD_CHARS)
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            self.store.update(zip(new[a:b], self._encode_words(new[a:b])))
         return [b"".join(map(self.store.__getitem__, words)) for words in split]
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
@@ -262,22 +273,42 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def _ids(model: PieceModel, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) of a batch of texts, in portions, so that work space stays bounded."""
+    at = 0
+    for part in portions(batch.column("text"), TEXT_CHARS):
+        found = model.encode(part)
+        ends = np.cumsum([0] + [len(f) // 4 for f in found], dtype=np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), ids], ["doc_id", "ids"])
+        at += len(part)
+
+
+def _texts(model: PieceModel, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids, text) of a batch of ids, in portions too."""
+    ids = batch.column("ids")
+    sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    cuts = _cuts(sizes, TOKENS)
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        rows = batch.slice(a, b - a)
+        flat = rows.column("ids").flatten().to_numpy(zero_copy_only=False)
+        texts = pa.array(model.decode(flat, sizes[a:b]), pa.string())
+        yield pa.RecordBatch.from_arrays([*rows.columns, texts], ["doc_id", "ids", "text"])
+
+
+def _id_type(df: DataFrame) -> str:
+    return df.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, ids) with the ids of each row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
-            at = 0
-            for part in portions(batch.column("text")):
-                found = model.encode(part)
-                ends = np.cumsum([0] + [len(f) // 4 for f in found], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), ids], ["doc_id", "ids"])
-                at += len(part)
+            yield from _ids(model, batch)
 
-    narrow = docs.select("doc_id", "text")
-    return map_batches(narrow, run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {_id_type(docs)}, ids array<int>")
 
 
 def decode(tokens: DataFrame, model_path: str) -> DataFrame:
@@ -286,15 +317,18 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(model_path)
         for batch in batches:
-            ids = batch.column("ids")
-            sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            # Rows in portions, so that work space stays bounded.
-            part = np.cumsum(sizes) // (1 << 20)
-            for a, b in zip(*(lambda cut: (np.r_[0, cut], np.r_[cut, len(sizes)]))(np.flatnonzero(np.diff(part)) + 1)):
-                rows = batch.slice(a, b - a)
-                flat = rows.column("ids").flatten().to_numpy(zero_copy_only=False)
-                texts = pa.array(model.decode(flat, sizes[a:b]), pa.string())
-                yield pa.RecordBatch.from_arrays([*rows.columns, texts], ["doc_id", "ids", "text"])
-
-    narrow = tokens.select("doc_id", "ids")
-    return map_batches(narrow, run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string")
+            yield from _texts(model, batch)
+
+    return map_batches(tokens.select("doc_id", "ids"), run, f"doc_id {_id_type(tokens)}, ids array<int>, text string")
+
+
+def encode_and_decode(docs: DataFrame, model_path: str) -> DataFrame:
+    """``decode(encode(docs))``, both in the same worker: half the workers, one model each, and ids cross once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = piece_model(model_path)
+        for batch in batches:
+            for tokens in _ids(model, batch):
+                yield from _texts(model, tokens)
+
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {_id_type(docs)}, ids array<int>, text string")

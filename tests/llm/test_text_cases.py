@@ -259,6 +259,23 @@ def test_piece_frames(odd, nothing):
     assert sentencepiece_bpe.decode(sentencepiece_bpe.encode(nothing, path), path).count() == 0
 
 
+def test_pieces_in_one_pass_and_small_portions(odd, nothing, monkeypatch):
+    path = tokenizer_file("piece_bpe_32k.model")
+    both = sentencepiece_bpe.encode_and_decode(odd, path)
+    # One worker a task: a second one would hold a second model and store in the executor's memory.
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = sentencepiece_bpe.decode(sentencepiece_bpe.encode(odd, path), path)
+    assert by_id(both, "doc_id", "ids", "text") == by_id(apart, "doc_id", "ids", "text")
+    assert sentencepiece_bpe.encode_and_decode(nothing, path).count() == 0
+    model, library, most = sentencepiece_bpe.PieceModel(path), sentencepiece.SentencePieceProcessor(model_file=path), []
+    encode_words = model._encode_words
+    monkeypatch.setattr(model, "_encode_words", lambda words: most.append(sum(map(len, words[:-1]))) or encode_words(words))
+    monkeypatch.setattr(sentencepiece_bpe, "WORD_CHARS", 50)
+    texts = [" ".join(f"word{i}x{k}" for i in range(40)) for k in range(5)] + ["", None, "y" * 300]
+    assert [np.frombuffer(f, "<i4").tolist() for f in model.encode(texts)] == [library.encode(t or "") for t in texts]
+    assert len(most) > 10 and max(most) < 100
+
+
 # WARC
 
 
