@@ -18,14 +18,16 @@ Cases, by definition:
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,15 +38,23 @@ CAPACITY = 4096
 END_ID = 1
 #: Rows of one length that one task ranks, on average.
 RANK_ROWS = 50_000
-#: Words in each of the two halves of a worker's store; some 80 MB each.
+#: Words in each of the two halves of a worker's store; some 90 MB each.
 _MOST_WORDS = 400_000
 
 
+#: What the quick way below takes for granted: it is left out for a file with other steps before its model.
+_STEPS = ["NFC", "Replace", "Lowercase"], r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Small letters that no step before the model changes, and the signs that may close such a word: those of ASCII but the apostrophe.
+_LETTERS, _SIGNS = "[a-zß-öø-ÿ]+", r"[!-&(-/:-@\[-`{-~]+"
+_SPECIAL = "<|"
+
+
 class WordIds(dict):
     """Little-endian ids of each word met lately, by the tokenizer.
 
     Neither the tokenizer's normaliser nor its pattern joins anything across ASCII white
-    space, so a text's ids are those of its words. When the store is full, the words used
+    space, so a text's ids are those of its words. It lowers letters, so a text may come in small ones, unless it
+    holds what may be a special token. When the store is full, the words used
     since the last time stay at hand in ``before`` and the rest are forgotten.
     """
 
@@ -57,36 +67,94 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.before: dict[bytes, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = self.tokenizer.token_to_id(self.BETWEEN) == self.BETWEEN_ID
-
-    def _encode(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        plain = [w for w in words if self.parts and b"<|" not in w]
+        self.letters = self._letters()
+
+    def _letters(self):
+        """The same model for words of small letters alone, which the steps before it leave as they are; None for a file with other steps."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        file = json.loads(self.tokenizer.to_str())
+        steps = [s["type"] for s in (file["normalizer"] or {}).get("normalizers", [])]
+        cuts = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        suffix = file["model"].get("end_of_word_suffix")
+        if not suffix or (steps, cuts[0].get("pattern", {}).get("Regex")) != _STEPS or [c["type"] for c in cuts[1:]] != ["ByteLevel"]:
+            return None
+        letters = Tokenizer(self.tokenizer.model)
+        letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.closes = np.zeros(max(letters.get_vocab().values()) + 1, bool)
+        self.closes[[i for token, i in letters.get_vocab().items() if token.endswith(suffix)]] = True
+        return letters
+
+    def _whole(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        plain = [w for w in words if self.parts and _SPECIAL not in w]
         for at in range(0, len(plain), 1000):
             some = plain[at : at + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([self.BETWEEN.join(w.decode() for w in some)], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.flatnonzero(ids == self.BETWEEN_ID)
-            data, starts, ends = ids.tobytes(), [0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), 4 * len(ids)]
-            yield from zip(some, (data[s:e] for s, e in zip(starts, ends, strict=True)), strict=True)
+            ids = np.array(self.tokenizer.encode_batch_fast([self.BETWEEN.join(some)], add_special_tokens=False)[0].ids, "<u4")
+            yield from _apart(some, ids, np.flatnonzero(ids == self.BETWEEN_ID), 1)
         for word in set(words).difference(plain):
-            yield word, np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            yield word, np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        small = np.zeros(len(words), bool)
+        if self.letters:
+            small = pc.match_substring_regex(pa.array(words, pa.string()), f"^{_LETTERS}$").to_numpy(zero_copy_only=False)
+        letters = list(compress(words, small.tolist()))
+        for at in range(0, len(letters), 1000):
+            some = letters[at : at + 1000]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            yield from _apart(some, ids, np.flatnonzero(self.closes[ids])[:-1] + 1, 0)
+        yield from self._whole(list(compress(words, (~small).tolist())))
+
+    def _known(self, words: pa.Array) -> list[bytes]:
+        """The ids of distinct words."""
+        words = words.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.get, words))
+        new = {w for w, ids in zip(words, found) if ids is None}
+        if new:
+            if self.before:
+                self.update((w, self.before[w]) for w in new.intersection(self.before))
+                new.difference_update(self)
+            self.update(self._encode(list(new)))
+            found = list(map(self.__getitem__, words))
+        return found
+
+    def _of_words(self, words: pa.Array) -> list[bytes]:
+        if not self.letters:
+            return self._known(words)
+        # A token ends between a letter and such a sign, so both are words of their own, of which there are fewer.
+        closed = pc.extract_regex(words, f"^(?P<stem>{_LETTERS})(?P<signs>{_SIGNS})$")
+        stems = pc.coalesce(pc.struct_field(closed, 0), words).dictionary_encode()
+        signs = pc.coalesce(pc.struct_field(closed, 1), "").dictionary_encode()
+        first, second = self._known(stems.dictionary), self._known(signs.dictionary)
+        return [first[i] + second[k] for i, k in zip(stems.indices.to_numpy().tolist(), signs.indices.to_numpy().tolist())]
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         if len(self) >= _MOST_WORDS:
             self.before = dict(self)
             self.clear()
-        split = [_words(t or "") for t in texts]
-        found = [list(map(self.get, words)) for words in split]
-        open_texts = [k for k, ids in enumerate(found) if None in ids]
-        new = {w for k in open_texts for w, ids in zip(split[k], found[k]) if ids is None}
-        if self.before:
-            self.update((w, self.before[w]) for w in new.intersection(self.before))
-            new.difference_update(self)
-        self.update(self._encode(list(new)))
-        for k in open_texts:
-            found[k] = map(self.__getitem__, split[k])
-        return [b"".join(ids) for ids in found]
+        given = pa.array([t or "" for t in texts], pa.string())
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(given, _SPECIAL), given, pc.ascii_lower(given)))
+        coded = split.flatten().dictionary_encode()
+        found = self._of_words(coded.dictionary)
+        # The ids of all words behind each other, taken for each place of a word.
+        word = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        lengths = sizes[word]
+        ends = np.r_[0, np.cumsum(lengths)]
+        at = np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], lengths)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(found), "<u4")[at]
+        bounds = ends[split.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _apart(words: list[str], ids: np.ndarray, cuts: np.ndarray, skip: int) -> Iterator[tuple[str, bytes]]:
+    """Each word with its ids; a word ends at a cut, the next begins ``skip`` ids later."""
+    data, starts, ends = ids.tobytes(), [0, *(4 * (cuts + skip)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
+    return zip(words, (data[s:e] for s, e in zip(starts, ends, strict=True)), strict=True)
 
 
 @lru_cache(maxsize=2)
@@ -94,22 +162,6 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-_CLOSED = re.compile(rb"([a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
-
-
-def _words(text: str) -> list[bytes]:
-    """The parts of a text that can be tokenised apart: words, and the point or comma that closes one.
-
-    The tokenizer lowers letters and ends a token between a letter and such a sign, so both
-    steps leave the ids as they are and make more words alike. A text with what may be a special
-    token is only split.
-    """
-    data = text.encode()
-    if b"<|" not in data:
-        data = _CLOSED.sub(rb"\1 \2", data.lower())
-    return data.split()
-
-
 def portions(texts: pa.Array, most: int = 1 << 22) -> Iterator[list[str | None]]:
     """The texts in order, in lists of about ``most`` characters; one text is never cut."""
     part, size = [], 0
