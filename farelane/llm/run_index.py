@@ -67,7 +67,7 @@ class RunIndex:
     def stream(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each byte of the patterns ``data[start:start + size]``: positions in the text of the suffixes next above and
         next below the pattern's suffix that begins there (-1: none)."""
-        above, below = np.full(len(data), -1, np.int64), np.full(len(data), -1, np.int64)
+        above, below = np.full(len(data), -1, np.int32), np.full(len(data), -1, np.int32)
         by_size = np.argsort(-sizes, kind="stable")
         ends, sizes = (starts + sizes)[by_size], sizes[by_size]
         live = len(sizes)
@@ -94,7 +94,8 @@ class RunIndex:
     def long_matches(self, data: np.ndarray, limit: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
         """Whether ``data[i:i + width]`` equals the text at ``at[i]``; no match reaches beyond ``limit[i]``."""
         found = np.zeros(len(data), bool)
-        place = np.flatnonzero((at >= 0) & (np.arange(len(data)) + width <= limit) & (at + width <= len(self.text)))
+        place = np.flatnonzero((at >= 0) & (at <= len(self.text) - width))
+        place = place[place + width <= limit[place]]
         for probe in (0, width - 1, width // 2, width // 4, 3 * width // 4):
             place = place[data[place + probe] == self.text[at[place] + probe]]
         if not len(place):

@@ -40,7 +40,7 @@ ANCHOR = 40
 #: texts streamed at once.
 TEXT_BLOCK = 1 << 19
 INDEX_BYTES = 1 << 18
-STREAM_BYTES = 1 << 22
+STREAM_BYTES = 1 << 21
 STREAM_PIECE = 1 << 10
 #: First occurrences are dealt by blocks of a document; blocks with more links are dealt to several tasks.
 TARGET_BLOCK = 1 << 16
@@ -231,41 +231,55 @@ def _mark(firsts: _Firsts, rows: list[tuple], width: int) -> tuple[pa.RecordBatc
     data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
     sizes = np.array([len(r[3]) for r in rows])
     base = np.cumsum(sizes) - sizes
-    doc = np.repeat([r[1] for r in rows], sizes)
-    place = np.arange(len(data)) - np.repeat(base, sizes) + np.repeat([r[2] for r in rows], sizes)
-    limit = np.repeat(base + sizes, sizes)
+    # What a row says of its bytes is looked up where it is needed: one number a byte tells the row.
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    group, doc, start, salts = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 8))
+    to_place = start - base
+    limit = (base + sizes).astype(np.int32)[owner]
     # Windows whose anchor is linked: their shift to the first occurrence, and whether there are others.
     counts = [len(r[4]) for r in rows]
-    to_flat = np.repeat(base - np.array([r[2] for r in rows]), counts)
     low, high, shift, more = (np.concatenate([np.array(r[k]) for r in rows]) for k in (4, 5, 6, 7))
-    low, high = low + to_flat, high + to_flat
+    to_flat = np.repeat(to_place, counts)
+    low, high = low - to_flat, high - to_flat
     lengths = high - low + 1
-    windows = np.repeat(low, lengths) + np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    shift, more = np.repeat(shift, lengths), np.repeat(more, lengths)
+    windows = np.repeat(low - (np.cumsum(lengths) - lengths), lengths)
+    windows += np.arange(len(windows))
     marked = np.zeros(len(data), bool)
     for at in firsts.index.stream(data, *_pieces(base, sizes, width)):
-        hit = firsts.index.long_matches(data, limit, at, width)
-        at_doc, at_place = firsts.where(at)
-        marked |= hit & ((at_doc < doc) | ((at_doc == doc) & (at_place < place)))
+        hit = np.flatnonzero(firsts.index.long_matches(data, limit, at, width))
+        at_doc, at_place = firsts.where(at[hit])
+        own, place = doc[owner[hit]], hit + to_place[owner[hit]]
+        marked[hit] |= (at_doc < own) | ((at_doc == own) & (at_place < place))
     left = ~marked[windows]
     # A match that lies later may hide the first occurrence: it is compared itself.
-    rest, rest_shift, rest_more = windows[left], shift[left], more[left]
-    group = np.repeat(np.array([r[0] for r in rows]), sizes)
-    at = np.full(len(data), -1, np.int64)
-    at[rest] = firsts.position(group[rest], place[rest] + rest_shift)
+    rest, rest_shift, rest_more = windows[left], np.repeat(shift, lengths)[left], np.repeat(more, lengths)[left]
+    place = rest + to_place[owner[rest]]
+    at = np.full(len(data), -1, np.int32)
+    at[rest] = np.minimum(firsts.position(group[owner[rest]], place + rest_shift), len(firsts.index.text))
     equal = firsts.index.long_matches(data, limit, at, width)
     marked |= equal
     keep = np.zeros(len(data), bool)
     keep[windows] = marked[windows]
     found = np.flatnonzero(keep)
-    opens = np.flatnonzero(np.r_[True, (found[1:] != found[:-1] + 1) | (doc[found[1:]] != doc[found[:-1]]) | (place[found[1:]] != place[found[:-1]] + 1)]) if len(found) else found
+    found_doc, found_place = doc[owner[found]], found + to_place[owner[found]]
+    opens = np.flatnonzero(np.r_[True, (found[1:] != found[:-1] + 1) | (found_doc[1:] != found_doc[:-1]) | (found_place[1:] != found_place[:-1] + 1)]) if len(found) else found
     closes = np.r_[opens[1:], len(found)] - 1 if len(found) else found
     none = pa.nulls(len(opens), pa.int64())
-    marked_ranges = pa.RecordBatch.from_arrays([pa.array(doc[found[opens]]), pa.array(place[found[opens]]), pa.array(place[found[closes]]), none, none], _FOUND_NAMES)
-    rest = rest[~equal[rest] & rest_more]
-    keys = [window_hashes(data, width, which)[rest].view(np.int64) for which in (0, 1)]
-    elsewhere = np.repeat(np.array([r[8] > 1 for r in rows]), sizes)[rest]
-    return marked_ranges, np.stack([doc[rest], place[rest], *keys, elsewhere])
+    marked_ranges = pa.RecordBatch.from_arrays([pa.array(found_doc[opens]), pa.array(found_place[opens]), pa.array(found_place[closes]), none, none], _FOUND_NAMES)
+    still = ~equal[rest] & rest_more
+    rest, place = rest[still], place[still]
+    keys = [_hashes_at(data, rest, width, which) for which in (0, 1)]
+    return marked_ranges, np.stack([doc[owner[rest]], place, *keys, salts[owner[rest]] > 1])
+
+
+def _hashes_at(data: np.ndarray, places: np.ndarray, width: int, which: int) -> np.ndarray:
+    """The hashes of some windows, block by block: those of all windows take dozens of bytes for each byte."""
+    found = np.empty(len(places), np.int64)
+    for start, block in _blocks(data, width):
+        own = np.flatnonzero((places >= start) & (places < start + TEXT_BLOCK))
+        if len(own):
+            found[own] = window_hashes(block, width, which)[places[own] - start].view(np.int64)
+    return found
 
 
 def _pieces(base: np.ndarray, sizes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import gzip
 import io
 import os
 import random
+import tracemalloc
 import zipfile
 
 import numpy as np
@@ -420,6 +421,31 @@ def test_repeats_by_hand(spark, monkeypatch):
         assert got == removed_by_hand(rows, 100)
 
 
+def test_marking_takes_a_bounded_multiple_of_the_texts():
+    rng = np.random.default_rng(5)
+    firsts, width = suffix_dedup._Firsts(), suffix_dedup.WIDTH
+    text = rng.integers(97, 123, 1 << 16, dtype=np.uint8)
+    firsts.add(0, 1, 0, text.tobytes())
+    n, rows = 1 << 20, []
+    for doc in (2, 3):
+        data = rng.integers(97, 123, n, dtype=np.uint8)
+        data[1000:1500] = text[70:570]
+        rows.append((0, doc, 0, data.tobytes(), [0], [n - width], [0], [True], 1))
+    firsts.build()
+    suffix_dedup._POWERS.clear()
+    tracemalloc.start()
+    marked, opened = suffix_dedup._mark(firsts, rows, width)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert marked.to_pydict() == {"doc": [2, 3], "low": [1000] * 2, "high": [1400] * 2, "h1": [None] * 2, "h2": [None] * 2}
+    flat = np.frombuffer(rows[1][3], np.uint8)[-width:]
+    assert opened.shape[1] == 2 * (n - width + 1 - 401)
+    assert opened[:, -1].tolist() == [3, n - width, *(int(suffix_dedup.window_hashes(flat, width, k).view(np.int64)[0]) for k in (0, 1)), 0]
+    # All windows here stay open, which is the worst case; their hashes are made block by block.
+    assert max(len(up) for up, _ in suffix_dedup._POWERS.values()) <= suffix_dedup.TEXT_BLOCK + width
+    assert peak < 160 * 2 * n
+
+
 def test_long_texts_are_cut_into_blocks(spark, monkeypatch):
     text = "".join(random.Random(2).choice("abcdefgh ") for _ in range(3000))
     text = text + text[500:1400] + "tail"
