@@ -52,17 +52,25 @@ class RunIndex:
         ends = np.r_[starts[1:], self.n] - 1
         self.runs = len(starts)
         self.run_start = np.r_[starts, self.n]
+        # A row behind the last is in a run of its own, which has no symbol.
+        self.run_of_row = np.repeat(np.arange(self.runs + 1, dtype=np.int32), np.r_[ends - starts + 1, 1])
         self.run_symbol = np.r_[symbols[starts], -2]
-        self.head, self.end = order[starts], order[ends]  # the samples
         # Runs by symbol, in text order, with the rows of the symbol before each.
         self.by_symbol = np.argsort(symbols[starts], kind="stable")
+        self.in_symbol = np.zeros(self.runs + 1, np.int64)
+        self.in_symbol[self.by_symbol] = np.arange(self.runs)
+        # The samples of a run, where the suffix with its symbol in front begins.
+        self.head_before, self.end_before = order[starts][self.by_symbol] - 1, order[ends][self.by_symbol] - 1
         self.symbol_key = symbols[starts][self.by_symbol] * (self.runs + 1) + self.by_symbol
+        if 257 * (self.runs + 1) < 1 << 31:
+            self.symbol_key = self.symbol_key.astype(np.int32)
         self.rows_before = np.r_[0, np.cumsum((ends - starts + 1)[self.by_symbol])]
         self.symbol_first = np.searchsorted(symbols[starts][self.by_symbol], np.arange(258))
         # First rows of suffixes by their first symbol, and the samples at these borders.
         self.block = 1 + np.r_[0, np.cumsum(np.bincount(text, minlength=257))]
         self.block_head = np.where(self.block < self.n, order[np.minimum(self.block, self.n - 1)], -1)
         self.block_end = order[self.block - 1]
+        self.first_row = self.block[:257] - self.rows_before[self.symbol_first[:257]]
 
     def stream(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each byte of the patterns ``data[start:start + size]``: positions in the text of the suffixes next above and
@@ -78,16 +86,17 @@ class RunIndex:
             row, up, down = row[:live], up[:live], down[:live]
             place = ends[:live] - 1 - step
             symbol = data[place].astype(np.int64)
-            run = np.searchsorted(self.run_start, row, "right") - 1
+            run = self.run_of_row[row]
             inside = self.run_symbol[run] == symbol
-            nth = np.searchsorted(self.symbol_key, symbol * (self.runs + 1) + run)
-            first, last = self.symbol_first[symbol], self.symbol_first[symbol + 1]
             into = row - self.run_start[run]
-            row = self.block[symbol] + self.rows_before[nth] - self.rows_before[first] + np.where(inside, into, 0)
-            later = self.head[self.by_symbol[np.minimum(nth, self.runs - 1)]] - 1
-            earlier = self.end[self.by_symbol[np.maximum(nth - 1, 0)]] - 1
-            up = np.where(inside, up - 1, np.where(nth < last, later, self.block_head[symbol + 1]))
-            down = np.where(inside & (into > 0), down - 1, np.where(nth > first, earlier, self.block_end[symbol]))
+            nth = self.in_symbol[run]
+            apart = np.flatnonzero(~inside)
+            nth[apart] = np.searchsorted(self.symbol_key, (symbol[apart] * (self.runs + 1) + run[apart]).astype(self.symbol_key.dtype))
+            row = self.first_row[symbol] + self.rows_before[nth] + np.where(inside, into, 0)
+            later = self.head_before[np.minimum(nth, self.runs - 1)]
+            earlier = self.end_before[np.maximum(nth - 1, 0)]
+            up = np.where(inside, up - 1, np.where(nth < self.symbol_first[symbol + 1], later, self.block_head[symbol + 1]))
+            down = np.where(inside & (into > 0), down - 1, np.where(nth > self.symbol_first[symbol], earlier, self.block_end[symbol]))
             above[place], below[place] = up, down
         return above, below
 
