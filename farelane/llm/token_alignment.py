@@ -6,6 +6,9 @@ agree at a fixed shift of their indexes: probes of doubling size compare slices
 jump over the whole stretch. Where they disagree, the side that is behind moves on until both
 ends meet; that is one irregular group, and the shift is taken anew behind it.
 
+Both sides end a token at a single space inside text, so a group never spans two words. New words are aligned
+many at a time, as one text; the alignment of a document is put together from those of its words.
+
 All token pairs of a group are linked. Documents are aligned in blocks of bounded text; a
 block writes its distinct pairs once, and its documents refer to them by number, so corpus
 counts are summed over the pairs of blocks instead of documents, and come back to the blocks the
@@ -27,9 +30,12 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,9 +46,15 @@ from farelane.llm.packing import portions
 #: Text of one block, in characters, and links counted at a time.
 BLOCK_CHARS = 1 << 23
 _LINKS = 1 << 20
-_PART = 1 << 18
+_PART = 1 << 20
 #: Words in each of the two halves of a worker's store; some 100 MB each.
 _MOST_WORDS = 300_000
+#: Characters and links of the words it keeps; texts with longer ones are aligned as they are.
+_WORD_CHARS = 1000
+_WORD_LINKS = 1000
+#: Numbers of tokens and groups of such a word stand side by side in one; no tokens mark a word that is not kept.
+_HEAD = (1 << 20) - 1
+_WIDE = b"", bytes(8)
 
 
 def byte_letters() -> dict[str, int]:
@@ -109,18 +121,34 @@ class PieceTokens:
 
 #: A space at which both vocabularies always end a token: between characters that are no white space in any reading.
 _CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+#: Texts with a space at either end or beside a character that may be another; in the rest every space is such a cut.
+_OTHER = "[^!-~À-ÖØ-öø-ſА-я]"
+_UNSURE = f"(?:^|{_OTHER}) | (?:{_OTHER}|$)"
 #: Words of letters, digits and signs that all libraries class alike.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ſΆ-ώЁА-яё]+")
 # Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 
+class Aligned(NamedTuple):
+    """Alignments of some rows: their places, counts and groups as text; the distinct pairs of them all (a in the upper 32 bits), and, by
+    number and one row after another, those that each row links, how often, and up to where they go."""
+
+    rows: np.ndarray
+    counts: list[np.ndarray]
+    groups: pa.Array
+    pairs: np.ndarray
+    links: np.ndarray
+    times: np.ndarray
+    ends: np.ndarray
+
+
 class TokenPair:
-    """Ids of texts by both vocabularies, through a store of the words met lately.
+    """Alignments of texts by both vocabularies, through a store of the words met lately.
 
     Neither vocabulary joins anything across a single space inside text: the first one's pattern starts a new part there, and
     no piece of the second has a space behind another character (where one has, texts are not cut). So ids are those
-    of words with the space before them.
+    of words with the space before them, a group ends with every word, and a text's groups are those of its words in order.
     """
 
     def __init__(self, path_a: str, path_b: str):
@@ -129,56 +157,172 @@ class TokenPair:
             tokens.lengths = np.array([len(s) for s in tokens.spelled], np.int64)
         self.digits = Digits(max(len(self.a.spelled), len(self.b.spelled)))
         self.cuts = not any(b" " in s.lstrip(b" ") for s in self.b.spelled)
-        # Little-endian ids of words by each vocabulary, and of the words used before the store was full; words that one does not spell.
-        self.store: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        # Of each word its groups as text, and as little-endian numbers its tokens, groups and every link; ``_WIDE``, or with it what the ids spell instead.
+        # The same of the words used before the store was full.
+        self.store: dict[str, tuple[bytes, ...]] = {}
         self.before = self.store
-        self.unspelled: set[str] = set()
-
-    def _spell(self, word: str, a: list[int], b: list[int]) -> bool:
-        data = f" {word}".encode()
-        return all(b"".join(map(s.spelled.__getitem__, ids)) == data for s, ids in ((self.a, a), (self.b, b)))
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words in one text and cut the ids at the words' ends; where they do not spell the text, nothing is learnt."""
+    def _spelled(self, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        return b"".join(map(self.a.spelled.__getitem__, a)), b"".join(map(self.b.spelled.__getitem__, b))
+
+    def _keep(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        """Align words that both vocabularies spell, as one text whose groups are dealt to the words."""
+        ends = [np.cumsum(n) for n in sizes]
+        cuts_a, cuts_b = (np.array(c, np.int64) for c in group_ends(*(np.cumsum(s.lengths[x]).tolist() for s, x in zip((self.a, self.b), ids))))
+        groups = np.searchsorted(cuts_a, ends[0]) + 1
+        n_groups = np.diff(groups, prepend=0)
+        starts_a, starts_b = np.r_[0, cuts_a[:-1]], np.r_[0, cuts_b[:-1]]
+        sizes_b = cuts_b - starts_b
+        links = (cuts_a - starts_a) * sizes_b
+        n_links = np.diff(np.cumsum(links)[groups - 1], prepend=0)
+        narrow = n_links <= _WORD_LINKS
+        g = np.flatnonzero(np.repeat(narrow, n_groups))
+        n, wide = links[g], np.repeat(sizes_b[g], links[g])
+        inside = spans(np.zeros(len(g), np.int64), n)
+        found = (ids[0][np.repeat(starts_a[g], n) + inside // wide] << 32) | ids[1][np.repeat(starts_b[g], n) + inside % wide]
+        stops = np.cumsum(np.where(narrow, n_links, 0) + 1)
+        heads = np.r_[0, stops[:-1]]
+        records = np.empty(stops[-1], "<i8")
+        records[heads] = sizes[0] | sizes[1] << 20 | n_groups << 40
+        records[_others(heads, len(records))] = found
+        data, stops = records.tobytes(), (8 * stops).tolist()
+        # A sign stands behind every id.
+        shown = self.digits.rendered(*ids, cuts_a, cuts_b).encode()
+        places = sum(np.cumsum(self.digits.length[x] + 1)[e - 1] for x, e in zip(ids, ends)).tolist()
+        made = zip((shown[s : e - 1] for s, e in zip([0, *places], places)), (data[s:e] for s, e in zip([0, *stops], stops)))
+        self.store.update((w, m if own else _WIDE) for w, m, own in zip(words, made, narrow.tolist()))
+
+    def _learn_plain(self, words: list[str]) -> None:
+        """Encode words in one text and cut the ids at the words' ends; where they do not spell the text, each word is encoded."""
         text = " ".join(words)
         ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        parts = []
+        ids, sizes = [], []
         for side in (self.a, self.b):
-            ids = side.encode_plain(text)
-            if b"".join(map(side.spelled.__getitem__, ids)) != f" {text}".encode():
-                return
-            ids = np.array(ids, "<i4")
-            cut = 4 * np.searchsorted(np.cumsum(side.lengths[ids]), ends, "left") + 4
-            data = ids.tobytes()
-            parts.append([data[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist())])
-        for store, own in zip(self.store, parts):
-            store.update(zip(words, own))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """The ids of each text; None where they do not spell it, or it is empty."""
-        split = [_CUT.split(t) if self.cuts else [t] for t in texts]
-        if len(self.store[0]) >= _MOST_WORDS:
-            self.before, self.store, self.unspelled = self.store, ({}, {}), set()
-        wanted = set().union(*split).difference(self.store[0])
-        known = [w for w in wanted if w in self.before[0]]
-        for store, before in zip(self.store, self.before):
-            store.update(zip(known, map(before.__getitem__, known)))
-        new = list(wanted.difference(known))
-        plain = [w for w in new if _PLAIN.fullmatch(w)]
-        for at in range(0, len(plain), 1000):
-            self._learn(plain[at : at + 1000])
-        rest = [w for w in new if w not in self.store[0]]
-        for word, *ids in zip(rest, self.a.encode(rest), self.b.encode(rest)):
-            for store, own in zip(self.store, ids):
-                store[word] = np.array(own, "<i4").tobytes()
-        # Words that come back from the older half are looked at again, if not plain.
-        self.unspelled.update(w for w in (*rest, *(w for w in known if not _PLAIN.fullmatch(w))) if not self._spell(w, *(np.frombuffer(s[w], "<i4").tolist() for s in self.store)))
-        for text, words in zip(texts, split):
-            a, b = (np.frombuffer(b"".join(map(store.__getitem__, words)), "<i4").astype(np.int64) for store in self.store)
-            if text and (self.unspelled.isdisjoint(words) or self._spell(text, a.tolist(), b.tolist())):
-                yield a, b
+            found = side.encode_plain(text)
+            if b"".join(map(side.spelled.__getitem__, found)) != f" {text}".encode():
+                return self._learn(words)
+            ids.append(np.array(found, np.int64))
+            cut = np.searchsorted(np.cumsum(side.lengths[ids[-1]]), ends, "left") + 1
+            sizes.append(np.diff(cut, prepend=0))
+        self._keep(words, ids, sizes)
+
+    def _learn(self, words: list[str]) -> None:
+        good = []
+        for word, *ids in zip(words, self.a.encode(words), self.b.encode(words)):
+            made = self._spelled(*ids)
+            if made == (f" {word}".encode(),) * 2:
+                good.append((word, *ids))
             else:
-                yield None
+                self.store[word] = (*_WIDE, *made)
+        if good:
+            words, *found = zip(*good)
+            self._keep(words, [np.array([i for ids in x for i in ids], np.int64) for x in found], [np.array([len(ids) for ids in x]) for x in found])
+
+    def _known(self, words: list[str]) -> list[tuple[bytes, ...]]:
+        """What the store has of distinct words."""
+        found = list(map(self.store.get, words))
+        new = [w for w, record in zip(words, found) if record is None and len(w) <= _WORD_CHARS]
+        if new:
+            old = [w for w in new if w in self.before]
+            self.store.update(zip(old, map(self.before.__getitem__, old)))
+            plain, other = [], []
+            for word in new if not old else [w for w in new if w not in self.store]:
+                (plain if _PLAIN.fullmatch(word) else other).append(word)
+            for some, learn in ((plain, self._learn_plain), (other, self._learn)):
+                for at in range(0, len(some), 1000):
+                    learn(some[at : at + 1000])
+            found = list(map(self.store.get, words))
+        return [_WIDE if r is None else r for r in found]
+
+    def _parted(self, texts: list[str]) -> tuple[np.ndarray, pa.ListArray]:
+        """The texts' order in what follows, and the words of each."""
+        given = pa.array(texts, pa.string())
+        easy = np.zeros(len(texts), bool)
+        if self.cuts:
+            easy = ~pc.match_substring_regex(given, _UNSURE).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(given.filter(pa.array(easy)), " ")
+        if not easy.all():
+            rest = [_CUT.split(t) if self.cuts else [t] for t in compress(texts, (~easy).tolist())]
+            split = pa.concat_arrays([split, pa.array(rest, split.type)])
+        return np.argsort(~easy, kind="stable"), split
+
+    def _whole(self, text: str, records: list[tuple[bytes, ...]]) -> tuple:
+        """``aligned_text`` of a text with words that are wide or not spelled."""
+        spelled = all(len(r) < 4 for r in records)
+        if not spelled:
+            own = [(f" {w}".encode(),) * 2 for w in _CUT.split(text)] if self.cuts else [(f" {text}".encode(),) * 2]
+            made = zip(*(r[2:] or o for r, o in zip(records, own)))
+            spelled = all(b"".join(side) == f" {text}".encode() for side in made)
+        if not text or not spelled:
+            return aligned_text(None, self)
+        ids = self.a.encode([text])[0], self.b.encode([text])[0]
+        spelled = self._spelled(*ids) == (f" {text}".encode(),) * 2
+        return aligned_text([np.array(x, np.int64) for x in ids] if spelled else None, self)
+
+    def align(self, texts: list[str]) -> Iterator[Aligned]:
+        """The alignments of the texts; of no tokens where these do not spell the text, or it is empty."""
+        if len(self.store) >= _MOST_WORDS:
+            self.before, self.store = self.store, {}
+        order, split = self._parted(texts)
+        coded = split.flatten().dictionary_encode()
+        word, lengths = coded.indices.to_numpy(), split.value_lengths().to_numpy().astype(np.int64)
+        records = self._known(coded.dictionary.to_pylist())
+        data = [r[1] for r in records]
+        sizes = np.fromiter(map(len, data), np.int64, len(data)) // 8
+        flat = np.frombuffer(b"".join(data), "<i8")
+        heads = np.cumsum(sizes) - sizes
+        n_links = sizes - 1
+        counts = [(flat[heads] >> at) & _HEAD for at in (0, 20, 40)] + [n_links]
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        whole = np.zeros(len(lengths), bool)
+        whole[rows[counts[0][word] == 0]] = True
+        whole |= np.array([not texts[k] for k in order.tolist()], bool)
+        if whole.any():
+            ends = np.cumsum(lengths)
+            found = [self._whole(texts[order[k]], [records[w] for w in word[ends[k] - lengths[k] : ends[k]].tolist()]) for k in np.flatnonzero(whole).tolist()]
+            pairs, links = np.unique(np.concatenate([f[5] for f in found]), return_inverse=True)
+            yield Aligned(
+                order[whole],
+                [np.array([f[k] for f in found], np.int64) for k in range(4)],
+                pa.array([f[4] for f in found], pa.string()),
+                pairs,
+                links.astype(np.int32),
+                np.concatenate([f[6] for f in found]),
+                np.cumsum([len(f[5]) for f in found]),
+            )
+            kept = ~whole
+            word, lengths, order = word[kept[rows]], lengths[kept], order[kept]
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+        if not len(lengths):
+            return
+        firsts = np.cumsum(lengths) - lengths
+        shown = pa.array([r[0] for r in records], pa.string()).take(pa.array(word))
+        groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[firsts, len(word)].astype(np.int32)), shown), ";")
+        # All links of each text in order, as numbers of pairs.
+        pairs, number = np.unique(flat[_others(heads, len(flat))], return_inverse=True)
+        n = n_links[word]
+        keys = number[spans((np.cumsum(n_links) - n_links)[word], n)]
+        keys += np.repeat(rows * len(pairs), n)
+        keys.sort()
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        times = np.diff(starts, append=len(keys))
+        keys = keys[starts]
+        ends = np.searchsorted(keys, np.arange(1, len(lengths) + 1) * len(pairs))
+        links = (keys % len(pairs)).astype(np.int32)
+        yield Aligned(order, [np.add.reduceat(c[word], firsts) for c in counts], groups, pairs, links, times, ends)
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places from each start on, as many as its size, one span after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def _others(places: np.ndarray, size: int) -> np.ndarray:
+    """Which of so many places are none of these."""
+    found = np.ones(size, bool)
+    found[places] = False
+    return found
 
 
 @lru_cache(maxsize=2)
@@ -323,29 +467,27 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_chars: int = BLOCK_CH
     many of its documents each is ``held``.
     """
 
-    def block_of(rows: list[tuple], place: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-        found, where, held = np.unique(np.concatenate([r[6] for r in rows]), return_inverse=True, return_counts=True)
+    def block_of(ids: list[pa.Array], parts: list[Aligned], place: int) -> Iterator[pa.RecordBatch]:
+        found, where = np.unique(np.concatenate([p.pairs for p in parts]), return_inverse=True)
+        where = np.split(where, np.cumsum([len(p.pairs) for p in parts])[:-1])
+        held = sum(np.bincount(w[p.links], minlength=len(found)) for p, w in zip(parts, where))
         # Frequent pairs get small numbers.
         order = np.argsort(-held, kind="stable")
         number = np.empty(len(order), np.int32)
         number[order] = np.arange(len(order), dtype=np.int32)
-        links, at = number[where], 0
-        for start in range(0, len(rows), 2000):
-            part = rows[start : start + 2000]
-            ends = np.cumsum([0] + [len(r[6]) for r in part], dtype=np.int32)
-            times = np.concatenate([r[7] for r in part]).astype(np.int64)
-            own = [found[order], held[order]] if not start else [None, None]
-            once = [pa.array([x] + [None] * (len(part) - 1), pa.list_(pa.int64())) for x in own]
+        own = [found[order], held[order]]
+        for part_ids, part, own_number in zip(ids, parts, where):
+            ends, links = pa.array(np.r_[0, part.ends].astype(np.int32)), number[own_number][part.links]
             columns = [
-                pa.array([r[0] for r in part], id_type),
-                *[pa.array([r[k] for r in part], pa.int64()) for k in range(1, 5)],
-                pa.array([r[5] for r in part], pa.string()),
-                pa.array(np.full(len(part), place, np.int64)),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(links[at : at + int(ends[-1])])),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(times)),
-                *once,
+                part_ids,
+                *[pa.array(c) for c in part.counts],
+                part.groups,
+                pa.array(np.full(len(part_ids), place, np.int64)),
+                pa.ListArray.from_arrays(ends, pa.array(links)),
+                pa.ListArray.from_arrays(ends, pa.array(part.times)),
+                *[pa.array([x] + [None] * (len(part_ids) - 1), pa.list_(pa.int64())) for x in own],
             ]
-            at += int(ends[-1])
+            own = [None, None]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", *_COUNTS, "groups", "block", "links", "times", "pairs", "held"]
@@ -355,20 +497,21 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_chars: int = BLOCK_CH
         from pyspark import TaskContext
 
         tokens = token_pair(path_a, path_b)
-        rows, size, place = [], 0, TaskContext.get().partitionId() << 32
+        ids, parts, size, place = [], [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, at = batch.column("doc_id").to_pylist(), 0
+            at = 0
             for part in portions(batch.column("text"), _PART):
                 texts = [t or "" for t in part]
-                for found in tokens.encode(texts):
-                    rows.append((ids[at], *aligned_text(found, tokens)))
-                    at += 1
+                for found in tokens.align(texts):
+                    ids.append(batch.column("doc_id").take(pa.array(at + found.rows)))
+                    parts.append(found)
+                at += len(texts)
                 size += sum(map(len, texts))
                 if size >= block_chars:
-                    yield from block_of(rows, place, batch.schema.field("doc_id").type)
-                    rows, size, place = [], 0, place + 1
-        if rows:
-            yield from block_of(rows, place, batch.schema.field("doc_id").type)
+                    yield from block_of(ids, parts, place)
+                    ids, parts, size, place = [], [], 0, place + 1
+        if parts:
+            yield from block_of(ids, parts, place)
 
     schema = f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, {', '.join(f'{c} long' for c in _COUNTS)}, groups string, block long, links array<int>, times array<long>, pairs array<long>, held array<long>"
     return map_batches(narrow, run, schema)

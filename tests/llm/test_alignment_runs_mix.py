@@ -125,6 +125,58 @@ def test_large_groups_are_linked_whole(monkeypatch):
         assert dict(zip(pairs.tolist(), times.tolist())) == expected
 
 
+def aligned_words(pair, texts: list[str]) -> list[tuple]:
+    """(n_a, n_b, n_groups, n_links, groups, links of each pair) for each text, by the operator's worker."""
+    out = [None] * len(texts)
+    for part in pair.align(texts):
+        for i, row in enumerate(part.rows.tolist()):
+            span = slice(part.ends[i - 1] if i else 0, part.ends[i])
+            out[row] = (*(int(c[i]) for c in part.counts), part.groups[i].as_py(), dict(zip(part.pairs[part.links[span]].tolist(), part.times[span].tolist())))
+    return out
+
+
+def test_words_are_aligned_once(monkeypatch):
+    given, real = [], token_alignment.group_ends
+    monkeypatch.setattr(token_alignment, "group_ends", lambda a, b: given.append(len(a)) or real(a, b))
+    pair = token_alignment.TokenPair(tokenizer_file(A), tokenizer_file(B))
+    words = [f"{w}{s}" for w in ("unbelievable", "Größe", "aiaiai", "tokenization") for s in ("", ",", ".", "###", "\nThe")]
+    once = sum(r[0] for r in aligned_words(pair, words))
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(40)]
+    # Every text was aligned token by token before.
+    assert sum(r[0] for r in aligned_words(pair, texts)) > 100 * once and sum(given) <= once
+
+
+def test_texts_of_words_as_whole_texts(monkeypatch):
+    pair = token_alignment.TokenPair(tokenizer_file(A), tokenizer_file(B))
+    atoms = ["the", "don't", "aiaiai", "a\nb", "\n", "—", "“q”", "ﬁ", "é", "日本語", "\U0001f600", "<|endoftext|>", "</s>", "", "###", "\u3000", "Ж·", "x" * 60, "▁"]
+    rng = random.Random(6)
+    texts = ["", " ", "a  b", "the end ", *(" ".join(rng.choices(atoms, k=rng.randrange(1, 20))) for _ in range(200))]
+    texts += [f"a {w} b a" for w in ("ab" * 700, "日本" * 600, "€" * 1000, "é" * 1001)]
+
+    def by_hand(text: str) -> tuple:
+        ids = [pair.a.tokenizer.encode(f" {text}", add_special_tokens=False).ids, pair.b.model.encode(text)] if text else [[], []]
+        spelled = [[s.spelled[i] for i in x] for s, x in zip((pair.a, pair.b), ids)]
+        if not text or any(b"".join(s) != f" {text}".encode() for s in spelled):
+            return 0, 0, 0, 0, "", {}
+        ends = [list(accumulate(map(len, s))) for s in spelled]
+        groups, low = [], 0
+        for high in sorted(set(ends[0]) & set(ends[1])):
+            groups.append([[i for i, e in zip(x, own) if low < e <= high] for x, own in zip(ids, ends)])
+            low = high
+        links = Counter((x << 32) | y for a, b in groups for x in a for y in b)
+        return *map(len, ids), len(groups), links.total(), ";".join("|".join(",".join(map(str, x)) for x in g) for g in groups), dict(links)
+
+    expected = [by_hand(t) for t in texts]
+    assert sum(r[0] > 0 for r in expected) > 50 and sum(r[0] == 0 for r in expected) > 50
+    assert aligned_words(pair, texts) == expected
+    # Small stores, and few links of a word: the rest is aligned as whole texts.
+    monkeypatch.setattr(token_alignment, "_MOST_WORDS", 2)
+    monkeypatch.setattr(token_alignment, "_WORD_LINKS", 3)
+    pair.store, pair.before = {}, {}
+    assert [r for at in range(0, len(texts), 3) for r in aligned_words(pair, texts[at : at + 3])] == expected
+
+
 # Periodic runs
 
 
