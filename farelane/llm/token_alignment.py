@@ -92,7 +92,7 @@ class ByteLevelTokens:
         return tiktoken.Encoding("words", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(merged) else None
 
     def encode_plain(self, text: str) -> list[int]:
-        """Ids of words of ``_PLAIN``, one space before each."""
+        """Ids of words of ``_PLAIN``, a space before each."""
         return self.quick.encode_ordinary(f" {text}") if self.quick else self.encode([text])[0]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
@@ -124,8 +124,8 @@ _CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 #: Texts with a space at either end or beside a character that may be another; in the rest every space is such a cut.
 _OTHER = "[^!-~À-ÖØ-öø-ſА-я]"
 _UNSURE = f"(?:^|{_OTHER}) | (?:{_OTHER}|$)"
-#: Words of letters, digits and signs that all libraries class alike.
-_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ſΆ-ώЁА-яё]+")
+#: Words of letters, digits and signs that all libraries class alike, also with single line ends between them.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ſΆ-ώЁА-яё]+(?:\n[!-~À-ÖØ-öø-ſΆ-ώЁА-яё]+)*")
 # Fixed value: the pattern by which byte-level vocabularies of this kind part a text.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -189,8 +189,9 @@ class TokenPair:
         # A sign stands behind every id.
         shown = self.digits.rendered(*ids, cuts_a, cuts_b).encode()
         places = sum(np.cumsum(self.digits.length[x] + 1)[e - 1] for x, e in zip(ids, ends)).tolist()
-        made = zip((shown[s : e - 1] for s, e in zip([0, *places], places)), (data[s:e] for s, e in zip([0, *stops], stops)))
-        self.store.update((w, m if own else _WIDE) for w, m, own in zip(words, made, narrow.tolist()))
+        made = zip([shown[s : e - 1] for s, e in zip([0, *places], places)], [data[s:e] for s, e in zip([0, *stops], stops)])
+        self.store.update(zip(words, made))
+        self.store.update((words[w], _WIDE) for w in np.flatnonzero(~narrow).tolist())
 
     def _learn_plain(self, words: list[str]) -> None:
         """Encode words in one text and cut the ids at the words' ends; where they do not spell the text, each word is encoded."""
@@ -221,18 +222,21 @@ class TokenPair:
     def _known(self, words: list[str]) -> list[tuple[bytes, ...]]:
         """What the store has of distinct words."""
         found = list(map(self.store.get, words))
-        new = [w for w, record in zip(words, found) if record is None and len(w) <= _WORD_CHARS]
+        new = [k for k, record in enumerate(found) if record is None]
         if new:
-            old = [w for w in new if w in self.before]
-            self.store.update(zip(old, map(self.before.__getitem__, old)))
+            own = {words[k] for k in new if len(words[k]) <= _WORD_CHARS}
+            if self.before:
+                self.store.update((w, self.before[w]) for w in own.intersection(self.before))
+                own.difference_update(self.store)
             plain, other = [], []
-            for word in new if not old else [w for w in new if w not in self.store]:
+            for word in own:
                 (plain if _PLAIN.fullmatch(word) else other).append(word)
             for some, learn in ((plain, self._learn_plain), (other, self._learn)):
                 for at in range(0, len(some), 1000):
                     learn(some[at : at + 1000])
-            found = list(map(self.store.get, words))
-        return [_WIDE if r is None else r for r in found]
+            for k in new:
+                found[k] = self.store.get(words[k], _WIDE)
+        return found
 
     def _parted(self, texts: list[str]) -> tuple[np.ndarray, pa.ListArray]:
         """The texts' order in what follows, and the words of each."""
