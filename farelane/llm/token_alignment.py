@@ -49,10 +49,10 @@ _LINKS = 1 << 20
 _PART = 1 << 20
 #: Words in each of the two halves of a worker's store; some 100 MB each.
 _MOST_WORDS = 300_000
-#: Characters and links of the words it keeps; texts with longer ones are aligned as they are.
+#: Characters and links of the words it keeps; wider ones are aligned wherever they come.
 _WORD_CHARS = 1000
 _WORD_LINKS = 1000
-#: Numbers of tokens and groups of such a word stand side by side in one; no tokens mark a word that is not kept.
+#: Numbers of tokens and groups of such a word stand side by side in one; no tokens mark a wide word.
 _HEAD = (1 << 20) - 1
 _WIDE = b"", bytes(8)
 
@@ -250,18 +250,31 @@ class TokenPair:
             split = pa.concat_arrays([split, pa.array(rest, split.type)])
         return np.argsort(~easy, kind="stable"), split
 
-    def _whole(self, text: str, records: list[tuple[bytes, ...]]) -> tuple:
-        """``aligned_text`` of a text with words that are wide or not spelled."""
-        spelled = all(len(r) < 4 for r in records)
-        if not spelled:
-            own = [(f" {w}".encode(),) * 2 for w in _CUT.split(text)] if self.cuts else [(f" {text}".encode(),) * 2]
-            made = zip(*(r[2:] or o for r, o in zip(records, own)))
-            spelled = all(b"".join(side) == f" {text}".encode() for side in made)
-        if not text or not spelled:
+    def _single(self, text: str, records: list[tuple[bytes, ...]]) -> tuple:
+        """``aligned_text`` of a text with words that are wide, which are aligned here, or not spelled."""
+        if not text:
             return aligned_text(None, self)
-        ids = self.a.encode([text])[0], self.b.encode([text])[0]
-        spelled = self._spelled(*ids) == (f" {text}".encode(),) * 2
-        return aligned_text([np.array(x, np.int64) for x in ids] if spelled else None, self)
+        words = _CUT.split(text) if self.cuts else [text]
+        wide = [k for k, r in enumerate(records) if r is _WIDE]
+        ids = [[side.encode_plain(w) if _PLAIN.fullmatch(w) else side.encode([w])[0] for side in (self.a, self.b)] for w in map(words.__getitem__, wide)]
+        own = [(f" {w}".encode(),) * 2 for w in words]
+        made = [r[2:] or o for r, o in zip(records, own)]
+        for k, x in zip(wide, ids):
+            made[k] = self._spelled(*x)
+        if made != own:
+            # Where the words make up for each other, the text is taken as it is.
+            if all(b"".join(side) == f" {text}".encode() for side in zip(*made)):
+                ids = self.a.encode([text])[0], self.b.encode([text])[0]
+                if self._spelled(*ids) == (f" {text}".encode(),) * 2:
+                    return aligned_text([np.array(x, np.int64) for x in ids], self)
+            return aligned_text(None, self)
+        parts = [aligned_text([np.array(y, np.int64) for y in x], self) for x in ids]
+        shown = [r[0].decode() for r in records]
+        for k, part in zip(wide, parts):
+            shown[k] = part[4]
+        counts, codes = _unpacked([r[1] for r in records])
+        counts = [int(c.sum()) + sum(part[k] for part in parts) for k, c in enumerate(counts)]
+        return *counts, ";".join(shown), *_merged([np.unique(codes, return_counts=True), *(part[5:] for part in parts)])
 
     def align(self, texts: list[str]) -> Iterator[Aligned]:
         """The alignments of the texts; of no tokens where these do not spell the text, or it is empty."""
@@ -271,22 +284,18 @@ class TokenPair:
         coded = split.flatten().dictionary_encode()
         word, lengths = coded.indices.to_numpy(), split.value_lengths().to_numpy().astype(np.int64)
         records = self._known(coded.dictionary.to_pylist())
-        data = [r[1] for r in records]
-        sizes = np.fromiter(map(len, data), np.int64, len(data)) // 8
-        flat = np.frombuffer(b"".join(data), "<i8")
-        heads = np.cumsum(sizes) - sizes
-        n_links = sizes - 1
-        counts = [(flat[heads] >> at) & _HEAD for at in (0, 20, 40)] + [n_links]
+        counts, codes = _unpacked([r[1] for r in records])
+        n_links = counts[3]
         rows = np.repeat(np.arange(len(lengths)), lengths)
-        whole = np.zeros(len(lengths), bool)
-        whole[rows[counts[0][word] == 0]] = True
-        whole |= np.array([not texts[k] for k in order.tolist()], bool)
-        if whole.any():
+        single = np.zeros(len(lengths), bool)
+        single[rows[counts[0][word] == 0]] = True
+        single |= np.array([not texts[k] for k in order.tolist()], bool)
+        if single.any():
             ends = np.cumsum(lengths)
-            found = [self._whole(texts[order[k]], [records[w] for w in word[ends[k] - lengths[k] : ends[k]].tolist()]) for k in np.flatnonzero(whole).tolist()]
+            found = [self._single(texts[order[k]], [records[w] for w in word[ends[k] - lengths[k] : ends[k]].tolist()]) for k in np.flatnonzero(single).tolist()]
             pairs, links = np.unique(np.concatenate([f[5] for f in found]), return_inverse=True)
             yield Aligned(
-                order[whole],
+                order[single],
                 [np.array([f[k] for f in found], np.int64) for k in range(4)],
                 pa.array([f[4] for f in found], pa.string()),
                 pairs,
@@ -294,7 +303,7 @@ class TokenPair:
                 np.concatenate([f[6] for f in found]),
                 np.cumsum([len(f[5]) for f in found]),
             )
-            kept = ~whole
+            kept = ~single
             word, lengths, order = word[kept[rows]], lengths[kept], order[kept]
             rows = np.repeat(np.arange(len(lengths)), lengths)
         if not len(lengths):
@@ -303,7 +312,7 @@ class TokenPair:
         shown = pa.array([r[0] for r in records], pa.string()).take(pa.array(word))
         groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[firsts, len(word)].astype(np.int32)), shown), ";")
         # All links of each text in order, as numbers of pairs.
-        pairs, number = np.unique(flat[_others(heads, len(flat))], return_inverse=True)
+        pairs, number = np.unique(codes, return_inverse=True)
         n = n_links[word]
         keys = number[spans((np.cumsum(n_links) - n_links)[word], n)]
         keys += np.repeat(rows * len(pairs), n)
@@ -322,6 +331,14 @@ def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
+def _unpacked(records: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Numbers of tokens of either side, groups and links of each word of a store, and all links."""
+    sizes = np.fromiter(map(len, records), np.int64, len(records)) // 8
+    flat = np.frombuffer(b"".join(records), "<i8")
+    heads = np.cumsum(sizes) - sizes
+    return [*((flat[heads] >> at) & _HEAD for at in (0, 20, 40)), sizes - 1], flat[_others(heads, len(flat))]
+
+
 def _others(places: np.ndarray, size: int) -> np.ndarray:
     """Which of so many places are none of these."""
     found = np.ones(size, bool)
@@ -442,6 +459,11 @@ def linked_pairs(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_
         a, n_a = np.unique(ids_a[starts_a[g] : cuts_a[g]], return_counts=True)
         b, n_b = np.unique(ids_b[starts_b[g] : cuts_b[g]], return_counts=True)
         found.append((((a[:, None] << 32) | b).ravel(), (n_a[:, None] * n_b).ravel()))
+    return _merged(found)
+
+
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted, and the links of each in all."""
     if len(found) < 2:
         return found[0] if found else _NO_PAIRS
     codes, where = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)

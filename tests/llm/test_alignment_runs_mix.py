@@ -170,7 +170,7 @@ def test_texts_of_words_as_whole_texts(monkeypatch):
     expected = [by_hand(t) for t in texts]
     assert sum(r[0] > 0 for r in expected) > 50 and sum(r[0] == 0 for r in expected) > 50
     assert aligned_words(pair, texts) == expected
-    # Small stores, and few links of a word: the rest is aligned as whole texts.
+    # Small stores, and few links of a word that is kept.
     monkeypatch.setattr(token_alignment, "_MOST_WORDS", 2)
     monkeypatch.setattr(token_alignment, "_WORD_LINKS", 3)
     pair.store, pair.before = {}, {}
